@@ -1,0 +1,22 @@
+"""From surveyed fields to correlations, band-set scores and the ranking."""
+
+from fieldlens.constants import SCORE_COLUMNS, SEARCH_BANDS, TARGETS
+from fieldlens.operators.band_search import band_search, search_samples
+from fieldlens.operators.stats import corr_matrix, top_band_sets
+from fieldlens.operators.tables import analysis_frame, analysis_long, attach_soil
+
+
+def rated_frame(survey, soil):
+    """Surveyed fields with their ratings, ready for analysis."""
+    return analysis_frame(attach_soil(survey, soil))
+
+
+def correlations(frame, columns, targets=TARGETS):
+    """One correlation matrix per target over the fields tested for it, in one aggregate."""
+    return corr_matrix(analysis_long(frame, targets), ["rating", *columns], by=["target"])
+
+
+def best_band_sets(frame, bands=SEARCH_BANDS, targets=TARGETS, k=10, solver="gram", id_column="field_id",
+                   order_column=None):
+    samples = search_samples(frame, bands, targets, id_column, order_column)
+    return top_band_sets(band_search(samples, bands, solver=solver), SCORE_COLUMNS, k)

@@ -1,0 +1,49 @@
+"""Fixed schemas of the long tables the operators work on."""
+
+from pyspark.sql import types as T
+
+RINGS_DDL = "array<array<struct<x:double,y:double>>>"
+
+FIELDS = T.StructType([
+    T.StructField("field_id", T.StringType()),
+    T.StructField("farm_name", T.StringType()),
+    T.StructField("survey_date", T.TimestampNTZType()),
+])
+
+PRODUCTS = T.StructType([
+    T.StructField("uuid", T.StringType()),
+    T.StructField("title", T.StringType()),
+    T.StructField("generationdate", T.TimestampNTZType()),
+    T.StructField("cloudcoverpercentage", T.DoubleType()),
+])
+
+PIXELS = T.StructType([
+    T.StructField("field_id", T.StringType()),
+    T.StructField("uuid", T.StringType()),
+    T.StructField("band", T.StringType()),
+    T.StructField("px_row", T.IntegerType()),
+    T.StructField("px_col", T.IntegerType()),
+    T.StructField("value", T.IntegerType()),
+    T.StructField("inside", T.BooleanType()),
+])
+
+# one raw raster tile: origin is the outer corner of the upper left pixel
+TILES = T.StructType([
+    T.StructField("uuid", T.StringType()),
+    T.StructField("band", T.StringType()),
+    T.StructField("x0", T.DoubleType()),
+    T.StructField("y0", T.DoubleType()),
+    T.StructField("res", T.DoubleType()),
+    T.StructField("width", T.IntegerType()),
+    T.StructField("height", T.IntegerType()),
+    T.StructField("dtype", T.StringType()),
+    T.StructField("data", T.BinaryType()),
+])
+
+SCORES = T.StructType([
+    T.StructField("target", T.StringType()),
+    T.StructField("bands", T.StringType()),
+    T.StructField("scores_stratified_KFold", T.DoubleType()),
+    T.StructField("scores_cross_val", T.DoubleType()),
+    T.StructField("accuracy_score", T.DoubleType()),
+])
