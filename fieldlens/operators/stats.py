@@ -11,6 +11,14 @@ from fieldlens.functions.text import nan_to_null
 from fieldlens.operators.ranks import quantiles
 
 
+def pearson(x, y):
+    """Pearson coefficient over the rows where both are present; NULL where one of them does not vary.
+
+    The built-in ``corr`` raises on a constant column in ANSI mode.
+    """
+    return F.try_divide(F.regr_sxy(y, x), F.sqrt(F.regr_sxx(y, x) * F.regr_syy(y, x)))
+
+
 def corr_matrix(df, columns, by=()):
     """Pearson coefficient of every pair, pairwise complete, as (row_name, col_name, corr).
 
@@ -19,7 +27,7 @@ def corr_matrix(df, columns, by=()):
     columns, by = list(columns), list(by)
     clean = df.select(*by, *[nan_to_null(F.col(c).cast("double")).alias(c) for c in columns])
     half = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    wide = clean.groupBy(*by).agg(*[F.corr(a, b).alias(f"_{i}") for i, (a, b) in enumerate(half)])
+    wide = clean.groupBy(*by).agg(*[pearson(F.col(a), F.col(b)).alias(f"_{i}") for i, (a, b) in enumerate(half)])
     at = {pair: F.col(f"_{i}") for i, pair in enumerate(half)}
     cells = [
         F.struct(F.lit(a).alias("row_name"), F.lit(b).alias("col_name"),
@@ -93,7 +101,7 @@ def pearson_test(df, x, y, by=()):
     """r, t statistic and two-sided p-value. The p-value is worked out on the aggregated rows only."""
     pairs = df.select(*by, nan_to_null(F.col(x).cast("double")).alias("x"), nan_to_null(F.col(y).cast("double")).alias("y"))
     sums = pairs.where("x IS NOT NULL AND y IS NOT NULL").groupBy(*by).agg(
-        nan_to_null(F.corr("x", "y")).alias("r"), F.count(F.lit(1)).alias("n"))
+        pearson(F.col("x"), F.col("y")).alias("r"), F.count(F.lit(1)).alias("n"))
     t = F.col("r") * F.sqrt(F.try_divide(F.col("n") - 2, 1 - F.col("r") * F.col("r")))
     tested = sums.withColumn("t", t)
     return tested.withColumn("p_value", F.when(F.abs("r") >= 1, F.lit(0.0)).otherwise(
@@ -159,7 +167,8 @@ def box_stats(df, by, column):
     """Quartiles, mean and whiskers: the furthest values within 1.5 inter-quartile ranges."""
     by = list(by)
     counted = df.where(F.col(column).isNotNull()).groupBy(*by, column).agg(F.count(F.lit(1)).alias("_n"))
-    quarters = quantiles(df, by, column, (0.25, 0.5, 0.75)).withColumnsRenamed({"q0": "q1", "q1": "med", "q2": "q3"})
+    quarters = quantiles(df, by, column, (0.25, 0.5, 0.75)).select(
+        *by, F.col("q0").alias("q1"), F.col("q1").alias("med"), F.col("q2").alias("q3"))
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     placed = counted.join(quarters, by)
     return placed.groupBy(*by, "q1", "med", "q3").agg(

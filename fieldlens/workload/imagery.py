@@ -9,7 +9,7 @@ from fieldlens.operators import asof, bandstats, clouds, stats, tables
 from fieldlens.plans.survey import band_means_at_survey
 from fieldlens.workload.registry import CLEAR, NOT_CLEAR, Tables, query, rounded, survey_sql
 
-INDEX_BANDS = ("B03_20m", "B04_10m", "B08_10m", "B8A_20m")
+HAZY_BLUE = 2700
 NDVI_SQL = "avg((B08_10m - B04_10m)::double / nullif(B08_10m + B04_10m, 0))"
 NDWI_SQL = "avg((B03_10m - B08_10m)::double / nullif(B03_10m + B08_10m, 0))"
 
@@ -19,10 +19,9 @@ def pairs_of(t: Tables):
 
 
 def rejected_of(t: Tables):
-    """The chosen products of fields whose pictures look cloudy after all: those that end in 3."""
-    survey = band_means_at_survey(t.fields, t.products, t.pixels, ("B08_10m",))
-    return survey.where(F.col("field_id").endswith("3") & F.col("nearest_product_uuid").isNotNull()).select(
-        "field_id", F.col("nearest_product_uuid").alias("uuid"))
+    """Chosen products whose blue band is too bright to be clear ground, as a reader would find."""
+    survey = band_means_at_survey(t.fields, t.products, t.pixels, ("B02_10m",))
+    return survey.where(f"B02_10m > {HAZY_BLUE}").select("field_id", F.col("nearest_product_uuid").alias("uuid"))
 
 
 # --- clear test -------------------------------------------------------------
@@ -139,8 +138,8 @@ def _(t):
 
 
 @query("asof_next_nearest", f"""
-    WITH {survey_sql(('B04_10m',))},
-    again AS (SELECT * FROM ranked WHERE NOT (rn = 1 AND field_id LIKE '%3')),
+    WITH {survey_sql(('B02_10m',))},
+    again AS (SELECT * FROM ranked WHERE NOT (rn = 1 AND B02_10m > {HAZY_BLUE})),
     best AS (SELECT field_id, uuid, generationdate, row_number() OVER (PARTITION BY field_id ORDER BY rn) AS n FROM again)
     SELECT f.field_id, f.survey_date, b.uuid, b.generationdate
     FROM fx_fields f LEFT JOIN best b ON b.field_id = f.field_id AND b.n = 1""")

@@ -1 +1,171 @@
+"""Splits, folds, neighbours, classifiers and the band search."""
 
+from pyspark.sql import functions as F
+
+from fieldlens.constants import QUICKLOOK_BANDS, SCORE_COLUMNS, SEARCH_BANDS, TARGETS
+from fieldlens.operators import band_search, knn, models, resample, stats
+from fieldlens.operators.tables import analysis_frame, attach_soil
+from fieldlens.plans.survey import band_means_at_survey
+from fieldlens.session import materialize
+from fieldlens.workload.registry import query, rounded
+
+FEATURES = [f"f{i}" for i in range(1, 13)]
+
+# --- SQL of the splits ------------------------------------------------------
+
+SPLIT = """split AS (SELECT *, row_number() OVER (ORDER BY md5(concat('7|', vec_id)), vec_id)
+                                <= floor(0.75 * count(*) OVER ()) AS is_train FROM fx_samples)"""
+
+
+def folds_sql(name, source, order):
+    """Positions in the class-sorted order, modulo 5, dealt to the rows of the class in ``order``."""
+    return f"""
+        {name}_c AS (SELECT label, min(vec_id) AS first_id FROM {source} GROUP BY label),
+        {name}_p AS (SELECT label, (row_number() OVER (ORDER BY first_id, vec_id) - 1) % 5 AS m
+                     FROM {source} JOIN {name}_c USING (label)),
+        {name}_d AS (SELECT label, m, row_number() OVER (PARTITION BY label ORDER BY m) AS r FROM {name}_p),
+        {name} AS (SELECT s.vec_id, cast(d.m AS int) AS fold
+                   FROM (SELECT vec_id, label, row_number() OVER (PARTITION BY label ORDER BY {order}) AS r FROM {source}) s
+                   JOIN {name}_d d ON d.label = s.label AND d.r = s.r)"""
+
+
+@query("train_test_split", f"WITH {SPLIT} SELECT vec_id, label, is_train FROM split")
+def _(t):
+    return resample.train_test_split(t.view("fx_samples").select("vec_id", "label"), "vec_id")
+
+
+@query("stratified_folds", f"""
+    WITH {folds_sql('fs', 'fx_samples', "md5(concat('7|', vec_id)), vec_id")}
+    SELECT s.vec_id, s.label, fs.fold FROM fx_samples s JOIN fs USING (vec_id)""")
+def _(t):
+    return resample.stratified_folds(t.view("fx_samples").select("vec_id", "label"), "label", "vec_id")
+
+
+@query("contiguous_folds", f"""
+    WITH {folds_sql('fc', 'fx_samples', 'vec_id')}
+    SELECT s.vec_id, s.label, fc.fold FROM fx_samples s JOIN fc USING (vec_id)""")
+def _(t):
+    return resample.contiguous_folds(t.view("fx_samples").select("vec_id", "label"), "label", "vec_id")
+
+
+@query("balanced_weights", """
+    WITH m AS (SELECT label, count(*) AS m FROM fx_samples GROUP BY label)
+    SELECT vec_id, label, round((SELECT count(*) FROM fx_samples) / ((SELECT count(*) FROM m) * m.m)::double, 6) AS weight
+    FROM fx_samples JOIN m USING (label)""")
+def _(t):
+    return rounded(resample.balanced_weights(t.view("fx_samples").select("vec_id", "label"), "label"), 6, "weight")
+
+
+DISTANCE = " + ".join(f"(a.{f} - b.{f}) * (a.{f} - b.{f})" for f in FEATURES)
+
+
+@query("knn", f"""
+    WITH {SPLIT},
+         d AS (SELECT a.vec_id, a.label, b.label AS vote, row_number() OVER (PARTITION BY a.vec_id ORDER BY {DISTANCE}, b.vec_id) AS r
+               FROM split a JOIN split b ON NOT a.is_train AND b.is_train),
+         v AS (SELECT vec_id, label, vote, count(*) AS n FROM d WHERE r <= 5 GROUP BY ALL)
+    SELECT vec_id, label, prediction FROM (
+        SELECT vec_id, label, vote AS prediction, row_number() OVER (PARTITION BY vec_id ORDER BY n DESC, vote) AS k FROM v) WHERE k = 1""")
+def _(t):
+    split = resample.train_test_split(t.view("fx_samples"), "vec_id")
+    test = split.where("NOT is_train")
+    guesses = knn.knn_predict(split.where("is_train"), test, FEATURES, "vec_id")
+    return test.select("vec_id", "label").join(guesses, "vec_id")
+
+
+# --- classifiers on the surveyed fields -------------------------------------
+
+def learning_frame(t, bands):
+    """Surveyed fields with ratings and a numeric id, written once for the jobs that follow."""
+    fields = t.fields.select("field_id", "field_key", "survey_date")
+    survey = band_means_at_survey(fields, t.products, t.pixels, bands)
+    frame = analysis_frame(attach_soil(survey, t.ratings))
+    return materialize(frame.select("field_id", "field_key", *bands, *TARGETS), "frame")
+
+
+def _register_model(key, name):
+    @query(key)
+    def _(t):
+        frame = learning_frame(t, QUICKLOOK_BANDS)
+        counts = models.compare_models(
+            frame, QUICKLOOK_BANDS, order_column="field_key", models=[name], fits=[("holdout", 0)])
+        return models.fold_scores(counts)
+
+
+for _key, _name in (
+    ("linear_svc", "LinearSVC"), ("linear_svc_balanced", "LinearSVC modified"), ("svc_linear_c10", "SVC (Linear kernel)"),
+    ("svc_linear_c10_g10", "SVC (Linear kernel 2)"), ("svc_rbf", "SVC (rbf kernel)"), ("logistic_l1", "L1 logistic"),
+    ("logistic_l2", "L2 logistic (Multinomial)"), ("logistic_ovr", "L2 logistic (OvR)"), ("logistic_default", "logistic"),
+    ("decision_tree", "DecisionTreeClassifier"), ("decision_tree_entropy", "DecisionTreeClassifier (entropy)"),
+    ("random_forest", "RandomForest Classifier"),
+):
+    _register_model(_key, _name)
+
+
+@query("cross_validate")
+def _(t):
+    frame = learning_frame(t, QUICKLOOK_BANDS)
+    counts = models.compare_models(
+        frame, QUICKLOOK_BANDS, order_column="field_key", models=["DecisionTreeClassifier (entropy)"])
+    return models.fold_scores(counts)
+
+
+@query("compare_models")
+def _(t):
+    counts = models.compare_models(learning_frame(t, QUICKLOOK_BANDS), QUICKLOOK_BANDS, order_column="field_key")
+    return models.score_table(models.fold_scores(counts))
+
+
+# --- band search ------------------------------------------------------------
+
+def gram_samples(t):
+    """Embeddings as samples of one target, with split and folds."""
+    base = t.view("fx_samples").withColumns({"target": F.lit("label"), "class_no": F.col("label")})
+    split = resample.train_test_split(base, "vec_id")
+    train = resample.stratified_folds(split.where("is_train"), "class_no", "vec_id", out="fold_s")
+    train = resample.contiguous_folds(train, "class_no", "vec_id", out="fold_c")
+    none = F.lit(None).cast("int")
+    return train.unionByName(split.where("NOT is_train").withColumns({"fold_s": none, "fold_c": none}))
+
+
+def _gram_sql():
+    columns = ["one", *FEATURES]
+    products = " UNION ALL ".join(
+        f"SELECT is_train, fold_s, fold_c, 'g_{i}_{j}' AS name, sum({a} * {b}) AS value FROM parts GROUP BY ALL"
+        for i, a in enumerate(columns) for j, b in enumerate(columns) if i <= j)
+    crosses = " UNION ALL ".join(
+        f"SELECT is_train, fold_s, fold_c, 'v_{i}_{c}' AS name, sum(CASE WHEN label = {c} THEN {a} ELSE 0 END) AS value FROM parts GROUP BY ALL"
+        for i, a in enumerate(columns) for c in range(10))
+    return f"""
+    WITH {SPLIT}, tr AS (SELECT * FROM split WHERE is_train),
+         {folds_sql('fs', 'tr', "md5(concat('7|', vec_id)), vec_id")}, {folds_sql('fc', 'tr', 'vec_id')},
+         parts AS (SELECT split.*, 1.0E0 AS one, fs.fold AS fold_s, fc.fold AS fold_c FROM split
+                   LEFT JOIN fs ON fs.vec_id = split.vec_id LEFT JOIN fc ON fc.vec_id = split.vec_id)
+    SELECT is_train, fold_s, fold_c, name, round(value, 6) AS value FROM ({products} UNION ALL {crosses})"""
+
+
+@query("band_gram", _gram_sql())
+def _(t):
+    sums = band_search.gram_sums(gram_samples(t), FEATURES, 10).drop("target")
+    names = [c for c in sums.columns if c[:2] in ("g_", "v_")]
+    return rounded(sums.unpivot(["is_train", "fold_s", "fold_c"], names, "name", "value"), 6, "value")
+
+
+def search_samples(t):
+    frame = learning_frame(t, SEARCH_BANDS)
+    return materialize(band_search.search_samples(frame, SEARCH_BANDS, TARGETS, order_column="field_key"), "samples")
+
+
+@query("band_search")
+def _(t):
+    return band_search.band_search(search_samples(t))
+
+
+@query("band_search_hinge")
+def _(t):
+    return band_search.band_search(search_samples(t), solver="hinge")
+
+
+@query("best_band_sets")
+def _(t):
+    return stats.top_band_sets(band_search.band_search(search_samples(t)), SCORE_COLUMNS)
