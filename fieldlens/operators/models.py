@@ -23,27 +23,30 @@ MAX_CLASSES = 256
 FOLDS = 5
 
 
-def _svc(C, weight=None):
-    def make(n):
-        svc = LinearSVC(regParam=1.0 / (C * n), standardization=False, maxIter=100, aggregationDepth=2)
-        if weight:
-            return OneVsRest(classifier=svc, weightCol=weight, parallelism=4)
-        return OneVsRest(classifier=svc, parallelism=4)
-    return make
+LABEL = "class_no"
+
+
+def _one_vs_rest(classifier, **options):
+    return OneVsRest(classifier=classifier, labelCol=LABEL, parallelism=4, **options)
+
+
+def _svc(C, **options):
+    return lambda n: _one_vs_rest(LinearSVC(regParam=1.0 / (C * n), standardization=False, maxIter=100), **options)
 
 
 def _logistic(C, **options):
-    return lambda n: LogisticRegression(regParam=1.0 / (C * n), standardization=False, maxIter=200, **options)
+    return lambda n: LogisticRegression(
+        regParam=1.0 / (C * n), standardization=False, maxIter=200, labelCol=LABEL, **options)
 
 
 def _logistic_ovr(C):
-    return lambda n: OneVsRest(classifier=_logistic(C, family="binomial", elasticNetParam=0.0)(n), parallelism=4)
+    return lambda n: _one_vs_rest(_logistic(C, family="binomial", elasticNetParam=0.0)(n))
 
 
 # --- fixed values: the thirteen models --------------------------------------
 MODELS = {
     "LinearSVC": _svc(1.0),
-    "LinearSVC modified": _svc(2.0, "weight"),
+    "LinearSVC modified": _svc(2.0, weightCol="weight"),
     "SVC (Linear kernel)": _svc(10.0),
     "SVC (Linear kernel 2)": _svc(10.0),
     "KNeighbors": None,
@@ -52,9 +55,9 @@ MODELS = {
     "L2 logistic (Multinomial)": _logistic(10.0, family="multinomial", elasticNetParam=0.0),
     "L2 logistic (OvR)": _logistic_ovr(10.0),
     "logistic": _logistic_ovr(1.0),
-    "DecisionTreeClassifier": lambda n: DecisionTreeClassifier(maxDepth=30, seed=7),
-    "DecisionTreeClassifier (entropy)": lambda n: DecisionTreeClassifier(impurity="entropy", maxDepth=3, seed=7),
-    "RandomForest Classifier": lambda n: RandomForestClassifier(numTrees=100, maxDepth=30, seed=7),
+    "DecisionTreeClassifier": lambda n: DecisionTreeClassifier(maxDepth=30, seed=7, labelCol=LABEL),
+    "DecisionTreeClassifier (entropy)": lambda n: DecisionTreeClassifier(impurity="entropy", maxDepth=3, seed=7, labelCol=LABEL),
+    "RandomForest Classifier": lambda n: RandomForestClassifier(numTrees=100, maxDepth=30, seed=7, labelCol=LABEL),
 }
 # --- end of fixed values ----------------------------------------------------
 
@@ -75,7 +78,7 @@ def prepare(df, features, label, id_column, classes):
     numbers = F.array(*[F.lit(c) for c in classes])
     return known.withColumns({
         "features": array_to_vector(F.array(*[F.col(f).cast("double") for f in features])),
-        "class_no": (F.array_position(numbers, F.col(label)) - 1).cast("double"),
+        LABEL: (F.array_position(numbers, F.col(label)) - 1).cast("double"),
     })
 
 
@@ -134,10 +137,10 @@ def _lift_rbf(df, features):
 
 def _predict(name, train, scored, features, id_column, n):
     if name == "KNeighbors":
-        guesses = knn_predict(train, scored, features, id_column, "class_no")
-        return scored.select(id_column, "class_no").join(guesses, id_column)
+        guesses = knn_predict(train, scored, features, id_column, LABEL)
+        return scored.select(id_column, LABEL).join(guesses, id_column)
     if name == "LinearSVC modified":
-        train = balanced_weights(train, "class_no")
+        train = balanced_weights(train, LABEL)
     return MODELS[name](n).fit(train).transform(scored)
 
 
@@ -171,7 +174,7 @@ def confusion_counts(df, name, features, id_column, fits=None, parallelism=8):
 def fold_scores(counts):
     """Share of correct predictions per fit."""
     return counts.groupBy("model", "scheme", "fold").agg(
-        (F.sum(F.when(F.col("class_no") == F.col("prediction"), F.col("n")).otherwise(0)) / F.sum("n")).alias("score"))
+        (F.sum(F.when(F.col(LABEL) == F.col("prediction"), F.col("n")).otherwise(0)) / F.sum("n")).alias("score"))
 
 
 def score_table(scores, by="model"):

@@ -67,7 +67,7 @@ DISTANCE = " + ".join(f"(a.{f} - b.{f}) * (a.{f} - b.{f})" for f in FEATURES)
     SELECT vec_id, label, prediction FROM (
         SELECT vec_id, label, vote AS prediction, row_number() OVER (PARTITION BY vec_id ORDER BY n DESC, vote) AS k FROM v) WHERE k = 1""")
 def _(t):
-    split = resample.train_test_split(t.view("fx_samples"), "vec_id")
+    split = materialize(resample.train_test_split(t.view("fx_samples"), "vec_id"), "split")
     test = split.where("NOT is_train")
     guesses = knn.knn_predict(split.where("is_train"), test, FEATURES, "vec_id")
     return test.select("vec_id", "label").join(guesses, "vec_id")
