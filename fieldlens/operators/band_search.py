@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 
 from fieldlens.constants import SEARCH_BANDS
 from fieldlens.operators.models import FOLDS, all_fits
+from fieldlens.operators.resample import contiguous_folds, stratified_folds, train_test_split
+from fieldlens.operators.tables import analysis_long
+from fieldlens.session import materialize
 
 HINGE_ROW_LIMIT = 100_000
 SCHEME_SCORES = {"fold_s": "scores_stratified_KFold", "fold_c": "scores_cross_val", "holdout": "accuracy_score"}
@@ -229,15 +232,12 @@ def band_search(samples, bands=SEARCH_BANDS, n_classes=5, solver="gram", **optio
 
 def search_samples(frame, bands, targets, id_column="field_id", order_column=None, seed=7):
     """Tested rows of every target with split and folds: one long frame, ratings 1..k as class 0..k-1."""
-    from fieldlens.operators.resample import contiguous_folds, stratified_folds, train_test_split
-    from fieldlens.operators.tables import analysis_long
-
     extra = [order_column] if order_column and order_column != id_column else []
     long = analysis_long(frame.select(id_column, *extra, *targets, *bands), targets)
     for b in bands:
         long = long.where(F.col(b).isNotNull())
     long = long.withColumn("class_no", (F.col("rating") - 1).cast("int"))
-    split = train_test_split(long, id_column, 0.75, seed, by=["target"])
+    split = materialize(train_test_split(long, id_column, 0.75, seed, by=["target"]), "split")
     train = split.where("is_train")
     train = stratified_folds(train, "class_no", id_column, FOLDS, seed, by=["target"], out="fold_s")
     train = contiguous_folds(train, "class_no", id_column, order_column, FOLDS, by=["target"], out="fold_c")

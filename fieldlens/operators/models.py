@@ -6,6 +6,7 @@ hinge; coefficients are not claimed to equal those of other libraries.
 """
 
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -18,8 +19,13 @@ from pyspark.storagelevel import StorageLevel
 
 from fieldlens.operators.knn import knn_predict
 from fieldlens.operators.resample import balanced_weights, contiguous_folds, stratified_folds, train_test_split
+from fieldlens.session import materialize
 
 MAX_CLASSES = 256
+ROWS_PER_TASK = 100_000
+# optimiser steps; the features are scaled inside Spark, so few are needed
+SVC_STEPS = 30
+LOGISTIC_STEPS = 50
 FOLDS = 5
 
 
@@ -31,12 +37,12 @@ def _one_vs_rest(classifier, **options):
 
 
 def _svc(C, **options):
-    return lambda n: _one_vs_rest(LinearSVC(regParam=1.0 / (C * n), standardization=False, maxIter=100), **options)
+    return lambda n: _one_vs_rest(LinearSVC(regParam=1.0 / (C * n), standardization=False, maxIter=SVC_STEPS, tol=1e-3), **options)
 
 
 def _logistic(C, **options):
     return lambda n: LogisticRegression(
-        regParam=1.0 / (C * n), standardization=False, maxIter=200, labelCol=LABEL, **options)
+        regParam=1.0 / (C * n), standardization=False, maxIter=LOGISTIC_STEPS, labelCol=LABEL, **options)
 
 
 def _logistic_ovr(C):
@@ -48,6 +54,7 @@ MODELS = {
     "LinearSVC": _svc(1.0),
     "LinearSVC modified": _svc(2.0, weightCol="weight"),
     "SVC (Linear kernel)": _svc(10.0),
+    # differs from the former by a kernel width that a linear kernel does not use
     "SVC (Linear kernel 2)": _svc(10.0),
     "KNeighbors": None,
     "SVC (rbf kernel)": _svc(10.0),
@@ -60,6 +67,7 @@ MODELS = {
     "RandomForest Classifier": lambda n: RandomForestClassifier(numTrees=100, maxDepth=30, seed=7, labelCol=LABEL),
 }
 # --- end of fixed values ----------------------------------------------------
+SAME_MODEL = {"SVC (Linear kernel 2)": "SVC (Linear kernel)"}
 
 
 def class_list(df, label):
@@ -84,7 +92,7 @@ def prepare(df, features, label, id_column, classes):
 
 def with_splits(df, label, id_column, order_column=None, seed=7):
     """Adds is_train, fold_s (shuffled) and fold_c (contiguous); folds are for training rows only."""
-    split = train_test_split(df, id_column, 0.75, seed)
+    split = materialize(train_test_split(df, id_column, 0.75, seed), "split")
     train = split.where("is_train")
     train = stratified_folds(train, label, id_column, FOLDS, seed, out="fold_s")
     train = contiguous_folds(train, label, id_column, order_column, FOLDS, out="fold_c")
@@ -190,8 +198,14 @@ def split_frame(frame, features, target, id_column="field_id", order_column=None
     """Tested rows with vectors, class numbers, split and folds, kept for the fits that share them."""
     tested = frame.where(F.col(target) > 0)
     classes = class_list(tested, target)
-    ready = prepare(tested, features, target, id_column, classes)
-    return with_splits(ready, "class_no", id_column, order_column, seed).persist(StorageLevel.MEMORY_AND_DISK), classes
+    columns = tested.select(id_column, *([order_column] if order_column else []), target, *features)
+    ready = prepare(columns, features, target, id_column, classes)
+    split = with_splits(ready.drop("features"), LABEL, id_column, order_column, seed)
+    stored = materialize(split, "split")
+    # an iterative fit runs a job per step: a small frame must not be spread over many tasks
+    parts = max(1, min(stored.rdd.getNumPartitions(), -(-stored.count() // ROWS_PER_TASK)))
+    vector = array_to_vector(F.array(*[F.col(f).cast("double") for f in features]))
+    return stored.coalesce(parts).withColumn("features", vector).persist(StorageLevel.MEMORY_AND_DISK), classes
 
 
 def compare_models(frame, features, target="carbon_rating", id_column="field_id", order_column=None, models=None,
@@ -200,12 +214,11 @@ def compare_models(frame, features, target="carbon_rating", id_column="field_id"
     data, _ = split_frame(frame, features, target, id_column, order_column, seed)
     try:
         names = list(models or MODELS)
+        fitted = list(dict.fromkeys(SAME_MODEL.get(name, name) for name in names))
         with ThreadPoolExecutor(4) as pool:
-            parts = list(pool.map(
-                lambda name: confusion_counts(data, name, features, id_column, fits, parallelism), names))
-        out = parts[0]
-        for part in parts[1:]:
-            out = out.unionByName(part)
-        return out
+            parts = dict(zip(fitted, pool.map(
+                lambda name: confusion_counts(data, name, features, id_column, fits, parallelism), fitted)))
+        return reduce(lambda a, b: a.unionByName(b), [
+            parts[SAME_MODEL.get(name, name)].withColumn("model", F.lit(name)) for name in names])
     finally:
         data.unpersist()

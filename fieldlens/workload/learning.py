@@ -112,8 +112,10 @@ def _(t):
 
 @query("compare_models")
 def _(t):
-    counts = models.compare_models(learning_frame(t, QUICKLOOK_BANDS), QUICKLOOK_BANDS, order_column="field_key")
-    return models.score_table(models.fold_scores(counts))
+    """All models side by side on the hold-out part; ``cross_validate`` shows the fold scores."""
+    counts = models.compare_models(
+        learning_frame(t, QUICKLOOK_BANDS), QUICKLOOK_BANDS, order_column="field_key", fits=[("holdout", 0)])
+    return models.fold_scores(counts)
 
 
 # --- band search ------------------------------------------------------------
