@@ -95,17 +95,17 @@ def nearest_neighbours(train, test, features, id_column="field_id", label="label
             parts.append(pd.DataFrame({
                 "_rid": np.repeat(some["_rid"].to_numpy(), best.shape[1]),
                 "_sid": sid[best.ravel()], "_label": labels[best.ravel()],
-                "_distance": np.sqrt(np.take_along_axis(total, best, axis=1).ravel()),
+                "_square": np.take_along_axis(total, best, axis=1).ravel(),
             }))
-        return pd.concat(parts) if parts else pd.DataFrame({"_rid": [], "_sid": [], "_label": [], "_distance": []})
+        return pd.concat(parts) if parts else pd.DataFrame({"_rid": [], "_sid": [], "_label": [], "_square": []})
 
     keys = ["_cell", "_block", "_salt"]
     local = visits.groupBy(*keys).cogroup(train.groupBy(*keys)).applyInPandas(
-        compare, f"_rid {id_type}, _sid {id_type}, _label {label_type}, _distance double")
-    order = Window.partitionBy("_rid").orderBy("_distance", "_sid")
+        compare, f"_rid {id_type}, _sid {id_type}, _label {label_type}, _square double")
+    order = Window.partitionBy("_rid").orderBy("_square", "_sid")
     return local.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k).select(
         F.col("_rid").alias(id_column), F.col("_sid").alias("neighbour_id"), F.col("_label").alias("neighbour_label"),
-        F.col("_distance").alias("distance"), "place")
+        F.sqrt("_square").alias("distance"), "place")
 
 
 def knn_predict(train, test, features, id_column="field_id", label="label", k=5, **options):
