@@ -19,11 +19,10 @@ BLOCK_ROWS = 4096
 
 def _pivot_distances(features, pivots):
     """Array column: distance of the row to each pivot."""
-    squares = [
-        sum(((F.col(f) - F.lit(float(p[i]))) * (F.col(f) - F.lit(float(p[i]))) for i, f in enumerate(features)), F.lit(0.0))
-        for p in pivots
-    ]
-    return F.array(*[F.sqrt(s) for s in squares])
+    row = F.array(*[F.col(f) for f in features])
+    places = F.array(*[_literal([float(v) for v in p]) for p in pivots])
+    square = lambda p: F.aggregate(F.zip_with(p, row, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda t, v: t + v)
+    return F.transform(places, lambda p: F.sqrt(square(p)))
 
 
 def _literal(values, kind="double"):
@@ -59,7 +58,9 @@ def nearest_neighbours(train, test, features, id_column="field_id", label="label
     blocks = [-(-sizes.get(c, (0, 0))[1] // block_rows) for c in cells]
 
     test = test.withColumn("_d", _pivot_distances(features, pivots))
-    bounds = F.array_sort(F.array(*[F.col("_d")[c] + F.lit(own) for c, own in near]))
+    owns = F.array(*[_literal([own for c, own in near if c == cell]) if any(c == cell for c, _ in near)
+                     else F.array().cast("array<double>") for cell in cells])
+    bounds = F.array_sort(F.flatten(F.zip_with("_d", owns, lambda d, own: F.transform(own, lambda o: d + o))))
     bound = F.coalesce(F.get(bounds, F.lit(k - 1)), F.lit(float("inf"))) * F.lit(1 + 1e-9) + F.lit(1e-12)
     test = test.withColumn("_bound", bound)
     reach = F.filter(

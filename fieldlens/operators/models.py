@@ -198,7 +198,7 @@ def split_frame(frame, features, target, id_column="field_id", order_column=None
     """Tested rows with vectors, class numbers, split and folds, kept for the fits that share them."""
     tested = frame.where(F.col(target) > 0)
     classes = class_list(tested, target)
-    columns = tested.select(id_column, *([order_column] if order_column else []), target, *features)
+    columns = tested.select(*dict.fromkeys([id_column, order_column or id_column, target, *features]))
     ready = prepare(columns, features, target, id_column, classes)
     split = with_splits(ready.drop("features"), LABEL, id_column, order_column, seed)
     stored = materialize(split, "split")

@@ -84,6 +84,7 @@ def test_stream_equals_batch_over_several_runs(spark, tmp_path):
         F.concat(F.lit("F"), (F.col("id") % 3).cast("string")).alias("field_id"), F.lit("p").alias("uuid"),
         (F.col("id") % 9).cast("int").alias("SCL_20m"), F.col("id").cast("int").alias("B04_10m"))
     inbox, out, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
+    (tmp_path / "in").mkdir()
     source = spark.readStream.schema(pixels.schema).option("maxFilesPerTrigger", "1").parquet(inbox)
     # one scene arrives in several files and over several runs
     for low, high in ((0, 150), (150, 300), (300, 400)):
