@@ -7,6 +7,11 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+# Generated methods above the JVM's own limit for compiling (8000 bytes of code) would run interpreted;
+# with this setting Spark splits such stages instead. Wide band projections and aggregates need it.
+METHOD_LIMIT = ("spark.sql.codegen.hugeMethodLimit", "8000")
+
+
 def build_session(master=None, shuffle_partitions=None, **conf):
     """A session with the settings the operators rely on: UTC, AQE, Arrow."""
     builder = (
@@ -15,6 +20,7 @@ def build_session(master=None, shuffle_partitions=None, **conf):
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config(*METHOD_LIMIT)
     )
     if master:
         builder = builder.master(master)

@@ -9,6 +9,7 @@ import re
 from pyspark.sql import functions as F
 
 from fieldlens.constants import ALL_BANDS
+from fieldlens.session import METHOD_LIMIT
 
 QUERIES = {}
 ORACLES = {}
@@ -124,6 +125,7 @@ def query(name, sql=None):
     def add(fn):
         def run(spark, sf_dir):
             spark.conf.set("spark.sql.session.timeZone", "UTC")
+            spark.conf.set(*METHOD_LIMIT)
             return fn(Tables(spark, sf_dir))
 
         run.__name__ = name
