@@ -1,6 +1,6 @@
 """Registered queries of the text operators, with their SQL where SQL can say it."""
 
-from fieldlens.llm import tokens
+from fieldlens.llm import mixing, tokens
 
 QUERIES = {}
 ORACLES = {}
@@ -26,3 +26,9 @@ def query(name, sql=None):
 def op1(spark, table):
     """Tokens of every whole document by the byte-level vocabulary."""
     return tokens.token_counts(table("documents"), "byte_bpe_50k.json", limit=512)
+
+
+@query("op4_mixing")
+def op4(spark, table):
+    """Words that the mix takes of every document."""
+    return mixing.mix_sources(table("documents"))
