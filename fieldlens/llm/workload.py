@@ -1,6 +1,6 @@
 """Registered queries of the text operators, with their SQL where SQL can say it."""
 
-from fieldlens.llm import mixing, tokens
+from fieldlens.llm import mixing, quality, tokens
 
 QUERIES = {}
 ORACLES = {}
@@ -32,3 +32,46 @@ def op1(spark, table):
 def op4(spark, table):
     """Words that the mix takes of every document."""
     return mixing.mix_sources(table("documents"))
+
+
+WORDS_SQL = "list_filter(string_split_regex(coalesce({0}, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '')"
+OP9_SQL = f"""
+    WITH docs AS (
+        SELECT doc_id, source, text, {WORDS_SQL.format('text')} AS words, string_split(coalesce(text, ''), chr(10)) AS lines
+        FROM documents),
+    grams AS (
+        SELECT doc_id, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS g
+        FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS i FROM docs) t),
+    repeated AS (
+        SELECT doc_id, count(DISTINCT p) AS n
+        FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p
+              FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS n FROM grams) t WHERE n > 1) t
+        GROUP BY doc_id),
+    lines AS (
+        SELECT doc_id, source, l AS raw, {WORDS_SQL.format('l')} AS w
+        FROM (SELECT doc_id, source, unnest(lines) AS l FROM docs) t),
+    named AS (
+        SELECT doc_id, source, raw, len(w) AS n,
+               translate(array_to_string(w, ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS line
+        FROM lines WHERE len(w) > 0),
+    longest AS (SELECT doc_id, max(struct_pack(n := length(line), l := line)) AS document FROM named GROUP BY doc_id),
+    hosts AS (SELECT source, greatest(20, ceil(count(DISTINCT doc_id) * 0.001)) AS most FROM named GROUP BY source),
+    frequent AS (
+        SELECT n.source, n.line FROM named n JOIN longest USING (doc_id) JOIN hosts h USING (source)
+        GROUP BY n.source, n.line HAVING count(DISTINCT document) > max(h.most)),
+    removed AS (SELECT n.doc_id, sum(n.n) AS n FROM named n SEMI JOIN frequent USING (source, line) GROUP BY n.doc_id),
+    dups AS (SELECT doc_id, count(*) - count(DISTINCT raw) AS n FROM named GROUP BY doc_id),
+    stats AS (
+        SELECT d.doc_id, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+               length(coalesce(text, '')) - length(regexp_replace(coalesce(text, ''), '[#*$%&|<>]', '', 'g')) AS n_symbols,
+               coalesce(p.n, 0) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words, coalesce(m.n, 0)::bigint AS removed_words
+        FROM docs d LEFT JOIN repeated r USING (doc_id) LEFT JOIN dups p USING (doc_id) LEFT JOIN removed m USING (doc_id))
+    SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+           NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND 100 * (n_words - removed_words) >= 50 * n_words AS kept
+    FROM stats"""
+
+
+@query("op9_quality_rules", OP9_SQL)
+def op9(spark, table):
+    """Statistics and verdict of every document."""
+    return quality.quality_rules(table("documents"))
