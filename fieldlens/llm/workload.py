@@ -1,6 +1,6 @@
 """Registered queries of the text operators, with their SQL where SQL can say it."""
 
-from fieldlens.llm import mixing, quality, tokens
+from fieldlens.llm import mixing, quality, simhash, tokens
 
 QUERIES = {}
 ORACLES = {}
@@ -75,3 +75,9 @@ OP9_SQL = f"""
 def op9(spark, table):
     """Statistics and verdict of every document."""
     return quality.quality_rules(table("documents"))
+
+
+@query("op6_simhash")
+def op6(spark, table):
+    """Fingerprint and near-duplicate component of every document."""
+    return simhash.near_duplicates(table("documents"), width=3, distance=2)
