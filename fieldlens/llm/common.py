@@ -53,3 +53,12 @@ def arrow_rows(columns, schema):
     return pa.RecordBatch.from_arrays(
         [pa.array(v, f.type) if not isinstance(v, (pa.Array, pa.ChunkedArray)) else v for v, f in zip(columns, schema, strict=True)],
         schema=schema)
+
+
+# Rows of a table of short terms or counts that may be sent to every executor: about 100 MB.
+BROADCAST_ROWS = 1_000_000
+
+
+def small(df, rows=BROADCAST_ROWS):
+    """The (written) table as a broadcast side if it has at most ``rows`` rows, else as it is, for Spark to shuffle."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

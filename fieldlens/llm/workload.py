@@ -1,6 +1,8 @@
 """Registered queries of the text operators, with their SQL where SQL can say it."""
 
-from fieldlens.llm import mixing, quality, simhash, tokens
+from pyspark.sql import functions as F
+
+from fieldlens.llm import decontaminate, mixing, quality, simhash, tokens
 
 QUERIES = {}
 ORACLES = {}
@@ -81,3 +83,34 @@ def op9(spark, table):
 def op6(spark, table):
     """Fingerprint and near-duplicate component of every document."""
     return simhash.near_duplicates(table("documents"), width=3, distance=2)
+
+
+TERMS_SQL = ("list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+             "'[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda w: w <> '')")
+OP7_SQL = f"""
+    WITH items AS (SELECT item_id, words, least(10, len(words)) AS l FROM (SELECT item_id, {TERMS_SQL} AS words FROM benchmark) t
+                   WHERE len(words) > 0),
+    windows AS (
+        SELECT DISTINCT item_id, l, array_to_string(words[s:s + l - 1], ' ') AS w
+        FROM (SELECT item_id, words, l, unnest(range(1, len(words) - l + 2)) AS s FROM items) t),
+    docs AS (SELECT doc_id, {TERMS_SQL} AS words FROM documents),
+    places AS (
+        SELECT doc_id, l, s, array_to_string(words[s:s + l - 1], ' ') AS w
+        FROM (SELECT doc_id, words, l, unnest(range(1, len(words) - l + 2)) AS s
+              FROM docs, (SELECT DISTINCT l FROM windows) t WHERE len(words) >= l) t),
+    hits AS (SELECT p.doc_id, p.s, p.l, w.item_id FROM places p JOIN windows w ON p.l = w.l AND p.w = w.w),
+    hit_words AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(s, s + l)) AS p FROM hits) t GROUP BY doc_id),
+    hit_items AS (
+        SELECT doc_id, count(DISTINCT item_id) AS n, string_agg(DISTINCT item_id::varchar, ',' ORDER BY item_id::varchar) AS ids
+        FROM hits GROUP BY doc_id)
+    SELECT d.doc_id, len(d.words) AS n_words, coalesce(h.n, 0) AS n_hit, coalesce(i.n, 0) AS n_items,
+           sha256(coalesce(i.ids, '')) AS items_sha256, coalesce(h.n, 0) > 0 AS contaminated
+    FROM docs d LEFT JOIN hit_words h USING (doc_id) LEFT JOIN hit_items i USING (doc_id)"""
+
+
+@query("op7_decontamination", OP7_SQL)
+def op7(spark, table):
+    """Words of every document inside a window of a benchmark item, and the items."""
+    found = decontaminate.contamination(table("documents"), table("benchmark"), window=10)
+    digest = F.sha2(F.array_join("items", ","), 256).alias("items_sha256")
+    return found.select("doc_id", "n_words", "n_hit", "n_items", digest, "contaminated")
