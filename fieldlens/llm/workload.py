@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from fieldlens.llm import decontaminate, mixing, quality, simhash, tokens
+from fieldlens.llm import credentials, decontaminate, mixing, quality, simhash, tokens
 
 QUERIES = {}
 ORACLES = {}
@@ -114,3 +114,15 @@ def op7(spark, table):
     found = decontaminate.contamination(table("documents"), table("benchmark"), window=10)
     digest = F.sha2(F.array_join("items", ","), 256).alias("items_sha256")
     return found.select("doc_id", "n_words", "n_hit", "n_items", digest, "contaminated")
+
+
+@query("op8_secret_scans")
+def op8(spark, table):
+    """Counts and spans of the secrets of every document."""
+    found = credentials.secret_spans(table("documents"))
+
+    def count(kind):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(count, credentials.KINDS), F.sha2(credentials.joined(F.col("base")), 256).alias("base_sha256"),
+                        credentials.joined(F.col("spans")).alias("spans"))
