@@ -226,7 +226,7 @@ def discovery_limits(tested, rate=DISCOVERY_RATE):
 
 
 def secret_spans(docs, text="text", doc_id="doc_id", rate=DISCOVERY_RATE, random_level=RANDOM_LEVEL):
-    """One row per row of ``docs``: doc_id, key (hash of the text), base (spans of the fixed patterns) and spans (these and
+    """One row per row of ``docs``: doc_id, text_key (hash of the text), base (spans of the fixed patterns) and spans (these and
     the method's, of kind ``random``), arrays of (kind, start, end) by start, then kind as listed.
 
     Offsets are code points of the whole text, ends exclusive. The method adds runs that touch no base span. Null and empty
@@ -248,7 +248,7 @@ def secret_spans(docs, text="text", doc_id="doc_id", rate=DISCOVERY_RATE, random
     every = F.array_sort(F.transform(F.concat("base", clear), lambda s: F.struct(
         s["start"].alias("start"), rank[s["kind"]].alias("rank"), s["end"].alias("end"), s["kind"].alias("kind"))))
     spans = F.transform(every, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
-    return out.select(F.col("id").alias(doc_id), "key", "base", spans.alias("spans"))
+    return out.select(F.col("id").alias(doc_id), F.col("key").alias("text_key"), "base", spans.alias("spans"))
 
 
 def joined(spans):

@@ -15,7 +15,7 @@ functions.
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from fieldlens.llm.common import keep, materialize, need, small
+from fieldlens.llm.common import keep, materialize, small
 from fieldlens.llm.quality import ASCII_LOWER, ASCII_UPPER
 
 BREAK = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
@@ -102,20 +102,15 @@ def phrase_index(docs, items, text="text", doc_id="doc_id"):
     return postings(docs, wanted, text, doc_id), pairs
 
 
-def contamination(docs, items, text="text", doc_id="doc_id", item_text="text", item_id="item_id", window=WINDOW, carry=None):
-    """One row per row of ``docs``: the columns in ``carry`` (the id alone by default), n_words, n_hit, n_items, items
-    (sorted item ids as strings), contaminated.
+def contamination(docs, items, text="text", doc_id="doc_id", item_text="text", item_id="item_id", window=WINDOW):
+    """One row per row of ``docs``: the id, text_key (hash of the text), n_words, n_hit, n_items, items (sorted item ids as
+    strings), contaminated. The result is written before it is returned, so a filter on it never runs the search twice.
 
     A window is ``window`` consecutive words of an item; an item of fewer words, but not none, is one window. A word of a
     document inside any occurrence of a window is hit. Null texts and texts without words have no words and no windows;
-    an item with a null id counts as an item but is not named. Rows with a null id and repeated rows are judged each. Columns that
-    aren't carried aren't read. Empty documents give an empty result, empty items no hits.
+    an item with a null id counts as an item but is not named. Rows with a null id and repeated rows are judged each. Other columns
+    aren't read. Empty documents give an empty result, empty items no hits.
     """
-    carry = [doc_id] if carry is None else list(dict.fromkeys(carry))
-    need(docs, doc_id, text, *carry)
-    clash = {"n_words", "n_hit", "n_items", "items", "contaminated"} & {c.lower() for c in carry}
-    if clash:
-        raise ValueError(f"carried columns clash with results: {sorted(clash)}")
     bare = keep(docs, doc_id, text)
     tests = materialize(item_words(items, item_text, item_id, window), "test-items")
     index, pairs = phrase_index(bare, tests, text, doc_id)
@@ -123,9 +118,9 @@ def contamination(docs, items, text="text", doc_id="doc_id", item_text="text", i
     per_doc = found.join(tests, "item").groupBy("id", "key").agg(
         F.collect_list(F.struct("item_id", "item", "item_words", "length", "shift")).alias("__found"))
 
-    read = keep(docs, *dict.fromkeys([doc_id, text, *carry])).withColumn("__key", F.xxhash64(text))
-    both = read.join(per_doc, F.col(doc_id).eqNullSafe(F.col("id")) & (F.col("__key") == F.col("key")), "left")
-    both = both.withColumn("__words", words_of(F.col(text))).drop("id", "key", "__key")
+    read = bare.withColumn("text_key", F.xxhash64(text))
+    both = read.join(per_doc, F.col(doc_id).eqNullSafe(F.col("id")) & (F.col("text_key") == F.col("key")), "left")
+    both = both.withColumn("__words", words_of(F.col(text))).drop("id", "key")
     # starts (in the item) of the windows that occur at each alignment
     both = both.withColumn("__hits", F.expr(
         "filter(transform(__found, f -> struct(f.item_id AS item_id, f.item AS item, f.shift AS shift, f.length AS length, "
@@ -137,7 +132,7 @@ def contamination(docs, items, text="text", doc_id="doc_id", item_text="text", i
     items_hit = F.expr("array_sort(array_compact(array_distinct(transform(__hits, h -> cast(h.item_id AS string)))))")
     n_items = F.expr("size(array_distinct(transform(__hits, h -> coalesce(cast(h.item_id AS string), concat('#', h.item)))))")
     out = both.select(
-        *carry, F.size("__words").cast("long").alias("n_words"), F.when(some, hit).otherwise(0).cast("long").alias("n_hit"),
+        doc_id, "text_key", F.size("__words").cast("long").alias("n_words"), F.when(some, hit).otherwise(0).cast("long").alias("n_hit"),
         F.when(some, n_items).otherwise(0).cast("long").alias("n_items"),
         F.coalesce(items_hit, F.array().cast("array<string>")).alias("items"))
-    return out.withColumn("contaminated", F.col("n_hit") > 0)
+    return materialize(out, "contamination").withColumn("contaminated", F.col("n_hit") > 0)

@@ -108,30 +108,28 @@ def mix_sources(docs, text="text", source="source", doc_id="doc_id", carry=(), w
 
     size: words of the whole text (null or empty: 0). taken: words the mix takes of the document, repeats counted, at most
     ``max_repeats`` times its size. Null sources are one source, the last. Documents with a null id, repeated rows and ties
-    keep their own places in the seeded order; rows that agree in all of it are interchangeable. Other columns are not
-    read. An empty table gives an empty result.
+    keep their own places in the seeded order; rows that agree in all of it are interchangeable. A carried
+    column with the name of a result makes way for it; other columns are not read. An empty table gives an empty result.
     """
     need(docs, doc_id, text, source, *carry)
-    taken_names = {"size", "source_size", "target", "taken"}
-    clash = taken_names & {c.lower() for c in (doc_id, *carry)}
-    if clash:
-        raise ValueError(f"carried columns clash with results: {sorted(clash)}")
-    extra = [c for c in dict.fromkeys(carry) if c not in (doc_id, source)]
+    made = {doc_id.lower(), "size", "source_size", "target", "taken"}
+    carry = [c for c in dict.fromkeys(carry) if c.lower() not in made]
     size = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
-    rows = keep(docs, *dict.fromkeys([doc_id, source, text, *extra])).withColumn("size", size).select(
-        doc_id, source, "size", *extra)
-    sized = materialize(rows.select(doc_id, source, "size"), "mixing-sizes")
-    if not extra:
+    read = keep(docs, *dict.fromkeys([doc_id, source, text, *carry]))
+    rows = read.select(F.col(doc_id).alias("__id"), F.col(source).alias("__source"), size.alias("size"),
+                       *([F.struct(*[F.col(f"`{c}`") for c in carry]).alias("__row")] if carry else []))
+    sized = materialize(rows.select("__id", "__source", "size"), "mixing-sizes")
+    if not carry:
         rows = sized
 
-    sources = materialize(source_targets(sized, source, "size", weights, max_repeats), "mixing-targets")
+    sources = materialize(source_targets(sized, "__source", "size", weights, max_repeats), "mixing-targets")
     seats = sources.groupBy().applyInPandas(_source_seats(block_words, max_repeats), "source_no int, seats long")
     sources = materialize(sources.join(seats, "source_no").withColumn(
-        "n_shards", F.ceil(F.col("n_docs") / shard_docs)).withColumnRenamed(source, "__source"), "mixing-sources")
+        "n_shards", F.ceil(F.col("n_docs") / shard_docs)).withColumnRenamed("__source", "__name"), "mixing-sources")
 
     def placed(frame):
-        with_source = frame.join(sources, F.col(source).eqNullSafe(F.col("__source"))).drop("__source", "n_docs")
-        return with_source.withColumn("shard", F.pmod(F.xxhash64(F.lit(seed), F.col(doc_id)), F.col("n_shards")))
+        with_source = frame.join(sources, F.col("__source").eqNullSafe(F.col("__name"))).drop("__name", "n_docs")
+        return with_source.withColumn("shard", F.pmod(F.xxhash64(F.lit(seed), "__id"), F.col("n_shards")))
 
     shards = placed(sized).groupBy("source_no", "shard").agg(
         F.sum("size").alias("shard_size"), F.first("seats").alias("seats")
@@ -140,7 +138,7 @@ def mix_sources(docs, text="text", source="source", doc_id="doc_id", carry=(), w
         _shard_quotas(max_repeats), "source_no int, shard long, shard_size long, blocks long, quota long"), "mixing-quotas")
 
     order = Window.partitionBy("source_no", "shard").orderBy(
-        F.xxhash64(F.lit(seed + 1), F.col(doc_id)), doc_id, "size").rowsBetween(Window.unboundedPreceding, -1)
+        F.xxhash64(F.lit(seed + 1), "__id"), "__id", "size").rowsBetween(Window.unboundedPreceding, -1)
     start = F.coalesce(F.sum("size").over(order), F.lit(0))
     found = placed(rows).withColumn("__start", start).join(quotas, ["source_no", "shard"])
 
@@ -159,4 +157,4 @@ def mix_sources(docs, text="text", source="source", doc_id="doc_id", carry=(), w
         overlap(F.lit(0), F.col("__first") + F.col("__rest") - F.col("blocks"))).otherwise(0)
     passes = F.expr("quota div greatest(blocks, 1)")
     taken = (passes * F.col("size") + part).cast("long").alias("taken")
-    return found.select(doc_id, *[c for c in dict.fromkeys(carry) if c != doc_id], "size", "source_size", "target", taken)
+    return found.select(F.col("__id").alias(doc_id), *(["__row.*"] if carry else []), "size", "source_size", "target", taken)

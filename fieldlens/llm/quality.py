@@ -96,42 +96,37 @@ def removed_lines(docs, text="text", host="source", doc_id="doc_id", max_docs=MA
     return once.groupBy("__id", "__key").agg(F.sum("n_words").alias("removed_words"), F.collect_set("line").alias("removed"))
 
 
-def quality_rules(docs, text="text", host="source", doc_id="doc_id", carry=None, clean_text=None, min_words=MIN_WORDS,
+def quality_rules(docs, text="text", host="source", doc_id="doc_id", with_lines=False, min_words=MIN_WORDS,
                   max_repeat_percent=MAX_REPEAT_PERCENT, max_docs=MAX_LINE_DOCS, max_share=MAX_LINE_SHARE,
                   min_left_percent=MIN_LEFT_PERCENT):
-    """One row per row of ``docs``: the columns in ``carry`` (the id alone by default), n_words, word_chars, n_symbols,
-    n_dup_lines, n_repeat_words, removed_words, base_failed, kept; with ``clean_text`` also that column, the text without
-    its removed lines.
+    """One row per row of ``docs``: the id, text_key (hash of the text), n_words, word_chars, n_symbols, n_dup_lines,
+    n_repeat_words, removed_words, base_failed, kept; with ``with_lines`` also removed, the hashes of the removed lines
+    (null if there are none), for ``without_lines``.
 
     base_failed: fewer than ``min_words`` words, or more than ``max_repeat_percent`` % of them in repeated three-word
     windows. kept: not base_failed and at least ``min_left_percent`` % of the words left after the removal of lines.
     Null and empty texts have no words and fail. A null host is a host of its own; null ids and repeated rows are judged
-    like others, a repeated row counts once. Columns that aren't carried aren't read. An empty table gives an empty result.
+    like others, a repeated row counts once. Other columns aren't read. An empty table gives an empty result.
+
+    Statistics are written before anything is asked of them, so a filter on them never runs them twice.
     """
-    carry = [doc_id] if carry is None else list(dict.fromkeys(carry))
-    need(docs, doc_id, text, host, *carry)
-    made = {"n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "removed_words", "base_failed", "kept"}
-    clash = (made | {clean_text}) & {c.lower() for c in carry}
-    if clash:
-        raise ValueError(f"carried columns clash with results: {sorted(clash)}")
-    removed = removed_lines(docs, text, host, doc_id, max_docs, max_share)
-    removed = removed.withColumnsRenamed({"__id": "__rid", "__key": "__rkey"})
-    if not clean_text:
-        removed = removed.drop("removed")
-    read = keep(docs, *dict.fromkeys([doc_id, text, *carry])).withColumn("__key", F.xxhash64(text))
-    stats = text_statistics(read, text)
-    wanted = [*dict.fromkeys([doc_id, *carry, *([text] if clean_text else [])]), "__key", "n_words", "word_chars", "n_symbols",
-              "n_dup_lines", "n_repeat_words"]
-    found = stats.select(*wanted).join(
-        removed, F.col(doc_id).eqNullSafe(F.col("__rid")) & (F.col("__key") == F.col("__rkey")), "left")
+    need(docs, doc_id, text, host)
+    removed = removed_lines(docs, text, host, doc_id, max_docs, max_share).withColumnsRenamed({"__id": "__rid", "__key": "__rkey"})
+    read = keep(docs, doc_id, text).withColumn("text_key", F.xxhash64(text))
+    stats = materialize(text_statistics(read, text).select(
+        doc_id, "text_key", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"), "quality-statistics")
+    found = stats.join(removed if with_lines else removed.drop("removed"),
+                       F.col(doc_id).eqNullSafe(F.col("__rid")) & (F.col("text_key") == F.col("__rkey")), "left")
     failed = (F.col("n_words") < min_words) | (F.col("n_repeat_words") * 100 > F.col("n_words") * max_repeat_percent)
     lost = F.coalesce(F.col("removed_words"), F.lit(0).cast("long"))
     left = (F.col("n_words") - lost) * 100 >= F.col("n_words") * min_left_percent
-    out = [*carry, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", lost.alias("removed_words"),
-           failed.alias("base_failed"), (~failed & left).alias("kept")]
-    if clean_text:
-        hashed = (f"xxhash64(translate(array_join(array_remove(split(l, r'{SPACE}'), ''), ' '), '{ASCII_UPPER}', '{ASCII_LOWER}'))")
-        cleaned = F.expr(f"CASE WHEN removed IS NULL THEN {_name(text)} ELSE array_join(filter(split({_name(text)}, '\\n'), "
-                         f"l -> NOT array_contains(removed, {hashed})), '\\n') END")
-        out.append(cleaned.alias(clean_text))
-    return found.select(*out)
+    return found.select(
+        doc_id, "text_key", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", lost.alias("removed_words"),
+        failed.alias("base_failed"), (~failed & left).alias("kept"), *(["removed"] if with_lines else []))
+
+
+def without_lines(text, removed):
+    """SQL of the text column without the lines whose hashes are in the array column ``removed``; null removes nothing."""
+    hashed = f"xxhash64(translate(array_join(array_remove(split(l, r'{SPACE}'), ''), ' '), '{ASCII_UPPER}', '{ASCII_LOWER}'))"
+    return (f"CASE WHEN {_name(removed)} IS NULL THEN {_name(text)} ELSE array_join(filter(split({_name(text)}, '\\n'), "
+            f"l -> NOT array_contains({_name(removed)}, {hashed})), '\\n') END")

@@ -114,16 +114,13 @@ def token_counts(docs, tokenizer="byte_bpe_50k.json", text="text", carry=("doc_i
 
     ``tokenizer`` is a file or a name known to ``public_tokenizers``; ``.json`` goes to tokenizers, ``.model`` to
     sentencepiece. No begin, end or other added tokens; strings of special tokens inside a text are read as the library
-    does by default; nothing is truncated or padded. A null or empty text has 0 bytes and 0 tokens. Other columns of the
-    input are not read; repeated rows are counted each; an empty table gives an empty result.
+    does by default; nothing is truncated or padded. A null or empty text has 0 bytes and 0 tokens. A carried column with the
+    name of a result makes way for it, other columns are not read; repeated rows are counted each; an empty table gives an empty result.
     """
+    carry = [c for c in dict.fromkeys(carry) if c.lower() not in {"n_bytes", "n_tokens", "over_limit", text.lower()}]
     found = keep(docs, *carry, text).withColumn(text, F.col(text).cast("string"))
-    taken = {"n_bytes", "n_tokens", "over_limit"} & {c.lower() for c in carry}
-    if taken:
-        raise ValueError(f"carried columns clash with results: {sorted(taken)}")
     schema = T.StructType([*[found.schema[c] for c in carry], T.StructField("n_bytes", T.LongType()),
                            T.StructField("n_tokens", T.LongType())])
-    carried = list(carry)
 
     def count(batches):
         counter = _counter(tokenizer)
@@ -131,7 +128,7 @@ def token_counts(docs, tokenizer="byte_bpe_50k.json", text="text", carry=("doc_i
             texts = batch.column(text).to_pylist()
             sizes = np.array([len(t.encode()) if t else 0 for t in texts], dtype="int64")
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in carried], pa.array(sizes), pa.array(counter.counts(texts), pa.int64())],
-                names=[*carried, "n_bytes", "n_tokens"])
+                [*[batch.column(c) for c in carry], pa.array(sizes), pa.array(counter.counts(texts), pa.int64())],
+                names=[*carry, "n_bytes", "n_tokens"])
 
     return found.mapInArrow(count, schema).withColumn("over_limit", F.col("n_tokens") > limit)

@@ -76,7 +76,7 @@ OP9_SQL = f"""
 @query("op9_quality_rules", OP9_SQL)
 def op9(spark, table):
     """Statistics and verdict of every document."""
-    return quality.quality_rules(table("documents"))
+    return quality.quality_rules(table("documents")).drop("text_key")
 
 
 @query("op6_simhash")
