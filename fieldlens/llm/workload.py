@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from fieldlens.llm import credentials, decontaminate, mixing, quality, simhash, tokens
+from fieldlens.llm import credentials, decontaminate, mixing, quality, simhash, tokens, urls
 
 QUERIES = {}
 ORACLES = {}
@@ -126,3 +126,12 @@ def op8(spark, table):
 
     return found.select("doc_id", *map(count, credentials.KINDS), F.sha2(credentials.joined(F.col("base")), 256).alias("base_sha256"),
                         credentials.joined(F.col("spans")).alias("spans"))
+
+
+URL_RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
+
+
+@query("op10_url_filters")
+def op10(spark, table):
+    """Verdict on the url of every page."""
+    return urls.filter_urls(table("pages"), URL_RULES)
