@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from fieldlens.llm import credentials, decontaminate, mixing, quality, simhash, tokens, urls
+from fieldlens.llm import credentials, decontaminate, langid, mixing, quality, simhash, tokens, urls
 
 QUERIES = {}
 ORACLES = {}
@@ -135,3 +135,9 @@ URL_RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example
 def op10(spark, table):
     """Verdict on the url of every page."""
     return urls.filter_urls(table("pages"), URL_RULES)
+
+
+@query("op5_language_id")
+def op5(spark, table):
+    """Language of every document, learnt from the labelled documents that aren't held out."""
+    return langid.language_id(table("documents"), folds=5)
