@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from fieldlens.llm import credentials, decontaminate, langid, mixing, quality, simhash, tokens, urls
+from fieldlens.llm import credentials, decontaminate, langid, mixing, quality, simhash, tokens, toxicity, urls
 
 QUERIES = {}
 ORACLES = {}
@@ -141,3 +141,10 @@ def op10(spark, table):
 def op5(spark, table):
     """Language of every document, learnt from the labelled documents that aren't held out."""
     return langid.language_id(table("documents"), folds=5)
+
+
+@query("op2_toxicity")
+def op2(spark, table):
+    """Toxicity of every document, learnt from the labelled documents that aren't held out."""
+    found = toxicity.toxicity(table("documents"), table("labels"), folds=3, held_out=1)
+    return found.withColumn("n_spans", F.size("spans").cast("long")).drop("spans")
