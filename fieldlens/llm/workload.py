@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from fieldlens.llm import credentials, decontaminate, langid, mixing, quality, simhash, tokens, toxicity, urls
+from fieldlens.llm import credentials, decontaminate, langid, mixing, quality, simhash, tokens, toxicity, urls, weaklabels
 
 QUERIES = {}
 ORACLES = {}
@@ -148,3 +148,9 @@ def op2(spark, table):
     """Toxicity of every document, learnt from the labelled documents that aren't held out."""
     found = toxicity.toxicity(table("documents"), table("labels"), folds=3, held_out=1)
     return found.withColumn("n_spans", F.size("spans").cast("long")).drop("spans")
+
+
+@query("op3_quality_classifier")
+def op3(spark, table):
+    """Quality of every document, learnt from the votes of heuristic labellers."""
+    return weaklabels.quality_classifier(table("documents"))
