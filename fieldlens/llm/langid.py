@@ -92,8 +92,11 @@ class CrossParser:
             learnt = self.symbols(points[lang])
             known = learnt[learnt != UNKNOWN].tolist()
             table = suffix_automaton(known, size)
+            # a symbol that the language doesn't know is a phrase by itself: a state that leads nowhere
+            table = np.concatenate([table, np.full((1, size), -1, dtype="int32")])
+            table[0] = np.where(table[0] >= 0, table[0], len(table) - 1)
             # where there is no way on, a phrase ends: go on as from the root, marked by the bits' complement
-            root = np.maximum(table[0], 0)
+            root = table[0]
             self.tables.append(np.where(table >= 0, table * size, ~(root * size)[None, :]).astype("int32").ravel())
             self.cost.append(math.log2(len(known) + 2))
 
