@@ -84,9 +84,11 @@ def fit_votes(patterns, rounds=200, tolerance=1e-9):
     Starts from the belief that a pattern is bad if any labeller says so, which also fixes which class is which; votes count
     by class, silence carries no evidence. Half a vote is added to each count.
     """
+    if not patterns:
+        return {}, 0.5, None
     names = sorted(patterns)
     n = np.array([patterns[p] for p in names], dtype="float64")
-    vote = np.array([[c for c in p] for p in names]).reshape(len(names), -1)
+    vote = np.array([list(p) for p in names])
     good, bad = vote == GOOD, vote == BAD
     post = np.where(bad.any(axis=1), 0.1, np.where(good.any(axis=1), 0.9, 0.5))
     prior, right = 0.5, None
