@@ -117,6 +117,14 @@ def point_in_edges(x, y, edge_list):
     return F.size(F.filter(edge_list, crosses)) % 2 == 1
 
 
+def on_edges(x, y, edge_list):
+    """True where a point lies on one of the edges."""
+    return F.exists(edge_list, lambda e: (
+        ((e["x2"] - e["x1"]) * (y - e["y1"]) == (e["y2"] - e["y1"]) * (x - e["x1"]))
+        & x.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"]))
+        & y.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"]))))
+
+
 def _side(ax, ay, bx, by, px, py):
     return F.signum((bx - ax) * (py - ay) - (by - ay) * (px - ax))
 
@@ -136,9 +144,10 @@ def edges_cross(first, second):
 
 
 def polygon_within(inner_rings, outer_rings):
-    """Every corner of the inner polygon lies in the outer one and no edges cross."""
+    """Every corner of the inner polygon lies in the outer one or on its border, and no edges cross."""
     outer_edges = edges(outer_rings)
-    corners_in = F.forall(F.flatten(inner_rings), lambda p: point_in_edges(p["x"], p["y"], outer_edges))
+    corners_in = F.forall(F.flatten(inner_rings), lambda p: (
+        point_in_edges(p["x"], p["y"], outer_edges) | on_edges(p["x"], p["y"], outer_edges)))
     return corners_in & ~edges_cross(edges(inner_rings), outer_edges)
 
 

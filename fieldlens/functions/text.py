@@ -15,8 +15,8 @@ def canonical_field_id(col):
 
 
 def rating_to_int(col):
-    """Missing rating -> 0; fractions are cut off."""
-    return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(0)).cast("bigint")
+    """Missing or NaN rating -> 0; fractions are cut off."""
+    return F.coalesce(nan_to_null(col), F.lit(0)).cast("bigint")
 
 
 def list_to_text(col):

@@ -10,16 +10,16 @@ def asof_nearest(fields, candidates, payload=(), probe_time="survey_date", time=
                  tie="uuid"):
     """For tables with one probe per key (a field has one survey date).
 
-    The join then gives one row per candidate and nothing more. Spark applies the first-row limit of
-    the window before its shuffle too, so a key that holds a large share of the candidates sends one
-    row per task. Keys without a probe time or without candidates are kept with NULLs.
+    The join then gives one row per candidate and nothing more. The nearest one is an aggregate that
+    combines on the map side, so a key that holds a large share of the candidates sends one row per
+    task and nothing is sorted. Keys without a probe time or without candidates are kept with NULLs.
     """
     probes = fields.where(F.col(probe_time).isNotNull()).select(key, F.col(probe_time).alias("_probe"))
     distance = epoch_micros(F.col(time)) - epoch_micros(F.col("_probe"))
-    first = Window.partitionBy(key).orderBy(F.abs(distance), F.desc(time), F.asc(tie))
+    order = F.struct(F.abs(distance), -epoch_micros(F.col(time)), F.col(tie))
     best = (
-        candidates.select(key, tie, time, *payload).join(probes, key)
-        .withColumn("_place", F.row_number().over(first)).where("_place = 1").drop("_place", "_probe")
+        candidates.where(F.col(time).isNotNull()).select(key, tie, time, *payload).join(probes, key)
+        .groupBy(key).agg(F.min_by(F.struct(tie, time, *payload), order).alias("_best")).select(key, "_best.*")
     )
     return fields.join(best, key, "left")
 

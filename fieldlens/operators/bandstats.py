@@ -35,6 +35,12 @@ def band_mean_wide(pixels, bands=ALL_BANDS, fill="mask", keys=("field_id", "uuid
     return pixels.groupBy(*keys).agg(*extra, *means)
 
 
+def band_mean_of_wide(pixels, bands=ALL_BANDS, fill="mask", keys=("field_id", "uuid")):
+    """``band_mean`` of wide pixels: the means are formed in wide form, and one row per crop is unpivoted, not one per pixel."""
+    means = band_mean_wide(pixels, bands, fill, keys)
+    return means.unpivot(list(keys), list(bands), "band", "band_mean")
+
+
 def pivot_bands(band_means, bands=ALL_BANDS, keys=("field_id", "uuid")):
     return band_means.groupBy(*keys).pivot("band", list(bands)).agg(F.max("band_mean"))
 

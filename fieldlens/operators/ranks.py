@@ -4,10 +4,19 @@ Rows are put into buckets that follow the order. The bucket sizes (a small table
 its start, and only the rows within a bucket are sorted together.
 """
 
+from functools import reduce
+
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+def join_on(left, right, keys, how="inner"):
+    """Join on columns of the same name in which NULL equals NULL, so that no group is lost."""
+    named = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys])
+    return left.join(named, same, how).drop(*[f"_r_{k}" for k in keys])
+
+
 HASH_BUCKETS = 1 << 16
 VALUE_BUCKETS = 512
 
@@ -29,7 +38,7 @@ def value_bucket(df, column, buckets=VALUE_BUCKETS, out="_bucket"):
     as_double = df.withColumn("_order", F.col(column).cast("double"))
     inner = [i / buckets for i in range(1, buckets)]
     splits = sorted(set(as_double.approxQuantile("_order", inner, 0.25 / buckets)))
-    bounded = [float("-inf"), *splits, float("inf")]
+    bounded = [float("-inf"), *(splits or [0.0]), float("inf")]
     bucketed = Bucketizer(splits=bounded, inputCol="_order", outputCol="_bucket_double", handleInvalid="keep").transform(as_double)
     return bucketed.withColumn(out, F.col("_bucket_double").cast("int")).drop("_order", "_bucket_double")
 
@@ -48,7 +57,7 @@ def positions(df, by, order, bucket="_bucket", out="position"):
     within = Window.partitionBy(*by, bucket).orderBy(*order)
     placed = df.withColumn("_place", F.row_number().over(within) - 1)
     return (
-        placed.join(starts, [*by, bucket])
+        join_on(placed, starts, [*by, bucket])
         .withColumn(out, (F.col("_start") + F.col("_place")).cast("bigint"))
         .drop("_start", "_place", bucket)
     )
@@ -65,11 +74,11 @@ def quantiles(df, by, column, probs):
     starts = bucket_starts(counted, by, weight="_n").drop("_size")
     within = Window.partitionBy(*by, "_bucket").orderBy(column).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = (
-        counted.withColumn("_cum", F.sum("_n").over(within)).join(starts, [*by, "_bucket"])
+        join_on(counted.withColumn("_cum", F.sum("_n").over(within)), starts, [*by, "_bucket"])
         .withColumn("_to", F.col("_start") + F.col("_cum")).withColumn("_from", F.col("_to") - F.col("_n"))
     )
     totals = counted.groupBy(*by).agg(F.sum("_n").alias("_total"))
-    ranked = placed.join(totals, list(by)) if by else placed.withColumn("_total", F.lit(counted.agg(F.sum("_n")).first()[0]))
+    ranked = join_on(placed, totals, list(by)) if by else placed.withColumn("_total", F.lit(counted.agg(F.sum("_n")).first()[0]))
     aggs = []
     for i, p in enumerate(probs):
         target = F.lit(p) * (F.col("_total") - 1)

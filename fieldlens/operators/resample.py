@@ -3,7 +3,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from fieldlens.operators.ranks import bucket_starts, hash_bucket, hash_key, positions, value_bucket
+from fieldlens.operators.ranks import bucket_starts, hash_bucket, hash_key, join_on, positions, value_bucket
 
 
 def train_test_split(df, id_column="field_id", train=0.75, seed=7, by=(), out="is_train"):
@@ -17,7 +17,7 @@ def train_test_split(df, id_column="field_id", train=0.75, seed=7, by=(), out="i
     starts = bucket_starts(keyed, by)
     whole = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(1))
     cut = F.floor(F.lit(train) * F.sum("_size").over(whole)).cast("bigint")
-    marked = keyed.join(starts.withColumn("_cut", cut), [*by, "_bucket"])
+    marked = join_on(keyed, starts.withColumn("_cut", cut), [*by, "_bucket"])
     straddles = (F.col("_start") < F.col("_cut")) & (F.col("_start") + F.col("_size") > F.col("_cut"))
     within = Window.partitionBy(*by, "_bucket").orderBy("_md5", id_column)
     settled = marked.where(~straddles).withColumn(out, F.col("_start") < F.col("_cut"))
@@ -46,35 +46,41 @@ def _fold_column(rank, offset, size, k):
 
 
 def _folds(ranked, layout, label, by, k, out):
-    joined = ranked.join(layout, [*by, label])
+    joined = join_on(ranked, layout, [*by, label])
     return joined.withColumn(out, _fold_column(F.col("_rank"), F.col("_o"), F.col("_m"), k)).drop("_rank", "_m", "_o")
 
 
+def _by_label(df, label, out):
+    """(rows with a label, rows without one and without a fold)."""
+    return df.where(F.col(label).isNotNull()), df.where(F.col(label).isNull()).withColumn(out, F.lit(None).cast("int"))
+
+
 def stratified_folds(df, label, id_column="field_id", k=5, seed=7, by=(), out="fold"):
-    """Shuffled folds that keep the class shares."""
-    by = list(by)
-    keyed = df.withColumn("_md5", hash_key(seed, id_column)).withColumn("_bucket", hash_bucket(F.col("_md5")))
+    """Shuffled folds that keep the class shares. Rows without a label are kept with no fold."""
+    by, known, rest = list(by), *_by_label(df, label, out)
+    keyed = known.withColumn("_md5", hash_key(seed, id_column)).withColumn("_bucket", hash_bucket(F.col("_md5")))
     ranked = positions(keyed, [*by, label], ["_md5", id_column], out="_rank").drop("_md5")
-    return _folds(ranked, _class_layout(df, label, id_column, by), label, by, k, out)
+    return _folds(ranked, _class_layout(known, label, id_column, by), label, by, k, out).unionByName(rest)
 
 
 def contiguous_folds(df, label, id_column="field_id", order_column=None, k=5, by=(), out="fold"):
     """The same without shuffling: rows of a class fill the folds in id order.
 
     ``order_column`` is a numeric column in the same order as the id; without it the id is numeric.
+    Rows without a label are kept with no fold, rows without an order come first.
     """
-    by = list(by)
+    by, known, rest = list(by), *_by_label(df, label, out)
     order = order_column or id_column
-    bucketed = value_bucket(df, order)
+    bucketed = value_bucket(known, order)
     ranked = positions(bucketed, [*by, label], [order, id_column], out="_rank")
-    return _folds(ranked, _class_layout(df, label, order, by), label, by, k, out)
+    return _folds(ranked, _class_layout(known, label, order, by), label, by, k, out).unionByName(rest)
 
 
 def balanced_weights(df, label, out="weight"):
-    """n / (number of classes * rows of the class). Class sizes are joined back, so no class is
+    """n / (number of classes * rows of the class), NULL without a label. Class sizes are joined back, so no class is
     gathered in one task."""
-    sizes = df.groupBy(label).agg(F.count(F.lit(1)).alias("_m"))
+    sizes = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("_m"))
     whole = Window.partitionBy(F.lit(1))
     weights = sizes.select(
         label, (F.sum("_m").over(whole) / (F.count(F.lit(1)).over(whole) * F.col("_m"))).alias(out))
-    return df.join(weights, label)
+    return df.join(weights, label, "left")

@@ -109,10 +109,10 @@ def pixel_at_point(points, pixels, tiles, fill=0, project=True):
     placed = points.withColumns({"_x": x, "_y": y}).join(tiles, "field_id")
     row, col = pixel_index("x0", "y0", "res", F.col("_x"), F.col("_y"))
     at = placed.select("point_id", "field_id", "uuid", "band", row.alias("px_row"), col.alias("px_col"))
-    found = at.join(
-        pixels.select("field_id", "uuid", "band", "px_row", "px_col", "value"),
-        ["field_id", "uuid", "band", "px_row", "px_col"], "left")
-    return found.withColumn("value", F.coalesce("value", F.lit(fill)))
+    place = ["field_id", "uuid", "band", "px_row", "px_col"]
+    # pixels meet the wanted places first, which are few and may be broadcast; the hits alone are joined back
+    hits = pixels.select(*place, "value").join(at.select(*place).distinct(), place)
+    return at.join(hits, place, "left").withColumn("value", F.coalesce("value", F.lit(fill)))
 
 
 def pixel_series_at_point(points, pixels, tiles, clear, products, fill=0, project=True):

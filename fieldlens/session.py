@@ -34,10 +34,13 @@ def build_session(master=None, shuffle_partitions=None, **conf):
 def shared_dir(spark):
     """Folder every executor can reach: the cluster's checkpoint folder.
 
-    Only where the session names none (tests, local runs) a temporary one is made and set.
+    Only where the session names none and everything runs on one machine (tests, local runs) a temporary one is made and
+    set; on a cluster without one there is no place that all executors see, so that raises.
     """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="fieldlens-")
         spark.sparkContext.setCheckpointDir(found)
         found = spark.sparkContext.getCheckpointDir()

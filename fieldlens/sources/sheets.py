@@ -1,5 +1,7 @@
 """Exported sheets, score tables and catalogue tables."""
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from fieldlens.constants import GNUM_RENAMES, SOIL_RENAMES
@@ -10,14 +12,16 @@ def read_field_sheet(spark, path, columns, used, banner=None, **options):
     """A CSV export with a banner row above the header.
 
     ``columns``: all column names of the sheet in order; every cell is read as text. ``banner`` is
-    the first cell of the banner row; that row and the header row are filtered out wherever the
-    splits put them.
+    the first cell of the banner row, whose other cells are empty. That row and the header row are
+    filtered out wherever the splits put them; they are told by all of their cells, so a data row that
+    only begins like one of them stays.
     """
     schema = ", ".join(f"`{c}` string" for c in columns)
     rows = spark.read.options(**options).schema(schema).csv(path)
-    first = F.col(f"`{columns[0]}`")
-    skipped = [columns[0]] + ([banner] if banner else [])
-    rows = rows.where(first.isNull() | ~first.isin(*skipped))
+    cells = [F.coalesce(F.col(f"`{c}`"), F.lit("")) for c in columns]
+    skipped = [list(columns)] + ([[banner] + [""] * (len(columns) - 1)] if banner else [])
+    for row in skipped:
+        rows = rows.where(~reduce(lambda a, b: a & b, [cell == text for cell, text in zip(cells, row)]))
     return rows.select(*[F.col(f"`{c}`") for c in used])
 
 

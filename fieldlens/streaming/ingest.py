@@ -20,7 +20,9 @@ def crop_partials(pixels, bands=ALL_BANDS, scl="SCL_20m", keys=("field_id", "uui
 def merge_partials(partials, bands=ALL_BANDS, keys=("field_id", "uuid")):
     """Partial sums of any number of batches -> clear flag and band means per crop."""
     means = [F.try_divide(F.sum(f"sum_{b}"), F.sum(f"n_{b}")).alias(b) for b in bands]
-    return partials.groupBy(*keys).agg((F.sum("n_unclear") > 0).alias("is_cloudy"), *means)
+    # a crop without any class pixel is neither clear nor cloudy, as in the batch test
+    cloudy = F.when(F.sum("n_scl") > 0, F.sum("n_unclear") > 0).alias("is_cloudy")
+    return partials.groupBy(*keys).agg(cloudy, *means)
 
 
 def ingest_new_products(source, to_pixels, out, checkpoint, bands=ALL_BANDS):

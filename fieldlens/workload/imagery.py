@@ -60,10 +60,10 @@ def _(t):
 
 @query("clear_products_of_field", f"""
     WITH clear AS ({CLEAR})
-    SELECT c.field_id, p.uuid, p.title, p.generationdate FROM fx_products p JOIN clear c USING (uuid)""")
+    SELECT c.field_id, p.uuid, p.title, p.generationdate FROM fx_products p JOIN clear c USING (uuid) WHERE NOT p.uuid LIKE '%1'""")
 def _(t):
-    return clouds.clear_products_of_field(t.products, pairs_of(t), "title").select(
-        "field_id", "uuid", "title", "generationdate")
+    listed = t.products.withColumn("B01_60m", F.when(F.endswith("uuid", F.lit("1")), F.lit(None)).otherwise(F.concat("uuid", F.lit("/B01_60m"))))
+    return clouds.clear_products_of_field(listed, pairs_of(t), "B01_60m").select("field_id", "uuid", "title", "generationdate")
 
 
 @query("exclude_products", f"""
@@ -89,7 +89,16 @@ def _(t):
     FROM (UNPIVOT (SELECT field_id, uuid, {bands} FROM fx_pixels) ON {bands} INTO NAME band VALUE value)
     GROUP BY field_id, uuid, band""".replace("{bands}", ", ".join(ALL_BANDS)))
 def _(t):
-    long = bandstats.wide_to_long(t.pixels, ["field_id", "uuid"])
+    return rounded(bandstats.band_mean_of_wide(t.pixels), 6, "band_mean")
+
+
+@query("band_mean_long", """
+    SELECT field_id, uuid, band, round(avg(value), 6) AS band_mean
+    FROM (UNPIVOT (SELECT field_id, uuid, {bands} FROM fx_pixels) ON {bands} INTO NAME band VALUE value)
+    GROUP BY field_id, uuid, band""".replace("{bands}", ", ".join(SUMMARY_BANDS)))
+def _(t):
+    """The same from pixels that come in long form."""
+    long = bandstats.wide_to_long(t.pixels, ["field_id", "uuid"], SUMMARY_BANDS)
     return rounded(bandstats.band_mean(long), 6, "band_mean")
 
 

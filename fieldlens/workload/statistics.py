@@ -2,13 +2,13 @@
 
 from pyspark.sql import functions as F
 
-from fieldlens.constants import SCORE_COLUMNS, TARGETS
+from fieldlens.constants import ANALYSIS_BANDS, SCORE_COLUMNS, TARGETS
 from fieldlens.operators import stats
 from fieldlens.operators.tables import analysis_long, unpivot_columns
 from fieldlens.workload.registry import query, rounded
 from fieldlens.workload.relations import frame_of, frame_sql
 
-BANDS = ("B02_10m", "B03_10m", "B04_10m", "B08_10m", "B03_20m", "B8A_20m")
+BANDS = ANALYSIS_BANDS
 COLUMNS = ("rating", *BANDS, "mean_ndvi", "mean_ndwi")
 
 
@@ -45,26 +45,34 @@ def _(t):
     return rounded(stats.corr_lower(matrix_of(t)).select("target", "row_name", "col_name", "corr"), 6, "corr")
 
 
+# coefficients are rounded to two digits before pairs are filtered, so 0.504 is not strong
+ROUNDED_SQL = f"{corr_sql()}, two AS (SELECT * REPLACE (round_even(corr, 2) AS corr) FROM matrix)"
+
+
+def rounded_matrix(t):
+    return stats.round_corr(matrix_of(t))
+
+
 @query("corr_pairs", f"""
-    WITH {corr_sql()} SELECT target, row_name, col_name, round(corr, 6) AS corr, corr < 0 AS is_negative, abs(corr) > 0.5 AS is_strong
-    FROM matrix WHERE row_no < col_no AND corr IS NOT NULL""")
+    WITH {ROUNDED_SQL} SELECT target, row_name, col_name, round(corr, 6) AS corr, corr < 0 AS is_negative, abs(corr) > 0.5 AS is_strong
+    FROM two WHERE row_no < col_no AND corr IS NOT NULL""")
 def _(t):
-    pairs = stats.corr_pairs(matrix_of(t), by=["target"])
+    pairs = stats.corr_pairs(rounded_matrix(t), by=["target"])
     marked = pairs.select("target", "row_name", "col_name", "corr", (F.col("corr") < 0).alias("is_negative"), (F.abs("corr") > 0.5).alias("is_strong"))
     return rounded(marked, 6, "corr")
 
 
 @query("corr_strong_pairs_all", f"""
-    WITH {corr_sql()} SELECT target, row_name, col_name, round(corr, 6) AS corr FROM matrix WHERE abs(corr) > 0.5""")
+    WITH {ROUNDED_SQL} SELECT target, row_name, col_name, round(corr, 6) AS corr FROM two WHERE abs(corr) > 0.5""")
 def _(t):
-    strong = stats.strong_pairs(stats.corr_pairs(matrix_of(t), "all", by=["target"]))
+    strong = stats.strong_pairs(stats.corr_pairs(rounded_matrix(t), "all", by=["target"]))
     return rounded(strong.select("target", "row_name", "col_name", "corr"), 6, "corr")
 
 
 @query("corr_negative_pairs", f"""
-    WITH {corr_sql()} SELECT target, row_name, col_name, round(corr, 6) AS corr FROM matrix WHERE row_no < col_no AND corr < 0""")
+    WITH {ROUNDED_SQL} SELECT target, row_name, col_name, round(corr, 6) AS corr FROM two WHERE row_no < col_no AND corr < 0""")
 def _(t):
-    negative = stats.negative_pairs(stats.corr_pairs(matrix_of(t), by=["target"]))
+    negative = stats.negative_pairs(stats.corr_pairs(rounded_matrix(t), by=["target"]))
     return rounded(negative.select("target", "row_name", "col_name", "corr"), 6, "corr")
 
 
