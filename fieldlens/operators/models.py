@@ -14,6 +14,7 @@ from pyspark.ml.classification import (
     DecisionTreeClassifier, LinearSVC, LogisticRegression, OneVsRest, RandomForestClassifier,
 )
 from pyspark.ml.functions import array_to_vector
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
@@ -21,15 +22,18 @@ from fieldlens.operators.knn import knn_predict
 from fieldlens.operators.resample import balanced_weights, contiguous_folds, stratified_folds, train_test_split
 from fieldlens.session import materialize
 
-MAX_CLASSES = 256
+# Layout only: a small frame is held in few tasks, since every optimiser step is a job.
 ROWS_PER_TASK = 100_000
-# optimiser steps; the features are scaled inside Spark, so few are needed
-SVC_STEPS = 30
-LOGISTIC_STEPS = 50
+# Upper bounds of the optimiser steps. A fit that reaches its bound before the tolerance raises.
+SVC_STEPS = 1_000
+LOGISTIC_STEPS = 10_000
+TOLERANCE = 1e-6
 FOLDS = 5
 
 
 LABEL = "class_no"
+# Candidate thresholds of a feature in trees that grow out: quantiles, exact up to so many distinct values.
+TREE_BINS = 1_024
 
 
 def _one_vs_rest(classifier, **options):
@@ -37,19 +41,19 @@ def _one_vs_rest(classifier, **options):
 
 
 def _svc(C, **options):
-    return lambda n: _one_vs_rest(LinearSVC(regParam=1.0 / (C * n), standardization=False, maxIter=SVC_STEPS, tol=1e-3), **options)
+    return lambda n: _one_vs_rest(LinearSVC(regParam=1.0 / (C * n), standardization=False, maxIter=SVC_STEPS, tol=TOLERANCE), **options)
 
 
 def _logistic(C, **options):
     return lambda n: LogisticRegression(
-        regParam=1.0 / (C * n), standardization=False, maxIter=LOGISTIC_STEPS, labelCol=LABEL, **options)
+        regParam=1.0 / (C * n), standardization=False, maxIter=LOGISTIC_STEPS, tol=TOLERANCE, labelCol=LABEL, **options)
 
 
 def _logistic_ovr(C):
     return lambda n: _one_vs_rest(_logistic(C, family="binomial", elasticNetParam=0.0)(n))
 
 
-# --- fixed values: the thirteen models --------------------------------------
+# name -> Spark ML classifier for n training rows
 MODELS = {
     "LinearSVC": _svc(1.0),
     "LinearSVC modified": _svc(2.0, weightCol="weight"),
@@ -62,32 +66,26 @@ MODELS = {
     "L2 logistic (Multinomial)": _logistic(10.0, family="multinomial", elasticNetParam=0.0),
     "L2 logistic (OvR)": _logistic_ovr(10.0),
     "logistic": _logistic_ovr(1.0),
-    "DecisionTreeClassifier": lambda n: DecisionTreeClassifier(maxDepth=30, seed=7, labelCol=LABEL),
+    "DecisionTreeClassifier": lambda n: DecisionTreeClassifier(maxDepth=30, maxBins=TREE_BINS, seed=7, labelCol=LABEL),
     "DecisionTreeClassifier (entropy)": lambda n: DecisionTreeClassifier(impurity="entropy", maxDepth=3, seed=7, labelCol=LABEL),
-    "RandomForest Classifier": lambda n: RandomForestClassifier(numTrees=100, maxDepth=30, seed=7, labelCol=LABEL),
+    "RandomForest Classifier": lambda n: RandomForestClassifier(numTrees=100, maxDepth=30, maxBins=TREE_BINS, seed=7, labelCol=LABEL),
 }
-# --- end of fixed values ----------------------------------------------------
 SAME_MODEL = {"SVC (Linear kernel 2)": "SVC (Linear kernel)"}
 
 
-def class_list(df, label):
-    """Sorted labels; their number is checked, as it sizes the models."""
-    found = [r[0] for r in df.select(label).distinct().limit(MAX_CLASSES + 1).collect()]
-    if len(found) > MAX_CLASSES:
-        raise ValueError(f"more than {MAX_CLASSES} classes in {label}")
-    return sorted(found)
+def class_numbers(df, label):
+    """A row per class: the label and its number in the order of the labels. The window holds one row per class."""
+    return df.where(F.col(label).isNotNull()).select(label).distinct().withColumn(
+        LABEL, (F.row_number().over(Window.orderBy(label)) - 1).cast("double"))
 
 
-def prepare(df, features, label, id_column, classes):
-    """Feature vector and class number; rows with a missing feature cannot be fitted and go."""
+def prepare(df, features, label):
+    """Labelled rows with their class number. A row with a missing feature can't be fitted: that raises."""
     known = df.where(F.col(label).isNotNull())
-    for f in features:
-        known = known.where(F.col(f).isNotNull())
-    numbers = F.array(*[F.lit(c) for c in classes])
-    return known.withColumns({
-        "features": array_to_vector(F.array(*[F.col(f).cast("double") for f in features])),
-        LABEL: (F.array_position(numbers, F.col(label)) - 1).cast("double"),
-    })
+    missing = known.where(reduce(lambda a, b: a | b, [F.col(f).isNull() for f in features])).count()
+    if missing:
+        raise ValueError(f"{missing} labelled rows lack a feature; fill or drop them first")
+    return known.join(class_numbers(df, label), label)
 
 
 def with_splits(df, label, id_column, order_column=None, seed=7):
@@ -143,23 +141,35 @@ def _lift_rbf(df, features):
     return df.withColumn("features", array_to_vector(lift(F.array(*[F.col(f).cast("double") for f in features]))))
 
 
-def _predict(name, train, scored, features, id_column, n):
+def _predictor(name, train, features, id_column, n):
+    """Function from rows to their predictions, fitted on ``train``."""
     if name == "KNeighbors":
-        guesses = knn_predict(train, scored, features, id_column, LABEL)
-        return scored.select(id_column, LABEL).join(guesses, id_column)
+        return lambda scored: scored.select(id_column, LABEL).join(
+            knn_predict(train, scored, features, id_column, LABEL), id_column)
     if name == "LinearSVC modified":
         train = balanced_weights(train, LABEL)
-    return MODELS[name](n).fit(train).transform(scored)
+    return converged(name, MODELS[name](n).fit(train)).transform
+
+
+def converged(name, model):
+    """The fitted model, if all its optimisers met the tolerance within their steps."""
+    for part in getattr(model, "models", [model]):
+        if not (getattr(part, "hasSummary", False) and hasattr(part, "getMaxIter")):
+            continue
+        summary = part.summary() if callable(part.summary) else part.summary
+        if summary.totalIterations >= part.getMaxIter():
+            raise RuntimeError(f"{name} did not converge within {part.getMaxIter()} steps")
+    return model
 
 
 def confusion_counts(df, name, features, id_column, fits=None, parallelism=8):
     """(model, scheme, fold, class_no, prediction, n) for the fits of one model.
 
-    Fits are independent jobs and run side by side; what comes back per fit is one row per pair
+    Scheme ``train`` scores the hold-out fit on the rows it was trained on. Fits are independent jobs and run side by side; what comes back per fit is one row per pair
     of classes.
     """
     spark = df.sparkSession
-    data = _lift_rbf(df, features) if name == "SVC (rbf kernel)" else df
+    data = _lift_rbf(df, features).persist(StorageLevel.MEMORY_AND_DISK) if name == "SVC (rbf kernel)" else df
     fits = fits or all_fits()
     sizes = df.groupBy("is_train", "fold_s", "fold_c").count().collect()
 
@@ -169,12 +179,18 @@ def confusion_counts(df, name, features, id_column, fits=None, parallelism=8):
     def run(fit):
         scheme, fold = fit
         chosen, scored = fit_plan(scheme, fold)
-        guesses = _predict(name, data.where(chosen), data.where(scored), features, id_column, train_size(scheme, fold))
-        counts = guesses.groupBy("class_no", "prediction").count().collect()
-        return [(name, scheme, fold, float(r["class_no"]), float(r["prediction"]), r["count"]) for r in counts]
+        predict = _predictor(name, data.where(chosen), features, id_column, train_size(scheme, fold))
+        parts = [(scheme, scored)] + ([("train", chosen)] if scheme == "holdout" else [])
+        return [(name, part, fold, float(r["class_no"]), float(r["prediction"]), r["count"])
+                for part, rows in parts
+                for r in predict(data.where(rows)).groupBy("class_no", "prediction").count().collect()]
 
-    with ThreadPoolExecutor(parallelism) as pool:
-        rows = [row for part in pool.map(run, fits) for row in part]
+    try:
+        with ThreadPoolExecutor(parallelism) as pool:
+            rows = [row for part in pool.map(run, fits) for row in part]
+    finally:
+        if data is not df:
+            data.unpersist()
     return spark.createDataFrame(
         rows, "model string, scheme string, fold int, class_no double, prediction double, n bigint")
 
@@ -186,32 +202,31 @@ def fold_scores(counts):
 
 
 def score_table(scores, by="model"):
-    """One row per model with the three scores."""
+    """One row per model with the three scores, the spread of the folds and the score on the training rows."""
     at = lambda scheme: F.avg(F.when(F.col("scheme") == scheme, F.col("score")))
     return scores.groupBy(by).agg(
         at("fold_s").alias("scores_stratified_KFold"), at("fold_c").alias("scores_cross_val"),
         at("holdout").alias("accuracy_score"),
-        F.stddev_pop(F.when(F.col("scheme") == "fold_c", F.col("score"))).alias("cross_val_std"))
+        F.stddev_pop(F.when(F.col("scheme") == "fold_c", F.col("score"))).alias("cross_val_std"),
+        at("train").alias("train_score"))
 
 
 def split_frame(frame, features, target, id_column="field_id", order_column=None, seed=7):
     """Tested rows with vectors, class numbers, split and folds, kept for the fits that share them."""
     tested = frame.where(F.col(target) > 0)
-    classes = class_list(tested, target)
     columns = tested.select(*dict.fromkeys([id_column, order_column or id_column, target, *features]))
-    ready = prepare(columns, features, target, id_column, classes)
-    split = with_splits(ready.drop("features"), LABEL, id_column, order_column, seed)
+    split = with_splits(prepare(columns, features, target), LABEL, id_column, order_column, seed)
     stored = materialize(split, "split")
     # an iterative fit runs a job per step: a small frame must not be spread over many tasks
     parts = max(1, min(stored.rdd.getNumPartitions(), -(-stored.count() // ROWS_PER_TASK)))
     vector = array_to_vector(F.array(*[F.col(f).cast("double") for f in features]))
-    return stored.coalesce(parts).withColumn("features", vector).persist(StorageLevel.MEMORY_AND_DISK), classes
+    return stored.coalesce(parts).withColumn("features", vector).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def compare_models(frame, features, target="carbon_rating", id_column="field_id", order_column=None, models=None,
                    fits=None, seed=7, parallelism=8):
     """All models on one split and one set of folds: confusion counts per model and fit."""
-    data, _ = split_frame(frame, features, target, id_column, order_column, seed)
+    data = split_frame(frame, features, target, id_column, order_column, seed)
     try:
         names = list(models or MODELS)
         fitted = list(dict.fromkeys(SAME_MODEL.get(name, name) for name in names))

@@ -1,5 +1,7 @@
 """Splits, folds, neighbours, classifiers and the band search."""
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from fieldlens.constants import QUICKLOOK_BANDS, SCORE_COLUMNS, SEARCH_BANDS, TARGETS
@@ -83,38 +85,82 @@ def learning_frame(t, bands):
     return materialize(frame.select("field_id", "field_key", *bands, *TARGETS), "frame")
 
 
+# Classes that an SQL rule over all rows of a table tells apart by a wide margin: a classifier that is right must give the
+# rule back, in every fold. Ratings are 1, 2 and 3; the centres form a triangle, so each class is also linearly apart.
+MARGIN_FEATURES = ("m1", "m2", "m3", "m4")
+MARGIN_SPLIT = SPLIT.replace("fx_samples", "fx_margin")
+MARGIN_SQL = f"""
+    WITH {MARGIN_SPLIT}, tr AS (SELECT * FROM split WHERE is_train),
+         {folds_sql('fs', 'tr', "md5(concat('7|', vec_id)), vec_id")}, {folds_sql('fc', 'tr', 'vec_id')},
+         fits AS (
+             SELECT 'holdout' AS scheme, 0 AS fold, label FROM split WHERE NOT is_train
+             UNION ALL SELECT 'train', 0, label FROM tr
+             UNION ALL SELECT 'fold_s', fold, label FROM tr JOIN fs USING (vec_id)
+             UNION ALL SELECT 'fold_c', fold, label FROM tr JOIN fc USING (vec_id))"""
+
+
+def margin_counts(t, name):
+    """Confusion counts of one model over all its fits, worked out once a session and folder."""
+    fitted = models.SAME_MODEL.get(name, name)
+    key = (t.spark.sparkContext.applicationId, t.sf_dir, fitted)
+    if key not in _COUNTS:
+        frame = t.view("fx_margin").select("vec_id", F.col("label").alias("rating"), *MARGIN_FEATURES)
+        found = models.compare_models(frame, MARGIN_FEATURES, "rating", "vec_id", "vec_id", models=[fitted])
+        _COUNTS[key] = [tuple(r) for r in found.collect()]  # a row per fit and pair of classes
+    counts = t.spark.createDataFrame(_COUNTS[key], "model string, scheme string, fold int, class_no double, prediction double, n bigint")
+    return counts.withColumn("model", F.lit(name))
+
+
+_COUNTS = {}
+
+
 def _register_model(key, name):
-    @query(key)
+    @query(key, MARGIN_SQL + f"""
+    SELECT '{name}' AS model, scheme, cast(fold AS int) AS fold, label - 1.0E0 AS class_no, label - 1.0E0 AS prediction, count(*) AS n
+    FROM fits GROUP BY ALL""")
     def _(t):
-        frame = learning_frame(t, QUICKLOOK_BANDS)
-        counts = models.compare_models(
-            frame, QUICKLOOK_BANDS, order_column="field_key", models=[name], fits=[("holdout", 0)])
-        return models.fold_scores(counts)
-
-
-for _key, _name in (
-    ("linear_svc", "LinearSVC"), ("linear_svc_balanced", "LinearSVC modified"), ("svc_linear_c10", "SVC (Linear kernel)"),
-    ("svc_linear_c10_g10", "SVC (Linear kernel 2)"), ("svc_rbf", "SVC (rbf kernel)"), ("logistic_l1", "L1 logistic"),
-    ("logistic_l2", "L2 logistic (Multinomial)"), ("logistic_ovr", "L2 logistic (OvR)"), ("logistic_default", "logistic"),
-    ("decision_tree", "DecisionTreeClassifier"), ("decision_tree_entropy", "DecisionTreeClassifier (entropy)"),
-    ("random_forest", "RandomForest Classifier"),
-):
+        return margin_counts(t, name)
+
+
+MODEL_KEYS = {
+    "linear_svc": "LinearSVC", "linear_svc_balanced": "LinearSVC modified", "svc_linear_c10": "SVC (Linear kernel)",
+    "svc_linear_c10_g10": "SVC (Linear kernel 2)", "svc_rbf": "SVC (rbf kernel)", "logistic_l1": "L1 logistic",
+    "logistic_l2": "L2 logistic (Multinomial)", "logistic_ovr": "L2 logistic (OvR)", "logistic_default": "logistic",
+    "decision_tree": "DecisionTreeClassifier", "decision_tree_entropy": "DecisionTreeClassifier (entropy)",
+    "random_forest": "RandomForest Classifier", "knn_model": "KNeighbors",
+}
+for _key, _name in MODEL_KEYS.items():
     _register_model(_key, _name)
 
+ALL_MODELS_SQL = ", ".join(f"('{name}')" for name in MODEL_KEYS.values())
+
 
-@query("cross_validate")
+def every_model(t):
+    return reduce(lambda a, b: a.unionByName(b), [margin_counts(t, name) for name in MODEL_KEYS.values()])
+
+
+@query("cross_validate", MARGIN_SQL + f"""
+    SELECT m.model, scheme, cast(fold AS int) AS fold, 1.0E0 AS score
+    FROM (SELECT DISTINCT scheme, fold FROM fits) f, (VALUES {ALL_MODELS_SQL}) m(model)""")
 def _(t):
-    frame = learning_frame(t, QUICKLOOK_BANDS)
-    counts = models.compare_models(
-        frame, QUICKLOOK_BANDS, order_column="field_key", models=["DecisionTreeClassifier (entropy)"])
-    return models.fold_scores(counts)
+    """Score of every model in every fit."""
+    return models.fold_scores(every_model(t))
 
 
-@query("compare_models")
+@query("compare_models", f"""
+    SELECT model, 1.0E0 AS scores_stratified_KFold, 1.0E0 AS scores_cross_val, 1.0E0 AS accuracy_score, 0.0E0 AS cross_val_std, 1.0E0 AS train_score
+    FROM (VALUES {ALL_MODELS_SQL}) m(model)""")
 def _(t):
-    """All models side by side on the hold-out part; ``cross_validate`` shows the fold scores."""
+    """The three scores, their spread and the training score of all models."""
+    return models.score_table(models.fold_scores(every_model(t)))
+
+
+@query("cross_validate_fields")
+def _(t):
+    """Scores of a tree on the surveyed fields, whose classes nothing tells apart for certain."""
+    frame = learning_frame(t, QUICKLOOK_BANDS)
     counts = models.compare_models(
-        learning_frame(t, QUICKLOOK_BANDS), QUICKLOOK_BANDS, order_column="field_key", fits=[("holdout", 0)])
+        frame, QUICKLOOK_BANDS, order_column="field_key", models=["DecisionTreeClassifier (entropy)"])
     return models.fold_scores(counts)
 
 

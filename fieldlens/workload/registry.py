@@ -86,6 +86,12 @@ VIEWS = {
     "fx_samples": f"""
         SELECT vec_id, label, {', '.join(f'cast({{e{i}}} AS double) AS f{i}' for i in range(1, 13))}
         FROM {{embeddings}}""",
+    "fx_margin": """
+        SELECT c_custkey AS vec_id, cast(c_nationkey % 3 + 1 AS int) AS label,
+               CASE c_nationkey % 3 WHEN 0 THEN 10.0E0 WHEN 1 THEN 0.0E0 ELSE -10.0E0 END + (c_custkey * 37 % 101) / 100.0E0 AS m1,
+               CASE c_nationkey % 3 WHEN 0 THEN 0.0E0 WHEN 1 THEN 10.0E0 ELSE -10.0E0 END + (c_custkey * 53 % 103) / 100.0E0 AS m2,
+               (c_custkey * 71 % 97) / 100.0E0 AS m3, (c_custkey * 29 % 89) / 100.0E0 AS m4
+        FROM {customer}""",
     "fx_scores": """
         SELECT p_type AS target, concat(p_name, ' ', cast(p_partkey AS string)) AS bands,
                ((p_partkey * 37) % 1000) / 1000.0E0 AS scores_stratified_KFold,

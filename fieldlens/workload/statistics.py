@@ -76,26 +76,42 @@ def _(t):
     return rounded(negative.select("target", "row_name", "col_name", "corr"), 6, "corr")
 
 
-@query("pearson_test", f"""
+def pearson_sql(x, y):
+    return f"""
     WITH {rated_sql()},
-         s AS (SELECT target, corr(rating, mean_ndvi) AS r, count(*) AS n FROM rated GROUP BY target),
+         s AS (SELECT target, corr({x}, {y}) AS r, count(*) AS n FROM rated GROUP BY target),
          grid AS (SELECT unnest(generate_series(0, 20000)) AS i),
          area AS (SELECT target, sum((CASE WHEN i IN (0, 20000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END)
                                      * pow(1 - pow(abs(r) * i / 20000.0E0, 2), (n - 4) / 2.0E0)) * abs(r) / 60000.0E0 AS a
                   FROM s, grid GROUP BY target, r)
     SELECT target, round(r, 6) AS r, n, round(r * sqrt((n - 2) / (1 - r * r)), 6) AS t,
            round(1 - 2 * a * exp(lgamma((n - 1) / 2.0E0) - lgamma((n - 2) / 2.0E0)) / sqrt(pi()), 6) AS p_value
-    FROM s JOIN area USING (target)""")
-def _(t):
-    return rounded(stats.pearson_test(rated(t), "rating", "mean_ndvi", by=["target"]), 6, "r", "t", "p_value")
+    FROM s JOIN area USING (target)"""
 
 
-@query("linear_trend", f"""
+def trend_sql(x, y):
+    return f"""
     WITH {rated_sql()}
-    SELECT target, round(regr_slope(mean_ndwi, rating), 6) AS slope, round(regr_intercept(mean_ndwi, rating), 6) AS intercept,
-           round(regr_r2(mean_ndwi, rating), 6) AS r2, cast(regr_count(mean_ndwi, rating) AS bigint) AS n FROM rated GROUP BY target""")
-def _(t):
-    return rounded(stats.linear_trend(rated(t), "rating", "mean_ndwi", by=["target"]), 6, "slope", "intercept", "r2")
+    SELECT target, round(regr_slope({y}, {x}), 6) AS slope, round(regr_intercept({y}, {x}), 6) AS intercept,
+           round(regr_r2({y}, {x}), 6) AS r2, cast(regr_count({y}, {x}) AS bigint) AS n FROM rated GROUP BY target"""
+
+
+def _register_pearson(key, x, y):
+    @query(key, pearson_sql(x, y))
+    def _(t):
+        return rounded(stats.pearson_test(rated(t), x, y, by=["target"]), 6, "r", "t", "p_value")
+
+
+def _register_trend(key, x, y):
+    @query(key, trend_sql(x, y))
+    def _(t):
+        return rounded(stats.linear_trend(rated(t), x, y, by=["target"]), 6, "slope", "intercept", "r2")
+
+
+_register_pearson("pearson_test", "rating", "mean_ndvi")
+_register_pearson("pearson_test_indices", "mean_ndwi", "mean_ndvi")
+_register_trend("linear_trend", "rating", "mean_ndwi")
+_register_trend("linear_trend_indices", "mean_ndvi", "mean_ndwi")
 
 
 @query("density_grid", f"""

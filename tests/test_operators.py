@@ -255,3 +255,47 @@ def test_scores_and_confusion(spark):
     frame = spark.createDataFrame([(1, 1), (1, 2), (2, 2)], "label int, prediction int")
     got = {r["label"]: (r["predicted_1"], r["predicted_2"], r["predicted_3"]) for r in stats.confusion_matrix(frame, [1, 2, 3]).collect()}
     assert got == {1: (1, 1, 0), 2: (0, 1, 0), 3: (0, 0, 0)}
+
+
+# --- rows without a label, group or order -----------------------------------
+
+def test_rows_with_null_keys_stay(spark):
+    from fieldlens.operators import resample
+
+    rows = [(i, None if i % 4 == 0 else i % 3, None if i % 5 == 0 else i, None if i % 6 == 0 else "g") for i in range(40)]
+    df = spark.createDataFrame(rows, "id int, label int, pos int, grp string")
+    shuffled = resample.stratified_folds(df, "label", "id").toPandas()
+    assert len(shuffled) == 40 and shuffled[shuffled.label.isna()].fold.isna().all() and shuffled[shuffled.label.notna()].fold.notna().all()
+    ordered = resample.contiguous_folds(df, "label", "id", "pos").toPandas()
+    assert len(ordered) == 40 and ordered[ordered.label.notna()].fold.notna().all()
+    weights = resample.balanced_weights(df, "label").toPandas()
+    assert len(weights) == 40 and weights.weight.isna().sum() == 10
+    split = resample.train_test_split(df, "id", by=["grp"]).toPandas()
+    assert len(split) == 40 and split.groupby("grp", dropna=False).is_train.sum().to_dict() != {}
+
+
+def test_field_flush_with_every_border_is_inside(spark):
+    from fieldlens.functions.geometry import box_rings, with_bbox
+    from fieldlens.operators.spatial import contains_join
+
+    boxes = spark.createDataFrame([("all", 0.0, 0.0, 4.0, 4.0), ("upper", 2.0, 2.0, 4.0, 4.0), ("lower", 0.0, 0.0, 1.0, 1.0), ("out", 3.0, 3.0, 5.0, 4.0)],
+                                  "field_id string, xmin double, ymin double, xmax double, ymax double")
+    shaped = boxes.withColumn("rings", box_rings("xmin", "ymin", "xmax", "ymax"))
+    product = shaped.where("field_id = 'all'").withColumnRenamed("field_id", "uuid")
+    found = contains_join(with_bbox(shaped.select("field_id", "rings")), product, 1.5)
+    assert {r.field_id for r in found.collect()} == {"all", "upper", "lower"}
+
+
+def test_nan_rating_is_zero(spark):
+    from fieldlens.functions.text import rating_to_int
+
+    values = spark.createDataFrame([(float("nan"),), (None,), (2.9,)], "x double").select(rating_to_int("x").alias("r"))
+    assert [r.r for r in values.collect()] == [0, 0, 2]
+
+
+def test_crop_without_class_pixels_is_neither(spark):
+    from fieldlens.streaming.ingest import crop_partials, merge_partials
+
+    pixels = spark.createDataFrame([("a", "p", None, 1), ("a", "q", 4, 1), ("a", "r", 8, 1)], "field_id string, uuid string, SCL_20m int, B04_10m int")
+    merged = merge_partials(crop_partials(pixels, ["B04_10m"]), ["B04_10m"])
+    assert {r.uuid: r.is_cloudy for r in merged.collect()} == {"p": None, "q": False, "r": True}
