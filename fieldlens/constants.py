@@ -30,7 +30,7 @@ HISTOGRAM_BANDS = ("B02_10m", "B03_10m", "B04_10m", "B08_10m")
 NOT_CLEAR_CLASSES = (8, 9, 10, 1, 3)
 # the narrower set behind the cloud alert label
 CLOUD_CLASSES = (8, 9, 10)
-CLOUD_ALERT = "*******CLOUD ALERT ******"
+CLOUD_ALERT = "Cloudy"
 
 TARGETS = ("carbon_rating", "nitrogen_rating", "potassium_rating", "phosphorus_rating")
 

@@ -16,10 +16,5 @@ def date_label(col):
     return F.date_format(col, "d/M/yyyy")
 
 
-def epoch_seconds(col):
-    """Seconds since 1970 as a double, microseconds kept, for either timestamp type."""
-    return F.unix_micros(F.col(col).cast("timestamp") if isinstance(col, str) else col.cast("timestamp")) / F.lit(1e6)
-
-
 def epoch_micros(col):
     return F.unix_micros(F.col(col).cast("timestamp") if isinstance(col, str) else col.cast("timestamp"))

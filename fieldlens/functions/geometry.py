@@ -23,16 +23,16 @@ def parse_geometry(text):
     return F.when(parts.isNotNull(), F.struct(kind.alias("kind"), parts.alias("parts")))
 
 
-def force_2d(parts, drop_holes="3d"):
-    """Coordinate lists -> rings of (x, y).
+def polygons_2d(parts, drop_holes="3d"):
+    """Coordinate lists -> polygons, each a list of rings of (x, y).
 
     ``drop_holes``: ``"3d"`` keeps only the outer rings of shapes that carry a height,
     ``"always"`` of every shape, ``"never"`` keeps all rings.
     """
     parts = F.col(parts) if isinstance(parts, str) else parts
     to_xy = lambda ring: F.transform(ring, lambda p: F.struct(p[0].alias("x"), p[1].alias("y")))
-    outer = F.transform(parts, lambda rings: to_xy(rings[0]))
-    every = F.transform(F.flatten(parts), to_xy)
+    outer = F.transform(parts, lambda rings: F.array(to_xy(rings[0])))
+    every = F.transform(parts, lambda rings: F.transform(rings, to_xy))
     if drop_holes == "always":
         return outer
     if drop_holes == "never":
@@ -41,6 +41,11 @@ def force_2d(parts, drop_holes="3d"):
     return F.when(has_z, outer).otherwise(every)
 
 
+def force_2d(parts, drop_holes="3d"):
+    """The rings of all polygons in one list, for the even-odd tests, which need no more."""
+    return F.flatten(polygons_2d(parts, drop_holes))
+
+
 def ring_from_kml(text):
     """``lon,lat,alt`` tuples separated by blanks -> one ring."""
     text = F.col(text) if isinstance(text, str) else text
@@ -83,12 +88,22 @@ def box_rings(xmin, ymin, xmax, ymax):
     ))
 
 
-def rings_to_wkt(rings):
-    """One-part polygon as WKT text."""
-    rings = F.col(rings) if isinstance(rings, str) else rings
+def _wkt_rings(rings):
     ring_text = lambda ring: F.concat(
         F.lit("("), F.array_join(F.transform(ring, lambda p: F.concat_ws(" ", p["x"], p["y"])), ", "), F.lit(")"))
-    return F.concat(F.lit("POLYGON ("), F.array_join(F.transform(rings, ring_text), ", "), F.lit(")"))
+    return F.concat(F.lit("("), F.array_join(F.transform(rings, ring_text), ", "), F.lit(")"))
+
+
+def rings_to_wkt(rings):
+    """One-part polygon as WKT text."""
+    return F.concat(F.lit("POLYGON "), _wkt_rings(F.col(rings) if isinstance(rings, str) else rings))
+
+
+def polygons_to_wkt(polygons):
+    """POLYGON of one polygon, MULTIPOLYGON of several."""
+    polygons = F.col(polygons) if isinstance(polygons, str) else polygons
+    several = F.concat(F.lit("MULTIPOLYGON ("), F.array_join(F.transform(polygons, _wkt_rings), ", "), F.lit(")"))
+    return F.when(F.size(polygons) == 1, F.concat(F.lit("POLYGON "), _wkt_rings(polygons[0]))).otherwise(several)
 
 
 def edges(rings):
@@ -151,8 +166,9 @@ def polygon_within(inner_rings, outer_rings):
     return corners_in & ~edges_cross(edges(inner_rings), outer_edges)
 
 
-def rings_to_geojson(rings, kind="Polygon"):
-    """GeoJSON geometry struct of a one-part polygon."""
-    rings = F.col(rings) if isinstance(rings, str) else rings
-    coords = F.transform(rings, lambda ring: F.transform(ring, lambda p: F.array(p["x"], p["y"])))
-    return F.when(rings.isNotNull(), F.struct(F.lit(kind).alias("type"), coords.alias("coordinates")))
+def polygons_to_geojson(polygons):
+    """GeoJSON geometry text: a Polygon of one polygon, a MultiPolygon of several."""
+    polygons = F.col(polygons) if isinstance(polygons, str) else polygons
+    coords = F.transform(polygons, lambda rings: F.transform(rings, lambda ring: F.transform(ring, lambda p: F.array(p["x"], p["y"]))))
+    text = lambda kind, of: F.concat(F.lit(f'{{"type":"{kind}","coordinates":'), F.to_json(of), F.lit("}"))
+    return F.when(F.size(polygons) == 1, text("Polygon", coords[0])).when(polygons.isNotNull(), text("MultiPolygon", coords))

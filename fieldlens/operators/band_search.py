@@ -110,9 +110,24 @@ def _hit_frame(target, scheme, fold, ids, hits, n):
     return pd.DataFrame({"target": target, "scheme": scheme, "fold": fold, "subset_id": ids, "hits": hits, "n": n})
 
 
-def search_gram(samples, bands=SEARCH_BANDS, n_classes=5):
+def item_subsets(items, name, order):
+    """Every non-empty subset of the rows of a small table, named in their order: the list of names is one row, which each
+    subset's bits pick from. As subsets are listed in full, a table of some 20 rows is meant."""
+    listed = items.groupBy().agg(F.array_sort(F.collect_list(F.struct(*order, F.col(name).alias("_name")))).alias("_items"))
+    names = listed.select(F.transform("_items", lambda i: i["_name"]).alias("_names"))
+    every = names.select("_names", F.explode(F.expr("sequence(1L, shiftleft(1L, size(_names)) - 1)")).alias("subset_id"))
+    chosen = every.withColumn("_list", F.filter("_names", lambda n, i: F.getbit(F.col("subset_id"), i) == 1))
+    return chosen.select("subset_id", F.array_join("_list", " ").alias("bands"), F.size("_list").alias("n_bands"))
+
+
+def class_count(samples):
+    """One more than the largest class number of the samples."""
+    return (samples.agg(F.max("class_no")).first()[0] or 0) + 1
+
+
+def search_gram(samples, bands=SEARCH_BANDS, n_classes=None):
     """Hits per target, fit and subset by the least-squares solver."""
-    bands = list(bands)
+    bands, n_classes = list(bands), n_classes or class_count(samples)
     n_columns = len(bands) + 1
     systems = _systems(gram_sums(samples, bands, n_classes).collect(), n_columns, n_classes)
     ids = np.arange(1, 2 ** len(bands))
@@ -169,14 +184,14 @@ def fit_hinge(rows, signs, masks, C=1.0, max_iter=50):
         w[open_] -= size[:, None] * step
         open_ = open_[drop > 1e-10 * np.maximum(1.0, value)]
         if not len(open_):
-            break
-    return w
+            return w
+    raise RuntimeError(f"{len(open_)} fits did not converge within {max_iter} steps")
 
 
-def search_hinge(samples, bands=SEARCH_BANDS, n_classes=5, C=1.0, chunk=64, row_limit=HINGE_ROW_LIMIT):
+def search_hinge(samples, bands=SEARCH_BANDS, n_classes=None, C=1.0, chunk=64, row_limit=HINGE_ROW_LIMIT):
     """Hits per target, fit and subset by the squared-hinge solver. Tasks are (target, subset chunk)."""
     spark = samples.sparkSession
-    bands = list(bands)
+    bands, n_classes = list(bands), n_classes or class_count(samples)
     narrow = samples.select("target", "class_no", "is_train", "fold_s", "fold_c", *[F.col(b).cast("double").alias(b) for b in bands])
     n_rows = narrow.count()
     if n_rows > row_limit:
@@ -224,9 +239,9 @@ def subset_scores(hits, subsets, solver):
         "target", "bands", "n_bands", *SCHEME_SCORES.values(), F.lit(solver).alias("solver"))
 
 
-def band_search(samples, bands=SEARCH_BANDS, n_classes=5, solver="gram", **options):
+def band_search(samples, bands=SEARCH_BANDS, n_classes=None, solver="gram", **options):
     search = {"gram": search_gram, "hinge": search_hinge}[solver]
-    hits = search(samples, bands, n_classes, **options)
+    hits = search(samples, bands, n_classes or class_count(samples), **options)
     return subset_scores(hits, band_subsets(samples.sparkSession, bands), solver)
 
 

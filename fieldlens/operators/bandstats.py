@@ -41,10 +41,6 @@ def band_mean_of_wide(pixels, bands=ALL_BANDS, fill="mask", keys=("field_id", "u
     return means.unpivot(list(keys), list(bands), "band", "band_mean")
 
 
-def pivot_bands(band_means, bands=ALL_BANDS, keys=("field_id", "uuid")):
-    return band_means.groupBy(*keys).pivot("band", list(bands)).agg(F.max("band_mean"))
-
-
 def index_of_means(means, first, second, out):
     """Index from band means: a ratio of means, not a mean of ratios."""
     return means.withColumn(out, normalized_difference(first, second))

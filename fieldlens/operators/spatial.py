@@ -8,7 +8,7 @@ salt from a hash of the row, the polygon side is repeated once per salt.
 
 from pyspark.sql import functions as F
 
-from fieldlens.functions.geometry import edges, point_in_edges, polygon_within, with_bbox
+from fieldlens.functions.geometry import edges, point_in_edges, polygon_within
 from fieldlens.functions.projection import project_utm
 
 
@@ -121,7 +121,3 @@ def pixel_series_at_point(points, pixels, tiles, clear, products, fill=0, projec
     values = pixel_at_point(points, pixels, wanted, fill, project)
     return values.join(products.select("uuid", "generationdate"), "uuid").orderBy(
         "point_id", "band", "generationdate", "uuid")
-
-
-def fields_with_boxes(fields, rings="rings"):
-    return with_bbox(fields, rings)

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from fieldlens.constants import ALL_BANDS, GRANULES, NON_ANALYSIS_BANDS, PLATFORM, PROCESSING_LEVEL, TARGETS
-from fieldlens.functions.text import contains_any, rating_to_int, sanitize_header, text_to_list
+from fieldlens.functions.text import contains_any, rating_to_int, sanitize_header
 
 
 def sanitize_headers(df):
@@ -142,14 +142,6 @@ def analysis_long(frame, targets=TARGETS):
 
 # --- lists and exclusion ----------------------------------------------------
 
-def explode_product_list(fields, list_column="cloud_free_products"):
-    return fields.select("field_id", F.explode(list_column).alias("uuid"))
-
-
-def read_product_list(fields, text_column="cloud_free_products"):
-    return fields.withColumn(text_column, text_to_list(F.col(text_column)))
-
-
 def exclude_products(field_products, excluded):
     """Drop (field_id, uuid) pairs named in ``excluded``."""
     return field_products.join(excluded.select("field_id", "uuid").distinct(), ["field_id", "uuid"], "left_anti")

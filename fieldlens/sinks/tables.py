@@ -2,24 +2,28 @@
 
 from pyspark.sql import functions as F
 
-from fieldlens.functions.geometry import rings_to_geojson
+from fieldlens.functions.geometry import polygons_to_geojson
 from fieldlens.functions.text import list_to_text
 
 
-def to_features(df, rings="rings"):
-    """One GeoJSON feature per row as text; list columns become blank-joined text."""
+def to_features(df, rings="rings", polygons="polygons"):
+    """One GeoJSON feature per row as text; list columns become blank-joined text.
+
+    The geometry is column ``polygons`` where the table has one, else the rings as one polygon.
+    """
     columns = []
     for field in df.schema.fields:
-        if field.name == rings:
+        if field.name in (rings, polygons):
             continue
         is_list = field.dataType.typeName() == "array"
         columns.append(list_to_text(F.col(field.name)).alias(field.name) if is_list else F.col(field.name))
     # a feature keeps its empty properties
     options = {"ignoreNullFields": "false"}
-    feature = F.struct(
-        F.lit("Feature").alias("type"), rings_to_geojson(F.col(rings)).alias("geometry"),
-        F.struct(*columns).alias("properties"))
-    return df.select(F.to_json(feature, options).alias("value"))
+    shape = F.col(polygons) if polygons in df.columns else F.when(F.col(rings).isNotNull(), F.array(F.col(rings)))
+    geometry = F.coalesce(polygons_to_geojson(shape), F.lit("null"))
+    return df.select(F.concat(
+        F.lit('{"type":"Feature","geometry":'), geometry, F.lit(',"properties":'), F.to_json(F.struct(*columns), options),
+        F.lit("}")).alias("value"))
 
 
 def write_geojson(df, path, rings="rings", mode="errorifexists"):

@@ -6,7 +6,7 @@ import zipfile
 import pandas as pd
 from pyspark.sql import functions as F
 
-from fieldlens.functions.geometry import force_2d, parse_geometry, ring_from_kml
+from fieldlens.functions.geometry import force_2d, parse_geometry, polygons_2d, ring_from_kml
 from fieldlens.functions.text import canonical_field_id
 
 FILE_STEM = r"([^/]+)\.[^./]+$"
@@ -65,7 +65,8 @@ COLLECTION_DDL = "features array<struct<type:string,geometry:string,properties:m
 
 
 def read_geojson(spark, path, properties, collection=False):
-    """Features -> rows of the named properties (name -> type) and the geometry as text and rings.
+    """Features -> rows of the named properties (name -> type) and the geometry as text, as polygons and as the rings of all
+    of them in one list.
 
     ``collection=False``: one feature per line, which splits and scales. ``True``: each file is one
     FeatureCollection document, read whole as the format demands.
@@ -77,7 +78,9 @@ def read_geojson(spark, path, properties, collection=False):
         features = spark.read.schema(FEATURE_DDL).json(path)
     parsed = features.withColumn("_g", parse_geometry(F.col("geometry")))
     columns = [F.col("properties")[name].cast(kind).alias(name) for name, kind in properties.items()]
-    return parsed.select(*columns, F.col("geometry").alias("geometry_text"), force_2d(F.col("_g.parts")).alias("rings"))
+    return parsed.select(
+        *columns, F.col("geometry").alias("geometry_text"), polygons_2d(F.col("_g.parts")).alias("polygons"),
+        force_2d(F.col("_g.parts")).alias("rings"))
 
 
 def bad_geometry(df, text="geometry_text", rings="rings"):

@@ -1,11 +1,9 @@
 """Raster files and tiles."""
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from fieldlens.constants import ALL_BANDS
 
 PRODUCT_FOLDER = r"([^/]+)\.SAFE/GRANULE/"
 
@@ -37,13 +35,14 @@ def scan_pixels(spark, path, bands=None, field_ids=None, uuids=None):
 def tiles_to_pixels(tiles):
     """Raw tiles (row-major samples) -> one row per pixel with its row, column and centre x, y.
 
-    Tiles are independent rows, so they spread over the tasks as Spark reads them; a tile is handed
-    on in slices of rows to keep the batches small.
+    Samples of any numeric type become doubles. Tiles are independent rows, so they spread over the
+    tasks as Spark reads them; they are taken one at a time and handed on in slices of rows.
     """
 
     def decode(batches):
         for batch in batches:
-            for tile in batch.to_pylist():
+            for i in range(batch.num_rows):
+                tile = batch.slice(i, 1).to_pylist()[0]
                 values = np.frombuffer(tile["data"], dtype=tile["dtype"]).reshape(tile["height"], tile["width"])
                 step = max(1, 100_000 // max(1, tile["width"]))
                 for top in range(0, tile["height"], step):
@@ -55,13 +54,13 @@ def tiles_to_pixels(tiles):
                         "band": pa.array([tile["band"]] * n, pa.string()),
                         "px_row": pa.array((rows + top).ravel(), pa.int32()),
                         "px_col": pa.array(cols.ravel(), pa.int32()),
-                        "value": pa.array(part.ravel().astype("int32"), pa.int32()),
+                        "value": pa.array(part.ravel().astype("float64")),
                         "x0": pa.array(np.full(n, tile["x0"])), "y0": pa.array(np.full(n, tile["y0"])),
                         "res": pa.array(np.full(n, tile["res"])),
                     })
 
     pixels = tiles.mapInArrow(
-        decode, "uuid string, band string, px_row int, px_col int, value int, x0 double, y0 double, res double")
+        decode, "uuid string, band string, px_row int, px_col int, value double, x0 double, y0 double, res double")
     return pixels.select(
         "uuid", "band", "px_row", "px_col", "value",
         (F.col("x0") + (F.col("px_col") + 0.5) * F.col("res")).alias("x"),

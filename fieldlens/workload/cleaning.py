@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from fieldlens.constants import ALL_BANDS, NON_ANALYSIS_BANDS, SUMMARY_BANDS, resolution
+from fieldlens.constants import ALL_BANDS, NON_ANALYSIS_BANDS, resolution
 from fieldlens.constants import (
     CENTRAL_MERIDIAN, FALSE_EASTING, SCALE_FACTOR,
 )

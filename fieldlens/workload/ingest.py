@@ -6,7 +6,7 @@ import zipfile
 import pandas as pd
 from pyspark.sql import functions as F
 
-from fieldlens.constants import ALL_BANDS, SCORE_COLUMNS, SUMMARY_BANDS
+from fieldlens.constants import SCORE_COLUMNS, SUMMARY_BANDS
 from fieldlens.functions.geometry import with_bbox
 from fieldlens.operators import bandstats, clouds
 from fieldlens.session import scratch_path
@@ -188,7 +188,7 @@ def _(t):
 @query("tiles_to_pixels", """
     WITH o AS (SELECT l_orderkey, l_partkey % 2000 + 100 AS value,
                       row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey) - 1 AS px_col FROM lineitem)
-    SELECT cast(l_orderkey AS string) AS uuid, 'B04_10m' AS band, 0 AS px_row, cast(px_col AS int) AS px_col, cast(value AS int) AS value,
+    SELECT cast(l_orderkey AS string) AS uuid, 'B04_10m' AS band, 0 AS px_row, cast(px_col AS int) AS px_col, cast(value AS double) AS value,
            600000 + l_orderkey * 10 + (px_col + 0.5) * 10 AS x, 1700000 - 5.0 AS y FROM o""")
 def _(t):
     # one tile per order: its lines, in order, as a row of big-endian 16-bit samples

@@ -5,10 +5,9 @@ from pyspark.sql import functions as F
 from fieldlens.constants import ALL_BANDS, NON_ANALYSIS_BANDS, SCORE_COLUMNS, SUMMARY_BANDS
 from fieldlens.functions.projection import project_utm
 from fieldlens.operators import bandstats, clouds, spatial, stats, tables
-from fieldlens.operators.band_search import band_subsets
-from fieldlens.session import materialize
+from fieldlens.operators.band_search import item_subsets
 from fieldlens.workload.cleaning import product_files_of, utm_cte
-from fieldlens.workload.imagery import index_of, survey_of
+from fieldlens.workload.imagery import survey_of
 from fieldlens.workload.registry import CLEAR, CORNERS, RATINGS, box_rings_of, query, rounded, survey_sql
 
 
@@ -305,14 +304,13 @@ def _(t):
 
 
 @query("band_subsets", """
-    WITH items AS (SELECT n_nationkey AS i, n_name FROM nation WHERE n_regionkey < 2),
-         names AS (SELECT n_name, row_number() OVER (ORDER BY i) - 1 AS bit FROM items),
+    WITH items AS (SELECT 1 AS kind, r_name AS name FROM region UNION SELECT 2, o_orderpriority FROM orders
+                   UNION SELECT 3, l_linestatus FROM lineitem),
+         names AS (SELECT name, row_number() OVER (ORDER BY kind, name) - 1 AS bit FROM items),
          ids AS (SELECT unnest(generate_series(1, (1 << (SELECT count(*) FROM names)) - 1)) AS subset_id)
-    SELECT subset_id, string_agg(n_name, ' ' ORDER BY bit) AS bands, cast(count(*) AS int) AS n_bands
+    SELECT subset_id, string_agg(name, ' ' ORDER BY bit) AS bands, cast(count(*) AS int) AS n_bands
     FROM ids JOIN names ON (subset_id >> bit) & 1 = 1 GROUP BY subset_id""")
 def _(t):
-    # names of the searched items: at most 20 of them, as their subsets are listed in full
-    names = [r[0] for r in t.raw("nation").where("n_regionkey < 2").orderBy("n_nationkey").select("n_name").limit(21).collect()]
-    if len(names) > 20:
-        raise ValueError("too many items for a full list of subsets")
-    return band_subsets(t.spark, names).select("subset_id", "bands", "n_bands")
+    parts = ((1, "region", "r_name"), (2, "orders", "o_orderpriority"), (3, "lineitem", "l_linestatus"))
+    items = [t.raw(table).select(F.lit(kind).alias("kind"), F.col(column).alias("name")).distinct() for kind, table, column in parts]
+    return item_subsets(items[0].unionByName(items[1]).unionByName(items[2]), "name", ["kind", "name"])

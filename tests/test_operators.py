@@ -299,3 +299,21 @@ def test_crop_without_class_pixels_is_neither(spark):
     pixels = spark.createDataFrame([("a", "p", None, 1), ("a", "q", 4, 1), ("a", "r", 8, 1)], "field_id string, uuid string, SCL_20m int, B04_10m int")
     merged = merge_partials(crop_partials(pixels, ["B04_10m"]), ["B04_10m"])
     assert {r.uuid: r.is_cloudy for r in merged.collect()} == {"p": None, "q": False, "r": True}
+
+
+def test_multipolygon_survives_the_round_trip(spark, tmp_path):
+    from fieldlens.functions.geometry import polygons_to_wkt
+    from fieldlens.sinks.tables import write_geojson
+    from fieldlens.sources.boundaries import read_geojson
+
+    two = '{"type":"MultiPolygon","coordinates":[[[[0.0,0.0],[1.0,0.0],[1.0,1.0],[0.0,0.0]]],[[[5.0,5.0],[6.0,5.0],[6.0,6.0],[5.0,5.0]]]]}'
+    one = '{"type":"Polygon","coordinates":[[[0.0,0.0],[4.0,0.0],[4.0,4.0],[0.0,0.0]],[[1.0,0.5],[2.0,0.5],[2.0,1.0],[1.0,0.5]]]}'
+    rows = [('{"type":"Feature","geometry":' + g + ',"properties":{"k":"%s"}}' % k,) for k, g in (("two", two), ("one", one), ("none", "null"))]
+    spark.createDataFrame(rows, "value string").write.text(f"{tmp_path}/in")
+    read = read_geojson(spark, f"{tmp_path}/in", {"k": "string"})
+    write_geojson(read.select("k", "polygons", "rings"), f"{tmp_path}/out")
+    back = read_geojson(spark, f"{tmp_path}/out", {"k": "string"})
+    got = {r.k: (r.geometry_text, r.polygons) for r in back.collect()}
+    assert got["two"][0] == two and got["one"][0] == one and got["none"][1] is None
+    wkt = {r.k: r.w for r in back.select("k", polygons_to_wkt("polygons").alias("w")).collect()}
+    assert wkt["two"].startswith("MULTIPOLYGON (((0.0 0.0") and wkt["one"].startswith("POLYGON ((0.0 0.0")
