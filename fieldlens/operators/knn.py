@@ -1,12 +1,15 @@
 """Exact nearest-neighbour classification without comparing every pair.
 
-Training rows are split into cells around a few pivot rows. The distances of a row to the pivots
-give an upper bound for its k-th neighbour (triangle inequality), and only cells that reach into
-that bound are visited. Cells are cut into blocks of bounded size on both sides; a task compares
-one block of test rows with one block of training rows and passes on k rows per test row.
+Training rows are split into cells around pivot rows, whose number grows with the rows, and a cell into rings by the
+distance to its pivot. The distances of a row to the pivots give an upper bound for its k-th neighbour (triangle
+inequality), and only rings that reach into that bound are visited. Rings are cut into blocks of bounded size on both
+sides; a task compares one block of test rows with one block of training rows and passes on k rows per test row.
+``compared_share`` tells how much of all pairs that is: little on data with clusters, all of it on data without.
 (After Lu, Shen, Chen, Ooi, "Efficient processing of k nearest neighbor joins using MapReduce", 2012.)
 """
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Window
@@ -15,6 +18,9 @@ from pyspark.sql import functions as F
 from fieldlens.operators.ranks import hash_key
 
 BLOCK_ROWS = 4096
+# rings of a cell, a power of two; pivots at least and at most
+MAX_RINGS = 64
+PIVOTS = (16, 256)
 
 
 def _pivot_distances(features, pivots):
@@ -29,56 +35,81 @@ def _literal(values, kind="double"):
     return F.array(*[F.lit(v).cast(kind) for v in values])
 
 
-def nearest_neighbours(train, test, features, id_column="field_id", label="label", k=5, n_pivots=16,
-                       block_rows=BLOCK_ROWS, seed=7):
-    """(id, neighbour_id, neighbour_label, distance, place) of the k nearest training rows.
-
-    Equal distances are ordered by the neighbour's id.
-    """
-    features = list(features)
+def _layout(train, test, features, id_column, label, k, n_pivots, block_rows, seed):
+    """(training rows, visits, rings): rows with their cell and ring, the rings each test row must visit, and a row per
+    ring with its number of training rows, blocks and salts. What reaches the driver is a few numbers per ring."""
+    spark = train.sparkSession
     as_double = [F.col(f).cast("double").alias(f) for f in features]
     train = train.select(F.col(id_column).alias("_sid"), F.col(label).alias("_label"), *as_double)
     test = test.select(F.col(id_column).alias("_rid"), *as_double)
-    id_type, label_type = train.schema["_sid"].dataType.simpleString(), train.schema["_label"].dataType.simpleString()
-
-    # the pivots and the statistics per pivot are few by construction, whatever the tables hold
+    n_pivots = n_pivots or max(PIVOTS[0], min(PIVOTS[1], math.isqrt(train.count()) // 16))
     pivots = train.orderBy(hash_key(seed, "_sid")).select(*features).limit(n_pivots).collect()
     if not pivots:
         raise ValueError("no training rows")
     train = train.withColumn("_d", _pivot_distances(features, pivots))
     train = train.withColumn("_own", F.array_min("_d")).withColumn(
         "_cell", (F.array_position("_d", F.col("_own")) - 1).cast("int")).drop("_d")
-    closest = Window.partitionBy("_cell").orderBy("_own")
-    sizes = {r["_cell"]: (r["radius"], r["n"]) for r in train.groupBy("_cell").agg(
-        F.max("_own").alias("radius"), F.count(F.lit(1)).alias("n")).collect()}
-    near = [(r["_cell"], r["_own"]) for r in train.select("_cell", "_own").withColumn(
-        "_place", F.row_number().over(closest)).where(F.col("_place") <= k).collect()]
-    cells = range(len(pivots))
-    radius = [sizes.get(c, (-1.0, 0))[0] for c in cells]
-    blocks = [-(-sizes.get(c, (0, 0))[1] // block_rows) for c in cells]
 
+    # quantiles of the distance in each cell are the edges of its rings; any edges give exact neighbours
+    cells = {r["_cell"]: r for r in train.groupBy("_cell").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.percentile_approx("_own", [i / MAX_RINGS for i in range(1, MAX_RINGS)], 1000).alias("q")).collect()}
+    edges = []
+    for cell in range(len(pivots)):
+        rings = 1
+        while cell in cells and rings < MAX_RINGS and rings * block_rows < cells[cell]["n"]:
+            rings *= 2
+        step = MAX_RINGS // rings
+        edges.append(_literal(sorted(set(cells[cell]["q"][step - 1::step][:rings - 1]))) if rings > 1 else F.array().cast("array<double>"))
+    own_edges = F.get(F.array(*edges), F.col("_cell"))
+    train = train.withColumn("_ring", F.size(F.filter(own_edges, lambda e: e < F.col("_own"))))
+    rings = [(r["_cell"], r["_ring"], r["lo"], r["hi"], r["n"], -(-r["n"] // block_rows)) for r in train.groupBy("_cell", "_ring").agg(
+        F.min("_own").alias("lo"), F.max("_own").alias("hi"), F.count(F.lit(1)).alias("n")).collect()]
+    shape = spark.createDataFrame(rings, "_cell int, _ring int, _lo double, _hi double, _n long, _blocks long")
+
+    closest = Window.partitionBy("_cell").orderBy("_own")
+    near = {}
+    for r in train.select("_cell", "_own").withColumn("_place", F.row_number().over(closest)).where(F.col("_place") <= k).collect():
+        near.setdefault(r["_cell"], []).append(r["_own"])
+    owns = F.array(*[_literal(near[c]) if c in near else F.array().cast("array<double>") for c in range(len(pivots))])
     test = test.withColumn("_d", _pivot_distances(features, pivots))
-    owns = F.array(*[_literal([own for c, own in near if c == cell]) if any(c == cell for c, _ in near)
-                     else F.array().cast("array<double>") for cell in cells])
     bounds = F.array_sort(F.flatten(F.zip_with("_d", owns, lambda d, own: F.transform(own, lambda o: d + o))))
     bound = F.coalesce(F.get(bounds, F.lit(k - 1)), F.lit(float("inf"))) * F.lit(1 + 1e-9) + F.lit(1e-12)
-    test = test.withColumn("_bound", bound)
-    reach = F.filter(
-        _literal(cells, "int"),
-        lambda c: (F.get(_literal(blocks, "int"), c) > 0)
-        & (F.get(F.col("_d"), c) - F.get(_literal(radius), c) <= F.col("_bound")))
-    visits = test.withColumn("_cell", F.explode(reach)).drop("_d", "_bound")
-    load = {r["_cell"]: r["count"] for r in visits.groupBy("_cell").count().collect()}
-    test_blocks = [max(1, -(-load.get(c, 0) // block_rows)) for c in cells]
-
-    visits = visits.withColumns({
-        "_block": F.explode(F.sequence(F.lit(0), F.get(_literal(blocks, "int"), F.col("_cell")) - 1)),
-        "_salt": F.pmod(F.xxhash64("_rid"), F.get(_literal(test_blocks, "int"), F.col("_cell"))).cast("int"),
-    })
-    train = train.withColumns({
-        "_block": F.pmod(F.xxhash64("_sid"), F.get(_literal(blocks, "int"), F.col("_cell"))).cast("int"),
-        "_salt": F.explode(F.sequence(F.lit(0), F.get(_literal(test_blocks, "int"), F.col("_cell")) - 1)),
-    }).drop("_own")
+    around = test.select("_rid", *features, bound.alias("_bound"), F.posexplode("_d").alias("_cell", "_to"))
+    visits = around.join(F.broadcast(shape), "_cell").where(
+        (F.col("_to") - F.col("_hi") <= F.col("_bound")) & (F.col("_lo") - F.col("_to") <= F.col("_bound")))
+    return train.drop("_own"), visits.select("_rid", *features, "_cell", "_ring"), rings
+
+
+def compared_share(train, test, features, id_column="field_id", label="label", k=5, n_pivots=None, block_rows=BLOCK_ROWS, seed=7):
+    """Share of all pairs of rows that ``nearest_neighbours`` compares."""
+    _, visits, rings = _layout(train, test, list(features), id_column, label, k, n_pivots, block_rows, seed)
+    sizes = {r[:2]: r[4] for r in rings}
+    met = sum(r["count"] * sizes[r["_cell"], r["_ring"]] for r in visits.groupBy("_cell", "_ring").count().collect())
+    return met / max(1, sum(sizes.values()) * test.count())
+
+
+def nearest_neighbours(train, test, features, id_column="field_id", label="label", k=5, n_pivots=None,
+                       block_rows=BLOCK_ROWS, seed=7):
+    """(id, neighbour_id, neighbour_label, distance, place) of the k nearest training rows.
+
+    Equal distances are ordered by the neighbour's id.
+    """
+    features = list(features)
+    train, visits, rings = _layout(train, test, features, id_column, label, k, n_pivots, block_rows, seed)
+    id_type, label_type = train.schema["_sid"].dataType.simpleString(), train.schema["_label"].dataType.simpleString()
+    load = {(r["_cell"], r["_ring"]): r["count"] for r in visits.groupBy("_cell", "_ring").count().collect()}
+    layout = F.broadcast(train.sparkSession.createDataFrame(
+        [(c, ring, blocks, max(1, -(-load.get((c, ring), 0) // block_rows))) for c, ring, _, _, _, blocks in rings],
+        "_cell int, _ring int, _blocks long, _salts long"))
+    visits = visits.join(layout, ["_cell", "_ring"]).withColumns({
+        "_block": F.explode(F.sequence(F.lit(0), (F.col("_blocks") - 1).cast("int"))),
+        "_salt": F.pmod(F.xxhash64("_rid"), F.col("_salts")).cast("int"),
+    }).drop("_blocks", "_salts")
+    train = train.join(layout, ["_cell", "_ring"]).withColumns({
+        "_block": F.pmod(F.xxhash64("_sid"), F.col("_blocks")).cast("int"),
+        "_salt": F.explode(F.sequence(F.lit(0), (F.col("_salts") - 1).cast("int"))),
+    }).drop("_blocks", "_salts")
 
     def compare(rows: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
         others = others.sort_values("_sid", kind="stable")
@@ -100,7 +131,7 @@ def nearest_neighbours(train, test, features, id_column="field_id", label="label
             }))
         return pd.concat(parts) if parts else pd.DataFrame({"_rid": [], "_sid": [], "_label": [], "_square": []})
 
-    keys = ["_cell", "_block", "_salt"]
+    keys = ["_cell", "_ring", "_block", "_salt"]
     local = visits.groupBy(*keys).cogroup(train.groupBy(*keys)).applyInPandas(
         compare, f"_rid {id_type}, _sid {id_type}, _label {label_type}, _square double")
     order = Window.partitionBy("_rid").orderBy("_square", "_sid")

@@ -317,3 +317,26 @@ def test_multipolygon_survives_the_round_trip(spark, tmp_path):
     assert got["two"][0] == two and got["one"][0] == one and got["none"][1] is None
     wkt = {r.k: r.w for r in back.select("k", polygons_to_wkt("polygons").alias("w")).collect()}
     assert wkt["two"].startswith("MULTIPOLYGON (((0.0 0.0") and wkt["one"].startswith("POLYGON ((0.0 0.0")
+
+
+def test_neighbours_of_clusters_compare_few_pairs(spark):
+    import numpy as np
+
+    from fieldlens.operators.knn import compared_share, nearest_neighbours
+
+    def clustered(n, seed):
+        rng = np.random.default_rng(seed)
+        centre = rng.integers(0, 12, n)
+        xy = np.stack([centre % 4 * 50.0, centre // 4 * 50.0], axis=1) + rng.normal(size=(n, 2)) * 3
+        return spark.createDataFrame([(i, int(c), float(a), float(b)) for i, (c, (a, b)) in enumerate(zip(centre, xy))],
+                                     "field_id int, label int, a double, b double"), xy
+
+    test, to = clustered(200, 1)
+    shares = []
+    for n in (500, 4000):
+        train, at = clustered(n, 2)
+        shares.append(compared_share(train, test, ["a", "b"], block_rows=64))
+    assert shares[1] < shares[0] < 0.5
+    got = nearest_neighbours(train, test, ["a", "b"], block_rows=64).toPandas().sort_values(["field_id", "place"])
+    order = np.argsort(((to[:, None] - at[None]) ** 2).sum(axis=2), axis=1, kind="stable")[:, :5]
+    assert (got["neighbour_id"].to_numpy().reshape(-1, 5) == order).all()
