@@ -5,6 +5,7 @@ import uuid
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from fieldlens.session import materialize  # noqa: F401
@@ -62,3 +63,23 @@ BROADCAST_ROWS = 1_000_000
 def small(df, rows=BROADCAST_ROWS):
     """The (written) table as a broadcast side if it has at most ``rows`` rows, else as it is, for Spark to shuffle."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def seeded_first(rows, by, n, seed, *key):
+    """The first ``n`` rows (a number, or one per group) of each group of column ``by`` in the order of a seeded hash of
+    ``key``, with their place as __place.
+
+    Groups are few, such as classes. Their sizes are counted first, and only rows whose hash is low enough to hold three
+    times the rows asked for are ranked, so what is shuffled doesn't grow with the table.
+    """
+    place = F.xxhash64(F.lit(seed), *key)
+    low = F.lit(False)
+    wanted = F.lit(0)
+    for group, size in rows.groupBy(by).count().collect():
+        most = n[group] if isinstance(n, dict) else n
+        bound = min(2 ** 63 - 1, -2 ** 63 + int(2 ** 64 * 3 * most / size)) if size > 3 * most else 2 ** 63 - 1
+        same = F.col(by).eqNullSafe(F.lit(group))
+        low, wanted = low | (same & (F.col("__hash") <= bound)), F.when(same, most).otherwise(wanted)
+    order = Window.partitionBy(by).orderBy("__hash", *key)
+    ranked = rows.withColumn("__hash", place).filter(low).withColumn("__place", F.row_number().over(order))
+    return ranked.filter(F.col("__place") <= wanted).drop("__hash")

@@ -14,11 +14,10 @@ import sys
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fieldlens.llm.common import keep, text_groups
+from fieldlens.llm.common import keep, seeded_first, text_groups
 
 UNDETERMINED = "und"
 # Bounds of the labelled sample of a language: documents, characters of one document, symbols learnt in all.
@@ -164,10 +163,9 @@ def labelled_sample(docs, text="text", lang="lang", doc_id="doc_id", train_docs=
     longer than ``symbols`` it alone is taken.
     """
     fit = keep(docs, doc_id, text, lang).filter(F.col(lang).isNotNull() & F.length(text).between(1, doc_chars))
-    order = Window.partitionBy(lang).orderBy(F.xxhash64(F.lit(5), F.col(doc_id)), doc_id, F.xxhash64(text))
-    chosen = fit.withColumn("__n", F.row_number().over(order)).filter(F.col("__n") <= train_docs)
+    chosen = seeded_first(fit, lang, train_docs, 5, doc_id, text).select(F.col(lang).alias("lang"), F.col(text).alias("text"), "__place")
     samples, sizes = {}, {}
-    for r in sorted(chosen.select(F.col(lang).alias("lang"), F.col(text).alias("text"), "__n").collect(), key=lambda r: (r["lang"], r["__n"])):
+    for r in sorted(chosen.collect(), key=lambda r: (r["lang"], r["__place"])):
         if not any(c.isalpha() for c in r["text"]):
             continue
         if sizes.get(r["lang"], 0) + len(r["text"]) <= symbols or r["lang"] not in samples:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fieldlens.llm.common import keep, materialize, text_groups
+from fieldlens.llm.common import keep, materialize, seeded_first, text_groups
 
 GOOD, BAD, NONE = "1", "0", "-"
 SYMBOLS = re.compile(r"[#*$%&|<>~^\\{}]")
@@ -202,10 +202,9 @@ def label_model(voted):
 def train_scorer(docs, posteriors, text="text", doc_id="doc_id", train_docs=TRAIN_DOCS, doc_chars=TRAIN_DOC_CHARS):
     """Scorer trained on a bounded sample: the first ``train_docs`` whole texts of at most ``doc_chars`` characters in a
     seeded order, with the posteriors of their votes."""
-    fit = keep(docs, doc_id, text).filter(F.length(text).between(1, doc_chars))
-    ids = fit.select(F.xxhash64(F.lit(3), doc_id, text).alias("__k")).orderBy("__k").limit(train_docs)
-    rows = fit.withColumn("__k", F.xxhash64(F.lit(3), doc_id, text)).join(F.broadcast(ids.distinct()), "__k")
-    texts = [r[0] for r in rows.select(text, "__k").orderBy("__k").limit(train_docs).collect()]
+    fit = keep(docs, doc_id, text).filter(F.length(text).between(1, doc_chars)).withColumn("__all", F.lit(1))
+    chosen = seeded_first(fit, "__all", train_docs, 3, doc_id, text)
+    texts = [r[0] for r in chosen.select(text, "__place").orderBy("__place").collect()]
     known = {}
     return fit_scorer([features(t, known) for t in texts], np.array([posteriors.get(votes(t), 0.5) for t in texts]))
 
