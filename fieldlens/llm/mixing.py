@@ -17,7 +17,7 @@ from fieldlens.llm.common import WORD, keep, materialize, need
 
 WEIGHTS = (5, 2, 1)
 BLOCK_WORDS = 32
-SHARD_DOCS = 20_000
+SHARD_DOCS = 1_000
 MAX_REPEATS = 3
 
 
