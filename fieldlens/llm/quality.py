@@ -18,7 +18,7 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 MAX_LINE_DOCS = 20
 MAX_LINE_SHARE = 0.001
-MIN_LEFT_PERCENT = 50
+MIN_LEFT_PERCENT = 30
 
 
 def words_of(text):

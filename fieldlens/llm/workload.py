@@ -69,7 +69,7 @@ OP9_SQL = f"""
                coalesce(p.n, 0) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words, coalesce(m.n, 0)::bigint AS removed_words
         FROM docs d LEFT JOIN repeated r USING (doc_id) LEFT JOIN dups p USING (doc_id) LEFT JOIN removed m USING (doc_id))
     SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
-           NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND 100 * (n_words - removed_words) >= 50 * n_words AS kept
+           NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND 100 * (n_words - removed_words) >= 30 * n_words AS kept
     FROM stats"""
 
 

@@ -75,7 +75,7 @@ def quality(rows, most=20):
         lines = (text or "").split("\n")
         gone = [x for x in lines if words(x) and (host, normal(x)) in many]
         n, lost = len(words(text)), sum(len(words(x)) for x in gone)
-        out[doc, text, host] = (not base_failed(text) and 100 * (n - lost) >= 50 * n, "\n".join(x for x in lines if x not in gone))
+        out[doc, text, host] = (not base_failed(text) and 100 * (n - lost) >= 30 * n, "\n".join(x for x in lines if x not in gone))
     return out
 
 
