@@ -1,9 +1,6 @@
 """Helpers shared by the text operators."""
 
-import uuid
-
 import numpy as np
-import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -18,11 +15,6 @@ SPACE = "[\\x20\\x09-\\x0D]+"
 PASS_CHARS = 4_000_000
 
 
-def fresh(name):
-    """A column name that no input column has."""
-    return f"__{name}_{uuid.uuid4().hex[:8]}"
-
-
 def need(df, *columns):
     """Raise if a column that an operator reads is missing, or named twice up to case."""
     names = [c.lower() for c in df.columns]
@@ -50,12 +42,6 @@ def text_groups(texts, limit=PASS_CHARS):
         yield start, len(sizes)
 
 
-def arrow_rows(columns, schema):
-    return pa.RecordBatch.from_arrays(
-        [pa.array(v, f.type) if not isinstance(v, (pa.Array, pa.ChunkedArray)) else v for v, f in zip(columns, schema, strict=True)],
-        schema=schema)
-
-
 # Rows of a table of short terms or counts that may be sent to every executor: about 100 MB.
 BROADCAST_ROWS = 1_000_000
 

@@ -1,7 +1,7 @@
 """Brute-force versions of the text operators, in plain Python over lists of rows."""
 
 import re
-from collections import Counter, defaultdict
+from collections import defaultdict
 
 import xxhash
 
@@ -144,7 +144,3 @@ def phrases(symbols, known):
             size += 1
         at, n = at + size, n + 1
     return n
-
-
-def counts(values):
-    return Counter(values)
