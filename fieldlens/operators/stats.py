@@ -22,20 +22,22 @@ def pearson(x, y):
 def corr_matrix(df, columns, by=()):
     """Pearson coefficient of every pair, pairwise complete, as (row_name, col_name, corr).
 
-    One aggregate holds the upper half; the lower half is its mirror.
+    Each row is dealt out to the pairs of the upper half and one aggregate combines them on the map side: a plan of the
+    same size for any number of columns. The lower half is the mirror of the upper.
     """
     columns, by = list(columns), list(by)
-    clean = df.select(*by, *[nan_to_null(F.col(c).cast("double")).alias(c) for c in columns])
-    half = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    wide = clean.groupBy(*by).agg(*[pearson(F.col(a), F.col(b)).alias(f"_{i}") for i, (a, b) in enumerate(half)])
-    at = {pair: F.col(f"_{i}") for i, pair in enumerate(half)}
-    cells = [
-        F.struct(F.lit(a).alias("row_name"), F.lit(b).alias("col_name"),
-                 nan_to_null(at.get((a, b), at.get((b, a)))).alias("corr"),
-                 F.lit(i).alias("row_no"), F.lit(j).alias("col_no"))
-        for i, a in enumerate(columns) for j, b in enumerate(columns)
-    ]
-    return wide.select(*by, F.explode(F.array(*cells)).alias("_c")).select(*by, "_c.*")
+    values = F.array(*[nan_to_null(F.col(c).cast("double")) for c in columns])
+    half = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in range(len(columns)) for j in range(i, len(columns))])
+    pairs = F.explode(F.transform(half, lambda p: F.struct(
+        p["i"].alias("i"), p["j"].alias("j"), F.get(F.col("_v"), p["i"]).alias("x"), F.get(F.col("_v"), p["j"]).alias("y"))))
+    dealt = df.select(*by, values.alias("_v")).select(*by, pairs.alias("_p")).select(*by, "_p.*")
+    upper = dealt.groupBy(*by, "i", "j").agg(nan_to_null(pearson(F.col("x"), F.col("y"))).alias("corr"))
+    cell = lambda i, j: F.struct(F.col(i).alias("row_no"), F.col(j).alias("col_no"))
+    both = F.when(F.col("i") == F.col("j"), F.array(cell("i", "j"))).otherwise(F.array(cell("i", "j"), cell("j", "i")))
+    names = F.array(*[F.lit(c) for c in columns])
+    cells = upper.select(*by, "corr", F.explode(both).alias("_c")).select(*by, "corr", "_c.*")
+    return cells.select(*by, F.get(names, F.col("row_no")).alias("row_name"), F.get(names, F.col("col_no")).alias("col_name"),
+                        "corr", "row_no", "col_no")
 
 
 def corr_lower(matrix):
