@@ -6,7 +6,7 @@ import zipfile
 import pandas as pd
 from pyspark.sql import functions as F
 
-from fieldlens.constants import SCORE_COLUMNS, SUMMARY_BANDS
+from fieldlens.constants import ALL_BANDS, SCORE_COLUMNS, SUMMARY_BANDS
 from fieldlens.functions.geometry import with_bbox
 from fieldlens.operators import bandstats, clouds
 from fieldlens.session import scratch_path
@@ -152,18 +152,18 @@ def long_crops(t, bands=SUMMARY_BANDS):
 
 CROP_SQL = " UNION ALL ".join(
     f"SELECT field_id, '{b}' AS band, count({b}) AS n_pixels, sum({b})::bigint AS total FROM fx_pixels GROUP BY field_id"
-    for b in SUMMARY_BANDS)
+    for b in ALL_BANDS)
 
 
-def stored_crops(t):
+def stored_crops(t, bands=SUMMARY_BANDS):
     path = scratch_path(t.spark, "crops")
-    sinks.write_crops(long_crops(t), path)
+    sinks.write_crops(long_crops(t, bands), path)
     return path
 
 
 @query("write_crops", CROP_SQL)
 def _(t):
-    back = t.spark.read.parquet(stored_crops(t))
+    back = t.spark.read.parquet(stored_crops(t, ALL_BANDS))
     return back.groupBy("field_id", "band").agg(F.count("value").alias("n_pixels"), F.sum("value").alias("total"))
 
 
@@ -175,10 +175,10 @@ def _(t):
 
 
 @query("list_product_files", "SELECT identifier AS product, band, 1 AS listed FROM fx_products, (VALUES "
-       + ", ".join(f"('{b}')" for b in SUMMARY_BANDS) + ") b(band)")
+       + ", ".join(f"('{b}')" for b in ALL_BANDS) + ") b(band)")
 def _(t):
     path = scratch_path(t.spark, "archive")
-    names = F.explode(F.array(*[F.lit(b) for b in SUMMARY_BANDS]))
+    names = F.explode(F.array(*[F.lit(b) for b in ALL_BANDS]))
     listed = t.products.select(F.concat("identifier", F.lit(".SAFE/GRANULE")).alias("product"), names.alias("IMG_DATA"), F.lit("-").alias("value"))
     listed.write.partitionBy("product", "IMG_DATA").text(path)
     files = rasters.list_product_files(t.spark, path, glob="*.txt", product_pattern=r"product=([^/]+)\.SAFE")
