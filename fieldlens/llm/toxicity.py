@@ -11,19 +11,20 @@ Recursions run over all sentences of a batch at once, one step per token positio
 
 import math
 import re
+import sys
 import uuid
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fieldlens.llm.common import keep, need, text_groups
+from fieldlens.llm.common import keep, need, seeded_first, text_groups
 
 # Bounds of the labelled sample: documents of each label, and characters of a document that may be learnt from.
-TRAIN_TOXIC, TRAIN_CLEAN, TRAIN_DOC_CHARS = 1_200, 2_400, 30_000
+TRAIN_TOXIC, TRAIN_CLEAN, TRAIN_DOC_CHARS = 1_200, 2_400, 20_000
 PREDICT_FROM = 0.7
 # A token: letters and digits, or an end of a sentence.
 TOKEN = re.compile(r"[^\W_]+|[.!?\n]")
@@ -45,8 +46,13 @@ def names(word):
     return [word + "$", *(word[:n] for n in PREFIXES if n <= len(word))]
 
 
+def feature_ids(word):
+    """Hashes of the features, which take less memory than their texts."""
+    return [zlib.crc32(f.encode()) for f in names(word)]
+
+
 def buckets(word):
-    return [zlib.crc32(f.encode()) % FEATURES for f in names(word)]
+    return [f % FEATURES for f in feature_ids(word)]
 
 
 def evidence(a, b, n_toxic, n_clean):
@@ -61,17 +67,21 @@ def evidence(a, b, n_toxic, n_clean):
 
 
 def toxic_features(tokens, labels, families):
-    """Features that go with toxic documents. Documents of one family (copies) count once per label."""
-    seen = {0: {}, 1: {}}
-    sizes = {0: set(), 1: set()}
-    for words, label, family in zip(tokens, labels, families, strict=True):
-        sizes[label].add(family)
-        for f in {f for w in set(words) - ENDS for f in names(w)}:
-            seen[label].setdefault(f, set()).add(family)
-    n1, n0 = len(sizes[1]), len(sizes[0])
+    """Hashes of the features that go with toxic documents. Documents of one family (copies) count once per label."""
+    members = {}
+    for i, key in enumerate(zip(labels, families, strict=True)):
+        members.setdefault(key, []).append(i)
+    seen = {0: Counter(), 1: Counter()}
+    # toxic families first: of the others only features that may be toxic are counted
+    for (label, _), docs in sorted(members.items(), key=lambda m: -m[0][0]):
+        words = set().union(*(tokens[i] for i in docs)) - ENDS
+        features = {f for w in words for f in feature_ids(w)}
+        seen[label].update(features if label else features & seen[1].keys())
+    n1 = sum(label for label, _ in members)
+    n0 = len(members) - n1
     found = set()
-    for f, docs in seen[1].items():
-        a, b = len(docs), len(seen[0].get(f, ()))
+    for f, a in seen[1].items():
+        b = seen[0][f]
         if a >= MIN_DOCS and a * n0 >= MIN_RATIO * max(b, 0.5) * n1 and evidence(a, b, n1, n0) >= MIN_EVIDENCE:
             found.add(f)
     return found
@@ -248,9 +258,7 @@ def labelled_sample(docs, labels, text="text", doc_id="doc_id", label="toxic", l
     rows = keep(labels, doc_id, label).filter(F.col(label).isin(0, 1) & F.col(doc_id).isNotNull())
     if learn is not None:
         rows = rows.filter(learn)
-    order = Window.partitionBy(label).orderBy(F.xxhash64(F.lit(2), F.col(doc_id)), doc_id)
-    rows = rows.distinct().withColumn("__n", F.row_number().over(order))
-    ids = rows.filter(F.col("__n") <= F.when(F.col(label) == 1, toxic).otherwise(clean)).select(
+    ids = seeded_first(rows.distinct(), label, {0: clean, 1: toxic}, 2, doc_id).select(
         F.col(doc_id).alias("__id"), F.col(label).cast("int").alias("__label"))
     found = keep(docs, doc_id, text).filter(F.length(text).between(1, doc_chars)).join(
         F.broadcast(ids), F.col(doc_id) == F.col("__id"))  # at most toxic + clean rows
@@ -262,10 +270,10 @@ def train(sample):
     texts, labels = [t for t, _ in sample], [y for _, y in sample]
     if len(set(labels)) < 2:
         return None
-    tokens = [TOKEN.findall(t.lower()) for t in texts]
+    tokens = [list(map(sys.intern, TOKEN.findall(t.lower()))) for t in texts]
     families = [hash(max(t.split("\n"), key=lambda line: (len(line), line))) for t in texts]
     marked = toxic_features(tokens, labels, families)
-    toxic_words = {w for words in tokens for w in words if w not in ENDS and any(f in marked for f in names(w))}
+    toxic_words = {w for words in tokens for w in words if w not in ENDS and any(f in marked for f in feature_ids(w))}
     token_labels = [int(y == 1 and w in toxic_words) for words, y in zip(tokens, labels, strict=True) for w in words]
     weights, move = fit_field([w for words in tokens for w in words], token_labels, [len(words) for words in tokens])
     scorer = Scorer(weights, move, np.zeros(SUMMARIES))
