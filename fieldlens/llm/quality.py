@@ -1,8 +1,8 @@
 """Quality rules: text statistics of each document and the frequency of its lines across the documents of a host.
 
 Lines are normalised and hashed, distinct documents are counted per host and line, lines above the host's limit go, and a
-document that loses too many of its words is rejected. Copies and near copies of one document count once: documents whose
-longest line agrees are one document in these counts (a family of copies is the work of deduplication, not of this rule).
+document that loses too many of its words is rejected. Copies of one document count once: documents whose whole text agrees
+are one document in these counts (a family of copies is the work of deduplication, not of this rule).
 
 Everything is DataFrame functions. Statistics come from arrays within the row, so a text is never shuffled for them; only
 line hashes are, and their hot groups combine on the map side or are dealt by (host, line, document).
@@ -60,17 +60,15 @@ def _name(column):
 
 
 def document_lines(docs, text="text", host="source", doc_id="doc_id"):
-    """A row per line that has a word: __id and __key (of the document), __host, pos, line, n_words, document.
+    """A row per line that has a word: __id and __key (of the document), __host, pos, line, n_words.
 
-    ``document`` stands for the document in counts: the hash of its longest line.
+    ``__key``, the hash of the whole text, stands for the document in counts.
     """
     lines = F.expr(f"filter(transform(split({_name(text)}, '\\n'), l -> translate(array_join(array_remove(split(l, r'{SPACE}'), ''), ' '), "
                    f"'{ASCII_UPPER}', '{ASCII_LOWER}')), l -> l <> '')")
-    longest = F.expr("xxhash64(array_max(transform(__lines, l -> struct(length(l) AS n, l AS l))).l)")
     base = docs.select(F.col(doc_id).alias("__id"), F.xxhash64(text).alias("__key"), F.col(host).alias("__host"), lines.alias("__lines"))
-    found = base.withColumn("document", longest).select(
-        "__id", "__key", "__host", "document", F.posexplode("__lines").alias("pos", "l"))
-    return found.select("__id", "__key", "__host", "document", "pos", F.xxhash64("l").alias("line"),
+    found = base.select("__id", "__key", "__host", F.posexplode("__lines").alias("pos", "l"))
+    return found.select("__id", "__key", "__host", "pos", F.xxhash64("l").alias("line"),
                         (F.length("l") - F.length(F.translate("l", " ", "")) + 1).cast("long").alias("n_words"))
 
 
@@ -81,7 +79,7 @@ def frequent_lines(lines, max_docs=MAX_LINE_DOCS, max_share=MAX_LINE_SHARE):
     """
     limits = lines.groupBy("__host").agg(F.countDistinct("__id", "__key").alias("n")).select(
         F.col("__host").alias("__limit_host"), F.greatest(F.lit(max_docs), F.ceil(F.col("n") * max_share)).alias("most"))
-    counts = lines.groupBy("__host", "line").agg(F.countDistinct("document").alias("n_docs")).filter(F.col("n_docs") > max_docs)
+    counts = lines.groupBy("__host", "line").agg(F.countDistinct("__key").alias("n_docs")).filter(F.col("n_docs") > max_docs)
     return counts.join(limits, F.col("__host").eqNullSafe(F.col("__limit_host"))).filter("n_docs > most").select("__host", "line")
 
 

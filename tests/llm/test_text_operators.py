@@ -365,6 +365,15 @@ def test_quality_rules_equal_plain_counts(spark, odd, empty):
     assert quality.quality_rules(empty).count() == 0
 
 
+def test_a_long_line_counts_every_document_that_holds_it(spark):
+    notice = prose(500, 120)  # the longest line of each of its documents
+    made = [(i, notice + "\n" + prose(600 + i, 20), "h") for i in range(25)] + [(100 + i, prose(700 + i, 60), "h") for i in range(5)]
+    made += [(200 + i, notice + "\n" + prose(800, 20), "copies") for i in range(25)]
+    got = {r.doc_id: r for r in quality.quality_rules(spark.createDataFrame(made, DOCS)).collect()}
+    assert all(got[i].removed_words == 120 and not got[i].kept for i in range(25))
+    assert all(got[i].removed_words == 0 and got[i].kept for i in (*range(100, 105), *range(200, 225)))
+
+
 # --- urls -------------------------------------------------------------------
 
 RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
