@@ -1,6 +1,6 @@
 """Quality rules: text statistics of each document and the frequency of its lines across the documents of a host.
 
-Lines are normalised and hashed, distinct documents are counted per host and line, lines above the host's limit go, and a
+Lines are normalised and hashed, distinct documents are counted per host and line, lines above the limit go, and a
 document that loses too many of its words is rejected. Copies of one document count once: documents whose whole text agrees
 are one document in these counts (a family of copies is the work of deduplication, not of this rule).
 
@@ -17,7 +17,6 @@ SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 MAX_LINE_DOCS = 20
-MAX_LINE_SHARE = 0.001
 MIN_LEFT_PERCENT = 30
 
 
@@ -72,21 +71,16 @@ def document_lines(docs, text="text", host="source", doc_id="doc_id"):
                         (F.length("l") - F.length(F.translate("l", " ", "")) + 1).cast("long").alias("n_words"))
 
 
-def frequent_lines(lines, max_docs=MAX_LINE_DOCS, max_share=MAX_LINE_SHARE):
-    """(__host, line) of the lines found in more distinct documents of a host than its limit.
-
-    The limit is ``max_docs``, or ``max_share`` of the host's documents if that is more.
-    """
-    limits = lines.groupBy("__host").agg(F.countDistinct("__id", "__key").alias("n")).select(
-        F.col("__host").alias("__limit_host"), F.greatest(F.lit(max_docs), F.ceil(F.col("n") * max_share)).alias("most"))
-    counts = lines.groupBy("__host", "line").agg(F.countDistinct("__key").alias("n_docs")).filter(F.col("n_docs") > max_docs)
-    return counts.join(limits, F.col("__host").eqNullSafe(F.col("__limit_host"))).filter("n_docs > most").select("__host", "line")
+def frequent_lines(lines, max_docs=MAX_LINE_DOCS):
+    """(__host, line) of the lines found in more than ``max_docs`` distinct documents of a host, whatever its size."""
+    counts = lines.groupBy("__host", "line").agg(F.countDistinct("__key").alias("n_docs"))
+    return counts.filter(F.col("n_docs") > max_docs).select("__host", "line")
 
 
-def removed_lines(docs, text="text", host="source", doc_id="doc_id", max_docs=MAX_LINE_DOCS, max_share=MAX_LINE_SHARE):
+def removed_lines(docs, text="text", host="source", doc_id="doc_id", max_docs=MAX_LINE_DOCS):
     """A row per document that loses lines: __id, __key, removed_words, removed (hashes of its removed lines)."""
     lines = materialize(document_lines(keep(docs, doc_id, text, host), text, host, doc_id), "quality-lines")
-    frequent = materialize(frequent_lines(lines, max_docs, max_share), "quality-frequent").select(
+    frequent = materialize(frequent_lines(lines, max_docs), "quality-frequent").select(
         F.col("__host").alias("__frequent_host"), F.col("line").alias("__line"))
     hits = lines.join(frequent, F.col("__host").eqNullSafe(F.col("__frequent_host")) & (F.col("line") == F.col("__line")))
     # a row of the table that occurs twice has its lines once
@@ -95,7 +89,7 @@ def removed_lines(docs, text="text", host="source", doc_id="doc_id", max_docs=MA
 
 
 def quality_rules(docs, text="text", host="source", doc_id="doc_id", with_lines=False, min_words=MIN_WORDS,
-                  max_repeat_percent=MAX_REPEAT_PERCENT, max_docs=MAX_LINE_DOCS, max_share=MAX_LINE_SHARE,
+                  max_repeat_percent=MAX_REPEAT_PERCENT, max_docs=MAX_LINE_DOCS,
                   min_left_percent=MIN_LEFT_PERCENT):
     """One row per row of ``docs``: the id, text_key (hash of the text), n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words, removed_words, base_failed, kept; with ``with_lines`` also removed, the hashes of the removed lines
@@ -109,7 +103,7 @@ def quality_rules(docs, text="text", host="source", doc_id="doc_id", with_lines=
     Statistics are written before anything is asked of them, so a filter on them never runs them twice.
     """
     need(docs, doc_id, text, host)
-    removed = removed_lines(docs, text, host, doc_id, max_docs, max_share).withColumnsRenamed({"__id": "__rid", "__key": "__rkey"})
+    removed = removed_lines(docs, text, host, doc_id, max_docs).withColumnsRenamed({"__id": "__rid", "__key": "__rkey"})
     read = keep(docs, doc_id, text).withColumn("text_key", F.xxhash64(text))
     stats = materialize(text_statistics(read, text).select(
         doc_id, "text_key", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"), "quality-statistics")

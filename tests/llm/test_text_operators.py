@@ -374,6 +374,13 @@ def test_a_long_line_counts_every_document_that_holds_it(spark):
     assert all(got[i].removed_words == 0 and got[i].kept for i in (*range(100, 105), *range(200, 225)))
 
 
+def test_the_line_limit_does_not_grow_with_the_host(spark):
+    ids = spark.range(30_000).withColumns({"text": F.concat(F.lit("own line "), "id"), "source": F.lit("h")})
+    shared = spark.range(30_000, 30_025).withColumns({"text": F.concat(F.lit("shared line\nown line "), "id"), "source": F.lit("h")})
+    lines = quality.document_lines(ids.union(shared), doc_id="id")
+    assert quality.frequent_lines(lines).count() == 1
+
+
 # --- urls -------------------------------------------------------------------
 
 RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/"))
