@@ -23,15 +23,16 @@ UNDETERMINED = "und"
 # Bounds of the labelled sample of a language: documents, characters of one document, symbols learnt in all.
 TRAIN_DOCS, TRAIN_DOC_CHARS, TRAIN_SYMBOLS = 400, 20_000, 32_000
 BLOCK = 512
-# Letters with a symbol of their own; the rest share one that no automaton knows.
-MAX_ALPHABET = 250
+# Transitions of a language that are held as a full table; an automaton with more is held as a sorted list of them.
+DENSE_CELLS = 4_000_000
+# Each letter of the samples has a symbol of its own; letters that no sample has share one that no automaton knows.
 SEPARATOR, UNKNOWN = 0, 1
 
 _MODELS = {}
 
 
-def suffix_automaton(symbols, size):
-    """Transitions of the suffix automaton of a sequence: int32 array (states, size), -1 where there is none."""
+def suffix_automaton(symbols):
+    """Transitions of the suffix automaton of a sequence: a dictionary {symbol: state} per state."""
     step, link, length, last = [{}], [-1], [0], 0
     for c in symbols:
         cur = len(step)
@@ -56,11 +57,53 @@ def suffix_automaton(symbols, size):
                     p = link[p]
                 link[q] = link[cur] = clone
         last = cur
-    table = np.full((len(step), size), -1, dtype="int32")
-    for state, moves in enumerate(step):
-        for c, to in moves.items():
-            table[state, c] = to
-    return table
+    return step
+
+
+class Dense:
+    """Moves of an automaton by a table over the symbols that the language has; a column for all others."""
+
+    def __init__(self, step, own, size):
+        # a symbol that the language doesn't know is a phrase by itself: a state that leads nowhere
+        table = np.full((len(step) + 1, len(own) + 1), -1, dtype="int32")
+        column = {c: i for i, c in enumerate(own)}
+        for state, moves in enumerate(step):
+            for c, to in moves.items():
+                table[state, column[c]] = to
+        table[0] = np.where(table[0] >= 0, table[0], len(step))
+        # where there is no way on, a phrase ends: go on as from the root, marked by the bits' complement
+        width, root = table.shape[1], table[0]
+        self.table = np.where(table >= 0, table * width, ~(root * width)[None, :]).astype("int32").ravel()
+        self.column = np.full(size, len(own), dtype="int32")
+        self.column[own] = np.arange(len(own), dtype="int32")
+
+    def symbols(self, turned):
+        return self.column[turned]
+
+    def move(self, state, symbol):
+        return self.table[state + symbol]
+
+
+class Sparse:
+    """The same moves by binary search among the transitions there are, for large alphabets."""
+
+    def __init__(self, step, own, size):
+        self.size = size
+        moves = [(state * size + c, to) for state, found in enumerate(step) for c, to in found.items()]
+        moves = np.array(sorted(moves), dtype="int64").reshape(-1, 2)
+        self.keys, self.to = moves[:, 0].copy(), moves[:, 1].astype("int32")
+        self.root = np.full(size, len(step), dtype="int32")
+        for c, to in step[0].items():
+            self.root[c] = to
+
+    def symbols(self, turned):
+        return turned
+
+    def move(self, state, symbol):
+        wanted = state.astype("int64") * self.size + symbol
+        at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+        root = self.root[symbol]
+        return np.where(self.keys[at] == wanted, self.to[at], np.where(state == 0, root, ~root))
 
 
 def letters():
@@ -81,23 +124,19 @@ class CrossParser:
         self.languages = sorted(samples)
         points = {lang: code_points(samples[lang].lower()) for lang in self.languages}
         seen = np.concatenate([*points.values(), np.zeros(0, dtype="uint32")])
-        values, counts = np.unique(seen[letters()[seen]], return_counts=True)
-        kept = values[np.lexsort((values, -counts))][:MAX_ALPHABET]
-        self.symbol = np.where(letters(), UNKNOWN, SEPARATOR).astype("uint8")
-        self.symbol[kept] = np.arange(2, 2 + len(kept), dtype="uint8")
-        size = 2 + len(kept)
-        self.tables, self.cost = [], []
+        values = np.unique(seen[letters()[seen]])
+        size = 2 + len(values)
+        self.dtype = np.min_scalar_type(size)
+        self.symbol = np.where(letters(), UNKNOWN, SEPARATOR).astype(self.dtype)
+        self.symbol[values] = np.arange(2, size)
+        self.automata, self.cost = [], []
         for lang in self.languages:
             learnt = self.symbols(points[lang])
-            known = learnt[learnt != UNKNOWN].tolist()
-            table = suffix_automaton(known, size)
-            # a symbol that the language doesn't know is a phrase by itself: a state that leads nowhere
-            table = np.concatenate([table, np.full((1, size), -1, dtype="int32")])
-            table[0] = np.where(table[0] >= 0, table[0], len(table) - 1)
-            # where there is no way on, a phrase ends: go on as from the root, marked by the bits' complement
-            root = table[0]
-            self.tables.append(np.where(table >= 0, table * size, ~(root * size)[None, :]).astype("int32").ravel())
-            self.cost.append(math.log2(len(known) + 2))
+            own = np.unique(learnt)
+            step = suffix_automaton(learnt.tolist())
+            form = Dense if not len(own) or (len(step) + 1) * (len(own) + 1) <= DENSE_CELLS else Sparse
+            self.automata.append(form(step, own.tolist(), size))
+            self.cost.append(math.log2(len(learnt) + 2))
 
     def symbols(self, points):
         found = self.symbol[points]
@@ -109,15 +148,16 @@ class CrossParser:
         """Phrases of each block in each language: blocks (n, BLOCK) of symbols, sizes descending."""
         turned = np.ascontiguousarray(blocks.T)
         active = np.searchsorted(-sizes, -np.arange(1, BLOCK + 1), side="right")
-        out = np.empty((len(self.tables), len(sizes)), dtype="int64")
-        for k, table in enumerate(self.tables):
+        out = np.empty((len(self.automata), len(sizes)), dtype="int64")
+        for k, automaton in enumerate(self.automata):
+            own = automaton.symbols(turned)
             state = np.zeros(len(sizes), dtype="int32")
             ends = np.zeros(len(sizes), dtype="int32")
             for t in range(BLOCK):
                 n = active[t]
                 if not n:
                     break
-                to = table[state[:n] + turned[t, :n]]
+                to = automaton.move(state[:n], own[t, :n])
                 miss = to >> 31
                 ends[:n] -= miss
                 state[:n] = to ^ miss
@@ -126,7 +166,7 @@ class CrossParser:
 
     def predict(self, texts):
         """(language, score) of each text."""
-        each = [self.symbols(code_points(t.lower())) if t else np.zeros(0, dtype="uint8") for t in texts]
+        each = [self.symbols(code_points(t.lower())) if t else np.zeros(0, dtype=self.dtype) for t in texts]
         sizes = np.array([len(s) for s in each], dtype="int64")
         has_letter = np.array([bool((s != SEPARATOR).any()) for s in each])
         label = [UNDETERMINED] * len(texts)
@@ -135,7 +175,7 @@ class CrossParser:
             return label, score
         per = -(-sizes // BLOCK)
         owner = np.repeat(np.arange(len(each)), per)
-        blocks = np.zeros((int(per.sum()), BLOCK), dtype="uint8")
+        blocks = np.zeros((int(per.sum()), BLOCK), dtype=self.dtype)
         lengths = np.empty(len(blocks), dtype="int64")
         row = 0
         for s in each:

@@ -217,6 +217,31 @@ def test_language_id(spark, odd, empty):
     assert langid.language_id(empty.withColumn("lang", F.lit("en"))).count() == 0
 
 
+@pytest.mark.parametrize("cells", (langid.DENSE_CELLS, 0))
+def test_large_alphabets_keep_every_letter(monkeypatch, cells):
+    monkeypatch.setattr(langid, "DENSE_CELLS", cells)
+    rng = random.Random(5)
+
+    def text(first, n, seed):
+        words = ["".join(chr(first + random.Random(w).randrange(n)) for w in range(7 * k, 7 * k + 3)) for k in range(400)]
+        random.Random(n).shuffle(words)
+        return " ".join(random.Random(seed).choices(words, k=300))
+
+    scripts = {"han": (0x4E00, 3000), "hangul": (0xAC00, 2500), "yi": (0xA000, 1100), "greek": (0x3B1, 17)}
+    samples = {k: text(*v, 1) for k, v in scripts.items()}
+    parser = langid.CrossParser(samples)
+    for k in scripts:
+        assert not (parser.symbols(langid.code_points(samples[k])) == langid.UNKNOWN).any()
+        assert parser.predict([text(*scripts[k], 2)])[0] == [k]
+    for t in ("".join(rng.choices(samples["han"] + samples["greek"] + "qz", k=300)), samples["yi"][40:300] + samples["hangul"][9:90]):
+        symbols = parser.symbols(langid.code_points(t))
+        block = np.zeros((1, langid.BLOCK), dtype=symbols.dtype)
+        block[0, :len(symbols)] = symbols
+        got = parser.phrases(block, np.array([len(symbols)]))[:, 0].tolist()
+        learnt = ["".join(map(chr, parser.symbols(langid.code_points(samples[k])))) for k in parser.languages]
+        assert got == [plain.phrases("".join(map(chr, symbols)), x) for x in learnt]
+
+
 # --- SimHash ----------------------------------------------------------------
 
 def signed(x):
