@@ -125,7 +125,8 @@ def contamination(docs, items, text="text", doc_id="doc_id", item_text="text", i
     both = both.withColumn("__hits", F.expr(
         "filter(transform(__found, f -> struct(f.item_id AS item_id, f.item AS item, f.shift AS shift, f.length AS length, "
         "filter(sequence(greatest(0, -f.shift), greatest(greatest(0, -f.shift), size(f.item_words) - f.length)), "
-        "s -> slice(__words, f.shift + s + 1, f.length) = slice(f.item_words, s + 1, f.length)) AS starts)), h -> size(h.starts) > 0)"))
+        "s -> s + f.length <= size(f.item_words) AND f.shift + s + f.length <= size(__words) "
+        "AND slice(__words, f.shift + s + 1, f.length) = slice(f.item_words, s + 1, f.length)) AS starts)), h -> size(h.starts) > 0)"))
     hit = F.expr("size(array_distinct(flatten(flatten(transform(__hits, h -> transform(h.starts, "
                  "s -> sequence(h.shift + s, h.shift + s + h.length - 1)))))))")
     some = F.col("__hits").isNotNull()

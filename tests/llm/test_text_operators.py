@@ -324,6 +324,15 @@ def test_contamination_equals_windows(spark, odd, empty):
     assert none.filter("contaminated").count() == 0 and none.count() == len(want)
 
 
+def test_the_tail_of_an_item_is_no_window(spark):
+    words = [f"beta{i}" for i in range(12)]
+    made = [(i, " ".join(words[12 - i:]), "s") for i in range(2, 10)] + [(20, " ".join(words), "s"), (21, " ".join(words[2:]), "s")]
+    made += [(30, " ".join(words[9::-1] * 20), "s")]  # the rarest words of the last window are the last two
+    items = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    found = decontaminate.contamination(spark.createDataFrame(made, DOCS), items)
+    assert rows(found.select("doc_id", "n_hit")) == sorted([(d, len(plain.words(t)) if d in (20, 21) else 0) for d, t, _ in made], key=repr)
+
+
 def test_proximity(spark):
     docs = spark.createDataFrame([(1, "zebra one two quagga", "s"), (2, "quagga x zebra", "s"), (3, "zebra " + "x " * 50 + "quagga", "s")], DOCS)
     items = decontaminate.item_words(spark.createDataFrame([(1, "zebra and quagga x")], "item_id long, text string").union(
