@@ -56,7 +56,7 @@ def near_duplicate_stage(spark, docs, sf_dir):
 def decontamination_stage(spark, docs, sf_dir):
     """Documents with a window of a benchmark item go."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = materialize(_results(decontaminate.contamination(docs, items, window=10).filter("contaminated")), "pipeline-contaminated")
+    found = materialize(_results(decontaminate.contamination(docs, items, window=10, near=False).filter("contaminated")), "pipeline-contaminated")
     return docs.join(found, _same_row(), "left_anti")
 
 

@@ -7,6 +7,7 @@
 3. Lists are moved by the term's place in the item and intersected from the rarest on: what is left says in which document
    an item may stand, and where.
 4. Each such alignment is compared word by word; a window occurs if all its words agree.
+5. Proximity matches come from the same stored index: both rarest terms of a window within a window's length.
 
 Words are the runs of characters other than ASCII non-alphanumerics, with A-Z lower-cased. All steps are DataFrame
 functions.
@@ -102,9 +103,20 @@ def phrase_index(docs, items, text="text", doc_id="doc_id"):
     return postings(docs, wanted, text, doc_id), pairs
 
 
-def contamination(docs, items, text="text", doc_id="doc_id", item_text="text", item_id="item_id", window=WINDOW):
+def near_items(index, pairs, tests, within=WINDOW):
+    """A row per document with proximity matches: id, key, n_near (items), near_items (their sorted ids as strings)."""
+    found = proximity_matches(index, pairs, within).select("id", "key", "item").distinct().join(tests.select("item", "item_id"), "item")
+    named = F.col("item_id").cast("string")
+    return found.groupBy("id", "key").agg(
+        F.size(F.collect_set(F.coalesce(named, F.concat(F.lit("#"), "item")))).cast("long").alias("n_near"),
+        F.array_sort(F.collect_set(named)).alias("near_items"))
+
+
+def contamination(docs, items, text="text", doc_id="doc_id", item_text="text", item_id="item_id", window=WINDOW, near=True):
     """One row per row of ``docs``: the id, text_key (hash of the text), n_words, n_hit, n_items, items (sorted item ids as
-    strings), contaminated. The result is written before it is returned, so a filter on it never runs the search twice.
+    strings), contaminated; with ``near`` also n_near and near_items, the items of which both rarest terms of a window stand
+    fewer than ``window`` words apart, in either order: these hold the exact matches, and those with a word inserted or moved.
+    The result is written before it is returned, so a filter on it never runs the search twice.
 
     A window is ``window`` consecutive words of an item; an item of fewer words, but not none, is one window. A word of a
     document inside any occurrence of a window is hit. Null texts and texts without words have no words and no windows;
@@ -136,4 +148,9 @@ def contamination(docs, items, text="text", doc_id="doc_id", item_text="text", i
         doc_id, "text_key", F.size("__words").cast("long").alias("n_words"), F.when(some, hit).otherwise(0).cast("long").alias("n_hit"),
         F.when(some, n_items).otherwise(0).cast("long").alias("n_items"),
         F.coalesce(items_hit, F.array().cast("array<string>")).alias("items"))
+    if near:
+        met = near_items(index, pairs, tests, window)
+        out = out.join(met, F.col(doc_id).eqNullSafe(F.col("id")) & (F.col("text_key") == F.col("key")), "left").select(
+            *[out[c] for c in out.columns], F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near"),
+            F.coalesce("near_items", F.array().cast("array<string>")).alias("near_items"))
     return materialize(out, "contamination").withColumn("contaminated", F.col("n_hit") > 0)

@@ -111,11 +111,18 @@ OP7_SQL = f"""
 @query("op7_decontamination", OP7_SQL)
 def op7(spark, table):
     """Words of every document inside a window of a benchmark item, and the items."""
-    found = decontaminate.contamination(table("documents"), table("benchmark"), window=10)
+    found = decontaminate.contamination(table("documents"), table("benchmark"), window=10, near=False)
     digest = F.sha2(F.array_join("items", ","), 256).alias("items_sha256")
     return found.select("doc_id", "n_words", "n_hit", "n_items", digest, "contaminated")
 
 
+@query("op7_proximity_matches")
+def op7_near(spark, table):
+    """Benchmark items of which every document has a window's rarest terms close together."""
+    found = decontaminate.contamination(table("documents"), table("benchmark"), window=10)
+    return found.select("doc_id", "n_near", F.array_join("near_items", ",").alias("near_items"), "contaminated")
+
+
 @query("op8_secret_scans")
 def op8(spark, table):
     """Counts and spans of the secrets of every document."""

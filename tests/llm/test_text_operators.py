@@ -324,6 +324,23 @@ def test_contamination_equals_windows(spark, odd, empty):
     assert none.filter("contaminated").count() == 0 and none.count() == len(want)
 
 
+def test_contamination_gives_proximity_matches(spark):
+    words = [f"gamma{i}" for i in range(12)]
+    made = [(1, " ".join(words), "s"), (2, " ".join(words[:5] + ["inserted"] + words[5:]), "s"), (3, " ".join(words[6:] + words[:6]), "s"),
+            (4, " ".join(f"{w} " + "x " * 20 for w in words), "s"), (None, " ".join(words[:11]).replace("gamma3", "x"), "s"), (5, None, "s")]
+    items = spark.createDataFrame([(1, " ".join(words)), (None, " ".join(words[1:]))], "item_id long, text string")
+    docs = spark.createDataFrame(made, DOCS)
+    found = {r.doc_id: r for r in decontaminate.contamination(docs, items).collect()}
+    index, pairs = decontaminate.phrase_index(docs, decontaminate.item_words(items))
+    near = {}
+    for r in decontaminate.proximity_matches(index, pairs).collect():
+        near.setdefault(r.id, set()).add(r.item)
+    assert {d: r.n_near for d, r in found.items()} == {d: len(near.get(d, ())) for d in found}
+    assert [found[d].near_items for d in (1, 2, 4, 5)] == [["1"], ["1"], [], []]
+    assert found[1].contaminated and not found[2].contaminated and found[2].n_near == 2 and len(found) == len(made)
+    assert "n_near" not in decontaminate.contamination(docs, items, near=False).columns
+
+
 def test_the_tail_of_an_item_is_no_window(spark):
     words = [f"beta{i}" for i in range(12)]
     made = [(i, " ".join(words[12 - i:]), "s") for i in range(2, 10)] + [(20, " ".join(words), "s"), (21, " ".join(words[2:]), "s")]
