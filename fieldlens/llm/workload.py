@@ -2,7 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from fieldlens.llm import credentials, decontaminate, langid, mixing, quality, simhash, tokens, toxicity, urls, weaklabels
+from fieldlens.llm import (
+    conversations, credentials, decontaminate, langid, lexical, mixing, quality, simhash, tokens, topk, toxicity, urls, weaklabels,
+)
 
 QUERIES = {}
 ORACLES = {}
@@ -161,3 +163,50 @@ def op2(spark, table):
 def op3(spark, table):
     """Quality of every document, learnt from the votes of heuristic labellers."""
     return weaklabels.quality_classifier(table("documents"))
+
+
+OP11_SQL = f"""
+    WITH docs AS (SELECT doc_id, {TERMS_SQL} AS terms FROM documents),
+    items AS (SELECT item_id, unnest({TERMS_SQL}) AS term FROM benchmark),
+    asked AS (SELECT item_id, term, count(*) AS times FROM items GROUP BY ALL),
+    sizes AS (SELECT count(*) AS n_docs, sum(len(terms))::bigint AS n_terms FROM docs WHERE len(terms) > 0),
+    tf AS (SELECT doc_id, term, count(*) AS tf, any_value(n) AS n
+           FROM (SELECT doc_id, len(terms)::bigint AS n, unnest(terms) AS term FROM docs) t
+           WHERE term IN (SELECT term FROM asked) GROUP BY doc_id, term),
+    weights AS (SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1)::double))::bigint AS w FROM tf, sizes GROUP BY term),
+    parts AS (
+        SELECT a.item_id, t.doc_id,
+               a.times * w.w * ((1000000000 * t.tf) // (1000 * t.tf + 8 * (100 - 75 + (75 * t.n * s.n_docs) // s.n_terms))) AS part
+        FROM asked a JOIN tf t USING (term) JOIN weights w USING (term), sizes s),
+    scores AS (SELECT item_id, doc_id, sum(part)::bigint AS score FROM parts GROUP BY item_id, doc_id HAVING sum(part) > 0)
+    SELECT item_id, rank::int AS rank, doc_id, score
+    FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores) t WHERE rank <= 10"""
+
+
+@query("op11_lexical_search", OP11_SQL)
+def op11(spark, table):
+    """The ten documents that score highest for every benchmark item."""
+    return lexical.ranked_search(table("documents"), table("benchmark"), k=10)
+
+
+@query("op12_conversation_repair")
+def op12(spark, table):
+    """Faults of every damaged conversation, and the cheapest edits that mend it."""
+    return conversations.repair_report(conversations.damage(table("conversations")), table("conversations"))
+
+
+OP13_SQL = """
+    WITH v AS (
+        SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) AS v FROM embeddings
+        WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    scores AS (
+        SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2]))::bigint AS score
+        FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id)
+    SELECT query_id, rank::int AS rank, vec_id, score
+    FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scores) t WHERE rank <= 5"""
+
+
+@query("op13_exact_top_k", OP13_SQL)
+def op13(spark, table):
+    """The five vectors of the highest inner product for every fiftieth vector."""
+    return topk.exact_top_k(table("embeddings"), lambda i: i % 50 == 0, k=5)
