@@ -26,7 +26,9 @@ from fieldlens.llm.common import keep, materialize
 
 # Terms of the items (repeats counted) in one block, sent to every task.
 BLOCK_TERMS = 200_000
+# Documents of a tree, and terms in all their vectors (one document more may pass it).
 TREE_DOCS = 4_096
+TREE_ENTRIES = 2_000_000
 BUCKET_DOCS = 32
 # Bytes that part terms: ASCII other than digits and letters; capitals become small letters.
 _PART = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
@@ -81,58 +83,51 @@ def saturated(tf, m):
 # --- tree -------------------------------------------------------------------
 
 class Node:
-    __slots__ = ("lo", "hi", "terms", "tf", "m", "least_id", "children")
+    __slots__ = ("lo", "hi", "terms", "parts", "least_id", "children")
 
     def __init__(self, lo, hi, children=()):
         self.lo, self.hi, self.children = lo, hi, children
 
 
 class Tree:
-    """FP-tree of documents given as (id, m, ranks of the terms, ascending, and their tf)."""
-
-    def __init__(self, ids, ms, ranks, tfs, bucket=BUCKET_DOCS):
-        order = sorted(range(len(ids)), key=lambda i: ranks[i])
-        self.ids, self.m = [ids[i] for i in order], np.array([ms[i] for i in order], dtype="int64")
-        self.paths, self.bucket = [ranks[i] for i in order], bucket
-        sizes = np.array([len(p) for p in self.paths])
+    """FP-tree of documents given as ids, m, the number of their terms, and all terms' ranks (ascending in each document) with their tf."""
+
+    def __init__(self, ids, m, sizes, ranks, tf, bucket=BUCKET_DOCS):
+        starts = np.concatenate([[0], np.cumsum(sizes)])
+        # four bytes a rank, the highest first: such paths sort as the ranks do
+        path = ranks.astype(">u4").tobytes()
+        paths = [path[4 * a:4 * b] for a, b in zip(starts[:-1], starts[1:], strict=True)]
+        order = np.array(sorted(range(len(ids)), key=paths.__getitem__), dtype="int64")
+        self.ids, self.m, self.paths, self.bucket = [ids[i] for i in order], m[order], [paths[i] for i in order], bucket
+        sizes = sizes[order]
         self.starts = np.concatenate([[0], np.cumsum(sizes)])
-        self.terms = np.concatenate([np.asarray(p, dtype="int64") for p in self.paths]) if len(order) else np.zeros(0, "int64")
-        self.tf = np.concatenate([np.asarray(tfs[i], dtype="int64") for i in order]) if len(order) else np.zeros(0, "int64")
-        # documents of each term, in the order of the tree
-        by_term = np.argsort(self.terms, kind="stable")
-        self.post_docs = np.repeat(np.arange(len(order)), sizes)[by_term]
-        self.post_tf = self.tf[by_term]
-        self.known, at = np.unique(self.terms[by_term], return_index=True)
-        self.post_starts = np.concatenate([at, [len(by_term)]])
-        self.root = self._node(0, len(order), 0) if order else None
+        moved = np.arange(self.starts[-1]) + np.repeat(starts[order] - self.starts[:-1], sizes)
+        self.terms, self.tf = ranks[moved], tf[moved]
+        self.parts = saturated(self.tf, np.repeat(self.m, sizes))
+        self.root = self._node(0, len(ids), 0) if ids else None
 
     def _node(self, lo, hi, depth):
         """Node of the documents lo..hi, which share their first ``depth`` terms."""
         children, paths = [], self.paths
+
+        def term(i):
+            return paths[i][4 * depth:4 * depth + 4]  # empty where the path has ended
+
         if hi - lo > self.bucket:
             # what all share goes into the path of this node
-            while len(paths[lo]) > depth and len(paths[hi - 1]) > depth and paths[lo][depth] == paths[hi - 1][depth]:
+            while term(lo) and term(lo) == term(hi - 1):
                 depth += 1
             at, small = lo, lo
             while at < hi:
-                end = at + 1
-                if len(paths[at]) > depth:
-                    term = paths[at][depth]
-                    low, high = at, hi
-                    while high - low > 1:  # the last document of the branch
-                        middle = (low + high) // 2
-                        if len(paths[middle]) > depth and paths[middle][depth] == term:
-                            low = middle
-                        else:
-                            high = middle
-                    end = high
-                else:  # documents that end here are alike
-                    while end < hi and len(paths[end]) == depth:
-                        end += 1
-                if end - at > self.bucket and (end - at < hi - lo):
+                low, high, branch = at, hi, term(at)
+                while high - low > 1:  # the last document of the branch
+                    middle = (low + high) // 2
+                    low, high = (middle, high) if term(middle) == branch else (low, middle)
+                end = high
+                if end - at > self.bucket and end - at < hi - lo:
                     if at > small:
                         children.append(self._bound(Node(small, at)))
-                    children.append(self._node(at, end, depth + 1) if len(paths[at]) > depth else self._bound(Node(at, end)))
+                    children.append(self._node(at, end, depth + 1) if branch else self._bound(Node(at, end)))
                     small = end
                 elif end - small > self.bucket:  # small branches side by side share a bucket
                     if at > small:
@@ -144,42 +139,31 @@ class Tree:
         return self._bound(Node(lo, hi, tuple(children)))
 
     def _bound(self, node):
-        """Greatest tf of each term below the node, least m, least id (a null id is none)."""
+        """What each term below the node is worth at most, by its greatest tf and the least m; least id (a null id is none)."""
         lo, hi = self.starts[node.lo], self.starts[node.hi]
         terms, tf = self.terms[lo:hi], self.tf[lo:hi]
         order = np.argsort(terms, kind="stable")
         node.terms, at = np.unique(terms[order], return_index=True)
-        node.tf = np.maximum.reduceat(tf[order], at) if len(at) else np.zeros(0, "int64")
-        node.m = int(self.m[node.lo:node.hi].min())
+        most = np.maximum.reduceat(tf[order], at) if len(at) else np.zeros(0, "int64")
+        node.parts = saturated(most, self.m[node.lo:node.hi].min())
         node.least_id = min((i for i in self.ids[node.lo:node.hi] if i is not None), default=None)
         return node
 
-    def bound(self, node, terms, weights):
-        """No document below the node scores more for the item (terms, weights)."""
-        if not len(node.terms):
-            return 0
-        at = np.searchsorted(node.terms, terms)
-        at[at == len(node.terms)] = 0
-        tf = np.where(node.terms[at] == terms, node.tf[at], 0)
-        return int((weights * saturated(tf, node.m)).sum())
+    @staticmethod
+    def bound(node, worth):
+        """No document below the node scores more for the item, of which ``worth`` has the weight of every term."""
+        return int((worth[node.terms] * node.parts).sum())
 
-    def scores(self, lo, hi, terms, weights):
+    def scores(self, lo, hi, worth):
         """Exact scores of the documents lo..hi."""
-        out = np.zeros(hi - lo, dtype="int64")
-        at = np.searchsorted(self.known, terms)
-        for i, term, weight in zip(at, terms, weights, strict=True):
-            if i < len(self.known) and self.known[i] == term:
-                first, last = self.post_starts[i], self.post_starts[i + 1]
-                docs = self.post_docs[first:last]
-                first, last = first + np.searchsorted(docs, lo), first + np.searchsorted(docs, hi)
-                if last > first:
-                    docs = self.post_docs[first:last]
-                    out[docs - lo] += weight * saturated(self.post_tf[first:last], self.m[docs])
-        return out
-
-    def search(self, terms, weights, best, k):
+        starts = self.starts[lo:hi + 1]
+        sums = np.zeros(starts[-1] - starts[0] + 1, dtype="int64")
+        np.cumsum(worth[self.terms[starts[0]:starts[-1]]] * self.parts[starts[0]:starts[-1]], out=sums[1:])
+        return np.diff(sums[starts - starts[0]])
+
+    def search(self, worth, best, k):
         """Add to ``best``, the first k (-score, id is null, id) so far in order, what the tree has for the item."""
-        stack = [(self.bound(self.root, terms, weights), self.root)] if self.root else []
+        stack = [(self.bound(self.root, worth), self.root)] if self.root else []
         while stack:
             bound, node = stack.pop()
             if bound <= 0:
@@ -189,9 +173,9 @@ class Tree:
                 if bound < score or bound == score and not null and (node.least_id is None or node.least_id >= last):
                     continue
             if node.children:
-                stack.extend(sorted(((self.bound(c, terms, weights), c) for c in node.children), key=lambda b: b[0]))
+                stack.extend(sorted(((self.bound(c, worth), c) for c in node.children), key=lambda b: b[0]))
                 continue
-            scores = self.scores(node.lo, node.hi, terms, weights)
+            scores = self.scores(node.lo, node.hi, worth)
             bar = -best[-1][0] if len(best) == k else 1
             for i in np.flatnonzero(scores >= bar):
                 name = self.ids[node.lo + i]
@@ -213,34 +197,39 @@ def tree_search(vectors, query, k, tree_docs=TREE_DOCS, bucket=BUCKET_DOCS):
         ranks, weights, documents, total, items = query.value
         asked = []
         for item, counts in items:
-            terms = np.array(sorted(ranks[t] for t in counts if ranks[t] >= 0), dtype="int64")
-            times = {int(ranks[t]): n for t, n in counts.items()}
-            asked.append((item, terms, weights[terms] * np.array([times[int(t)] for t in terms], dtype="int64"), []))
-        held = [[], [], [], []]
+            terms = ranks[np.array(list(counts), dtype="int64")]
+            asked.append((item, terms, weights[terms] * np.array(list(counts.values()), dtype="int64"), []))
+        worth = np.zeros(len(ranks), dtype="int64")
+        held, n_held = [], 0
 
         def grow():
-            ids, sizes, term_lists, tf_lists = held
-            ms = length_factors(np.array(sizes, dtype="int64"), documents, total).tolist()
-            paths, tfs = [], []
-            for found, tf in zip(term_lists, tf_lists, strict=True):
-                rank = ranks[np.asarray(found, dtype="int64")]
-                order = np.argsort(rank)
-                paths.append(rank[order].tolist())
-                tfs.append(np.asarray(tf, dtype="int64")[order])
-            tree = Tree(ids, ms, paths, tfs, bucket)
-            for _, terms, worth, best in asked:
-                if len(terms):
-                    tree.search(terms, worth, best, k)
+            ids = [i for part in held for i in part[0]]
+            n, sizes, found, tf = (np.concatenate([part[c] for part in held]) for c in range(1, 5))
+            rank = ranks[found]
+            order = np.lexsort((rank, np.repeat(np.arange(len(sizes)), sizes)))
+            tree = Tree(ids, length_factors(n, documents, total), sizes, rank[order], tf[order], bucket)
+            for _, terms, weight, best in asked:
+                worth[terms] = weight
+                tree.search(worth, best, k)
+                worth[terms] = 0
 
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("id", "n", "ids", "tfs")]
-            for lo in range(0, batch.num_rows, tree_docs):
-                for kept, column in zip(held, columns, strict=True):
-                    kept.extend(column[lo:lo + tree_docs])
-                if len(held[0]) >= tree_docs:
+            sizes = np.diff(batch.column("ids").offsets.to_numpy()).astype("int64")
+            entries = np.cumsum(sizes)
+            lo = 0
+            while lo < batch.num_rows:
+                # as many documents as a tree may still take, by number and by entries
+                before = entries[lo] - sizes[lo]
+                hi = max(lo + 1, min(lo + tree_docs - n_held, int(np.searchsorted(entries, before + TREE_ENTRIES, "right"))))
+                part = batch.slice(lo, hi - lo)
+                flat = [part.column(c).flatten().to_numpy(zero_copy_only=False).astype("int64") for c in ("ids", "tfs")]
+                held.append((part.column("id").to_pylist(), part.column("n").to_numpy(), sizes[lo:hi], *flat))
+                n_held += hi - lo
+                if n_held >= tree_docs or sum(len(part[3]) for part in held) >= TREE_ENTRIES:
                     grow()
-                    held = [[], [], [], []]
-        if held[0]:
+                    held, n_held = [], 0
+                lo = hi
+        if held:
             grow()
         rows = [(item, name, -score) for item, _, _, best in asked for score, _, name in best]
         yield pa.RecordBatch.from_arrays([
