@@ -356,7 +356,8 @@ def repair(rows, conv_id="conv_id", turn="turn", role="role", text="text"):
     """(conversations, edits) of the rows. conversations: conv_id, gaps, blank, duplicate, truncated, illegal, cost, audit.
     edits: conv_id, pos, nth, edit, role, text, the repaired conversation's rows in the order of pos and nth, with the deleted ones.
 
-    Rows of a conversation are taken by turn (nulls first), equal turns by role and text. Null roles and texts read as one blank. Null
+    Rows of a conversation are taken by turn (nulls first), equal turns by role and text. Null roles and texts read as one blank; a role
+    that doesn't begin with s, u or a, the empty one too, can't be kept. Null
     conversation ids are one conversation. Repeated rows are duplicates. Whole texts are read. Other columns are not. An empty table
     gives two empty results.
     """
