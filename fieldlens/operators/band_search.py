@@ -5,8 +5,10 @@ Two solvers with the same output:
 * ``gram`` (least-squares classifier): one aggregate over all rows gives the sums X'X and X'Y per
   target and fold. They are a few thousand numbers whatever the row count, and every subset's model
   is a sub-system of them. A second pass scores the rows where they lie.
-* ``hinge`` (squared hinge, one against the rest, bias penalised with the weights): iterates over
-  the rows, so the matrix must fit into a task. Its row count is checked; beyond the limit use ``gram``.
+* ``hinge`` (squared hinge, one against the rest, bias penalised with the weights): the Newton method of ``newton``, a pass
+  over the rows per step for all band sets, fits, classes and targets at once; then one pass to score.
+
+Neither holds the rows anywhere: what grows with the number of band sets is sent around, the rows stay where they are.
 """
 
 import numpy as np
@@ -14,12 +16,12 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from fieldlens.constants import SEARCH_BANDS
+from fieldlens.operators import newton
 from fieldlens.operators.models import FOLDS, all_fits
 from fieldlens.operators.resample import contiguous_folds, stratified_folds, train_test_split
 from fieldlens.operators.tables import analysis_long
 from fieldlens.session import materialize
 
-HINGE_ROW_LIMIT = 100_000
 SCHEME_SCORES = {"fold_s": "scores_stratified_KFold", "fold_c": "scores_cross_val", "holdout": "accuracy_score"}
 
 
@@ -155,79 +157,29 @@ def search_gram(samples, bands=SEARCH_BANDS, n_classes=None):
     return narrow.mapInPandas(score, HIT_SCHEMA)
 
 
-def fit_hinge(rows, signs, masks, C=1.0, max_iter=50):
-    """Squared-hinge weights (subset, column) by Newton steps with step halving, all subsets at once."""
-    masked = rows[None] * masks[:, None, :]
-    n_columns = rows.shape[1]
-    w = np.zeros((len(masks), n_columns))
-    eye = np.eye(n_columns)
-
-    def loss(weights, which):
-        gap = np.maximum(0.0, 1 - signs[None] * np.einsum("bnc,bc->bn", masked[which], weights))
-        return 0.5 * (weights**2).sum(axis=1) + C * (gap**2).sum(axis=1), gap
-
-    open_ = np.arange(len(masks))
-    for _ in range(max_iter):
-        value, gap = loss(w[open_], open_)
-        active = masked[open_] * (gap > 0)[:, :, None]
-        gradient = w[open_] - 2 * C * np.einsum("bnc,bn->bc", active, signs[None] * gap)
-        hessian = eye[None] + 2 * C * np.matmul(active.transpose(0, 2, 1), active)
-        step = np.linalg.solve(hessian, gradient[:, :, None])[:, :, 0]
-        drop = (gradient * step).sum(axis=1)
-        size = np.ones(len(open_))
-        for _ in range(30):
-            after, _ = loss(w[open_] - size[:, None] * step, open_)
-            short = after > value - 1e-4 * size * drop + 1e-12 * np.abs(value)
-            if not short.any():
-                break
-            size[short] /= 2
-        w[open_] -= size[:, None] * step
-        open_ = open_[drop > 1e-10 * np.maximum(1.0, value)]
-        if not len(open_):
-            return w
-    raise RuntimeError(f"{len(open_)} fits did not converge within {max_iter} steps")
-
-
-def search_hinge(samples, bands=SEARCH_BANDS, n_classes=None, C=1.0, chunk=64, row_limit=HINGE_ROW_LIMIT):
-    """Hits per target, fit and subset by the squared-hinge solver. Tasks are (target, subset chunk)."""
-    spark = samples.sparkSession
+def search_hinge(samples, bands=SEARCH_BANDS, n_classes=None, C=1.0):
+    """Hits per target, fit and subset by the squared-hinge solver; what is broadcast to score is the weights."""
     bands, n_classes = list(bands), n_classes or class_count(samples)
-    narrow = samples.select("target", "class_no", "is_train", "fold_s", "fold_c", *[F.col(b).cast("double").alias(b) for b in bands])
-    n_rows = narrow.count()
-    if n_rows > row_limit:
-        raise ValueError(f"{n_rows} rows exceed the limit {row_limit} of the hinge solver; use solver='gram'")
-    # size checked above: each task needs the whole matrix, as every subset is fitted on all rows
-    matrix = spark.sparkContext.broadcast(narrow.toPandas())
-    top = 2 ** len(bands)
-    tasks = (
-        narrow.select("target").distinct()
-        .withColumn("lo", F.explode(F.sequence(F.lit(1), F.lit(top - 1), F.lit(chunk))))
-        .repartition(max(8, spark.sparkContext.defaultParallelism * 4), "target", "lo")
-    )
-
-    def run(frames):
-        frame = matrix.value
-        for batch in frames:
-            for target, lo in zip(batch["target"], batch["lo"]):
-                ids = np.arange(lo, min(lo + chunk, top))
-                masks = subset_masks(ids, len(bands))
-                for scheme, fold in all_fits():
-                    scored = _score_rows(frame, target, scheme, fold)
-                    mine = frame[(frame["target"] == target) & frame["is_train"]]
-                    if scheme != "holdout":
-                        mine = mine[mine[scheme] != fold]
-                    if not len(scored) or not len(mine):
-                        continue
-                    design = lambda part: np.concatenate([np.ones((len(part), 1)), part[bands].to_numpy()], axis=1)
-                    rows, labels = design(mine), mine["class_no"].to_numpy()
-                    live = np.array([(labels == c).any() for c in range(n_classes)])
-                    weights = np.zeros((len(ids), rows.shape[1], n_classes))
-                    for c in np.flatnonzero(live):
-                        weights[:, :, c] = fit_hinge(rows, np.where(labels == c, 1.0, -1.0), masks, C)
-                    hits = hits_per_subset(design(scored), scored["class_no"].to_numpy(), weights, live)
-                    yield _hit_frame(target, scheme, fold, ids, hits, len(scored))
-
-    return tasks.mapInPandas(run, HIT_SCHEMA)
+    ids = np.arange(1, 2 ** len(bands))
+    narrow = newton.narrow_samples(samples, bands, "target")
+    fitted = newton.fit_linear(narrow, bands, n_classes, C=C, masks=subset_masks(ids, len(bands))[:, 1:], folds=FOLDS)
+    sent = samples.sparkSession.sparkContext.broadcast((fitted.weights, fitted.live))
+
+    def score(frames):
+        weights, live = sent.value
+        totals = {}
+        for frame in frames:
+            for key in weights:
+                part = frame[frame["group"] == key[0]]
+                rows = part[newton.scored_rows(part, *key[1:])]
+                if len(rows) and live[key].any():
+                    hits = hits_per_subset(newton.design(rows, bands), rows["class_no"].to_numpy(), weights[key], live[key])
+                    seen, n = totals.get(key, (0, 0))
+                    totals[key] = seen + hits, n + len(rows)
+        for key, (hits, n) in totals.items():
+            yield _hit_frame(*key, ids, hits, n)
+
+    return narrow.mapInPandas(score, HIT_SCHEMA)
 
 
 def subset_scores(hits, subsets, solver):
