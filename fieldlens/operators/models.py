@@ -1,8 +1,10 @@
-"""The classifiers of the comparison, on Spark ML, and their three scores.
+"""The classifiers of the comparison and their three scores.
+
+Three kinds, by what a pass over the rows gives them: linear classifiers whose fits all go through one Newton method
+(``newton``), kernel classifiers solved exactly in the dual (``svm``), and Spark ML's for the rest.
 
 The inverse regularisation strength C weighs the summed loss; Spark's ``regParam`` weighs the
-penalty against the mean loss, hence ``regParam = 1 / (C * n)``. Spark's linear SVM uses the plain
-hinge; coefficients are not claimed to equal those of other libraries.
+penalty against the mean loss, hence ``regParam = 1 / (C * n)``.
 """
 
 from concurrent.futures import ThreadPoolExecutor
@@ -10,14 +12,13 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.classification import (
-    DecisionTreeClassifier, LinearSVC, LogisticRegression, OneVsRest, RandomForestClassifier,
-)
+from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
+from fieldlens.operators import newton, svm
 from fieldlens.operators.knn import knn_predict
 from fieldlens.operators.resample import balanced_weights, contiguous_folds, stratified_folds, train_test_split
 from fieldlens.session import materialize
@@ -25,7 +26,6 @@ from fieldlens.session import materialize
 # Layout only: a small frame is held in few tasks, since every optimiser step is a job.
 ROWS_PER_TASK = 100_000
 # Upper bounds of the optimiser steps. A fit that reaches its bound before the tolerance raises.
-SVC_STEPS = 1_000
 LOGISTIC_STEPS = 10_000
 TOLERANCE = 1e-6
 FOLDS = 5
@@ -36,40 +36,34 @@ LABEL = "class_no"
 TREE_BINS = 1_024
 
 
-def _one_vs_rest(classifier, **options):
-    return OneVsRest(classifier=classifier, labelCol=LABEL, parallelism=4, **options)
-
-
-def _svc(C, **options):
-    return lambda n: _one_vs_rest(LinearSVC(regParam=1.0 / (C * n), standardization=False, maxIter=SVC_STEPS, tol=TOLERANCE), **options)
-
-
 def _logistic(C, **options):
     return lambda n: LogisticRegression(
         regParam=1.0 / (C * n), standardization=False, maxIter=LOGISTIC_STEPS, tol=TOLERANCE, labelCol=LABEL, **options)
 
 
-def _logistic_ovr(C):
-    return lambda n: _one_vs_rest(_logistic(C, family="binomial", elasticNetParam=0.0)(n))
-
-
-# name -> Spark ML classifier for n training rows
-MODELS = {
-    "LinearSVC": _svc(1.0),
-    "LinearSVC modified": _svc(2.0, weightCol="weight"),
-    "SVC (Linear kernel)": _svc(10.0),
+# One against the rest, all fits and classes in one Newton method.
+LINEAR = {
+    "LinearSVC": {"loss": "squared_hinge", "C": 1.0},
+    "LinearSVC modified": {"loss": "squared_hinge", "C": 2.0, "balanced": True},
+    "L2 logistic (OvR)": {"loss": "logistic", "C": 10.0, "penalise_bias": False},
+    "logistic": {"loss": "logistic", "C": 1.0},
+}
+# Pairs of classes vote.
+KERNEL = {
+    "SVC (Linear kernel)": {"kernel": "linear", "C": 10.0},
     # differs from the former by a kernel width that a linear kernel does not use
-    "SVC (Linear kernel 2)": _svc(10.0),
-    "KNeighbors": None,
-    "SVC (rbf kernel)": _svc(10.0),
+    "SVC (Linear kernel 2)": {"kernel": "linear", "C": 10.0},
+    "SVC (rbf kernel)": {"kernel": "rbf", "C": 10.0},
+}
+# name -> Spark ML classifier for n training rows. The names of all three are fixed values.
+FITTED = {
     "L1 logistic": _logistic(10.0, family="multinomial", elasticNetParam=1.0),
     "L2 logistic (Multinomial)": _logistic(10.0, family="multinomial", elasticNetParam=0.0),
-    "L2 logistic (OvR)": _logistic_ovr(10.0),
-    "logistic": _logistic_ovr(1.0),
     "DecisionTreeClassifier": lambda n: DecisionTreeClassifier(maxDepth=30, maxBins=TREE_BINS, seed=7, labelCol=LABEL),
     "DecisionTreeClassifier (entropy)": lambda n: DecisionTreeClassifier(impurity="entropy", maxDepth=3, seed=7, labelCol=LABEL),
     "RandomForest Classifier": lambda n: RandomForestClassifier(numTrees=100, maxDepth=30, maxBins=TREE_BINS, seed=7, labelCol=LABEL),
 }
+MODELS = (*LINEAR, *KERNEL, "KNeighbors", *FITTED)
 SAME_MODEL = {"SVC (Linear kernel 2)": "SVC (Linear kernel)"}
 
 
@@ -110,67 +104,75 @@ def all_fits():
     return [("holdout", 0)] + [(s, i) for s in ("fold_s", "fold_c") for i in range(FOLDS)]
 
 
-def random_features(spread_rows, width=256, seed=7):
-    """Random Fourier features of an RBF kernel (Rahimi and Recht, 2007) as an array function.
-
-    ``spread_rows``: (number of features, variance over all entries); the kernel width is one over
-    their product.
-    """
-    dims, variance = spread_rows
-    gamma = 1.0 / (dims * variance) if variance else 1.0
-    rng = np.random.default_rng(seed)
-    weights = rng.normal(0.0, np.sqrt(2 * gamma), (dims, width))
-    shift = rng.uniform(0.0, 2 * np.pi, width)
-
-    @F.pandas_udf("array<double>")
-    def lift(values: pd.Series) -> pd.Series:
-        block = np.stack(values.to_numpy()) if len(values) else np.empty((0, dims))
-        return pd.Series(list(np.sqrt(2.0 / width) * np.cos(block @ weights + shift)))
-
-    return lift
-
-
-def _lift_rbf(df, features):
-    train = df.where("is_train")
-    sums = train.agg(*[F.sum(F.col(f).cast("double")) for f in features],
-                     *[F.sum(F.pow(F.col(f).cast("double"), 2)) for f in features], F.count(F.lit(1))).first()
-    entries = sums[-1] * len(features)
-    mean = sum(sums[:len(features)]) / entries
-    variance = sum(sums[len(features):-1]) / entries - mean * mean
-    lift = random_features((len(features), variance))
-    return df.withColumn("features", array_to_vector(lift(F.array(*[F.col(f).cast("double") for f in features]))))
-
-
 def _predictor(name, train, features, id_column, n):
     """Function from rows to their predictions, fitted on ``train``."""
     if name == "KNeighbors":
         return lambda scored: scored.select(id_column, LABEL).join(
             knn_predict(train, scored, features, id_column, LABEL), id_column)
-    if name == "LinearSVC modified":
-        train = balanced_weights(train, LABEL)
-    return converged(name, MODELS[name](n).fit(train)).transform
+    return converged(name, FITTED[name](n).fit(train)).transform
 
 
 def converged(name, model):
-    """The fitted model, if all its optimisers met the tolerance within their steps."""
-    for part in getattr(model, "models", [model]):
-        if not (getattr(part, "hasSummary", False) and hasattr(part, "getMaxIter")):
-            continue
-        summary = part.summary() if callable(part.summary) else part.summary
-        if summary.totalIterations >= part.getMaxIter():
-            raise RuntimeError(f"{name} did not converge within {part.getMaxIter()} steps")
+    """The fitted model, if its optimiser met the tolerance within its steps."""
+    if getattr(model, "hasSummary", False) and hasattr(model, "getMaxIter") and model.summary.totalIterations >= model.getMaxIter():
+        raise RuntimeError(f"{name} did not converge within {model.getMaxIter()} steps")
     return model
 
 
+COUNTS = "scheme string, fold int, class_no double, prediction double, n bigint"
+
+
+def scored_counts(rows, columns, predict, fits):
+    """(scheme, fold, class_no, prediction, n) of the rows of ``newton.narrow_samples`` in one pass; ``predict`` (broadcast): function from
+    scheme, fold and a matrix to the classes. A task hands on a row per fit and pair of classes."""
+    parts = list(fits) + [("train", fold) for scheme, fold in fits if scheme == "holdout"]
+
+    def count(frames):
+        found = None
+        for frame in frames:
+            made = []
+            for scheme, fold in parts:
+                scored = frame[newton.scored_rows(frame, scheme, fold)]
+                if len(scored):
+                    guesses = predict.value(scheme, fold, scored[list(columns)].to_numpy(dtype=float))
+                    made.append(pd.DataFrame({"scheme": scheme, "fold": fold, "class_no": scored["class_no"].to_numpy(dtype=float),
+                                              "prediction": np.asarray(guesses, dtype=float), "n": 1}))
+            every = pd.concat([*([] if found is None else [found]), *made]) if made or found is not None else None
+            found = None if every is None else every.groupby(["scheme", "fold", "class_no", "prediction"], as_index=False)["n"].sum()
+        if found is not None:
+            yield found
+
+    return rows.mapInPandas(count, COUNTS).groupBy("scheme", "fold", "class_no", "prediction").agg(F.sum("n").alias("n"))
+
+
+class _Linear:
+    def __init__(self, fitted):
+        self.fitted = fitted
+
+    def __call__(self, scheme, fold, rows):
+        return self.fitted.scores("", scheme, fold, np.concatenate([np.ones((len(rows), 1)), rows], axis=1))[:, 0].argmax(axis=1)
+
+
+def _all_at_once(df, name, features, fits):
+    """Counts of a linear or kernel classifier, all of whose fits are found together."""
+    rows = newton.narrow_samples(df, features, None)
+    n_classes = int(df.agg(F.max(LABEL)).first()[0] or 0) + 1
+    if name in LINEAR:
+        predict = _Linear(newton.fit_linear(rows, features, n_classes, folds=FOLDS, **LINEAR[name]))
+    else:
+        predict = svm.fit_kernel(rows, features, n_classes, folds=FOLDS, **KERNEL[name]).predict
+    return scored_counts(rows, features, df.sparkSession.sparkContext.broadcast(predict), fits)
+
+
 def confusion_counts(df, name, features, id_column, fits=None, parallelism=8):
-    """(model, scheme, fold, class_no, prediction, n) for the fits of one model.
+    """(model, scheme, fold, class_no, prediction, n) for the fits of one model, written to the shared folder.
 
-    Scheme ``train`` scores the hold-out fit on the rows it was trained on. Fits are independent jobs and run side by side; what comes back per fit is one row per pair
-    of classes.
+    Scheme ``train`` scores the hold-out fit on the rows it was trained on. The fits of linear and kernel classifiers are found
+    together; those of the others are independent jobs that run side by side.
     """
-    spark = df.sparkSession
-    data = _lift_rbf(df, features).persist(StorageLevel.MEMORY_AND_DISK) if name == "SVC (rbf kernel)" else df
     fits = fits or all_fits()
+    if name in LINEAR or name in KERNEL:
+        return materialize(_all_at_once(df, name, features, fits).withColumn("model", F.lit(name)), "confusion")
     sizes = df.groupBy("is_train", "fold_s", "fold_c").count().collect()
 
     def train_size(scheme, fold):
@@ -179,20 +181,15 @@ def confusion_counts(df, name, features, id_column, fits=None, parallelism=8):
     def run(fit):
         scheme, fold = fit
         chosen, scored = fit_plan(scheme, fold)
-        predict = _predictor(name, data.where(chosen), features, id_column, train_size(scheme, fold))
+        predict = _predictor(name, df.where(chosen), features, id_column, train_size(scheme, fold))
         parts = [(scheme, scored)] + ([("train", chosen)] if scheme == "holdout" else [])
-        return [(name, part, fold, float(r["class_no"]), float(r["prediction"]), r["count"])
-                for part, rows in parts
-                for r in predict(data.where(rows)).groupBy("class_no", "prediction").count().collect()]
+        return [predict(df.where(rows)).groupBy(F.col(LABEL).cast("double").alias(LABEL), F.col("prediction").cast("double").alias("prediction")).agg(
+            F.count(F.lit(1)).alias("n")).select(F.lit(part).alias("scheme"), F.lit(fold).alias("fold"), LABEL, "prediction", "n")
+                for part, rows in parts]
 
-    try:
-        with ThreadPoolExecutor(parallelism) as pool:
-            rows = [row for part in pool.map(run, fits) for row in part]
-    finally:
-        if data is not df:
-            data.unpersist()
-    return spark.createDataFrame(
-        rows, "model string, scheme string, fold int, class_no double, prediction double, n bigint")
+    with ThreadPoolExecutor(parallelism) as pool:
+        counts = [part for found in pool.map(run, fits) for part in found]
+    return materialize(reduce(lambda a, b: a.unionByName(b), counts).withColumn("model", F.lit(name)), "confusion")
 
 
 def fold_scores(counts):

@@ -1,7 +1,5 @@
 """Splits, folds, neighbours, classifiers and the band search."""
 
-from functools import reduce
-
 from pyspark.sql import functions as F
 
 from fieldlens.constants import QUICKLOOK_BANDS, SCORE_COLUMNS, SEARCH_BANDS, TARGETS
@@ -99,19 +97,11 @@ MARGIN_SQL = f"""
              UNION ALL SELECT 'fold_c', fold, label FROM tr JOIN fc USING (vec_id))"""
 
 
-def margin_counts(t, name):
-    """Confusion counts of one model over all its fits, worked out once a session and folder."""
-    fitted = models.SAME_MODEL.get(name, name)
-    key = (t.spark.sparkContext.applicationId, t.sf_dir, fitted)
-    if key not in _COUNTS:
-        frame = t.view("fx_margin").select("vec_id", F.col("label").alias("rating"), *MARGIN_FEATURES)
-        found = models.compare_models(frame, MARGIN_FEATURES, "rating", "vec_id", "vec_id", models=[fitted])
-        _COUNTS[key] = [tuple(r) for r in found.collect()]  # a row per fit and pair of classes
-    counts = t.spark.createDataFrame(_COUNTS[key], "model string, scheme string, fold int, class_no double, prediction double, n bigint")
-    return counts.withColumn("model", F.lit(name))
-
-
-_COUNTS = {}
+def margin_counts(t, names):
+    """Confusion counts of models over all their fits."""
+    frame = t.view("fx_margin").select("vec_id", F.col("label").alias("rating"), *MARGIN_FEATURES)
+    return models.compare_models(frame, MARGIN_FEATURES, "rating", "vec_id", "vec_id", models=names).select(
+        "model", "scheme", "fold", "class_no", "prediction", "n")
 
 
 def _register_model(key, name):
@@ -119,7 +109,7 @@ def _register_model(key, name):
     SELECT '{name}' AS model, scheme, cast(fold AS int) AS fold, label - 1.0E0 AS class_no, label - 1.0E0 AS prediction, count(*) AS n
     FROM fits GROUP BY ALL""")
     def _(t):
-        return margin_counts(t, name)
+        return margin_counts(t, [name])
 
 
 MODEL_KEYS = {
@@ -136,7 +126,7 @@ ALL_MODELS_SQL = ", ".join(f"('{name}')" for name in MODEL_KEYS.values())
 
 
 def every_model(t):
-    return reduce(lambda a, b: a.unionByName(b), [margin_counts(t, name) for name in MODEL_KEYS.values()])
+    return margin_counts(t, list(MODEL_KEYS.values()))
 
 
 @query("cross_validate", MARGIN_SQL + f"""
