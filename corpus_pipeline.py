@@ -33,8 +33,11 @@ def _results(found, *columns):
 
 def quality_stage(spark, docs, sf_dir):
     """Rejected documents go; the others lose the lines that the method removes."""
-    found = _results(quality.quality_rules(docs, with_lines=True).filter("kept"), "removed")
-    both = docs.join(found, _same_row()).withColumn("__llm_text", F.expr(quality.without_lines("text", "__llm_removed")))
+    judged = quality.quality_rules(docs, with_lines=True).filter("kept")
+    found = judged.groupBy(F.col("doc_id").alias("__llm_id"), F.col("text_key").alias("__llm_key"), F.col("host").alias("__llm_host")).agg(
+        F.first("removed").alias("__llm_removed"))
+    same = _same_row() & F.col("source").eqNullSafe(F.col("__llm_host"))
+    both = docs.join(found, same).withColumn("__llm_text", F.expr(quality.without_lines("text", "__llm_removed")))
     return both.select(*_with_text(docs, "__llm_text"))
 
 
