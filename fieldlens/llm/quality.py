@@ -78,20 +78,21 @@ def frequent_lines(lines, max_docs=MAX_LINE_DOCS):
 
 
 def removed_lines(docs, text="text", host="source", doc_id="doc_id", max_docs=MAX_LINE_DOCS):
-    """A row per document that loses lines: __id, __key, removed_words, removed (hashes of its removed lines)."""
+    """A row per document that loses lines: __id, __key, __host, removed_words, removed (hashes of its removed lines). One id and
+    text under two hosts are two documents."""
     lines = materialize(document_lines(keep(docs, doc_id, text, host), text, host, doc_id), "quality-lines")
     frequent = materialize(frequent_lines(lines, max_docs), "quality-frequent").select(
         F.col("__host").alias("__frequent_host"), F.col("line").alias("__line"))
     hits = lines.join(frequent, F.col("__host").eqNullSafe(F.col("__frequent_host")) & (F.col("line") == F.col("__line")))
     # a row of the table that occurs twice has its lines once
-    once = hits.groupBy("__id", "__key", "pos").agg(F.first("line").alias("line"), F.first("n_words").alias("n_words"))
-    return once.groupBy("__id", "__key").agg(F.sum("n_words").alias("removed_words"), F.collect_set("line").alias("removed"))
+    once = hits.groupBy("__id", "__key", "__host", "pos").agg(F.first("line").alias("line"), F.first("n_words").alias("n_words"))
+    return once.groupBy("__id", "__key", "__host").agg(F.sum("n_words").alias("removed_words"), F.collect_set("line").alias("removed"))
 
 
 def quality_rules(docs, text="text", host="source", doc_id="doc_id", with_lines=False, min_words=MIN_WORDS,
                   max_repeat_percent=MAX_REPEAT_PERCENT, max_docs=MAX_LINE_DOCS,
                   min_left_percent=MIN_LEFT_PERCENT):
-    """One row per row of ``docs``: the id, text_key (hash of the text), n_words, word_chars, n_symbols, n_dup_lines,
+    """One row per row of ``docs``: the id, text_key (hash of the text), host, n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words, removed_words, base_failed, kept; with ``with_lines`` also removed, the hashes of the removed lines
     (null if there are none), for ``without_lines``.
 
@@ -103,17 +104,19 @@ def quality_rules(docs, text="text", host="source", doc_id="doc_id", with_lines=
     Statistics are written before anything is asked of them, so a filter on them never runs them twice.
     """
     need(docs, doc_id, text, host)
-    removed = removed_lines(docs, text, host, doc_id, max_docs).withColumnsRenamed({"__id": "__rid", "__key": "__rkey"})
-    read = keep(docs, doc_id, text).withColumn("text_key", F.xxhash64(text))
+    removed = removed_lines(docs, text, host, doc_id, max_docs).withColumnsRenamed(
+        {"__id": "__rid", "__key": "__rkey", "__host": "__rhost"})
+    read = keep(docs, doc_id, text, host).select(F.col(doc_id), F.col(text), F.xxhash64(text).alias("text_key"), F.col(host).alias("__host"))
     stats = materialize(text_statistics(read, text).select(
-        doc_id, "text_key", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"), "quality-statistics")
+        doc_id, "text_key", F.col("__host").alias("host"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"), "quality-statistics")
     found = stats.join(removed if with_lines else removed.drop("removed"),
-                       F.col(doc_id).eqNullSafe(F.col("__rid")) & (F.col("text_key") == F.col("__rkey")), "left")
+                       F.col(doc_id).eqNullSafe(F.col("__rid")) & (F.col("text_key") == F.col("__rkey"))
+                       & F.col("host").eqNullSafe(F.col("__rhost")), "left")
     failed = (F.col("n_words") < min_words) | (F.col("n_repeat_words") * 100 > F.col("n_words") * max_repeat_percent)
     lost = F.coalesce(F.col("removed_words"), F.lit(0).cast("long"))
     left = (F.col("n_words") - lost) * 100 >= F.col("n_words") * min_left_percent
     return found.select(
-        doc_id, "text_key", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", lost.alias("removed_words"),
+        doc_id, "text_key", "host", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", lost.alias("removed_words"),
         failed.alias("base_failed"), (~failed & left).alias("kept"), *(["removed"] if with_lines else []))
 
 

@@ -55,17 +55,14 @@ def normal(line):
     return " ".join(words(line)).translate(LOWER)
 
 
-def frequent(rows, most=20, share=0.001):
-    """(host, line) above the host's limit; ``rows``: (id, text, host)."""
-    docs, hosts = defaultdict(set), defaultdict(set)
-    for doc, text, host in rows:
-        lines = [normal(x) for x in (text or "").split("\n") if words(x)]
-        if lines:
-            hosts[host].add((doc, text))
-            longest = max(lines, key=lambda x: (len(x), x))
-            for line in lines:
-                docs[host, line].add(longest)
-    return {k for k, v in docs.items() if len(v) > max(most, -(-len(hosts[k[0]]) * share // 1))}
+def frequent(rows, most=20):
+    """(host, line) in more than ``most`` distinct texts of a host; ``rows``: (id, text, host)."""
+    docs = defaultdict(set)
+    for _, text, host in rows:
+        for line in (text or "").split("\n"):
+            if words(line):
+                docs[host, normal(line)].add(text)
+    return {k for k, v in docs.items() if len(v) > most}
 
 
 def quality(rows, most=20):
