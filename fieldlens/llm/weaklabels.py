@@ -21,6 +21,8 @@ GOOD, BAD, NONE = "1", "0", "-"
 SYMBOLS = re.compile(r"[#*$%&|<>~^\\{}]")
 SENTENCE = re.compile(r"[.!?]")
 RUN = re.compile(r"([^\w\s.\-])\1\1")
+LETTERS = re.compile(r"[^\W\d_]+")
+CAPITALS = re.compile(r"[A-ZÀ-ÖØ-Þ]+")
 # Bounds of the sample the scorer is trained on: documents and characters of one document.
 TRAIN_DOCS, TRAIN_DOC_CHARS = 6_000, 30_000
 FEATURES = 1 << 16
@@ -37,15 +39,17 @@ def _vote(x, bad_above=None, good_below=None, bad_below=None, good_above=None):
     return NONE
 
 
-def measures(text):
+def reading(text):
+    """What labellers and scorer both look at: words, how often each occurs, pairs of neighbours, lines with a word."""
+    words = (text or "").split()
+    return words, Counter(words), set(zip(words, words[1:], strict=False)), [line for line in (text or "").split("\n") if line.strip()]
+
+
+def measures(text, read=None):
     """Numbers that the labellers look at."""
-    words = text.split()
+    words, counts, pairs, lines = read or reading(text)
     n = len(words)
-    lines = [line for line in text.split("\n") if line.strip()]
-    counts = Counter(words)
-    letters = sum(map(str.isalpha, text)) if len(text) < 4096 else len(re.findall(r"[^\W\d_]", text))
-    upper = len(re.findall(r"[A-ZÀ-ÖØ-Þ]", text))
-    pairs = set(zip(words, words[1:], strict=False))
+    letters, upper = (sum(map(len, kind.findall(text))) for kind in (LETTERS, CAPITALS))
     return {
         "words": n, "symbols": len(SYMBOLS.findall(text)) / max(n, 1), "upper": upper / max(letters, 1),
         "runs": len(RUN.findall(text)) / max(n, 1), "shouts": text.count("!!") / max(n, 1), "distinct": len(counts) / max(n, 1),
@@ -70,11 +74,11 @@ LABELLERS = (
 )
 
 
-def votes(text):
+def votes(text, read=None):
     """A character per labeller; a text without words gets no votes."""
     if not text or not text.strip():
         return NONE * len(LABELLERS)
-    m = measures(text)
+    m = measures(text, read)
     return "".join(f(m) for _, f in LABELLERS)
 
 
@@ -108,7 +112,7 @@ def fit_votes(patterns, rounds=200, tolerance=1e-9):
 
 def _shape(word):
     """Letters of a kind become one mark: ``Word's`` is ``Aa'a``."""
-    kind = "".join("A" if c.isupper() else "a" if c.isalpha() else "9" if c.isdigit() else c for c in word[:40])
+    kind = "".join("A" if c.isupper() else "a" if c.isalpha() else "9" if c.isdigit() else c for c in word)
     return re.sub(r"(.)\1+", r"\1", kind)
 
 
@@ -125,17 +129,17 @@ def shape_ids(words, known):
     return found
 
 
-def features(text, known):
-    """(features, values): shares of word shapes and of pairs of them, share of words seen before by tenths, length."""
-    words = text.split() if text else []
+def features(text, known, read=None):
+    """(features, values): shares of word shapes and of pairs of them, share of words seen before by tenths, length. A text
+    without words has none."""
+    words, counts, word_pairs, lines = read or reading(text)
     if not words:
-        return np.array([zlib.crc32(b"empty") % FEATURES]), np.ones(1)
+        return np.zeros(0, "int64"), np.zeros(0)
     ids = np.array(shape_ids(words, known), dtype="int64")
     pairs = (ids[1:] * 31 + ids[:-1]) % FEATURES
     found, count = np.unique(np.concatenate([ids, pairs]), return_counts=True)
-    repeated = 1 - len(set(words)) / len(words)
-    pair_repeats = 1 - len(set(zip(words, words[1:], strict=False))) / max(len(words) - 1, 1)
-    lines = [line for line in text.split("\n") if line.strip()]
+    repeated = 1 - len(counts) / len(words)
+    pair_repeats = 1 - len(word_pairs) / max(len(words) - 1, 1)
     line_repeats = 1 - len(set(lines)) / max(len(lines), 1)
     extra = [f"{name}{int(value * 10)}".encode() for name, value in (
         ("words", repeated), ("pairs", pair_repeats), ("lines", line_repeats), ("size", min(np.log10(len(words)), 5) / 5))]
@@ -158,40 +162,52 @@ def fit_scorer(rows, target, rounds=150, rate=0.5, decay=1e-5):
     return weights.astype("float32")
 
 
-def vote_table(docs, text="text", doc_id="doc_id"):
-    """doc_id, text_key (hash of the text) and votes of each row."""
-    read = keep(docs, doc_id, text).select(doc_id, F.xxhash64(text).alias("text_key"), F.col(text).cast("string").alias("__text"))
-    schema = T.StructType([read.schema[doc_id], T.StructField("text_key", T.LongType()), T.StructField("votes", T.StringType())])
+def document_table(docs, text="text", doc_id="doc_id"):
+    """doc_id, votes, and features and values for the scorer of each row. A text is read once for both; null texts and
+    texts without words have no votes and no features, an empty table gives an empty one."""
+    read = keep(docs, doc_id, text).select(doc_id, F.col(text).cast("string").alias("__text"))
+    names = {"votes": T.StringType(), "features": T.ArrayType(T.IntegerType()), "shares": T.ArrayType(T.FloatType())}
+    schema = T.StructType([read.schema[doc_id], *[T.StructField(c, t) for c, t in names.items()]])
 
     def run(batches):
+        known = _KNOWN.setdefault("shapes", {})
         for batch in batches:
             column = batch.column("__text")
             for a, b in text_groups(column):
+                voted, found, shares = [], [], []
+                for t in column.slice(a, b - a).to_pylist():
+                    seen = reading(t)
+                    voted.append(votes(t, seen))
+                    f, v = features(t, known, seen)
+                    found.append(f)
+                    shares.append(v)
+                ends = np.concatenate([[0], np.cumsum([len(f) for f in found])]).astype("int32")
+                listed = lambda parts, kind: pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(parts).astype(kind)))
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(doc_id).slice(a, b - a), batch.column("text_key").slice(a, b - a),
-                    pa.array([votes(t) for t in column.slice(a, b - a).to_pylist()], pa.string())], names=[doc_id, "text_key", "votes"])
+                    batch.column(doc_id).slice(a, b - a), pa.array(voted, pa.string()), listed(found, "int32"), listed(shares, "float32")],
+                    names=[doc_id, *names])
 
     return read.mapInArrow(run, schema)
 
 
-def score(docs, weights, text="text", doc_id="doc_id"):
-    """doc_id, text_key and score (0 to 1) of each row by a trained scorer."""
-    read = keep(docs, doc_id, text).select(doc_id, F.xxhash64(text).alias("text_key"), F.col(text).cast("string").alias("__text"))
-    schema = T.StructType([read.schema[doc_id], T.StructField("text_key", T.LongType()), T.StructField("score", T.DoubleType())])
-    shared = docs.sparkSession.sparkContext.broadcast(weights)  # 2 ** 16 numbers
+def scored(table, weights, doc_id="doc_id"):
+    """doc_id, votes and score (0 to 1; null for texts without words) of each row of a document table, by a trained scorer."""
+    schema = T.StructType([table.schema[doc_id], table.schema["votes"], T.StructField("score", T.DoubleType())])
+    shared = table.sparkSession.sparkContext.broadcast(weights)  # 2 ** 16 numbers
 
     def run(batches):
-        known, w = _KNOWN.setdefault("shapes", {}), shared.value
+        w = shared.value
         for batch in batches:
-            column = batch.column("__text")
-            for a, b in text_groups(column):
-                found = [features(t, known) for t in column.slice(a, b - a).to_pylist()]
-                z = np.array([float(w[f] @ v) for f, v in found]) + float(w[-1])
-                yield pa.RecordBatch.from_arrays([
-                    batch.column(doc_id).slice(a, b - a), batch.column("text_key").slice(a, b - a),
-                    pa.array(1 / (1 + np.exp(-np.clip(z, -60, 60))))], names=[doc_id, "text_key", "score"])
+            column = batch.column("features")
+            ends = column.offsets.to_numpy()
+            parts = w[column.flatten().to_numpy()].astype("float64") * batch.column("shares").flatten().to_numpy()
+            sums = np.concatenate([[0.0], np.cumsum(parts)])
+            z = sums[ends[1:] - ends[0]] - sums[ends[:-1] - ends[0]] + float(w[-1])
+            yield pa.RecordBatch.from_arrays([
+                batch.column(doc_id), batch.column("votes"), pa.array(1 / (1 + np.exp(-np.clip(z, -60, 60))), mask=np.diff(ends) == 0)],
+                names=[doc_id, "votes", "score"])
 
-    return read.mapInArrow(run, schema)
+    return table.mapInArrow(run, schema)
 
 
 def label_model(voted):
@@ -213,19 +229,15 @@ def quality_classifier(docs, text="text", doc_id="doc_id", keep_from=0.5, **boun
     """One row per row of ``docs``: doc_id, posterior (of the votes), score (of the trained scorer), both 0 to 1, kept
     (score of at least ``keep_from``).
 
-    Null texts and texts without words have no votes, the prior as posterior, and aren't kept, score 0. Other columns aren't read;
-    repeated rows and null ids are judged each; an empty table gives an empty result.
+    Null texts and texts without words have no votes, the prior as posterior, and aren't kept, score 0; a text with words is
+    scored whatever the labellers say. Whole texts are read, once. Other columns aren't read; repeated rows and null ids are judged each;
+    an empty table gives an empty result.
     """
     spark = docs.sparkSession
-    voted = materialize(vote_table(docs, text, doc_id), "quality-votes")
-    posteriors, prior, _ = label_model(voted)
-    table = spark.createDataFrame(sorted(posteriors.items()) or [(NONE * len(LABELLERS), 0.5)], "votes string, posterior double")
-    judged = voted.join(F.broadcast(table), "votes")  # a row per pattern
+    table = materialize(document_table(docs, text, doc_id), "quality-documents")
+    posteriors, prior, _ = label_model(table)
+    known = spark.createDataFrame(sorted(posteriors.items()) or [(NONE * len(LABELLERS), 0.5)], "votes string, posterior double")
     weights = train_scorer(docs, posteriors, text, doc_id, **bounds)
-    scored = score(docs, weights, text, doc_id).withColumnsRenamed({doc_id: "__id", "text_key": "__key"})
-    # rows of one id and text have the same votes and the same score
-    once = judged.groupBy(doc_id, "text_key").agg(F.first("posterior").alias("posterior"), F.first("votes").alias("votes"))
-    both = scored.join(once, F.col("__id").eqNullSafe(F.col(doc_id)) & F.col("__key").eqNullSafe(F.col("text_key")))
-    silent = F.col("votes") == NONE * len(LABELLERS)
-    final = F.when(silent, F.lit(0.0)).otherwise(F.col("score"))
-    return both.select(F.col("__id").alias(doc_id), "posterior", final.alias("score"), (~silent & (final >= keep_from)).alias("kept"))
+    found = scored(table, weights, doc_id).join(F.broadcast(known), "votes")  # a row per pattern
+    final = F.coalesce("score", F.lit(0.0))
+    return found.select(doc_id, "posterior", final.alias("score"), (F.col("score").isNotNull() & (final >= keep_from)).alias("kept"))
