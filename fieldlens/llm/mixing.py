@@ -1,8 +1,8 @@
 """Mixing sources to target weights by Sainte-Laguë apportionment of equal-token blocks.
 
 A source's documents lie in a seeded order in shards of similar size; a shard's words are cut into blocks of
-``block_words``. Highest quotients (w / 1, w / 3, w / 5 ...) first give every source its number of blocks, then every
-shard of a source its integer quota. A quota of at least one whole pass takes every document that often; the blocks left
+``block_words``, fewer where the smallest target would not hold ``MIN_BLOCKS`` of them. Highest quotients (w / 1, w / 3, w / 5 ...) first
+give every source its number of blocks, then every bundle of a source's shards, then every shard its integer quota. A quota of at least one whole pass takes every document that often; the blocks left
 over follow from a seeded starting block on, in the shard's cyclic order. Blocks are counted, never listed, so their
 number costs nothing.
 """
@@ -17,7 +17,9 @@ from fieldlens.llm.common import WORD, keep, materialize, need
 
 WEIGHTS = (5, 2, 1)
 BLOCK_WORDS = 32
+MIN_BLOCKS = 100
 SHARD_DOCS = 1_000
+BUNDLE_SHARDS = 1_000
 MAX_REPEATS = 3
 
 
@@ -92,12 +94,14 @@ def _source_seats(block_words, max_repeats):
     return seats
 
 
-def _shard_quotas(max_repeats):
+def _quotas(max_repeats, unit):
+    """Function from the rows (``unit``, size, blocks, seats) of one source or bundle to their quotas of its seats."""
+
     def quotas(frame):
-        frame = frame.sort_values("shard")
+        frame = frame.sort_values(unit)
         caps = frame["blocks"].to_numpy("int64") * max_repeats
         frame["quota"] = sainte_lague(frame["shard_size"], int(frame["seats"].iloc[0]), caps)
-        return frame[["source_no", "shard", "shard_size", "blocks", "quota"]]
+        return frame
 
     return quotas
 
@@ -107,7 +111,7 @@ def mix_sources(docs, text="text", source="source", doc_id="doc_id", carry=(), w
     """One row per row of ``docs``: doc_id, the columns in ``carry``, size, source_size, target, taken.
 
     size: words of the whole text (null or empty: 0). taken: words the mix takes of the document, repeats counted, at most
-    ``max_repeats`` times its size. Null sources are one source, the last. Documents with a null id, repeated rows and ties
+    ``max_repeats`` times its size. Blocks have ``block_words`` words, or so many fewer that the smallest target holds 100. Null sources are one source, the last. Documents with a null id, repeated rows and ties
     keep their own places in the seeded order; rows that agree in all of it are interchangeable. A carried
     column with the name of a result makes way for it; other columns are not read. An empty table gives an empty result.
     """
@@ -123,6 +127,8 @@ def mix_sources(docs, text="text", source="source", doc_id="doc_id", carry=(), w
         rows = sized
 
     sources = materialize(source_targets(sized, "__source", "size", weights, max_repeats), "mixing-targets")
+    least = sources.filter("target > 0").agg(F.min("target")).first()[0]
+    block_words = max(1, min(block_words, int((least or 0) // MIN_BLOCKS)))
     seats = sources.groupBy().applyInPandas(_source_seats(block_words, max_repeats), "source_no int, seats long")
     sources = materialize(sources.join(seats, "source_no").withColumn(
         "n_shards", F.ceil(F.col("n_docs") / shard_docs)).withColumnRenamed("__source", "__name"), "mixing-sources")
@@ -134,8 +140,16 @@ def mix_sources(docs, text="text", source="source", doc_id="doc_id", carry=(), w
     shards = placed(sized).groupBy("source_no", "shard").agg(
         F.sum("size").alias("shard_size"), F.first("seats").alias("seats")
     ).withColumn("blocks", F.ceil(F.col("shard_size") / block_words))
-    quotas = materialize(shards.groupBy("source_no").applyInPandas(
-        _shard_quotas(max_repeats), "source_no int, shard long, shard_size long, blocks long, quota long"), "mixing-quotas")
+    # a source may have very many shards: bundles of them share its seats first
+    shards = materialize(shards.withColumn("bundle", F.floor(F.col("shard") / BUNDLE_SHARDS)), "mixing-shards")
+    bundles = shards.groupBy("source_no", "bundle").agg(
+        F.sum("shard_size").alias("shard_size"), F.sum("blocks").alias("blocks"), F.first("seats").alias("seats"))
+    bundles = bundles.groupBy("source_no").applyInPandas(
+        _quotas(max_repeats, "bundle"), "source_no int, bundle long, shard_size long, blocks long, seats long, quota long")
+    shards = shards.drop("seats").join(bundles.select("source_no", "bundle", F.col("quota").alias("seats")), ["source_no", "bundle"])
+    quotas = materialize(shards.groupBy("source_no", "bundle").applyInPandas(
+        _quotas(max_repeats, "shard"), "source_no int, bundle long, shard long, shard_size long, blocks long, seats long, quota long").select(
+            "source_no", "shard", "shard_size", "blocks", "quota"), "mixing-quotas")
 
     order = Window.partitionBy("source_no", "shard").orderBy(
         F.xxhash64(F.lit(seed + 1), "__id"), "__id", "size").rowsBetween(Window.unboundedPreceding, -1)
