@@ -5,8 +5,9 @@ each place the longest match is one phrase, the next phrase starts behind it. Th
 normalised by log2 of its training length and the document's length (bits a symbol), wins.
 
 Texts are lower-cased; letters are symbols, any run of other characters is one separator. Texts are cut into blocks of
-symbols and each block is parsed from the automaton's root, so that numpy moves thousands of blocks one symbol at a time;
-a block adds at most one phrase, the same for every language.
+symbols, so that numpy moves thousands of blocks one symbol at a time. A block is first parsed from the automaton's root, as
+if a phrase began there; then from the state that the block before it ends in, up to the place where both ways are in the same
+state, from which on they agree. So phrases run on across blocks, and a text's parse is that of the whole text.
 """
 
 import math
@@ -144,24 +145,47 @@ class CrossParser:
             found = found[np.concatenate(([True], (found[1:] != SEPARATOR) | (found[:-1] != SEPARATOR)))]
         return found
 
-    def phrases(self, blocks, sizes):
-        """Phrases of each block in each language: blocks (n, BLOCK) of symbols, sizes descending."""
+    def phrases(self, blocks, sizes, before):
+        """Phrase ends in each block in each language: blocks (n, BLOCK) of symbols, sizes descending, ``before``: the block
+        that a block goes on from, -1 for a text's first."""
         turned = np.ascontiguousarray(blocks.T)
         active = np.searchsorted(-sizes, -np.arange(1, BLOCK + 1), side="right")
         out = np.empty((len(self.automata), len(sizes)), dtype="int64")
+        every = np.arange(len(sizes))
         for k, automaton in enumerate(self.automata):
             own = automaton.symbols(turned)
-            state = np.zeros(len(sizes), dtype="int32")
-            ends = np.zeros(len(sizes), dtype="int32")
+            states = np.zeros((BLOCK + 1, len(sizes)), dtype="int32")
+            ends = np.zeros((BLOCK + 1, len(sizes)), dtype="int16")
             for t in range(BLOCK):
                 n = active[t]
                 if not n:
                     break
-                to = automaton.move(state[:n], own[t, :n])
+                to = automaton.move(states[t, :n], own[t, :n])
                 miss = to >> 31
-                ends[:n] -= miss
-                state[:n] = to ^ miss
-            out[k] = ends + 1
+                ends[t + 1, :n] = ends[t, :n] - miss
+                states[t + 1, :n] = to ^ miss
+            left, entry = states[sizes, every], np.zeros(len(sizes), dtype="int32")
+            again = np.flatnonzero((before >= 0) & (left[before] != entry))
+            while len(again):
+                entry[again] = left[before[again]]
+                state, count, rows = entry[again], np.zeros(len(again), dtype="int16"), again
+                for t in range(BLOCK):
+                    on = sizes[rows] > t
+                    if not on.all():
+                        state, count, rows = state[on], count[on], rows[on]
+                    if not len(rows):
+                        break
+                    to = automaton.move(state, own[t, rows])
+                    miss = to >> 31
+                    count, state = (count - miss).astype("int16"), to ^ miss
+                    met = state == states[t + 1, rows]
+                    if met.any():
+                        ends[t + 1:, rows[met]] += (count[met] - ends[t + 1, rows[met]])[None, :]
+                        state, count, rows = state[~met], count[~met], rows[~met]
+                    states[t + 1, rows], ends[t + 1, rows] = state, count
+                left = states[sizes, every]
+                again = np.flatnonzero((before >= 0) & (left[before] != entry))
+            out[k] = ends[sizes, every]
         return out
 
     def predict(self, texts):
@@ -185,10 +209,14 @@ class CrossParser:
                 lengths[row] = len(part)
                 row += 1
         order = np.argsort(-lengths, kind="stable")
-        found = self.phrases(blocks[order], lengths[order])
+        place = np.empty(len(order), dtype="int64")
+        place[order] = np.arange(len(order))
+        first = np.concatenate([[True], owner[1:] != owner[:-1]]) if len(owner) else np.zeros(0, bool)
+        before = np.where(first, -1, np.concatenate([[-1], place[:-1]]) if len(place) else place)[order]
+        found = self.phrases(blocks[order], lengths[order], before)
         bits = np.zeros((len(self.languages), len(texts)))
         for k, cost in enumerate(self.cost):
-            bits[k] = np.bincount(owner[order], weights=found[k], minlength=len(texts)) * cost
+            bits[k] = (np.bincount(owner[order], weights=found[k], minlength=len(texts)) + 1) * cost
         best = bits.argmin(axis=0)
         # share of the winner if a quarter of the code length counts as evidence
         score = np.where(has_letter, 1 / np.exp2(np.maximum((bits.min(axis=0) - bits) / 4, -1000)).sum(axis=0), 0.0)
@@ -218,7 +246,8 @@ def identify(docs, samples, text="text", doc_id="doc_id"):
     """One row per row of ``docs``: doc_id, lang_pred, score (0 to 1), from {language: labelled text}.
 
     ``und`` with score 0 for null texts, texts without a letter, and if there are no samples. Of languages that need the
-    same the first by code point wins. Other columns aren't read, repeated rows and null ids are judged each.
+    same the first by code point wins. Whole texts are parsed, however long. Other columns aren't read, repeated rows and null ids are
+    judged each; an empty table gives an empty result.
     """
     found = keep(docs, doc_id, text).withColumn(text, F.col(text).cast("string"))
     schema = T.StructType([found.schema[doc_id], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
