@@ -6,7 +6,9 @@ the field is fitted by maximum likelihood; forward-backward gives each token's m
 marginals by a logistic regression on the largest one, the expected number of toxic tokens and the length; tokens with a marginal
 of at least one half are its offending offsets.
 
-Recursions run over all sentences of a batch at once, one step per token position.
+Recursions run over all sentences of a batch at once, one step per token position. A long sentence lies in stretches; a
+stretch is first run by itself and then, until nothing changes any more, from the message that its neighbour hands over, so
+its marginals are those of the whole sentence.
 """
 
 import math
@@ -29,7 +31,9 @@ PREDICT_FROM = 0.7
 # A token: letters and digits, or an end of a sentence.
 TOKEN = re.compile(r"[^\W_]+|[.!?\n]")
 ENDS = frozenset(".!?\n")
-MAX_SENTENCE = 512
+# Tokens of a stretch, and the change of a message below which what follows from it stays as it is.
+STRETCH = 512
+SETTLED = 1e-13
 FEATURES = 1 << 18
 PREFIXES = range(3, 8)
 # A beginning goes with toxic documents if the log-likelihood ratio says so and its share there is so many times larger.
@@ -88,7 +92,8 @@ def toxic_features(tokens, labels, families):
 
 
 def sentences(is_end, doc_sizes):
-    """(starts, lengths, tokens): sequences of a flat token array, longest first; tokens that end a sentence are in none."""
+    """(starts, lengths, tokens, before): stretches of the sentences in a flat token array, longest first, and the stretch that each
+    goes on from (-1: none); tokens that end a sentence are in none."""
     n = len(is_end)
     first = np.zeros(n + 1, dtype=bool)
     first[np.cumsum(doc_sizes)[:-1]] = True
@@ -98,38 +103,75 @@ def sentences(is_end, doc_sizes):
     index = np.flatnonzero(~is_end)
     group = np.cumsum(first)[index]
     if not len(index):
-        return np.zeros(0, dtype="int64"), np.zeros(0, dtype="int64"), index
+        return np.zeros(0, dtype="int64"), np.zeros(0, dtype="int64"), index, np.zeros(0, dtype="int64")
     opens = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
     lengths = np.diff(np.append(opens, len(index)))
-    # longer sentences go on as a new one
-    parts = -(-lengths // MAX_SENTENCE)
+    parts = -(-lengths // STRETCH)
     inner = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
-    starts = np.repeat(opens, parts) + inner * MAX_SENTENCE
-    sizes = np.minimum(np.repeat(lengths, parts) - inner * MAX_SENTENCE, MAX_SENTENCE)
+    starts = np.repeat(opens, parts) + inner * STRETCH
+    sizes = np.minimum(np.repeat(lengths, parts) - inner * STRETCH, STRETCH)
     order = np.argsort(-sizes, kind="stable")
-    return starts[order], sizes[order], index
+    place = np.empty(len(order), dtype="int64")
+    place[order] = np.arange(len(order))
+    before = np.where(inner > 0, np.concatenate([[-1], place[:-1]]), -1)
+    return starts[order], sizes[order], index, before[order]
 
 
-def forward_backward(e, starts, sizes, move):
+def forward_backward(e, starts, sizes, move, before=None):
     """(a, b): log-odds messages of state 1 against 0; a + b is the logit of a token's marginal.
 
-    ``e``: log-odds of the tokens. ``move``: start log-odds and the scores of 0-0, 0-1, 1-0, 1-1.
+    ``e``: log-odds of the tokens. ``move``: start log-odds and the scores of 0-0, 0-1, 1-0, 1-1. ``before``: see ``sentences``.
     """
     begin, m00, m01, m10, m11 = move
     a, b = np.empty_like(e), np.zeros_like(e)
     if not len(starts):
         return a, b
+
+    def onward(x, at):
+        return np.clip(e[at] + np.logaddexp(m01, m11 + x) - np.logaddexp(m00, m10 + x), -60, 60)
+
+    def backward(at):
+        x = e[at] + b[at]
+        return np.clip(np.logaddexp(m10, m11 + x) - np.logaddexp(m00, m01 + x), -60, 60)
+
     longest = int(sizes[0])
     active = np.searchsorted(-sizes, -np.arange(1, longest + 1), side="right")
     a[starts] = begin + e[starts]
     for t in range(1, longest):
         at = starts[:active[t]] + t
-        x = a[at - 1]
-        a[at] = np.clip(e[at] + np.logaddexp(m01, m11 + x) - np.logaddexp(m00, m10 + x), -60, 60)
+        a[at] = onward(a[at - 1], at)
     for t in range(longest - 1, 0, -1):
         at = starts[:active[t]] + t
-        x = e[at] + b[at]
-        b[at - 1] = np.clip(np.logaddexp(m10, m11 + x) - np.logaddexp(m00, m01 + x), -60, 60)
+        b[at - 1] = backward(at)
+    if before is None or not (before >= 0).any():
+        return a, b
+    after = np.full(len(starts), -1)
+    after[before[before >= 0]] = np.flatnonzero(before >= 0)
+    # what a stretch is handed changes it from its border on, until a message stays as it was
+    lanes = np.flatnonzero(before >= 0)
+    while len(lanes):
+        t, rows, reached = 0, lanes, np.zeros(0, dtype="int64")
+        while len(rows):
+            at = starts[rows] + t
+            new = onward(a[at - 1], at)  # a sentence's stretches lie side by side
+            moved = np.abs(new - a[at]) > SETTLED
+            a[at] = new
+            t += 1
+            reached = np.concatenate([reached, rows[moved & (sizes[rows] == t)]])
+            rows = rows[moved & (sizes[rows] > t)]
+        lanes = after[reached][after[reached] >= 0]
+    lanes = np.flatnonzero(after >= 0)
+    while len(lanes):
+        t, rows, reached = 0, lanes, np.zeros(0, dtype="int64")
+        while len(rows):
+            at = starts[rows] + sizes[rows] - t
+            new = backward(at)
+            moved = np.abs(new - b[at - 1]) > SETTLED
+            b[at - 1] = new
+            t += 1
+            reached = np.concatenate([reached, rows[moved & (sizes[rows] == t)]])
+            rows = rows[moved & (sizes[rows] > t)]
+        lanes = before[reached][before[reached] >= 0]
     return a, b
 
 
@@ -143,27 +185,28 @@ def fit_field(words, labels, doc_sizes, rounds=60, rate=0.3, decay=1e-6):
     number = {w: i for i, w in enumerate(kinds)}
     ids = np.fromiter(map(number.__getitem__, words), dtype="int64", count=len(words))
     is_end = np.array([w in ENDS for w in kinds])[ids]
-    starts, sizes, index = sentences(is_end, np.asarray(doc_sizes))
+    starts, sizes, index, before = sentences(is_end, np.asarray(doc_sizes))
     ids, y = ids[index], np.asarray(labels, dtype="float64")[index]
     feats = [buckets(w) for w in kinds]
     row = np.repeat(np.arange(len(kinds)), [len(f) for f in feats])
     col = np.concatenate([np.asarray(f, dtype="int64") for f in feats])
     weights, move = np.zeros(FEATURES), np.zeros(5)
     squares, move_squares = np.full(FEATURES, 1e-8), np.full(5, 1e-8)
+    opens = starts[before < 0]
     later = np.ones(len(ids), dtype=bool)
-    later[starts] = False
+    later[opens] = False
     later = np.flatnonzero(later)
-    real = np.array([y[starts].sum(), *[((y[later - 1] == i) & (y[later] == j)).sum() for i in (0, 1) for j in (0, 1)]])
+    real = np.array([y[opens].sum(), *[((y[later - 1] == i) & (y[later] == j)).sum() for i in (0, 1) for j in (0, 1)]])
     for _ in range(rounds):
         e = np.bincount(row, weights=weights[col], minlength=len(kinds))[ids]
-        a, b = forward_backward(e, starts, sizes, move)
+        a, b = forward_backward(e, starts, sizes, move, before)
         p = sigmoid(a + b)
         gradient = np.bincount(col, weights=np.bincount(ids, weights=y - p, minlength=len(kinds))[row], minlength=FEATURES)
         gradient -= decay * len(ids) * weights
         x, nxt = a[later - 1], e[later] + b[later]
         pair = np.stack([np.full(len(x), move[1]), move[2] + nxt, x + move[3], x + move[4] + nxt])
         pair = np.exp(pair - pair.max(axis=0))
-        expected = np.array([p[starts].sum(), *(pair / pair.sum(axis=0)).sum(axis=1)])
+        expected = np.array([p[opens].sum(), *(pair / pair.sum(axis=0)).sum(axis=1)])
         step = real - expected
         squares += gradient ** 2
         move_squares += step ** 2
@@ -189,7 +232,7 @@ class Scorer:
                 if e is None:
                     w = words[i]
                     if w not in known:
-                        known[w] = float(self.weights[buckets(w)].sum())
+                        known[w] = float(self.weights[buckets(w.lower())].sum())
                     found[i] = known[w]
         return found
 
@@ -198,20 +241,24 @@ class Scorer:
         flat, sizes = [], np.zeros(len(texts), dtype="int64")
         for i, text in enumerate(texts):
             if text:
-                found = self.emissions(TOKEN.findall(text.lower()))
+                found = self.emissions(TOKEN.findall(text))
                 flat.append(np.array(found))
                 sizes[i] = len(found)
         e = np.concatenate(flat) if flat else np.zeros(0)
         is_end = np.isnan(e)
         p = np.zeros(len(e))
         if len(e):
-            starts, lengths, index = sentences(is_end, sizes)
-            a, b = forward_backward(e[index], starts, lengths, self.move)
+            starts, lengths, index, before = sentences(is_end, sizes)
+            a, b = forward_backward(e[index], starts, lengths, self.move, before)
             p[index] = sigmoid(a + b)
         return p, sizes
 
     def summaries(self, p, sizes):
-        """Per text: logit of its largest marginal, logs of one more than its expected toxic tokens and than its tokens."""
+        """Per text: logit of its largest marginal, logs of one more than its expected toxic tokens and than its tokens.
+
+        Marginals below 0.01 don't count in the sum: those of clean words are small but not zero, and thousands of
+        them would make a long clean text look like one with a few toxic words.
+        """
         top, total = np.full(len(sizes), 1e-9), np.zeros(len(sizes))
         filled = np.flatnonzero(sizes)
         if len(filled):
@@ -227,11 +274,7 @@ class Scorer:
     def spans(self, text, p, level=0.5):
         """(start, end) of runs of tokens with a marginal of at least ``level``; code points, ends exclusive."""
         found = []
-        # lower() may change a text's length: offsets are those of the text itself, token by token
-        places = [m.span() for m in TOKEN.finditer(text)]
-        if len(places) != len(p):
-            places = [m.span() for m in TOKEN.finditer(text.lower())]
-        last = None
+        places, last = [m.span() for m in TOKEN.finditer(text)], None
         for k in np.flatnonzero(p >= level).tolist():
             if last == k - 1 and found:
                 found[-1] = (found[-1][0], places[k][1])
@@ -270,7 +313,7 @@ def train(sample):
     texts, labels = [t for t, _ in sample], [y for _, y in sample]
     if len(set(labels)) < 2:
         return None
-    tokens = [list(map(sys.intern, TOKEN.findall(t.lower()))) for t in texts]
+    tokens = [[sys.intern(w.lower()) for w in TOKEN.findall(t)] for t in texts]
     families = [hash(max(t.split("\n"), key=lambda line: (len(line), line))) for t in texts]
     marked = toxic_features(tokens, labels, families)
     toxic_words = {w for words in tokens for w in words if w not in ENDS and any(f in marked for f in feature_ids(w))}
@@ -284,7 +327,8 @@ def train(sample):
 def tag(docs, model, text="text", doc_id="doc_id", level=0.5):
     """One row per row of ``docs``: doc_id, score (0 to 1), spans (start, end of offending runs, code points).
 
-    Null and empty texts have no spans and the score of a text without toxic tokens. Without a model (no documents of one of
+    Texts are split into tokens as they are and each token is lower-cased, so offsets are those of the text; whole texts are read,
+    a sentence of any length is one chain. An empty table gives an empty result. Null and empty texts have no spans and the score of a text without toxic tokens. Without a model (no documents of one of
     the labels to learn from) every score is 0. Other columns aren't read; repeated rows and null ids are scored each.
     """
     found = keep(docs, doc_id, text).withColumn(text, F.col(text).cast("string"))
