@@ -2,7 +2,8 @@
 
 Long texts are cut at safe boundaries. White space opens a token and never ends one in the tokenizers used here, so a
 text may be cut wherever a character that is no white space meets white space, and the counts of the pieces add up to
-that of the whole text. Equal pieces are encoded once per Python worker; what is still unknown goes to the library in
+that of the whole text. The tokenizers of ``tokenizers`` also part letters from digits, so long runs without white space
+are cut there. Equal pieces are encoded once per Python worker; what is still unknown goes to the library in
 batches of about equal bytes.
 """
 
@@ -19,6 +20,8 @@ from fieldlens.llm.common import keep
 # Characters with the Unicode property White_Space, fixed values.
 WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 PIECE = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
+# Where a letter meets a digit, for pieces above so many characters.
+TURN, LONG_PIECE = re.compile("(?<=[A-Za-z])(?=[0-9])|(?<=[0-9])(?=[A-Za-z])"), 4_096
 # For sentencepiece: a single blank between two ASCII letters or digits, which the next piece's own mark stands for.
 BLANK = re.compile("(?<=[A-Za-z0-9]) (?=[A-Za-z0-9])")
 
@@ -30,6 +33,14 @@ KNOWN_CHARS = 64
 _LOADED = {}
 
 
+def cut_pieces(text):
+    """Pieces of a text whose tokens add up to those of the text."""
+    pieces = PIECE.findall(text)
+    if len(text) <= LONG_PIECE or max(map(len, pieces), default=0) <= LONG_PIECE:
+        return pieces
+    return [part for piece in pieces for part in (TURN.split(piece) if len(piece) > LONG_PIECE else (piece,))]
+
+
 class _Counter:
     """Counts tokens of whole texts with one tokenizer, remembering short pieces."""
 
@@ -53,7 +64,7 @@ class _Counter:
             model.no_truncation()
             model.no_padding()
             self.lengths = lambda texts: [len(e) for e in model.encode_batch_fast(texts, add_special_tokens=False)]
-            self.cut = PIECE.findall
+            self.cut = cut_pieces
         self.known = {}
 
     def learn(self, pieces):
@@ -61,7 +72,7 @@ class _Counter:
         found, batch, size = {}, [], 0
         for piece in sorted(pieces, key=len):
             batch.append(piece)
-            size += len(piece)
+            size += len(piece.encode())
             if size >= BATCH_BYTES:
                 found.update(zip(batch, self.lengths(batch), strict=True))
                 batch, size = [], 0
