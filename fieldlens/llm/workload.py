@@ -52,18 +52,16 @@ OP9_SQL = f"""
               FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS n FROM grams) t WHERE n > 1) t
         GROUP BY doc_id),
     lines AS (
-        SELECT doc_id, source, l AS raw, {WORDS_SQL.format('l')} AS w
-        FROM (SELECT doc_id, source, unnest(lines) AS l FROM docs) t),
+        SELECT doc_id, source, text, l AS raw, {WORDS_SQL.format('l')} AS w
+        FROM (SELECT doc_id, source, text, unnest(lines) AS l FROM docs) t),
     named AS (
-        SELECT doc_id, source, raw, len(w) AS n,
+        SELECT doc_id, source, text, raw, len(w) AS n,
                translate(array_to_string(w, ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS line
         FROM lines WHERE len(w) > 0),
-    longest AS (SELECT doc_id, max(struct_pack(n := length(line), l := line)) AS document FROM named GROUP BY doc_id),
-    hosts AS (SELECT source, greatest(20, ceil(count(DISTINCT doc_id) * 0.001)) AS most FROM named GROUP BY source),
-    frequent AS (
-        SELECT n.source, n.line FROM named n JOIN longest USING (doc_id) JOIN hosts h USING (source)
-        GROUP BY n.source, n.line HAVING count(DISTINCT document) > max(h.most)),
-    removed AS (SELECT n.doc_id, sum(n.n) AS n FROM named n SEMI JOIN frequent USING (source, line) GROUP BY n.doc_id),
+    frequent AS (SELECT source, line FROM named GROUP BY source, line HAVING count(DISTINCT text) > 20),
+    removed AS (
+        SELECT n.doc_id, sum(n.n) AS n FROM named n JOIN frequent f ON n.source IS NOT DISTINCT FROM f.source AND n.line = f.line
+        GROUP BY n.doc_id),
     dups AS (SELECT doc_id, count(*) - count(DISTINCT raw) AS n FROM named GROUP BY doc_id),
     stats AS (
         SELECT d.doc_id, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
@@ -78,7 +76,7 @@ OP9_SQL = f"""
 @query("op9_quality_rules", OP9_SQL)
 def op9(spark, table):
     """Statistics and verdict of every document."""
-    return quality.quality_rules(table("documents")).drop("text_key")
+    return quality.quality_rules(table("documents")).drop("text_key", "host")
 
 
 @query("op6_simhash")
@@ -156,7 +154,8 @@ def op5(spark, table):
 def op2(spark, table):
     """Toxicity of every document, learnt from the labelled documents that aren't held out."""
     found = toxicity.toxicity(table("documents"), table("labels"), folds=3, held_out=1)
-    return found.withColumn("n_spans", F.size("spans").cast("long")).drop("spans")
+    joined = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["start"], s["end"])), ",")
+    return found.withColumn("n_spans", F.size("spans").cast("long")).withColumn("spans", joined)
 
 
 @query("op3_quality_classifier")

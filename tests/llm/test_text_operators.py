@@ -49,7 +49,7 @@ def rows(frame):
 # --- token counts -----------------------------------------------------------
 
 TRICKY = ["a\xa0  b", "a \n  b\n\n c  ", "x<|endoftext|> y <|endoftext|>", "\x1c\x1d! \x1c!", "日本 語　　x", " ", "\n\n a", "don't 's\t\tx",
-          "x" * 5000 + " " * 300 + "y"]
+          "x" * 5000 + " " * 300 + "y", "".join(random.Random(5).choices("abcXYZ0123456789+/=", k=60_000)), "日本語テキスト" * 900 + "a1" * 3000]
 
 
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"])
@@ -92,11 +92,36 @@ def test_forward_backward_is_exact():
 
 def test_sentences_cover_every_token_once():
     ends = np.array([0, 0, 1, 0, 1, 1, 0, 0], dtype=bool)
-    starts, sizes, index = toxicity.sentences(ends, np.array([4, 4]))
+    starts, sizes, index, before = toxicity.sentences(ends, np.array([4, 4]))
     got = sorted(tuple(index[s:s + n]) for s, n in zip(starts, sizes))
-    assert got == [(0, 1), (3,), (6, 7)]
-    starts, sizes, index = toxicity.sentences(np.zeros(1300, dtype=bool), np.array([1300]))
+    assert got == [(0, 1), (3,), (6, 7)] and (before == -1).all()
+    starts, sizes, index, before = toxicity.sentences(np.zeros(1300, dtype=bool), np.array([1300]))
     assert sorted(sizes.tolist()) == [276, 512, 512] and len(index) == 1300
+    assert [starts[b] + 512 if b >= 0 else 0 for b in before] == starts.tolist()
+
+
+@pytest.mark.parametrize("stretch", [1, 3, 512])
+def test_a_sentence_of_any_length_is_one_chain(monkeypatch, stretch):
+    """Marginals of stretches that hand messages over equal those of the whole chain, also where tokens say nothing."""
+    monkeypatch.setattr(toxicity, "STRETCH", stretch)
+    rng = np.random.default_rng(stretch)
+    move = np.array([0.3, 4.0, -4.0, -4.0, 4.0])  # long memory: a state tends to stay
+    sizes = np.array([1700, 1, 40])
+    e = np.where(rng.random(sizes.sum()) < 0.02, rng.normal(size=sizes.sum()) * 3, 0.0)
+    starts, lengths, index, before = toxicity.sentences(np.zeros(len(e), dtype=bool), sizes)
+    a, b = toxicity.forward_backward(e, starts, lengths, move, before)
+    opens = np.cumsum(sizes) - sizes
+    order = np.argsort(-sizes, kind="stable")
+    whole_a, whole_b = toxicity.forward_backward(e, opens[order], sizes[order], move)
+    assert np.abs(a - whole_a).max() < 1e-9 and np.abs(b - whole_b).max() < 1e-9
+
+
+def test_offsets_are_those_of_the_text():
+    scorer = toxicity.Scorer(np.zeros(toxicity.FEATURES, dtype="float32"), np.zeros(5), np.zeros(toxicity.SUMMARIES))
+    text = "\u0130\u0130\u0130 BAD words"  # three letters that are longer in lower case
+    p, sizes = scorer.marginals([text])
+    assert sizes.tolist() == [3]
+    assert [text[a:b] for a, b in scorer.spans(text, np.array([0.0, 0.9, 0.1]))] == ["BAD"]
 
 
 def test_toxicity_learns_and_marks(spark, odd, empty):
@@ -153,8 +178,49 @@ def test_quality_classifier(spark, odd, empty):
     assert weaklabels.quality_classifier(empty).count() == 0
 
 
+def test_silent_documents_are_scored(spark):
+    """A text with words on which no labeller votes is judged by the scorer like others, in one letter rule at every length."""
+    fair = "ab9 %s cd9" % " ".join(f"w{i}x" for i in range(6))
+    made = [(i, prose(i, 90).replace(" ba", ". Ba"), "s") for i in range(80)] + [(500, fair, "s")]
+    found = {r.doc_id: r for r in weaklabels.quality_classifier(spark.createDataFrame(made, DOCS)).collect()}
+    assert found[500].score > 0
+    short, long_ = weaklabels.measures("\u00bd Ab " * 10), weaklabels.measures("\u00bd Ab " * 2000)
+    assert short["upper"] == long_["upper"]
+    assert weaklabels._shape("a1" * 100) == "a9" * 100
+
+
+def test_document_table_equals_plain_reading(spark, odd):
+    found = weaklabels.document_table(odd).collect()
+    table = weaklabels.document_table(odd)
+    weights = np.random.default_rng(0).normal(size=weaklabels.FEATURES + 1).astype("float32")
+    scores = weaklabels.scored(table, weights).collect()
+    assert len(found) == len(scores) == len(ODD)
+    want = []
+    for d, t, _ in ODD:
+        f, v = weaklabels.features(t, {})
+        want.append((d, weaklabels.votes(t), None if not len(f) else round(1 / (1 + math.exp(-float(weights[f] @ v) - float(weights[-1]))), 4)))
+    assert sorted(((r.doc_id, r.votes, None if r.score is None else round(r.score, 4)) for r in scores), key=repr) == sorted(want, key=repr)
+
+
 # --- mixing -----------------------------------------------------------------
 
+@pytest.mark.parametrize("size", [20, 7, 300])
+def test_small_sources_meet_their_targets(spark, size):
+    made = [(100 * k + i, " ".join(["word"] * n), s) for k, s in enumerate("abc") for i, n in enumerate([size // 4, size - size // 4])]
+    found = mixing.mix_sources(spark.createDataFrame(made, DOCS)).toPandas().merge(
+        __import__("pandas").DataFrame([(d, s) for d, _, s in made], columns=["doc_id", "source"]))
+    want = plain.targets({s: size for s in "abc"})
+    for s, group in found.groupby("source"):
+        assert abs(group.taken.sum() - want[s]) <= max(1.0, 0.02 * want[s])
+
+
+def test_many_shards_share_by_bundles(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "BUNDLE_SHARDS", 4)
+    made = [(i, prose(i, 5 + i % 30), "ab"[i % 2]) for i in range(400)]
+    found = mixing.mix_sources(spark.createDataFrame(made, DOCS), shard_docs=10, block_words=2).toPandas()
+    assert abs(found.taken.sum() - found["size"].sum()) <= 0.02 * found["size"].sum() and (found.taken <= 3 * found["size"]).all()
+
+
 def test_highest_quotients():
     rng = random.Random(4)
     for _ in range(300):
@@ -196,12 +262,33 @@ def test_cross_parsing_takes_longest_matches():
         symbols = parser.symbols(langid.code_points(text))
         block = np.zeros((1, langid.BLOCK), dtype="uint8")
         block[0, :len(symbols)] = symbols
-        got = parser.phrases(block, np.array([len(symbols)]))[:, 0].tolist()
+        got = (parser.phrases(block, np.array([len(symbols)]), np.array([-1]))[:, 0] + 1).tolist()
         own = "".join(map(chr, symbols))
         known = ["".join(chr(c) for c in parser.symbols(langid.code_points(samples[k])) if c != langid.UNKNOWN) for k in ("x", "y")]
         assert got == [plain.phrases(own, learnt) for learnt in known]
 
 
+def test_phrases_run_on_across_blocks(monkeypatch):
+    rng = random.Random(11)
+    known = "".join(rng.choices("abcdefgh", k=3000))
+    other = "".join(rng.choices("abcdxyz", k=2000))
+    texts = [known[100:1900], known[5:700] + other[:900], "".join(rng.choices("abcdefghxyz", k=1500)), "ab" * 800, known[:40], "q" * 600, "a"]
+    for block in (512, 7):
+        monkeypatch.setattr(langid, "BLOCK", block)
+        parser = langid.CrossParser({"one": known, "two": other, "three": "ab" * 50})
+        counted = {}
+
+        def keep_counts(blocks, sizes, before, run=parser.phrases):
+            counted["ends"] = run(blocks, sizes, before)
+            return counted["ends"]
+
+        monkeypatch.setattr(parser, "phrases", keep_counts)
+        for text in texts:
+            parser.predict([text])
+            want = [plain.phrases(text, sample) for _, sample in sorted({"one": known, "two": other, "three": "ab" * 50}.items())]
+            assert (counted["ends"].sum(axis=1) + 1).tolist() == want
+
+
 def test_language_id(spark, odd, empty):
     rng = random.Random(2)
     vocabulary = {"en": "the of and house river thought every little window".split(), "fi": "talo joki ajatus jokainen pieni ikkuna yö".split()}
@@ -237,7 +324,7 @@ def test_large_alphabets_keep_every_letter(monkeypatch, cells):
         symbols = parser.symbols(langid.code_points(t))
         block = np.zeros((1, langid.BLOCK), dtype=symbols.dtype)
         block[0, :len(symbols)] = symbols
-        got = parser.phrases(block, np.array([len(symbols)]))[:, 0].tolist()
+        got = (parser.phrases(block, np.array([len(symbols)]), np.array([-1]))[:, 0] + 1).tolist()
         learnt = ["".join(map(chr, parser.symbols(langid.code_points(samples[k])))) for k in parser.languages]
         assert got == [plain.phrases("".join(map(chr, symbols)), x) for x in learnt]
 
@@ -398,6 +485,8 @@ def test_quality_rules_equal_plain_counts(spark, odd, empty):
     made += [(200 + i, line.upper() + "\n" + "\n".join([shared] * (1 + i % 5)) + f"\n{prose(i, 48 if i % 2 else 20)}", "h") for i in range(30)]
     made += [(300 + i, prose(12, 80) + "\n" + prose(13, 80), "copies") for i in range(40)]
     made += [(400, " ".join(["one two three four"] * 40), "h"), (401, "#$ <a> " * 60, "h")]
+    # one id and text, or no id, under a host with the line in many documents and under one without
+    made += [(d, line + "\n" + prose(500, 60), host) for d in (500, None) for host in ("h", "other", None)]
     table = odd.select("doc_id", "text", "source").union(spark.createDataFrame(made, DOCS)).withColumn("pos", F.lit(1))
     every = ODD + made
     want = plain.quality(every)
