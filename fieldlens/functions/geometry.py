@@ -132,38 +132,113 @@ def point_in_edges(x, y, edge_list):
     return F.size(F.filter(edge_list, crosses)) % 2 == 1
 
 
+# A point this close to an edge, in shares of its coordinates, lies on it: points worked out on slanted edges are rounded.
+ON_EDGE = 1e-13
+
+
 def on_edges(x, y, edge_list):
     """True where a point lies on one of the edges."""
-    return F.exists(edge_list, lambda e: (
-        ((e["x2"] - e["x1"]) * (y - e["y1"]) == (e["y2"] - e["y1"]) * (x - e["x1"]))
-        & x.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"]))
-        & y.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"]))))
 
+    def holds(e):
+        dx, dy = e["x2"] - e["x1"], e["y2"] - e["y1"]
+        slack = F.lit(ON_EDGE) * (F.abs(x) + F.abs(y))
+        return (
+            (F.abs(dx * (y - e["y1"]) - dy * (x - e["x1"])) <= slack * (F.abs(dx) + F.abs(dy)))
+            & x.between(F.least(e["x1"], e["x2"]) - slack, F.greatest(e["x1"], e["x2"]) + slack)
+            & y.between(F.least(e["y1"], e["y2"]) - slack, F.greatest(e["y1"], e["y2"]) + slack))
+
+    return F.exists(edge_list, holds)
 
-def _side(ax, ay, bx, by, px, py):
-    return F.signum((bx - ax) * (py - ay) - (by - ay) * (px - ax))
 
+def _edges_meet(e, g):
+    """True where the boxes of two edges meet."""
+    return (
+        (F.greatest(e["x1"], e["x2"]) >= F.least(g["x1"], g["x2"])) & (F.greatest(g["x1"], g["x2"]) >= F.least(e["x1"], e["x2"]))
+        & (F.greatest(e["y1"], e["y2"]) >= F.least(g["y1"], g["y2"])) & (F.greatest(g["y1"], g["y2"]) >= F.least(e["y1"], e["y2"])))
 
-def edges_cross(first, second):
-    """True where an edge of one list properly crosses an edge of the other."""
 
-    def crosses(e, g):
-        return (
-            (_side(e["x1"], e["y1"], e["x2"], e["y2"], g["x1"], g["y1"])
-             * _side(e["x1"], e["y1"], e["x2"], e["y2"], g["x2"], g["y2"]) < 0)
-            & (_side(g["x1"], g["y1"], g["x2"], g["y2"], e["x1"], e["y1"])
-               * _side(g["x1"], g["y1"], g["x2"], g["y2"], e["x2"], e["y2"]) < 0)
-        )
+def split_midpoints(edge_list, others):
+    """Midpoints of the pieces into which ``others`` cut the edges: where they cross, touch, or where a common stretch ends.
+
+    A piece lies wholly inside, outside or on the border of the other shape, so its midpoint stands for it.
+    """
+
+    def places(e):
+        dx, dy = e["x2"] - e["x1"], e["y2"] - e["y1"]
+        length = dx * dx + dy * dy
+
+        def crossing(g):
+            gx, gy, ox, oy = g["x2"] - g["x1"], g["y2"] - g["y1"], g["x1"] - e["x1"], g["y1"] - e["y1"]
+            turn = dx * gy - dy * gx
+            return F.when(F.try_divide(ox * dy - oy * dx, turn).between(-1e-9, 1 + 1e-9), F.try_divide(ox * gy - oy * gx, turn))
+
+        def corner(px, py):
+            slack = F.lit(ON_EDGE) * (F.abs(px) + F.abs(py)) * (F.abs(dx) + F.abs(dy))
+            near = F.abs(dx * (py - e["y1"]) - dy * (px - e["x1"])) <= slack
+            return F.when(near, F.try_divide(dx * (px - e["x1"]) + dy * (py - e["y1"]), length))
+
+        cuts = F.flatten(F.transform(F.filter(others, lambda g: _edges_meet(e, g)), lambda g: F.array(
+            crossing(g), corner(g["x1"], g["y1"]), corner(g["x2"], g["y2"]))))
+        inner = F.filter(cuts, lambda t: t.isNotNull() & (t > 0) & (t < 1))
+        return F.array_sort(F.array_distinct(F.concat(F.array(F.lit(0.0), F.lit(1.0)), inner)))
 
-    return F.exists(first, lambda e: F.exists(second, lambda g: crosses(e, g)))
+    def midpoints(e):
+        at = F.transform(places(e), lambda t: F.struct(t.alias("t"), e.alias("e")))
+        pairs = F.zip_with(F.slice(at, 1, F.size(at) - 1), F.slice(at, 2, F.size(at) - 1), lambda a, b: F.struct(
+            (b["t"] - a["t"]).alias("wide"),
+            (a["e"]["x1"] + (a["t"] + b["t"]) / 2 * (a["e"]["x2"] - a["e"]["x1"])).alias("x"),
+            (a["e"]["y1"] + (a["t"] + b["t"]) / 2 * (a["e"]["y2"] - a["e"]["y1"])).alias("y")))
+        return F.filter(pairs, lambda p: p["wide"] > 1e-12)
+
+    real = F.filter(edge_list, lambda e: (e["x1"] != e["x2"]) | (e["y1"] != e["y2"]))
+    return F.flatten(F.transform(real, midpoints))
+
+
+def interior_point(rings):
+    """A point inside one polygon: the middle of its widest stretch halfway between two neighbouring corner heights. NULL for one without area."""
+    edge_list = edges(rings)
+    heights = F.array_sort(F.array_distinct(F.transform(F.flatten(rings), lambda p: p["y"])))
+    middle = F.floor(F.size(heights) / 2).cast("int")
+    y = (F.get(heights, middle - 1) + F.get(heights, middle)) / 2
+    spanning = F.filter(edge_list, lambda e: (e["y1"] <= y) != (e["y2"] <= y))
+    xs = F.array_sort(F.transform(spanning, lambda e: e["x1"] + (y - e["y1"]) * (e["x2"] - e["x1"]) / (e["y2"] - e["y1"])))
+    firsts = F.filter(xs, lambda x, i: i % 2 == 0)
+    seconds = F.filter(xs, lambda x, i: i % 2 == 1)
+    stretches = F.zip_with(firsts, seconds, lambda a, b: F.struct((b - a).alias("wide"), ((a + b) / 2).alias("x"), y.alias("y")))
+    return F.array_max(F.filter(stretches, lambda p: p["wide"] > 0))
+
+
+def covers_point(x, y, part_edges):
+    """True where a point lies in one of the parts or on its border. ``part_edges``: a list of edges per part."""
+    return F.exists(part_edges, lambda part: point_in_edges(x, y, part) | on_edges(x, y, part))
+
+
+def inside_point(x, y, part_edges):
+    """True where a point lies in one of the parts and on no border of it."""
+    return F.exists(part_edges, lambda part: point_in_edges(x, y, part) & ~on_edges(x, y, part))
+
+
+def polygons_within(inner, outer):
+    """True where every point of the inner polygons belongs to the outer ones, borders included.
+
+    ``inner``, ``outer``: polygons, each a list of rings, outer ring first. Three things must hold: the inner border lies in the
+    outer shape; the outer border, with its holes and notches, runs nowhere through the inner shape; and each inner part
+    has a point inside that the outer shape covers, which tells a part in the shape from one that fills a hole or a notch.
+    """
+    inner, outer = (F.col(c) if isinstance(c, str) else c for c in (inner, outer))
+    inner_parts, outer_parts = (F.transform(c, edges) for c in (inner, outer))
+    inner_edges, outer_edges = F.flatten(inner_parts), F.flatten(outer_parts)
+    border_in = F.forall(split_midpoints(inner_edges, outer_edges), lambda p: covers_point(p["x"], p["y"], outer_parts))
+    cut = F.exists(split_midpoints(outer_edges, inner_edges), lambda p: (
+        inside_point(p["x"], p["y"], inner_parts) & ~inside_point(p["x"], p["y"], outer_parts)))
+    parts_in = F.forall(F.filter(F.transform(inner, interior_point), lambda p: p.isNotNull()),
+                        lambda p: covers_point(p["x"], p["y"], outer_parts))
+    return border_in & ~cut & parts_in
 
 
 def polygon_within(inner_rings, outer_rings):
-    """Every corner of the inner polygon lies in the outer one or on its border, and no edges cross."""
-    outer_edges = edges(outer_rings)
-    corners_in = F.forall(F.flatten(inner_rings), lambda p: (
-        point_in_edges(p["x"], p["y"], outer_edges) | on_edges(p["x"], p["y"], outer_edges)))
-    return corners_in & ~edges_cross(edges(inner_rings), outer_edges)
+    """The same for single polygons, given as their rings."""
+    return polygons_within(F.array(inner_rings), F.array(outer_rings))
 
 
 def polygons_to_geojson(polygons):
