@@ -2,7 +2,9 @@
 
 import math
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,19 +21,96 @@ def pearson(x, y):
     return F.try_divide(F.regr_sxy(y, x), F.sqrt(F.regr_sxx(y, x) * F.regr_syy(y, x)))
 
 
+MOMENTS = "i int, j int, n double, mx double, my double, cxx double, cyy double, cxy double"
+# Groups of which a task holds moments at a time.
+GROUPS_HELD = 256
+
+
+def pair_moments(values):
+    """(n, means and centred sums of x and y) of every column pair i <= j over the rows where both are present, as rows of six.
+
+    Values are taken from the column's first one, so a column that does not vary has sums of exactly zero; matrix products
+    of values and of presence marks then give all pairs at once.
+    """
+    present = ~np.isnan(values)
+    first = values[present.argmax(axis=0), np.arange(values.shape[1])]
+    first = np.where(np.isnan(first), 0.0, first)
+    shifted, marks = np.where(present, values - first, 0.0), present.astype(float)
+    n, sums, squares = marks.T @ marks, shifted.T @ marks, (shifted * shifted).T @ marks
+    i, j = np.triu_indices(values.shape[1])
+    n, sx, sy, xx, yy, xy = n[i, j], sums[i, j], sums[j, i], squares[i, j], squares[j, i], (shifted.T @ shifted)[i, j]
+    some = np.maximum(n, 1.0)
+    return np.stack([n, first[i] + sx / some, first[j] + sy / some, xx - sx * sx / some, yy - sy * sy / some, xy - sx * sy / some])
+
+
+def merged_moments(a, b):
+    """Moments of two sets of rows together."""
+    n = a[0] + b[0]
+    some = np.maximum(n, 1.0)
+    dx, dy, share = b[1] - a[1], b[2] - a[2], a[0] * b[0] / some
+    mean = lambda x, y, d: np.where(a[0] == 0, y, x + d * b[0] / some)
+    return np.stack([n, mean(a[1], b[1], dx), mean(a[2], b[2], dy), a[3] + b[3] + dx * dx * share, a[4] + b[4] + dy * dy * share,
+                     a[5] + b[5] + dx * dy * share])
+
+
+def _task_moments(n_columns, by):
+    """Function from a task's rows to the moments of its groups: a row per group and pair, however many rows there are."""
+    i, j = np.triu_indices(n_columns)
+
+    def rows(keys, moments):
+        columns = [pa.array(np.zeros(len(i), "int64")) for _ in by]
+        for at, key in enumerate(keys):
+            columns[at] = pa.concat_arrays([key] * len(i)) if len(i) else key.slice(0, 0)
+        return pa.RecordBatch.from_arrays(
+            [*columns, pa.array(i, pa.int32()), pa.array(j, pa.int32()), *[pa.array(m) for m in moments]],
+            names=[*by, "i", "j", "n", "mx", "my", "cxx", "cyy", "cxy"])
+
+    def run(batches):
+        held = {}
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            flat = batch.column("_v").flatten().to_numpy(zero_copy_only=False).reshape(-1, n_columns)
+            names = batch.column("_key").to_pylist() if by else [""] * batch.num_rows
+            members = pd.Series(range(len(names))).groupby(names, sort=False).indices
+            for name, at in members.items():
+                moments = pair_moments(flat[at])
+                if name in held:
+                    held[name] = held[name][0], merged_moments(held[name][1], moments)
+                else:
+                    held[name] = [batch.column(c).slice(int(at[0]), 1) for c in by], moments
+            if len(held) > GROUPS_HELD:
+                yield from (rows(*found) for found in held.values())
+                held.clear()
+        yield from (rows(*found) for found in held.values())
+
+    return run
+
+
 def corr_matrix(df, columns, by=()):
     """Pearson coefficient of every pair, pairwise complete, as (row_name, col_name, corr).
 
-    Each row is dealt out to the pairs of the upper half and one aggregate combines them on the map side: a plan of the
-    same size for any number of columns. The lower half is the mirror of the upper.
+    A task multiplies its batches to moments of all pairs; what meets by pair are the moments of tasks, centred on their own
+    means, so no row is dealt out and large means cost no digits. The lower half is the mirror of the upper.
     """
     columns, by = list(columns), list(by)
-    values = F.array(*[nan_to_null(F.col(c).cast("double")) for c in columns])
-    half = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in range(len(columns)) for j in range(i, len(columns))])
-    pairs = F.explode(F.transform(half, lambda p: F.struct(
-        p["i"].alias("i"), p["j"].alias("j"), F.get(F.col("_v"), p["i"]).alias("x"), F.get(F.col("_v"), p["j"]).alias("y"))))
-    dealt = df.select(*by, values.alias("_v")).select(*by, pairs.alias("_p")).select(*by, "_p.*")
-    upper = dealt.groupBy(*by, "i", "j").agg(nan_to_null(pearson(F.col("x"), F.col("y"))).alias("corr"))
+    values = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(float("nan"))) for c in columns])
+    key = [F.to_json(F.struct(*by)).alias("_key")] if by else []
+    schema = ", ".join([*[f"`{c}` {df.schema[c].dataType.simpleString()}" for c in by], MOMENTS])
+    parts = df.select(*by, *key, values.alias("_v")).mapInArrow(_task_moments(len(columns), by), schema)
+    one = F.struct("n", "mx", "my", "cxx", "cyy", "cxy")
+
+    def merge(a, b):
+        n = a["n"] + b["n"]
+        some, dx, dy = F.greatest(n, F.lit(1.0)), b["mx"] - a["mx"], b["my"] - a["my"]
+        share = a["n"] * b["n"] / some
+        mean = lambda m, d: F.when(a["n"] == 0, b[m]).otherwise(a[m] + d * b["n"] / some)
+        return F.struct(n.alias("n"), mean("mx", dx).alias("mx"), mean("my", dy).alias("my"), (a["cxx"] + b["cxx"] + dx * dx * share).alias("cxx"),
+                        (a["cyy"] + b["cyy"] + dy * dy * share).alias("cyy"), (a["cxy"] + b["cxy"] + dx * dy * share).alias("cxy"))
+
+    none = F.struct(*[F.lit(0.0).alias(c) for c in ("n", "mx", "my", "cxx", "cyy", "cxy")])
+    upper = parts.groupBy(*by, "i", "j").agg(F.aggregate(F.collect_list(one), none, merge).alias("m")).select(
+        *by, "i", "j", nan_to_null(F.try_divide(F.col("m.cxy"), F.sqrt(F.col("m.cxx") * F.col("m.cyy")))).alias("corr"))
     cell = lambda i, j: F.struct(F.col(i).alias("row_no"), F.col(j).alias("col_no"))
     both = F.when(F.col("i") == F.col("j"), F.array(cell("i", "j"))).otherwise(F.array(cell("i", "j"), cell("j", "i")))
     names = F.array(*[F.lit(c) for c in columns])
@@ -116,38 +195,62 @@ def linear_trend(df, x, y, by=()):
         F.regr_r2(y, x).alias("r2"), F.regr_count(y, x).alias("n"))
 
 
+# Cells that a bandwidth is cut into, and the powers that are summed up in a cell. The kernel of a value d bandwidths from its
+# cell's middle is the sum of He_k(u) d^k / k! at the middle; as |d| <= 1/32, what follows the seventh power is below
+# 1/32^8 / 8! * 105, less than 1e-14 of the kernel's height.
+CELLS_PER_BANDWIDTH = 16
+POWERS = 8
+
+
+def hermite(u, n):
+    """The first n Hermite polynomials (of the kernel exp(-u^2 / 2)) as columns."""
+    found = [F.lit(1.0), u]
+    for k in range(1, n - 1):
+        found.append(u * found[k] - F.lit(float(k)) * found[k - 1])
+    return found[:n]
+
+
 def density_grid(df, columns, gridsize=200, cut=3):
     """Gaussian kernel density of each column on an even grid.
 
     Bandwidth n^(-1/5) * standard deviation, grid from ``cut`` bandwidths below the least to above
-    the greatest value. Equal values are counted first and every (value, grid point) term goes
-    straight into a partial sum, so the shuffle carries one row per grid point and task.
+    the greatest value. Values are binned first: a cell, a 16th of a bandwidth wide, keeps the sums of the first powers of its values'
+    distances from its middle, from which their kernels together are known to rounding. So the shuffle carries a row per
+    cell and task, and kernels are added up by cell, not by value.
     """
-    long = df.unpivot([], [F.col(c).cast("double").alias(c) for c in columns], "variable", "value")
-    counted = long.where(F.col("value").isNotNull() & ~F.isnan("value")).groupBy("variable", "value").agg(
-        F.count(F.lit(1)).alias("_n"))
-    spread = long.where(~F.isnan("value")).groupBy("variable").agg(
+    long = df.unpivot([], [F.col(c).cast("double").alias(c) for c in columns], "variable", "value").where(
+        F.col("value").isNotNull() & ~F.isnan("value"))
+    spread = long.groupBy("variable").agg(
         F.count("value").alias("n"), F.stddev_samp("value").alias("_sd"),
         F.min("value").alias("_lo"), F.max("value").alias("_hi"),
     ).withColumn("h", F.pow(F.col("n").cast("double"), F.lit(-0.2)) * F.col("_sd")).where("h > 0")
     step = (F.col("_hi") - F.col("_lo") + 2 * cut * F.col("h")) / (gridsize - 1)
     points = spread.withColumns({"_step": step, "_from": F.col("_lo") - cut * F.col("h")})
+    # at most one row per named column
+    cells = long.join(F.broadcast(spread.select("variable", "_lo", "h")), "variable").withColumn(
+        "_no", F.floor((F.col("value") - F.col("_lo")) / F.col("h") * CELLS_PER_BANDWIDTH))
+    middle = F.col("_lo") + (F.col("_no") + 0.5) * (F.col("h") / CELLS_PER_BANDWIDTH)
+    counted = cells.withColumns({"_middle": middle, "_d": (F.col("value") - middle) / F.col("h")}).groupBy("variable", "_no").agg(
+        F.first("_middle").alias("value"),
+        *[F.sum(F.pow("_d", F.lit(float(k))) / float(math.factorial(k))).alias(f"c{k}") for k in range(POWERS)])
+    sums = [f"c{k}" for k in range(POWERS)]
     # a kernel is below 1e-14 of its height eight bandwidths away: only the grid points within that reach get a term; the
     # sums of the others start from a term of zero
     place = lambda x: (x - F.col("_from")) / F.col("_step")
     first = F.greatest(F.lit(0), F.ceil(place(F.col("value") - 8 * F.col("h"))).cast("int"))
     last = F.least(F.lit(gridsize - 1), F.floor(place(F.col("value") + 8 * F.col("h"))).cast("int"))
     grid = F.explode(F.sequence(first, F.greatest(first, last))).alias("point")
-    every = points.select("variable", F.col("_lo").alias("value"), F.lit(0).cast("bigint").alias("_n"), "n", "h", "_step",
+    every = points.select("variable", F.col("_lo").alias("value"), *[F.lit(0.0).alias(c) for c in sums], "n", "h", "_step",
                                        "_from", F.explode(F.sequence(F.lit(0), F.lit(gridsize - 1))).alias("point"))
     # at most one row per named column
     terms = counted.join(F.broadcast(points), "variable").select(
-        "variable", "value", "_n", "n", "h", "_step", "_from", grid,
+        "variable", "value", *sums, "n", "h", "_step", "_from", grid,
     ).unionByName(every).withColumn("x", F.col("_from") + F.col("point") * F.col("_step"))
     u = (F.col("x") - F.col("value")) / F.col("h")
+    together = sum((polynomial * F.col(c) for polynomial, c in zip(hermite(u, POWERS), sums)), F.lit(0.0))
     return terms.groupBy("variable", "point").agg(
         F.max("x").alias("x"),
-        (F.sum(F.col("_n") * F.exp(-0.5 * u * u)) / (F.max("n") * F.max("h") * F.lit(math.sqrt(2 * math.pi)))).alias("density"),
+        (F.sum(together * F.exp(-0.5 * u * u)) / (F.max("n") * F.max("h") * F.lit(math.sqrt(2 * math.pi)))).alias("density"),
     )
 
 
