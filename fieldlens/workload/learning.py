@@ -1,9 +1,10 @@
 """Splits, folds, neighbours, classifiers and the band search."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from fieldlens.constants import QUICKLOOK_BANDS, SCORE_COLUMNS, SEARCH_BANDS, TARGETS
-from fieldlens.operators import band_search, knn, models, resample, stats
+from fieldlens.operators import band_search, knn, models, newton, resample, stats
 from fieldlens.operators.tables import analysis_frame, attach_soil
 from fieldlens.plans.survey import band_means_at_survey
 from fieldlens.session import materialize
@@ -145,6 +146,49 @@ def _(t):
     return models.score_table(models.fold_scores(every_model(t)))
 
 
+# Classes that overlap: each one against the rest by one feature and a bias, to the coefficients. The SQL takes Newton's steps.
+NEWTON_SUMS = {
+    "squared_hinge": ("greatest(0, 1 - y * (b + w * x))", "-2 * y * {0}", "CASE WHEN {0} > 0 THEN 2 ELSE 0 END"),
+    "logistic": ("1 / (1 + exp(y * (b + w * x)))", "-y * {0}", "{0} * (1 - {0})"),
+}
+
+
+def _coefficients_sql():
+    parts = []
+    for loss, (inner, first, second) in NEWTON_SUMS.items():
+        first, second = first.format("m"), second.format("m")
+        parts.append(f"""
+        {loss} AS (
+            SELECT feature, c, 0 AS i, 0.0E0 AS b, 0.0E0 AS w FROM kinds
+            UNION ALL
+            SELECT feature, c, i + 1, b - (hww * gb - hbw * gw) / (hbb * hww - hbw * hbw), w - (hbb * gw - hbw * gb) / (hbb * hww - hbw * hbw)
+            FROM (SELECT feature, c, i, b, w, b + sum({first}) AS gb, w + sum(({first}) * x) AS gw, 1 + sum({second}) AS hbb,
+                         sum(({second}) * x) AS hbw, 1 + sum(({second}) * x * x) AS hww
+                  FROM (SELECT *, {inner} AS m
+                        FROM (SELECT s.*, d.x, CASE WHEN d.label = s.c THEN 1 ELSE -1 END AS y FROM {loss} s JOIN d ON d.feature = s.feature AND s.i < 40) j) k
+                  GROUP BY feature, c, i, b, w) t)""")
+    listed = " UNION ALL ".join(f"SELECT '{f}' AS feature, {f} AS x, label FROM split WHERE is_train" for f in FEATURES)
+    picked = " UNION ALL ".join(
+        f"SELECT '{loss}' AS loss, feature, c AS class_no, round(b, 6) AS bias, round(w, 6) AS weight FROM {loss} WHERE i = 40" for loss in NEWTON_SUMS)
+    return f"""WITH RECURSIVE {SPLIT}, d AS ({listed}),
+        kinds AS (SELECT feature, label AS c FROM d GROUP BY ALL), {', '.join(parts)} {picked}"""
+
+
+@query("linear_coefficients", _coefficients_sql())
+def _(t):
+    """Bias and weight of every class and single feature under both losses, from one Newton method over all of them."""
+    split = resample.train_test_split(t.view("fx_samples"), "vec_id").withColumns(
+        {"class_no": F.col("label"), "fold_s": F.lit(None).cast("int"), "fold_c": F.lit(None).cast("int")})
+    samples = newton.narrow_samples(split, FEATURES, None)
+    n_classes, rows = band_search.class_count(samples), []
+    for loss in NEWTON_SUMS:
+        fitted = newton.fit_linear(samples, FEATURES, n_classes, loss, masks=np.eye(len(FEATURES)), folds=0)
+        (weights,), (live,) = fitted.weights.values(), fitted.live.values()
+        rows += [(loss, f, int(c), round(float(weights[i, 0, c]), 6), round(float(weights[i, i + 1, c]), 6))
+                 for i, f in enumerate(FEATURES) for c in np.flatnonzero(live)]
+    return t.spark.createDataFrame(rows, "loss string, feature string, class_no int, bias double, weight double")
+
+
 @query("cross_validate_fields")
 def _(t):
     """Scores of a tree on the surveyed fields, whose classes nothing tells apart for certain."""

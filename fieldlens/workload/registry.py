@@ -122,8 +122,9 @@ def with_views(sql):
     body = sql.strip()
     if not entries:
         return body
-    if body[:5].upper() == "WITH ":
-        return f"WITH {', '.join(entries)}, {body[5:]}"
+    for opening in ("WITH RECURSIVE ", "WITH "):
+        if body.upper().startswith(opening):
+            return f"{opening}{', '.join(entries)}, {body[len(opening):]}"
     return f"WITH {', '.join(entries)} {body}"
 
 
