@@ -52,11 +52,38 @@ def scratch_path(spark, name):
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+# Paths of the tables that this process has written to the shared folder and not removed, by application.
+_WRITTEN = {}
+
+
+def written(spark):
+    """Paths of the tables written by ``materialize`` up to now, oldest first."""
+    return _WRITTEN.setdefault(spark.sparkContext.applicationId, [])
+
+
 def materialize(df, name="table", partition_by=()):
     """Write a table to the shared folder and read it back: later steps start from the files.
 
-    Used where several jobs go on from the same expensive result; it survives lost executors.
+    Used where several jobs go on from the same expensive result; it survives lost executors. Tables stay until
+    ``remove_tables``, as frames that read them may be run at any time.
     """
     path = scratch_path(df.sparkSession, name)
     df.write.partitionBy(*partition_by).parquet(path)
+    written(df.sparkSession).append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove(spark, path):
+    """Delete a folder or file, wherever it is stored."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def remove_tables(spark, since=0, keep=0):
+    """Delete the tables written since there were ``since`` of them, but the last ``keep``: for callers that have written what they
+    go on from, and know that nothing reads what came before it."""
+    paths = written(spark)
+    gone = paths[since:len(paths) - keep]
+    for path in gone:
+        remove(spark, path)
+    paths[since:len(paths) - keep] = []

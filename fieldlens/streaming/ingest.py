@@ -2,12 +2,13 @@
 
 Each micro-batch writes, per crop, the pixel counts and sums that the clear test and the band means
 are made of. Sums add up, so a scene may arrive in any number of files and in any order; the means
-are formed when the table is read.
+are formed when the table is read. Batches are merged as they pile up, see ``segments``.
 """
 
 from pyspark.sql import functions as F
 
 from fieldlens.constants import ALL_BANDS, NOT_CLEAR_CLASSES
+from fieldlens.streaming import segments
 
 
 def crop_partials(pixels, bands=ALL_BANDS, scl="SCL_20m", keys=("field_id", "uuid")):
@@ -25,24 +26,31 @@ def merge_partials(partials, bands=ALL_BANDS, keys=("field_id", "uuid")):
     return partials.groupBy(*keys).agg(cloudy, *means)
 
 
-def ingest_new_products(source, to_pixels, out, checkpoint, bands=ALL_BANDS):
+def add_partials(partials, keys=("field_id", "uuid")):
+    """The partial sums of a crop added up to one row, of the same columns."""
+    return partials.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in partials.columns if c not in keys])
+
+
+def ingest_new_products(source, to_pixels, out, checkpoint, bands=ALL_BANDS, fanout=segments.FANOUT, **trigger):
     """Run once over all files that arrived since the last run, then stop.
 
     ``source`` is a streaming DataFrame, ``to_pixels`` maps its batches to wide pixels. A batch
     writes its own folder and overwrites it when it is repeated after a failure, so every file
-    counts exactly once.
+    counts exactly once. Batches before the present one are finished; ``fanout`` of them are merged.
     """
 
     def write(batch, batch_id):
-        crop_partials(to_pixels(batch), bands).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+        crop_partials(to_pixels(batch), bands).write.mode("overwrite").parquet(segments.batch_folder(out, batch_id))
+        segments.merge_segments(batch.sparkSession, out, add_partials, below=batch_id, fanout=fanout)
 
     query = (
         source.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
+        .trigger(**(trigger or {"availableNow": True})).start()
     )
     query.awaitTermination()
     return query
 
 
 def read_ingested(spark, out, bands=ALL_BANDS):
-    return merge_partials(spark.read.parquet(out), bands)
+    """Clear flag and band means of all that was ingested up to now: one version of the folder."""
+    return merge_partials(spark.read.parquet(*segments.live_folders(spark, out)), bands)
