@@ -50,3 +50,40 @@ def write_crops(clipped, path, mode="errorifexists", parts=None):
     stretch = F.floor(F.col("px_row") / 512)
     spread = clipped.repartition(*([parts] if parts else []), *keys, stretch)
     spread.sortWithinPartitions(*keys).write.mode(mode).partitionBy("band").parquet(path)
+
+
+# Cells along each side of the key's square.
+MORTON_BITS = 20
+
+
+def morton_key(x, y, box, bits=MORTON_BITS):
+    """Place of a point along a curve that stays within squares: the bits of its cell's column and row in turn. ``box``: (xmin, ymin, xmax,
+    ymax) that the cells divide; points beyond it count to the cells of its border."""
+    xmin, ymin, xmax, ymax = box
+    top = (1 << bits) - 1
+
+    def cell(value, lo, hi):
+        share = (F.col(value) - F.lit(float(lo))) / F.lit(float(hi - lo) or 1.0)
+        return F.least(F.greatest(F.floor(share * (top + 1)), F.lit(0)), F.lit(top)).cast("long")
+
+    def spread(value):
+        # 20 bits, one after every gap, by halving the distances
+        for shift, mask in ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333), (1, 0x5555555555555555)):
+            value = value.bitwiseOR(F.shiftleft(value, shift)).bitwiseAND(F.lit(mask))
+        return value
+
+    return spread(cell(x, xmin, xmax)).bitwiseOR(F.shiftleft(spread(cell(y, ymin, ymax)), 1))
+
+
+def write_clustered(pixels, path, x="x", y="y", box=None, parts=None, group_bytes=8 << 20, mode="errorifexists"):
+    """Pixel table in the order of ``morton_key``, so that a row group holds a small square of the map and a filter on a box
+    skips nearly all others by their statistics.
+
+    Rows are range-partitioned by the key, whatever their density. ``box``: of the whole table if known, else it is looked up
+    by one aggregate. ``group_bytes``: size of a row group.
+    """
+    if box is None:
+        box = tuple(v or 0.0 for v in pixels.agg(F.min(x), F.min(y), F.max(x), F.max(y)).first())
+    placed = pixels.withColumn("_morton", morton_key(x, y, box))
+    spread = placed.repartitionByRange(*([parts] if parts else []), "_morton").sortWithinPartitions("_morton").drop("_morton")
+    spread.write.mode(mode).option("parquet.block.size", group_bytes).option("parquet.page.row.count.limit", 5_000).parquet(path)
