@@ -55,8 +55,8 @@ def parse_kml_text(df, path="path", kml="kml", id_pattern=FILE_STEM):
     return _boundary(placed, F.col("_path"), F.col("_p.Polygon.outerBoundaryIs.LinearRing.coordinates"), id_pattern)
 
 
-def read_boundaries_kmz(spark, path, id_pattern=FILE_STEM):
-    archives = spark.read.format("binaryFile").option("pathGlobFilter", "*.kmz").load(path)
+def read_boundaries_kmz(spark, path, id_pattern=FILE_STEM, glob="*.kmz"):
+    archives = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
     return parse_kml_text(unzip_kml(archives), id_pattern=id_pattern)
 
 

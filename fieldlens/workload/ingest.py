@@ -40,22 +40,30 @@ def _(t):
     return boundary_report(boundaries.read_boundaries_kml(t.spark, path, id_pattern=r"file=([^/]+)/"))
 
 
-@query("read_boundaries_kmz", BOUNDARY_SQL)
-def _(t):
+def write_archives(t, path):
+    """A zip archive per field below ``path``. The text sink writes a cell's bytes and one line end, which the archive declares as its comment."""
+
     def zipped(frames):
         for frame in frames:
             contents = []
             for text in frame["kml"]:
                 buffer = io.BytesIO()
-                with zipfile.ZipFile(buffer, "w") as archive:
+                with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
                     archive.writestr("doc.kml", text)
-                contents.append(buffer.getvalue())
-            yield pd.DataFrame({"path": frame["path"], "content": contents})
+                    archive.comment = b"\n"
+                contents.append(buffer.getvalue()[:-1])
+            yield pd.DataFrame({"file": frame["file"], "content": contents})
+
+    texts = t.fields.select(F.concat(F.lit("g"), F.col("field_key").cast("string")).alias("file"), kml_text().alias("kml"))
+    archives = texts.mapInPandas(zipped, "file string, content binary")
+    archives.select("file", F.col("content").cast("string").alias("value")).write.partitionBy("file").text(path)
 
-    texts = t.fields.select(
-        F.concat(F.lit("/in/g"), F.col("field_key").cast("string"), F.lit(".kmz")).alias("path"), kml_text().alias("kml"))
-    archives = texts.mapInPandas(zipped, "path string, content binary")
-    return boundary_report(boundaries.parse_kml_text(boundaries.unzip_kml(archives)))
+
+@query("read_boundaries_kmz", BOUNDARY_SQL)
+def _(t):
+    path = scratch_path(t.spark, "kmz")
+    write_archives(t, path)
+    return boundary_report(boundaries.read_boundaries_kmz(t.spark, path, id_pattern=r"file=([^/]+)/", glob="part-*"))
 
 
 @query("read_field_sheets", """
@@ -63,9 +71,12 @@ def _(t):
 def _(t):
     path = scratch_path(t.spark, "sheet")
     columns = ("Sl.No", "Village", "Farmer name", "Date of survey")
-    t.fields.select(
-        F.col("field_id").alias(columns[0]), F.lit("-").alias(columns[1]), F.col("farm_name").alias(columns[2]),
-        F.date_format("survey_date", "yyyy-MM-dd").alias(columns[3])).write.option("header", "true").csv(path)
+    line = lambda *cells: F.struct(*[F.lit(cell).cast("string").alias(f"c{i}") for i, cell in enumerate(cells)])
+    rows = t.fields.select(F.struct(F.col("field_id").alias("c0"), F.lit("-").alias("c1"), F.col("farm_name").alias("c2"),
+                                    F.date_format("survey_date", "yyyy-MM-dd").alias("c3")).alias("row"))
+    # the banner, then the header, as such sheets are exported
+    above = t.spark.range(1).select(F.explode(F.array(line("Master", None, None, None), line(*columns))).alias("row"))
+    above.unionByName(rows).select("row.*").write.csv(path)
     return sheets.read_fields_by_gnum(t.spark, path, columns, banner="Master")
 
 
