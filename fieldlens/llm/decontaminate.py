@@ -4,10 +4,10 @@
    that no document has is gone.
 2. Each window is probed by its two rarest positions. Postings (term, document, position) of those terms are stored,
    dealt by term and document, so that a frequent term has no task of its own.
-3. Lists are moved by the term's place in the item and intersected from the rarest on: what is left says in which document
-   an item may stand, and where.
-4. Each such alignment is compared word by word; a window occurs if all its words agree.
-5. Proximity matches come from the same stored index: both rarest terms of a window within a window's length.
+3. Phrases: lists are moved by the term's place in the item and intersected from the rarest on. What is left says in which
+   document an item may stand, and where; each such alignment is a row that is compared word by word.
+4. Proximity: of the distinct pairs of rarest terms, the documents that hold both are intersected first, then the places where
+   they stand within the span; each such place is a row whose neighbourhood is searched for all words of the pair's windows.
 
 Words are the runs of characters other than ASCII non-alphanumerics, with A-Z lower-cased. All steps are DataFrame
 functions.
@@ -21,6 +21,8 @@ from fieldlens.llm.quality import ASCII_LOWER, ASCII_UPPER
 
 BREAK = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 WINDOW = 10
+# A proximity match: all words of a window, as often as it has them, in any order within so many times its length.
+SPAN = 2
 
 
 def words_of(text):
@@ -46,8 +48,9 @@ def list_lengths(docs, terms, text="text", doc_id="doc_id"):
     return words.join(small(terms), "term").groupBy("term").agg(F.count(F.lit(1)).alias("n"))
 
 
-def probes(items, lengths):
-    """The two rarest positions of every window that can occur: item, term1, at1, term2, at2, once per item."""
+def live_windows(items, lengths):
+    """A row per window that can occur: item, start, length and its two rarest positions term1, at1, term2, at2 (the same one twice
+    for windows of one word)."""
     places = items.select("item", "length", F.size("item_words").alias("size"), F.posexplode("item_words").alias("at", "term"))
     starts = F.explode(F.sequence(F.greatest(F.lit(0), F.col("at") - F.col("length") + 1),
                                   F.least(F.col("at"), F.col("size") - F.col("length"))))
@@ -55,11 +58,16 @@ def probes(items, lengths):
     order = Window.partitionBy("item", "start").orderBy("n", "term", "at")
     ranked = in_window.withColumn("rank", F.row_number().over(order)).withColumn(
         "present", F.count(F.lit(1)).over(Window.partitionBy("item", "start")))
-    live = ranked.filter("present = length AND rank <= 2").groupBy("item", "start").agg(
+    live = ranked.filter("present = length AND rank <= 2").groupBy("item", "start", "length").agg(
         F.min(F.when(F.col("rank") == 1, F.struct("term", "at"))).alias("one"),
         F.min(F.when((F.col("rank") == 2) | (F.col("length") == 1), F.struct("term", "at"))).alias("two"))
-    return live.select("item", F.col("one.term").alias("term1"), F.col("one.at").alias("at1"),
-                       F.col("two.term").alias("term2"), F.col("two.at").alias("at2")).distinct()
+    return live.select("item", "start", "length", F.col("one.term").alias("term1"), F.col("one.at").alias("at1"),
+                       F.col("two.term").alias("term2"), F.col("two.at").alias("at2"))
+
+
+def probes(windows):
+    """The rarest positions of all windows, once per item."""
+    return windows.select("item", "term1", "at1", "term2", "at2").distinct()
 
 
 def postings(docs, terms, text="text", doc_id="doc_id"):
@@ -81,76 +89,104 @@ def alignments(index, pairs):
     return alone.union(meet.select("id", "key", "item", "shift")).distinct()
 
 
-def proximity_matches(index, pairs, within=WINDOW):
-    """(id, key, item, at1, at2): documents that have both rarest terms of a window fewer than ``within`` words apart, in
-    either order. Lists are cut into stretches of ``within`` words, so only neighbouring stretches meet."""
-    one = index.join(small(pairs), index["term"] == pairs["term1"]).select("id", "key", "item", "at1", "at2", "term2", "pos")
-    one = one.withColumn("stretch", F.explode(F.array(*[F.floor(F.col("pos") / within) + d for d in (-1, 0, 1)])))
-    two = index.select(F.col("id").alias("id2"), F.col("key").alias("key2"), F.col("term").alias("term2"), F.col("pos").alias("pos2"),
-                       F.floor(F.col("pos") / within).alias("stretch"))
-    met = one.join(two, ["term2", "stretch"]).filter(
-        F.col("id").eqNullSafe(F.col("id2")) & (F.col("key") == F.col("key2")) & (F.abs(F.col("pos") - F.col("pos2")) < within)
-        & ((F.col("at1") == F.col("at2")) | (F.col("pos") != F.col("pos2"))))
-    return met.select("id", "key", "item", "at1", "at2").distinct()
+def near_places(index, pairs):
+    """(id, key, term1, term2, span, near): documents that hold both terms of a pair fewer than ``span`` words apart, and the places of the
+    first where they do. ``pairs``: term1, term2, span, once each."""
+    lists = index.groupBy("term", "id", "key").agg(F.array_sort(F.collect_list("pos")).alias("places"))
+    first = lists.join(small(pairs), lists["term"] == pairs["term1"]).drop("term")
+    second = lists.select(F.col("term").alias("other"), F.col("id").alias("id2"), F.col("key").alias("key2"), F.col("places").alias("places2"))
+    met = first.join(second, (F.col("term2") == F.col("other")) & (F.col("key") == F.col("key2")) & F.col("id").eqNullSafe(F.col("id2")))
+    near = F.expr("filter(places, p -> exists(places2, q -> q <> p AND abs(q - p) < span))")
+    return met.select("id", "key", "term1", "term2", "span", near.alias("near")).filter(F.size("near") > 0)
 
 
 def phrase_index(docs, items, text="text", doc_id="doc_id"):
-    """(index, probes) of the items over the documents; both are written to the shared folder."""
+    """(index, live windows) of the items over the documents; both are written to the shared folder."""
     terms = materialize(items.select(F.explode("item_words").alias("term")).distinct(), "test-terms")
     lengths = materialize(list_lengths(docs, terms, text, doc_id), "list-lengths")
-    pairs = materialize(probes(items, lengths), "probes")
-    wanted = materialize(pairs.select(F.explode(F.array("term1", "term2")).alias("term")).distinct(), "probe-terms")
-    return postings(docs, wanted, text, doc_id), pairs
-
-
-def near_items(index, pairs, tests, within=WINDOW):
-    """A row per document with proximity matches: id, key, n_near (items), near_items (their sorted ids as strings)."""
-    found = proximity_matches(index, pairs, within).select("id", "key", "item").distinct().join(tests.select("item", "item_id"), "item")
-    named = F.col("item_id").cast("string")
-    return found.groupBy("id", "key").agg(
-        F.size(F.collect_set(F.coalesce(named, F.concat(F.lit("#"), "item")))).cast("long").alias("n_near"),
-        F.array_sort(F.collect_set(named)).alias("near_items"))
-
-
-def contamination(docs, items, text="text", doc_id="doc_id", item_text="text", item_id="item_id", window=WINDOW, near=True):
+    windows = materialize(live_windows(items, lengths), "live-windows")
+    wanted = materialize(windows.select(F.explode(F.array("term1", "term2")).alias("term")).distinct(), "probe-terms")
+    return postings(docs, wanted, text, doc_id), windows
+
+
+def with_words(docs, found, text, doc_id):
+    """The rows of ``found`` (id, key, ...) with __words, those of their document. Only documents that are asked for are split; copies of a
+    row have the same words."""
+    asked = found.select(F.col("id").alias("__id"), F.col("key").alias("__key")).distinct()
+    read = docs.select(F.col(doc_id).alias("__doc"), F.col(text).alias("__text"), F.xxhash64(text).alias("__hash"))
+    some = read.join(asked, F.col("__doc").eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__key")), "left_semi").groupBy(
+        "__doc", "__hash").agg(F.first("__text").alias("__text"))
+    both = some.join(found, F.col("__doc").eqNullSafe(F.col("id")) & (F.col("__hash") == F.col("key")))
+    return both.withColumn("__words", words_of(F.col("__text"))).drop("__doc", "__hash", "__text")
+
+
+def phrase_hits(docs, aligned, tests, text="text", doc_id="doc_id"):
+    """(id, key, item, item_id, positions): occurrences of windows at each alignment (id, key, item, shift), by comparing the item
+    with the document's words beside it. ``positions`` are the document's words that are hit."""
+    sized = aligned.join(small(tests.select("item", F.size("item_words").alias("size"))), "item")
+    rows = with_words(docs, sized, text, doc_id)
+    lo = F.greatest(F.lit(0), F.col("shift"))
+    beside = rows.select("id", "key", "item", "shift", lo.alias("lo"), F.slice("__words", lo + 1, F.greatest(
+        F.lit(0), F.col("shift") + F.col("size") - lo)).alias("beside")).join(small(tests), "item")
+    starts = F.expr(
+        "filter(sequence(0, size(item_words) - length), s -> shift + s >= lo AND shift + s + length - lo <= size(beside) "
+        "AND slice(beside, shift + s - lo + 1, length) = slice(item_words, s + 1, length))")
+    hits = beside.withColumn("starts", starts).filter(F.size("starts") > 0)
+    return hits.select("id", "key", "item", "item_id", F.expr(
+        "array_distinct(flatten(transform(starts, s -> sequence(shift + s, shift + s + length - 1))))").alias("positions"))
+
+
+def near_hits(docs, near, windows, tests, text="text", doc_id="doc_id"):
+    """(id, key, item, item_id), once each: items of which a window's words all stand within the span around a place of ``near_places``."""
+    slices = windows.join(tests.select("item", "item_id", "item_words"), "item").select(
+        "term1", "term2", (F.col("length") * SPAN).alias("span"), "item", "item_id",
+        F.expr("array_sort(slice(item_words, start + 1, length))").alias("sorted")).distinct()
+    counted = slices.withColumn("needed", F.expr(
+        "transform(array_distinct(sorted), w -> struct(w AS word, size(filter(sorted, x -> x = w)) AS n))")).drop("sorted")
+    rows = with_words(docs, near, text, doc_id).select("id", "key", "term1", "term2", "span", "__words", F.explode("near").alias("at"))
+    lo = F.greatest(F.lit(0), F.col("at") - F.col("span") + 1)
+    around = rows.select("id", "key", "term1", "term2", "span", F.slice("__words", lo + 1, F.col("at") + F.col("span") - lo).alias("around"))
+    holds = "forall(needed, c -> size(filter({0}, x -> x = c.word)) >= c.n)"
+    met = around.distinct().join(small(counted), ["term1", "term2", "span"]).filter(holds.format("around"))
+    met = met.filter(F.expr("exists(sequence(0, greatest(0, size(around) - span)), s -> " + holds.format("slice(around, s + 1, span)") + ")"))
+    return met.select("id", "key", "item", "item_id").distinct()
+
+
+def _named(items):
+    """(number of items, their sorted ids as strings) of the rows (item, item_id); an item without an id counts but isn't named."""
+    name = F.col("item_id").cast("string")
+    return (F.size(F.collect_set(F.coalesce(name, F.concat(F.lit("#"), "item")))).cast("long").alias(f"n_{items}"),
+            F.array_sort(F.collect_set(name)).alias(items))
+
+
+def contamination(docs, items, text="text", doc_id="doc_id", item_text="text", item_id="item_id", window=WINDOW):
     """One row per row of ``docs``: the id, text_key (hash of the text), n_words, n_hit, n_items, items (sorted item ids as
-    strings), contaminated; with ``near`` also n_near and near_items, the items of which both rarest terms of a window stand
-    fewer than ``window`` words apart, in either order: these hold the exact matches, and those with a word inserted or moved.
-    The result is written before it is returned, so a filter on it never runs the search twice.
+    strings), n_near, near (likewise, of proximity matches), contaminated (some word is hit).
 
     A window is ``window`` consecutive words of an item; an item of fewer words, but not none, is one window. A word of a
-    document inside any occurrence of a window is hit. Null texts and texts without words have no words and no windows;
+    document inside any occurrence of a window is hit. A proximity match has all words of a window within ``SPAN`` times its
+    length, in any order, so every occurrence is one too; an item of fewer words has only these, as a few words that stand close say
+    nothing. Null texts and texts without words have no words and no windows;
     an item with a null id counts as an item but is not named. Rows with a null id and repeated rows are judged each. Other columns
-    aren't read. Empty documents give an empty result, empty items no hits.
+    aren't read. Empty documents give an empty result, empty items no hits. The result is written before it is returned, so a
+    filter on it never runs the search twice.
     """
     bare = keep(docs, doc_id, text)
     tests = materialize(item_words(items, item_text, item_id, window), "test-items")
-    index, pairs = phrase_index(bare, tests, text, doc_id)
-    found = materialize(alignments(index, pairs), "alignments")
-    per_doc = found.join(tests, "item").groupBy("id", "key").agg(
-        F.collect_list(F.struct("item_id", "item", "item_words", "length", "shift")).alias("__found"))
-
-    read = bare.withColumn("text_key", F.xxhash64(text))
-    both = read.join(per_doc, F.col(doc_id).eqNullSafe(F.col("id")) & (F.col("text_key") == F.col("key")), "left")
-    both = both.withColumn("__words", words_of(F.col(text))).drop("id", "key")
-    # starts (in the item) of the windows that occur at each alignment
-    both = both.withColumn("__hits", F.expr(
-        "filter(transform(__found, f -> struct(f.item_id AS item_id, f.item AS item, f.shift AS shift, f.length AS length, "
-        "filter(sequence(greatest(0, -f.shift), greatest(greatest(0, -f.shift), size(f.item_words) - f.length)), "
-        "s -> s + f.length <= size(f.item_words) AND f.shift + s + f.length <= size(__words) "
-        "AND slice(__words, f.shift + s + 1, f.length) = slice(f.item_words, s + 1, f.length)) AS starts)), h -> size(h.starts) > 0)"))
-    hit = F.expr("size(array_distinct(flatten(flatten(transform(__hits, h -> transform(h.starts, "
-                 "s -> sequence(h.shift + s, h.shift + s + h.length - 1)))))))")
-    some = F.col("__hits").isNotNull()
-    items_hit = F.expr("array_sort(array_compact(array_distinct(transform(__hits, h -> cast(h.item_id AS string)))))")
-    n_items = F.expr("size(array_distinct(transform(__hits, h -> coalesce(cast(h.item_id AS string), concat('#', h.item)))))")
-    out = both.select(
-        doc_id, "text_key", F.size("__words").cast("long").alias("n_words"), F.when(some, hit).otherwise(0).cast("long").alias("n_hit"),
-        F.when(some, n_items).otherwise(0).cast("long").alias("n_items"),
-        F.coalesce(items_hit, F.array().cast("array<string>")).alias("items"))
-    if near:
-        met = near_items(index, pairs, tests, window)
-        out = out.join(met, F.col(doc_id).eqNullSafe(F.col("id")) & (F.col("text_key") == F.col("key")), "left").select(
-            *[out[c] for c in out.columns], F.coalesce("n_near", F.lit(0).cast("long")).alias("n_near"),
-            F.coalesce("near_items", F.array().cast("array<string>")).alias("near_items"))
+    index, windows = phrase_index(bare, tests, text, doc_id)
+    pairs = materialize(probes(windows), "probes")
+    aligned = materialize(alignments(index, pairs), "alignments")
+    hits = materialize(phrase_hits(bare, aligned, tests, text, doc_id), "phrase-hits")
+    spans = materialize(windows.filter(F.col("length") == window).filter("length > 1").select("term1", "term2", (F.col("length") * SPAN).alias("span")).distinct(), "near-pairs")
+    near = materialize(near_places(index, spans), "near-places")
+    met = near_hits(bare, near, windows, tests, text, doc_id).union(hits.select("id", "key", "item", "item_id"))
+
+    # words that are hit are counted by document and position, so a document full of them is no single list
+    n_hit = hits.select("id", "key", F.explode("positions").alias("pos")).distinct().groupBy("id", "key").agg(F.count(F.lit(1)).alias("n_hit"))
+    out = bare.select(doc_id, F.xxhash64(text).alias("text_key"), F.size(words_of(F.col(text))).cast("long").alias("n_words"))
+    for found in (n_hit, hits.groupBy("id", "key").agg(*_named("items")), met.groupBy("id", "key").agg(*_named("near"))):
+        out = out.join(found, F.col(doc_id).eqNullSafe(F.col("id")) & (F.col("text_key") == F.col("key")), "left").drop("id", "key")
+    none, nothing = F.lit(0).cast("long"), F.array().cast("array<string>")
+    out = out.select(doc_id, "text_key", "n_words", *[F.coalesce(c, none).alias(c) for c in ("n_hit", "n_items")],
+                     F.coalesce("items", nothing).alias("items"), F.coalesce("n_near", none).alias("n_near"), F.coalesce("near", nothing).alias("near"))
     return materialize(out, "contamination").withColumn("contaminated", F.col("n_hit") > 0)

@@ -1,7 +1,7 @@
 """Brute-force versions of the text operators, in plain Python over lists of rows."""
 
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import xxhash
 
@@ -94,6 +94,20 @@ def contamination(text, items, window=10):
     return len(w), len(hit), sorted(map(str, ids))
 
 
+def near(text, items, window=10, times=2):
+    """Sorted ids of the items of which a window's words all stand within ``times`` windows, or that occur; ``items``: (id, text)."""
+    w, ids = terms(text), set(contamination(text, items, window)[2])
+    for item, body in items:
+        t = terms(body)
+        wanted = [Counter(t[i:i + window]) for i in range(len(t) - window + 1)]
+        for i in range(max(1, len(w) - times * window + 1)):
+            held = Counter(w[i:i + times * window])
+            if any(all(held[x] >= n for x, n in need.items()) for need in wanted):
+                ids.add(str(item))
+                break
+    return sorted(ids)
+
+
 def secrets(text):
     """(start, kind number, end) of the fixed patterns."""
     text, found = text or "", []

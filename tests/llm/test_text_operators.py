@@ -400,6 +400,8 @@ def test_contamination_equals_windows(spark, odd, empty):
     table = odd.select("doc_id", "text", "source").union(spark.createDataFrame([(d, t, "z") for d, t in texts], DOCS)).withColumn("pos", F.lit(1))
     items = spark.createDataFrame(ITEMS, "item_id long, text string").withColumn("item", F.lit("x"))
     found = decontaminate.contamination(table, items).select("doc_id", "n_words", "n_hit", "items", "contaminated")
+    assert decontaminate.contamination(table, items).columns == [
+        "doc_id", "text_key", "n_words", "n_hit", "n_items", "items", "n_near", "near", "contaminated"]
     want = []
     for d, t in [(d, t) for d, t, _ in ODD] + texts:
         n, hit, _ = plain.contamination(t, [(i, b) for i, b in ITEMS])
@@ -411,21 +413,25 @@ def test_contamination_equals_windows(spark, odd, empty):
     assert none.filter("contaminated").count() == 0 and none.count() == len(want)
 
 
-def test_contamination_gives_proximity_matches(spark):
-    words = [f"gamma{i}" for i in range(12)]
-    made = [(1, " ".join(words), "s"), (2, " ".join(words[:5] + ["inserted"] + words[5:]), "s"), (3, " ".join(words[6:] + words[:6]), "s"),
-            (4, " ".join(f"{w} " + "x " * 20 for w in words), "s"), (None, " ".join(words[:11]).replace("gamma3", "x"), "s"), (5, None, "s")]
-    items = spark.createDataFrame([(1, " ".join(words)), (None, " ".join(words[1:]))], "item_id long, text string")
-    docs = spark.createDataFrame(made, DOCS)
-    found = {r.doc_id: r for r in decontaminate.contamination(docs, items).collect()}
-    index, pairs = decontaminate.phrase_index(docs, decontaminate.item_words(items))
-    near = {}
-    for r in decontaminate.proximity_matches(index, pairs).collect():
-        near.setdefault(r.id, set()).add(r.item)
-    assert {d: r.n_near for d, r in found.items()} == {d: len(near.get(d, ())) for d in found}
-    assert [found[d].near_items for d in (1, 2, 4, 5)] == [["1"], ["1"], [], []]
-    assert found[1].contaminated and not found[2].contaminated and found[2].n_near == 2 and len(found) == len(made)
-    assert "n_near" not in decontaminate.contamination(docs, items, near=False).columns
+def test_proximity_equals_every_span(spark):
+    words = [f"gamma{i}" for i in range(14)]
+    rng = random.Random(6)
+    shuffled = words[:10]
+    rng.shuffle(shuffled)
+    made = [(1, " ".join(words)), (2, " ".join(words[:5] + ["inserted"] + words[5:])), (3, " ".join(words[6:] + words[:6])),
+            (4, " ".join(f"{w} " + "x " * 20 for w in words)), (None, " ".join(words[:11]).replace("gamma3", "x")), (5, None), (6, " ".join(shuffled)),
+            (7, " ".join(f"{w} x" for w in words[:10])), (8, " ".join(f"{w} x y" for w in words[:10])), (9, "again and again " * 6), (10, "again and"),
+            (11, prose(1, 300) + " " + " ".join(shuffled) + " " + prose(2, 9)), (11, "another text " + " ".join(words[::-1])), (12, " ".join(words[:9]))]
+    made += [(100 + i, " ".join(rng.choices(words + ["filler", "and", "again"], k=rng.choice([5, 30, 90])))) for i in range(60)]
+    made += [(200 + i, made[7][1]) for i in range(30)]
+    items = [(1, " ".join(words)), (None, " ".join(words[1:])), (2, "again and " * 5), (3, "again and"), (4, "gamma1 gamma2 " * 6), (5, ""), (6, None)]
+    docs = spark.createDataFrame([(d, t, "s") for d, t in made], DOCS).repartition(3)
+    tests = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.contamination(docs, tests).select("doc_id", "near")
+    named = [(i, t) for i, t in items if i is not None]
+    assert rows(got) == sorted([(d, plain.near(t, named)) for d, t in made], key=repr)
+    counts = {r.doc_id: (r.n_near, r.contaminated) for r in decontaminate.contamination(docs, tests).filter("doc_id < 12").collect()}
+    assert counts[2] == (2, False) and counts[4] == (0, False) and counts[5] == (0, False)
 
 
 def test_the_tail_of_an_item_is_no_window(spark):
@@ -437,14 +443,6 @@ def test_the_tail_of_an_item_is_no_window(spark):
     assert rows(found.select("doc_id", "n_hit")) == sorted([(d, len(plain.words(t)) if d in (20, 21) else 0) for d, t, _ in made], key=repr)
 
 
-def test_proximity(spark):
-    docs = spark.createDataFrame([(1, "zebra one two quagga", "s"), (2, "quagga x zebra", "s"), (3, "zebra " + "x " * 50 + "quagga", "s")], DOCS)
-    items = decontaminate.item_words(spark.createDataFrame([(1, "zebra and quagga x")], "item_id long, text string").union(
-        spark.createDataFrame([(2, "zebra quagga")], "item_id long, text string")))
-    index, pairs = decontaminate.phrase_index(docs, items)
-    assert {r.id for r in decontaminate.proximity_matches(index, pairs).collect()} == {1, 2}
-
-
 # --- secrets ----------------------------------------------------------------
 
 def test_secret_spans(spark, odd, empty):
