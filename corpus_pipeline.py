@@ -1,6 +1,9 @@
 """Five stages from raw documents to a mixed corpus. Each is written as Parquet and read again as the next one's input.
 
-All stages but the last return the columns of their input, whatever these are; the last one adds what the mix takes.
+All stages but the last return the columns of their input, whatever these are; the last one adds what the mix takes. Null and
+empty texts have no words and are rejected by the first stage. Null ids and sources are values like others; of repeated rows one
+is left by the second stage, and of rows that share an id the one with the least text. Columns other than doc_id, text, source and
+n_chars are handed on, whatever their names. Empty tables give empty results.
 """
 
 import os
@@ -11,7 +14,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from fieldlens.llm import credentials, decontaminate, mixing, quality, simhash  # noqa: E402
-from fieldlens.llm.common import materialize  # noqa: E402
+from fieldlens.session import materialize, remove_tables, written  # noqa: E402
 
 
 def _with_text(docs, new):
@@ -57,9 +60,10 @@ def near_duplicate_stage(spark, docs, sf_dir):
 
 
 def decontamination_stage(spark, docs, sf_dir):
-    """Documents with a window of a benchmark item go."""
+    """Documents with a window of a benchmark item go, and those that have all its words close together in another order."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = materialize(_results(decontaminate.contamination(docs, items, window=10, near=False).filter("contaminated")), "pipeline-contaminated")
+    found = decontaminate.contamination(docs, items, window=10).filter("contaminated OR n_near > 0")
+    found = materialize(_results(found), "pipeline-contaminated")
     return docs.join(found, _same_row(), "left_anti")
 
 
@@ -90,10 +94,14 @@ ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
-    """All stages over ``documents``; every stage starts from the written rows of the one before."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over ``documents``; every stage starts from the written rows of the one before.
+
+    Once a stage's rows are written, what it and the stage before it have left in the shared folder is removed.
+    """
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), len(written(spark))
     for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i < len(STAGES) - 1:
             docs = materialize(docs, "stage-" + name.replace(" ", "-"))
+            remove_tables(spark, since=before, keep=1)
     return docs
