@@ -9,6 +9,7 @@ import corpus_pipeline
 import plain
 from check_oracle import connect, differences
 from fieldlens.llm import workload
+from fieldlens.session import written
 from test_text_operators import ODD, prose
 
 FOLDER = "/root/testdata/sf0.001"
@@ -78,6 +79,12 @@ def test_stages_equal_brute_force(spark, folder):
 def test_run_repeats_and_takes_empty_tables(spark, folder, tmp_path):
     once, again = (sorted(map(tuple, corpus_pipeline.run(spark, folder).select("doc_id", "taken").collect()), key=repr) for _ in range(2))
     assert once == again and once
+    before = len(written(spark))
+    corpus_pipeline.run(spark, folder)
+    # what is left: the last stage's input and what its own result is read from
+    left = written(spark)[before:]
+    assert [p.rsplit("/", 1)[1].rsplit("-", 1)[0] for p in left][0] == "stage-secret-scans"
+    assert all(p.rsplit("/", 1)[1].startswith("mixing") for p in left[1:])
     spark.createDataFrame([], SCHEMA).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
