@@ -211,7 +211,66 @@ def op11(spark, table):
     return lexical.ranked_search(table("documents"), table("benchmark"), k=10)
 
 
-@query("op12_conversation_repair")
+OP12_SQL = """
+    WITH RECURSIVE crc AS (
+        SELECT list_transform(range(256), lambda n: list_reduce(list_concat([n], range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END))
+               AS t),
+    marked AS (
+        SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+               xor(list_reduce(list_concat([4294967295], list_transform(string_split(coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' '), ''),
+                                                                        lambda c: ascii(c)::bigint)),
+                               lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS kind
+        FROM conversations, crc),
+    damaged AS (
+        SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+               CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(range(CASE kind WHEN 3 THEN 2 ELSE 1 END)) AS copy
+        FROM marked WHERE kind <> 0),
+    placed AS (
+        SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+               right(rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 1) AS ending
+        FROM damaged),
+    judged AS (
+        SELECT *, left(role, 1) AS initial, lag(left(role, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS before,
+               CASE WHEN ending = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+                    WHEN ending NOT IN ('.', '!', '?') THEN 'truncated' ELSE 'none' END AS fault
+        FROM placed),
+    counts AS (
+        SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+               count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+               count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n
+        FROM judged GROUP BY conv_id),
+    inserts(state, audit, lines, reached) AS (VALUES
+        (0, '', []::varchar[], 0), (0, 'I', ['user:'], 2), (0, 'II', ['user:', 'assistant:'], 3),
+        (1, '', []::varchar[], 1), (1, 'I', ['user:'], 2), (1, 'II', ['user:', 'assistant:'], 3),
+        (2, '', []::varchar[], 2), (2, 'I', ['assistant:'], 3), (2, 'II', ['assistant:', 'user:'], 2),
+        (3, '', []::varchar[], 3), (3, 'I', ['user:'], 2), (3, 'II', ['user:', 'assistant:'], 3)),
+    edits(state, edit, initial, reached, role) AS (VALUES
+        (0, 'K', 's', 1, NULL), (0, 'K', 'u', 2, NULL), (1, 'K', 'u', 2, NULL), (2, 'K', 'a', 3, NULL), (3, 'K', 'u', 2, NULL),
+        (0, 'R', NULL, 2, 'user'), (1, 'R', NULL, 2, 'user'), (2, 'R', NULL, 3, 'assistant'), (3, 'R', NULL, 2, 'user'),
+        (0, 'D', NULL, 0, NULL), (1, 'D', NULL, 1, NULL), (2, 'D', NULL, 2, NULL), (3, 'D', NULL, 3, NULL)),
+    paths AS (
+        SELECT conv_id, 0::bigint AS i, 0 AS state, struct_pack(cost := 0::bigint, audit := '', lines := []::varchar[]) AS best FROM counts
+        UNION ALL
+        SELECT p.conv_id, r.i, e.reached, min(struct_pack(
+                   cost := p.best.cost + 3 * length(n.audit) + CASE e.edit WHEN 'D' THEN 4 WHEN 'R' THEN 3 ELSE 0 END
+                           + CASE WHEN r.fault = 'truncated' AND e.edit <> 'D' THEN 3 ELSE 0 END,
+                   audit := p.best.audit || n.audit || e.edit,
+                   lines := p.best.lines || n.lines || CASE WHEN e.edit = 'D' THEN []::varchar[] ELSE [coalesce(e.role, r.role) || ':' || r.text] END))
+        FROM paths p JOIN judged r ON r.conv_id IS NOT DISTINCT FROM p.conv_id AND r.i = p.i + 1 JOIN inserts n ON n.state = p.state
+             JOIN edits e ON e.state = n.reached AND (e.edit = 'D' OR r.fault IN ('none', 'truncated')) AND (e.edit <> 'K' OR e.initial = r.initial)
+        GROUP BY p.conv_id, r.i, e.reached),
+    ended AS (
+        SELECT p.conv_id, min(struct_pack(cost := p.best.cost + 3 * length(n.audit), audit := p.best.audit || n.audit, lines := p.best.lines || n.lines)) AS best
+        FROM paths p JOIN counts c ON c.conv_id IS NOT DISTINCT FROM p.conv_id AND c.n = p.i JOIN inserts n ON n.state = p.state AND n.reached IN (0, 3)
+        GROUP BY p.conv_id)
+    SELECT a.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+           coalesce(illegal, 0) AS illegal, coalesce(e.best.cost, 0) AS cost, coalesce(e.best.audit, '') AS audit,
+           sha256(coalesce(array_to_string(e.best.lines, chr(10)), '')) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM a.conv_id
+         LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM a.conv_id"""
+
+
+@query("op12_conversation_repair", OP12_SQL)
 def op12(spark, table):
     """Faults of every damaged conversation, and the cheapest edits that mend it."""
     return conversations.repair_report(conversations.damage(table("conversations")), table("conversations"))
