@@ -78,9 +78,34 @@ def apply_per_crop(pixels, fn, schema, keys=("field_id", "uuid"), value_columns=
     return counted.repartition(parts, *keys).groupBy(*keys).applyInPandas(fn, schema)
 
 
+def apply_per_block(pixels, fn, schema, block=256, halo=0, keys=("field_id", "uuid"), row="px_row", col="px_col"):
+    """User function over square blocks of a crop's pixels: ``fn(pandas frame) -> pandas frame``.
+
+    A frame holds the pixels of ``block`` x ``block`` rows and columns, and those up to ``halo`` beyond its borders, with ``own`` (false
+    for these): what looks at neighbours gives the same for any size of block. Frames are bounded, whatever the crop's size; what
+    blocks return is for the caller to add up.
+    """
+    if halo > block:
+        raise ValueError("the halo must not reach beyond the neighbouring blocks")
+    homes = lambda c: F.array_distinct(F.array(*[F.floor((F.col(c) + d * halo) / block) for d in ((-1, 0, 1) if halo else (0,))]))
+    spread = pixels.withColumn("_br", F.explode(homes(row))).withColumn("_bc", F.explode(homes(col)))
+    own = (F.col("_br") == F.floor(F.col(row) / block)) & (F.col("_bc") == F.floor(F.col(col) / block))
+
+    def run(frame):
+        return fn(frame.drop(columns=["_br", "_bc"]))
+
+    return spread.withColumn("own", own).groupBy(*keys, "_br", "_bc").applyInPandas(run, schema)
+
+
 def stack_bands(pixels, bands, pixel_keys=("field_id", "uuid", "px_row", "px_col")):
-    """Long pixels -> one row per pixel with a column per band."""
-    return pixels.where(F.col("band").isin(*bands)).groupBy(*pixel_keys).pivot("band", list(bands)).agg(F.max("value"))
+    """Long pixels -> one row per pixel with a column per band: one aggregate, and none more where the pixels lie clustered by its keys."""
+    picked = [F.max(F.when(F.col("band") == b, F.col("value"))).alias(b) for b in bands]
+    return pixels.where(F.col("band").isin(*bands)).groupBy(*pixel_keys).agg(*picked)
+
+
+def stack_wide(pixels, bands, pixel_keys=("field_id", "uuid", "px_row", "px_col")):
+    """The same of wide pixels, a row each: a projection."""
+    return pixels.select(*pixel_keys, *bands)
 
 
 def rgb_composite(pixels, pixel_keys=("field_id", "uuid", "px_row", "px_col")):

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from fieldlens.constants import ALL_BANDS, NON_ANALYSIS_BANDS, SCORE_COLUMNS, SUMMARY_BANDS
+from fieldlens.functions.geometry import with_bbox
 from fieldlens.functions.projection import project_utm
 from fieldlens.operators import bandstats, clouds, spatial, stats, tables
 from fieldlens.operators.band_search import item_subsets
@@ -190,6 +191,51 @@ def _(t):
     return clipped.drop("x", "y")
 
 
+TILE_RES, TILE_ROWS, TILE_COLS = 0.00125, 7, 20
+
+
+@query("clip_tiles", f"""
+    WITH cell AS (SELECT l_orderkey % 50 AS tile, (l_linenumber - 1) % {TILE_ROWS} AS r, l_partkey % {TILE_COLS} AS c, max(l_partkey % 2000 + 100) AS v
+                  FROM lineitem GROUP BY ALL),
+         grid AS (SELECT tile, r, c FROM (SELECT DISTINCT tile FROM cell) t, range({TILE_ROWS}) r(r), range({TILE_COLS}) c(c)),
+         px AS (SELECT g.tile, g.r, g.c, coalesce(v, 0)::double AS value,
+                       (76.7E0 + (g.tile % 10) * 0.025E0) + (g.c + 0.5E0) * {TILE_RES}E0 AS x,
+                       (15.104E0 + (g.tile // 10) * 0.03E0) - (g.r + 0.5E0) * {TILE_RES}E0 AS y
+                FROM grid g LEFT JOIN cell USING (tile, r, c))
+    SELECT concat('T', p.tile) AS uuid, f.field_id, p.r::int AS px_row, p.c::int AS px_col, p.value, ({_inside_sql()}) % 2 = 1 AS inside
+    FROM px p JOIN (SELECT field_id, x0, y0 FROM fx_fields) f
+      ON p.x >= f.x0 + 0.0 AND p.x <= f.x0 + 0.0024 AND p.y >= f.y0 + 0.0 AND p.y <= f.y0 + 0.0022""")
+def _(t):
+    place = ((F.col("l_linenumber") - 1) % TILE_ROWS * TILE_COLS + F.col("l_partkey") % TILE_COLS).cast("int")
+    cells = t.raw("lineitem").groupBy((F.col("l_orderkey") % 50).alias("tile"), place.alias("place")).agg(F.max(F.col("l_partkey") % 2000 + 100).alias("v"))
+    held = cells.groupBy("tile").agg(F.map_from_entries(F.collect_list(F.struct("place", "v"))).alias("m"))
+    samples = F.transform(F.sequence(F.lit(0), F.lit(TILE_ROWS * TILE_COLS - 1)), lambda i: F.lpad(F.hex(F.coalesce(F.try_element_at(F.col("m"), i), F.lit(0))), 4, "0"))
+    tiles = held.select(
+        F.concat(F.lit("T"), "tile").alias("uuid"), F.lit("B04_10m").alias("band"), F.lit(">u2").alias("dtype"),
+        F.unhex(F.array_join(samples, "")).alias("data"), F.lit(TILE_ROWS).alias("height"), F.lit(TILE_COLS).alias("width"),
+        (F.lit(76.7) + F.col("tile") % 10 * F.lit(0.025)).alias("x0"), (F.lit(15.104) + F.floor(F.col("tile") / 10) * F.lit(0.03)).alias("y0"), F.lit(TILE_RES).alias("res"))
+    clipped = spatial.clip_tiles(tiles, t.shaped(), cell_size=0.01)
+    return clipped.select("uuid", "field_id", "px_row", "px_col", "value", "inside")
+
+
+SHAPE = [[(0.0, 0.0), (0.06, 0.0), (0.06, 0.05), (0.036, 0.05), (0.036, 0.014), (0.024, 0.014), (0.024, 0.05), (0.0, 0.05)],
+         [(0.004, 0.004), (0.014, 0.004), (0.014, 0.012), (0.004, 0.012)]]
+
+
+@query("contains_join_shapes", """
+    SELECT f.field_id, p.uuid
+    FROM (SELECT field_id, x0, y0, x0 + 0.0024 AS x1, y0 + 0.0022 AS y1 FROM fx_fields) f JOIN fx_footprints p
+      ON p.xmin <= f.x0 AND p.ymin <= f.y0 AND p.xmin + 0.06 >= f.x1 AND p.ymin + 0.05 >= f.y1
+     AND NOT (f.x1 > p.xmin + 0.024 AND f.x0 < p.xmin + 0.036 AND f.y1 > p.ymin + 0.014)
+     AND NOT (f.x1 > p.xmin + 0.004 AND f.x0 < p.xmin + 0.014 AND f.y1 > p.ymin + 0.004 AND f.y0 < p.ymin + 0.012)""")
+def _(t):
+    """Boxes of fields within footprints that have a hole and a notch."""
+    ring = lambda points: F.array(*[F.struct((F.col("xmin") + F.lit(dx)).alias("x"), (F.col("ymin") + F.lit(dy)).alias("y")) for dx, dy in points + points[:1]])
+    footprints = t.view("fx_footprints").select("uuid", F.array(F.array(*[ring(points) for points in SHAPE])).alias("polygons"))
+    footprints = with_bbox(footprints.withColumn("rings", F.flatten("polygons")))
+    return spatial.contains_join(box_rings_of(t.shaped().drop("rings")), footprints, cell_size=0.05, salts=2)
+
+
 @query("clip_all_fields", """
     SELECT uuid, count(*) AS n_pixels, sum(B04_10m)::bigint AS total FROM fx_pixels
     WHERE x BETWEEN 76.7 AND 76.9 AND y BETWEEN 15.1 AND 15.25 GROUP BY uuid""")
