@@ -1,10 +1,8 @@
 """The classifiers of the comparison and their three scores.
 
 Three kinds, by what a pass over the rows gives them: linear classifiers whose fits all go through one Newton method
-(``newton``), kernel classifiers solved exactly in the dual (``svm``), and Spark ML's for the rest.
-
-The inverse regularisation strength C weighs the summed loss; Spark's ``regParam`` weighs the
-penalty against the mean loss, hence ``regParam = 1 / (C * n)``.
+(``newton``, ``softmax``), kernel classifiers solved exactly in the dual (``svm``), and Spark ML's trees. The inverse regularisation
+strength C weighs the summed loss.
 """
 
 from concurrent.futures import ThreadPoolExecutor
@@ -12,22 +10,19 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from fieldlens.operators import newton, svm
+from fieldlens.operators import newton, softmax, svm
 from fieldlens.operators.knn import knn_predict
 from fieldlens.operators.resample import balanced_weights, contiguous_folds, stratified_folds, train_test_split
 from fieldlens.session import materialize
 
 # Layout only: a small frame is held in few tasks, since every optimiser step is a job.
 ROWS_PER_TASK = 100_000
-# Upper bounds of the optimiser steps. A fit that reaches its bound before the tolerance raises.
-LOGISTIC_STEPS = 10_000
-TOLERANCE = 1e-6
 FOLDS = 5
 
 
@@ -36,11 +31,6 @@ LABEL = "class_no"
 TREE_BINS = 1_024
 
 
-def _logistic(C, **options):
-    return lambda n: LogisticRegression(
-        regParam=1.0 / (C * n), standardization=False, maxIter=LOGISTIC_STEPS, tol=TOLERANCE, labelCol=LABEL, **options)
-
-
 # One against the rest, all fits and classes in one Newton method.
 LINEAR = {
     "LinearSVC": {"loss": "squared_hinge", "C": 1.0},
@@ -48,6 +38,11 @@ LINEAR = {
     "L2 logistic (OvR)": {"loss": "logistic", "C": 10.0, "penalise_bias": False},
     "logistic": {"loss": "logistic", "C": 1.0},
 }
+# All classes in one objective.
+SOFTMAX = {
+    "L1 logistic": {"C": 10.0, "absolute": True},
+    "L2 logistic (Multinomial)": {"C": 10.0},
+}
 # Pairs of classes vote.
 KERNEL = {
     "SVC (Linear kernel)": {"kernel": "linear", "C": 10.0},
@@ -55,15 +50,13 @@ KERNEL = {
     "SVC (Linear kernel 2)": {"kernel": "linear", "C": 10.0},
     "SVC (rbf kernel)": {"kernel": "rbf", "C": 10.0},
 }
-# name -> Spark ML classifier for n training rows. The names of all three are fixed values.
+# Spark ML's. The names of all four are fixed values.
 FITTED = {
-    "L1 logistic": _logistic(10.0, family="multinomial", elasticNetParam=1.0),
-    "L2 logistic (Multinomial)": _logistic(10.0, family="multinomial", elasticNetParam=0.0),
-    "DecisionTreeClassifier": lambda n: DecisionTreeClassifier(maxDepth=30, maxBins=TREE_BINS, seed=7, labelCol=LABEL),
-    "DecisionTreeClassifier (entropy)": lambda n: DecisionTreeClassifier(impurity="entropy", maxDepth=3, seed=7, labelCol=LABEL),
-    "RandomForest Classifier": lambda n: RandomForestClassifier(numTrees=100, maxDepth=30, maxBins=TREE_BINS, seed=7, labelCol=LABEL),
+    "DecisionTreeClassifier": lambda: DecisionTreeClassifier(maxDepth=30, maxBins=TREE_BINS, seed=7, labelCol=LABEL),
+    "DecisionTreeClassifier (entropy)": lambda: DecisionTreeClassifier(impurity="entropy", maxDepth=3, seed=7, labelCol=LABEL),
+    "RandomForest Classifier": lambda: RandomForestClassifier(numTrees=100, maxDepth=30, maxBins=TREE_BINS, seed=7, labelCol=LABEL),
 }
-MODELS = (*LINEAR, *KERNEL, "KNeighbors", *FITTED)
+MODELS = (*LINEAR, *KERNEL, "KNeighbors", *SOFTMAX, *FITTED)
 SAME_MODEL = {"SVC (Linear kernel 2)": "SVC (Linear kernel)"}
 
 
@@ -104,19 +97,12 @@ def all_fits():
     return [("holdout", 0)] + [(s, i) for s in ("fold_s", "fold_c") for i in range(FOLDS)]
 
 
-def _predictor(name, train, features, id_column, n):
+def _predictor(name, train, features, id_column):
     """Function from rows to their predictions, fitted on ``train``."""
     if name == "KNeighbors":
         return lambda scored: scored.select(id_column, LABEL).join(
             knn_predict(train, scored, features, id_column, LABEL), id_column)
-    return converged(name, FITTED[name](n).fit(train)).transform
-
-
-def converged(name, model):
-    """The fitted model, if its optimiser met the tolerance within its steps."""
-    if getattr(model, "hasSummary", False) and hasattr(model, "getMaxIter") and model.summary.totalIterations >= model.getMaxIter():
-        raise RuntimeError(f"{name} did not converge within {model.getMaxIter()} steps")
-    return model
+    return FITTED[name]().fit(train).transform
 
 
 COUNTS = "scheme string, fold int, class_no double, prediction double, n bigint"
@@ -159,6 +145,8 @@ def _all_at_once(df, name, features, fits):
     n_classes = int(df.agg(F.max(LABEL)).first()[0] or 0) + 1
     if name in LINEAR:
         predict = _Linear(newton.fit_linear(rows, features, n_classes, folds=FOLDS, **LINEAR[name]))
+    elif name in SOFTMAX:
+        predict = _Linear(softmax.fit_softmax(rows, features, n_classes, folds=FOLDS, **SOFTMAX[name]))
     else:
         predict = svm.fit_kernel(rows, features, n_classes, folds=FOLDS, **KERNEL[name]).predict
     return scored_counts(rows, features, df.sparkSession.sparkContext.broadcast(predict), fits)
@@ -171,17 +159,13 @@ def confusion_counts(df, name, features, id_column, fits=None, parallelism=8):
     together; those of the others are independent jobs that run side by side.
     """
     fits = fits or all_fits()
-    if name in LINEAR or name in KERNEL:
+    if name not in FITTED and name != "KNeighbors":
         return materialize(_all_at_once(df, name, features, fits).withColumn("model", F.lit(name)), "confusion")
-    sizes = df.groupBy("is_train", "fold_s", "fold_c").count().collect()
-
-    def train_size(scheme, fold):
-        return sum(r["count"] for r in sizes if r["is_train"] and (scheme == "holdout" or r[scheme] != fold))
 
     def run(fit):
         scheme, fold = fit
         chosen, scored = fit_plan(scheme, fold)
-        predict = _predictor(name, df.where(chosen), features, id_column, train_size(scheme, fold))
+        predict = _predictor(name, df.where(chosen), features, id_column)
         parts = [(scheme, scored)] + ([("train", chosen)] if scheme == "holdout" else [])
         return [predict(df.where(rows)).groupBy(F.col(LABEL).cast("double").alias(LABEL), F.col("prediction").cast("double").alias("prediction")).agg(
             F.count(F.lit(1)).alias("n")).select(F.lit(part).alias("scheme"), F.lit(fold).alias("fold"), LABEL, "prediction", "n")

@@ -211,11 +211,36 @@ def _dealt(samples):
     return materialize(dealt.repartition(max(parts, 8), "group", "__part").sortWithinPartitions("group").drop("__part"), "fit-rows")
 
 
-def _passed(trials, loss, columns, keys, scales, row_weights):
+class Problem:
+    """What ``run_passes`` needs to know of a kind of problem: three functions that tasks call.
+
+    ``sums(number, trial, part)``: arrays that add up over rows; ``part`` is a ``Part``. ``advance(number, state, sums)``: the state after a pass.
+    ``trial(state)``: what a pass needs of a state, or None if nothing of it is open.
+    """
+
+    def __init__(self, sums, advance, trial):
+        self.sums, self.advance, self.trial = sums, advance, trial
+
+
+class Part:
+    """Rows of one group within a task: design matrix in scaled columns, products of its columns, labels, members of each fit."""
+
+    def __init__(self, frame, columns, scale):
+        self.frame, self.rows, self.labels = frame, design(frame, columns) / scale, frame["class_no"].to_numpy()
+        self.products, self.members = pair_products(self.rows), {}
+
+    def of(self, scheme, fold):
+        """Numbers of the rows that a fit learns from."""
+        if (scheme, fold) not in self.members:
+            self.members[scheme, fold] = np.flatnonzero(in_training(self.frame, scheme, fold))
+        return self.members[scheme, fold]
+
+
+def _passed(problem, trials, columns, keys, scales):
     """Function from a task's rows to the sums of each key: (key, payload)."""
 
     def run(frames):
-        state, sums, now = trials.value, {}, None
+        open_, sums, now = trials.value, {}, None
 
         def out():
             found = [(k, pickle.dumps(v)) for k, v in sums.items()]
@@ -224,44 +249,33 @@ def _passed(trials, loss, columns, keys, scales, row_weights):
                 yield pd.DataFrame([row], columns=["key", "payload"])
 
         for frame in frames:
-            for group, part in frame.groupby("group", sort=False):
+            for group, rows in frame.groupby("group", sort=False):
                 if now is not None and group != now:
                     yield from out()
                 now = group
                 if group not in scales:
                     continue
-                rows, labels = design(part, columns) / scales[group], part["class_no"].to_numpy()
-                products, members = pair_products(rows), {}
-                for number, (of, scheme, fold, c) in enumerate(keys):
-                    if of != group or number not in state:
-                        continue
-                    if (scheme, fold) not in members:
-                        members[scheme, fold] = np.flatnonzero(in_training(part, scheme, fold))
-                    mine = members[scheme, fold]
-                    if not len(mine):
-                        continue
-                    weights = row_weights[group, scheme, fold][labels[mine]]
-                    made = partial_sums(state[number], loss, rows[mine], products[mine], np.where(labels[mine] == c, 1.0, -1.0), weights)
-                    sums[number] = [a + b for a, b in zip(sums[number], made)] if number in sums else list(made)
+                part = Part(rows, columns, scales[group])
+                for number, key in enumerate(keys):
+                    if key[0] == group and number in open_ and len(part.of(*key[1:3])):
+                        made = problem.sums(number, open_[number], part)
+                        sums[number] = [a + b for a, b in zip(sums[number], made)] if number in sums else list(made)
         yield from out()
 
     return run
 
 
-def _solved_in_task(loss, columns, keys, scales, row_weights, penalties, C, blank, max_passes):
-    """Function from all rows of a key's group to its weights: the same passes, without a job for each."""
+def _solved_in_task(problem, start, columns, keys, scales, max_passes):
+    """Function from all rows of a key's group to its last state: the same passes, without a job for each."""
 
     def solve(key, frame):
         number = int(key[0])
-        group, scheme, fold, c = keys[number]
-        frame = frame[in_training(frame, scheme, fold)]
-        rows, labels = design(frame, columns) / scales[group], frame["class_no"].to_numpy()
-        products, signs, weights = pair_products(rows), np.where(labels == c, 1.0, -1.0), row_weights[group, scheme, fold][labels]
-        state = pickle.loads(blank)
+        part, state = Part(frame, columns, scales[keys[number][0]]), pickle.loads(start[number])
         for _ in range(max_passes):
-            if (state["mode"] == DONE).all():
+            trial = problem.trial(state)
+            if trial is None:
                 return pd.DataFrame({"key": [number], "state": [pickle.dumps(state)]})
-            state = next_state(state, *partial_sums(trial_of(state), loss, rows, products, signs, weights), penalties[number], C)
+            state = problem.advance(number, state, problem.sums(number, trial, part))
         raise RuntimeError(f"problems are open after {max_passes} passes")
 
     return solve
@@ -275,12 +289,51 @@ def _add_up(key, frame):
     return pd.DataFrame({"key": [frame["key"].iloc[0]], "payload": [pickle.dumps(_added(frame["payload"]))]})
 
 
-def _gathered(states, keys, scales, live, masks, n_classes):
-    weights = {k: np.zeros((*masks.shape, n_classes)) for k in live}
-    for row in states.select("key", "state").toLocalIterator():
-        group, scheme, fold, c = keys[row["key"]]
-        weights[group, scheme, fold][:, :, c] = pickle.loads(row["state"])["w"] / scales[group]
-    return LinearFits(weights, live)
+def run_passes(samples, problem, states, columns, keys, scales, largest, max_passes=MAX_PASSES):
+    """Last state of each key, by its number. ``keys``: (group, scheme, fold, ...); ``states``: the first state of each; ``largest``: training
+    rows of the largest group. What comes to the driver, and goes out again, is states and trials: their size depends on the problems alone.
+    """
+    spark = samples.sparkSession
+    start = [pickle.dumps(state) for state in states]
+
+    def gathered(table):
+        return {r["key"]: pickle.loads(r["state"]) for r in table.select("key", "state").toLocalIterator()}
+
+    if largest <= ROWS_PER_TASK:
+        # every group fits into a task: the passes need no jobs
+        named = spark.createDataFrame([(i, k[0]) for i, k in enumerate(keys)], "key int, group string")
+        solve = _solved_in_task(problem, start, columns, keys, scales, max_passes)
+        solved = samples.where("is_train").join(named, "group").repartition(max(len(keys), 1), "key").groupBy("key").applyInPandas(
+            solve, "key int, state binary")
+        return gathered(materialize(solved, "fit-state"))
+    dealt = _dealt(samples)
+    tasks = dealt.rdd.getNumPartitions()
+    schema = "key int, state binary, trial binary"
+
+    def row(number, state):
+        trial = problem.trial(state)
+        return pd.DataFrame({"key": [number], "state": [pickle.dumps(state)], "trial": [None if trial is None else pickle.dumps(trial)]})
+
+    def update(key, old, sums):
+        if not len(old):
+            return pd.DataFrame({"key": [], "state": [], "trial": []})
+        number, state = int(old["key"].iloc[0]), pickle.loads(old["state"].iloc[0])
+        return row(number, problem.advance(number, state, _added(sums["payload"])) if len(sums) else state)
+
+    table = spark.createDataFrame([(i,) for i in range(len(keys))], "key int").mapInPandas(
+        lambda frames: (row(n, pickle.loads(start[n])) for f in frames for n in f["key"]), schema)
+    table = materialize(table, "fit-state")
+    for _ in range(max_passes):
+        trials = {r["key"]: pickle.loads(r["trial"]) for r in table.where("trial IS NOT NULL").select("key", "trial").toLocalIterator()}
+        if not trials:
+            return gathered(table)
+        sent = spark.sparkContext.broadcast(trials)
+        sums = dealt.mapInPandas(_passed(problem, sent, columns, keys, scales), "key int, payload binary")
+        if tasks > MEET:
+            sums = sums.withColumn("part", F.spark_partition_id() % MEET).groupBy("key", "part").applyInPandas(_add_up, "key int, payload binary")
+        table = materialize(table.groupBy("key").cogroup(sums.groupBy("key")).applyInPandas(update, schema), "fit-state")
+        sent.destroy()
+    raise RuntimeError(f"problems are open after {max_passes} passes")
 
 
 def fit_linear(samples, columns, n_classes, loss="squared_hinge", C=1.0, masks=None, folds=5, balanced=False, penalise_bias=True,
@@ -291,7 +344,7 @@ def fit_linear(samples, columns, n_classes, loss="squared_hinge", C=1.0, masks=N
     and 1 per subset (default: all columns); the bias is in each. ``balanced``: rows weigh by n / (classes * rows of their
     class) of the fit's training rows. The weights come to the driver: problems * columns numbers, whatever the rows.
     """
-    spark, columns = samples.sparkSession, list(columns)
+    columns = list(columns)
     masks = np.ones((1, len(columns))) if masks is None else np.asarray(masks, dtype=float)
     masks = np.concatenate([np.ones((len(masks), 1)), masks], axis=1)
     found = fit_statistics(samples, columns, folds, n_classes)
@@ -305,43 +358,19 @@ def fit_linear(samples, columns, n_classes, loss="squared_hinge", C=1.0, masks=N
         penalty = 1.0 / scales[group] ** 2
         penalty[0] = 1.0 if penalise_bias else 0.0
         penalties.append(penalty)
-    blank = first_state(masks)
-    if all(counts["holdout", 0].sum() <= ROWS_PER_TASK for counts, _ in found.values()):
-        # every group fits into a task: the passes need no jobs
-        named = spark.createDataFrame([(i, k[0]) for i, k in enumerate(keys)], "key int, group string")
-        solve = _solved_in_task(loss, columns, keys, scales, row_weights, penalties, C, pickle.dumps(blank), max_passes)
-        states = samples.where("is_train").join(named, "group").repartition(max(len(keys), 1), "key").groupBy("key").applyInPandas(
-            solve, "key int, state binary")
-        return _gathered(materialize(states, "fit-state"), keys, scales, live, masks, n_classes)
-    dealt = _dealt(samples)
-    tasks = dealt.rdd.getNumPartitions()
 
-    def update(key, old, sums):
-        if not len(old):
-            return pd.DataFrame({"key": [], "state": [], "trial": [], "n_open": []})
-        number = int(old["key"].iloc[0])
-        state = pickle.loads(old["state"].iloc[0])
-        if len(sums):
-            state = next_state(state, *_added(sums["payload"]), penalties[number], C)
-        n_open = int((state["mode"] != DONE).sum())
-        return pd.DataFrame({"key": [number], "state": [pickle.dumps(state)], "trial": [pickle.dumps(trial_of(state)) if n_open else None],
-                             "n_open": [n_open]})
-
-    schema = "key int, state binary, trial binary, n_open long"
-    start = pickle.dumps(blank), pickle.dumps(trial_of(blank)), len(masks)
-    states = spark.createDataFrame([(i,) for i in range(len(keys))], "key int").mapInPandas(
-        lambda frames: (f.assign(state=start[0], trial=start[1], n_open=start[2]) for f in frames), schema)
-    states = materialize(states, "fit-state")
-    for _ in range(max_passes):
-        trials = {r["key"]: pickle.loads(r["trial"]) for r in states.where("n_open > 0").select("key", "trial").toLocalIterator()}
-        if not trials:
-            break
-        sent = spark.sparkContext.broadcast(trials)
-        sums = dealt.mapInPandas(_passed(sent, loss, columns, keys, scales, row_weights), "key int, payload binary")
-        if tasks > MEET:
-            sums = sums.withColumn("part", F.spark_partition_id() % MEET).groupBy("key", "part").applyInPandas(_add_up, "key int, payload binary")
-        states = materialize(states.groupBy("key").cogroup(sums.groupBy("key")).applyInPandas(update, schema), "fit-state")
-        sent.destroy()
-    else:
-        raise RuntimeError(f"problems are open after {max_passes} passes")
-    return _gathered(states, keys, scales, live, masks, n_classes)
+    def sums(number, trial, part):
+        group, scheme, fold, c = keys[number]
+        mine = part.of(scheme, fold)
+        labels = part.labels[mine]
+        return partial_sums(trial, loss, part.rows[mine], part.products[mine], np.where(labels == c, 1.0, -1.0), row_weights[group, scheme, fold][labels])
+
+    problem = Problem(sums, lambda number, state, found: next_state(state, *found, penalties[number], C),
+                      lambda state: None if (state["mode"] == DONE).all() else trial_of(state))
+    largest = max((int(counts["holdout", 0].sum()) for counts, _ in found.values()), default=0)
+    states = run_passes(samples, problem, [first_state(masks) for _ in keys], columns, keys, scales, largest, max_passes)
+    weights = {k: np.zeros((*masks.shape, n_classes)) for k in live}
+    for number, state in states.items():
+        group, scheme, fold, c = keys[number]
+        weights[group, scheme, fold][:, :, c] = state["w"] / scales[group]
+    return LinearFits(weights, live)

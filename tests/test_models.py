@@ -28,8 +28,8 @@ def test_three_scores_of_one_model(blobs):
 
 
 def test_unfinished_fits_raise(blobs, monkeypatch):
-    monkeypatch.setattr(models, "LOGISTIC_STEPS", 1)
-    with pytest.raises(RuntimeError, match="did not converge"):
+    monkeypatch.setattr(models.newton.run_passes, "__defaults__", (1,))
+    with pytest.raises(Exception, match="open after 1 passes"):
         models.compare_models(blobs, ["a", "b"], "y", "key", "key", models=["L2 logistic (Multinomial)"], fits=[("holdout", 0)])
 
 
