@@ -46,6 +46,9 @@ SOIL_RENAMES = {
     "p_(1_=_low;_5_=_high)": "phosphorus_rating",
     "k_(1_=_low;_2_=_med;_3_=_high)": "potassium_rating",
 }
+# columns that are read of the two kinds of field sheets
+FIELD_SHEET_COLUMNS = ("field_id", "farm_name", "field_boundary", "Date of survey")
+GNUM_SHEET_COLUMNS = ("Sl.No", "Farmer name", "Date of survey")
 GNUM_RENAMES = {"Sl.No": "field_id", "Farmer name": "farm_name"}
 
 # WGS84 ellipsoid and UTM zone 43 N

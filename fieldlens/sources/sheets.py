@@ -4,7 +4,7 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
-from fieldlens.constants import GNUM_RENAMES, SOIL_RENAMES
+from fieldlens.constants import FIELD_SHEET_COLUMNS, GNUM_RENAMES, GNUM_SHEET_COLUMNS, SOIL_RENAMES
 from fieldlens.operators.tables import ratings_to_int, rename_columns, sanitize_headers
 
 
@@ -26,12 +26,11 @@ def read_field_sheet(spark, path, columns, used, banner=None, **options):
 
 
 def read_fields_by_id(spark, path, columns, banner=None):
-    return sanitize_headers(read_field_sheet(
-        spark, path, columns, ("field_id", "farm_name", "field_boundary", "Date of survey"), banner))
+    return sanitize_headers(read_field_sheet(spark, path, columns, FIELD_SHEET_COLUMNS, banner))
 
 
 def read_fields_by_gnum(spark, path, columns, banner=None):
-    sheet = read_field_sheet(spark, path, columns, ("Sl.No", "Farmer name", "Date of survey"), banner)
+    sheet = read_field_sheet(spark, path, columns, GNUM_SHEET_COLUMNS, banner)
     return sanitize_headers(rename_columns(sheet, GNUM_RENAMES))
 
 
