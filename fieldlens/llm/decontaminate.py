@@ -13,10 +13,12 @@ Words are the runs of characters other than ASCII non-alphanumerics, with A-Z lo
 functions.
 """
 
+from functools import reduce
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from fieldlens.llm.common import keep, materialize, small
+from fieldlens.llm.common import BROADCAST_ROWS, keep, materialize, small
 from fieldlens.llm.quality import ASCII_LOWER, ASCII_UPPER
 
 BREAK = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
@@ -89,15 +91,20 @@ def alignments(index, pairs):
     return alone.union(meet.select("id", "key", "item", "shift")).distinct()
 
 
+def pair_id():
+    """Number of a window's two rarest terms and its span."""
+    return F.xxhash64("term1", "term2", "span")
+
+
 def near_places(index, pairs):
-    """(id, key, term1, term2, span, near): documents that hold both terms of a pair fewer than ``span`` words apart, and the places of the
-    first where they do. ``pairs``: term1, term2, span, once each."""
+    """(id, key, pair, span, at): places of a pair's first term that have its second one fewer than ``span`` words away.
+    ``pairs``: term1, term2, span, once each. Documents that hold both terms are found before any places are compared."""
     lists = index.groupBy("term", "id", "key").agg(F.array_sort(F.collect_list("pos")).alias("places"))
     first = lists.join(small(pairs), lists["term"] == pairs["term1"]).drop("term")
     second = lists.select(F.col("term").alias("other"), F.col("id").alias("id2"), F.col("key").alias("key2"), F.col("places").alias("places2"))
     met = first.join(second, (F.col("term2") == F.col("other")) & (F.col("key") == F.col("key2")) & F.col("id").eqNullSafe(F.col("id2")))
     near = F.expr("filter(places, p -> exists(places2, q -> q <> p AND abs(q - p) < span))")
-    return met.select("id", "key", "term1", "term2", "span", near.alias("near")).filter(F.size("near") > 0)
+    return met.select("id", "key", pair_id().alias("pair"), "span", F.explode(near).alias("at"))
 
 
 def phrase_index(docs, items, text="text", doc_id="doc_id"):
@@ -109,47 +116,42 @@ def phrase_index(docs, items, text="text", doc_id="doc_id"):
     return postings(docs, wanted, text, doc_id), windows
 
 
-def with_words(docs, found, text, doc_id):
-    """The rows of ``found`` (id, key, ...) with __words, those of their document. Only documents that are asked for are split; copies of a
-    row have the same words."""
-    asked = found.select(F.col("id").alias("__id"), F.col("key").alias("__key")).distinct()
-    read = docs.select(F.col(doc_id).alias("__doc"), F.col(text).alias("__text"), F.xxhash64(text).alias("__hash"))
-    some = read.join(asked, F.col("__doc").eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__key")), "left_semi").groupBy(
-        "__doc", "__hash").agg(F.first("__text").alias("__text"))
-    both = some.join(found, F.col("__doc").eqNullSafe(F.col("id")) & (F.col("__hash") == F.col("key")))
-    return both.withColumn("__words", words_of(F.col("__text"))).drop("__doc", "__hash", "__text")
-
-
-def phrase_hits(docs, aligned, tests, text="text", doc_id="doc_id"):
-    """(id, key, item, item_id, positions): occurrences of windows at each alignment (id, key, item, shift), by comparing the item
-    with the document's words beside it. ``positions`` are the document's words that are hit."""
-    sized = aligned.join(small(tests.select("item", F.size("item_words").alias("size"))), "item")
-    rows = with_words(docs, sized, text, doc_id)
-    lo = F.greatest(F.lit(0), F.col("shift"))
-    beside = rows.select("id", "key", "item", "shift", lo.alias("lo"), F.slice("__words", lo + 1, F.greatest(
-        F.lit(0), F.col("shift") + F.col("size") - lo)).alias("beside")).join(small(tests), "item")
+def neighbourhoods(docs, found, text="text", doc_id="doc_id"):
+    """The rows of ``found`` (id, key, kind, ref, at, lo, size; written) with ``words``: ``size`` words of the document from word ``lo`` on.
+
+    Only documents that are asked for are split, where they are read: what is sent to them is their list of places, a few numbers
+    each, as long as there are few enough places in all.
+    """
+    places = found.groupBy("id", "key").agg(F.collect_list(F.struct("kind", "ref", "at", "lo", "size")).alias("places"))
+    fits = found.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    both = docs.withColumn("__key", F.xxhash64(text)).join(
+        F.broadcast(places) if fits else places, F.col(doc_id).eqNullSafe(F.col("id")) & (F.col("__key") == F.col("key")))
+    rows = both.select("id", "key", words_of(F.col(text)).alias("__words"), F.explode("places").alias("p"))
+    return rows.select("id", "key", "p.*", F.slice("__words", F.col("p.lo") + 1, F.col("p.size")).alias("words"))
+
+
+def phrase_hits(beside, tests):
+    """(id, key, item, item_id, positions): occurrences of windows at each alignment, by comparing the item with the document's words
+    beside it. ``positions`` are the document's words that are hit."""
+    rows = beside.filter("kind = 0").withColumnRenamed("ref", "item").join(small(tests), "item")
     starts = F.expr(
-        "filter(sequence(0, size(item_words) - length), s -> shift + s >= lo AND shift + s + length - lo <= size(beside) "
-        "AND slice(beside, shift + s - lo + 1, length) = slice(item_words, s + 1, length))")
-    hits = beside.withColumn("starts", starts).filter(F.size("starts") > 0)
+        "filter(sequence(0, size(item_words) - length), s -> at + s >= lo AND at + s + length - lo <= size(words) "
+        "AND slice(words, at + s - lo + 1, length) = slice(item_words, s + 1, length))")
+    hits = rows.withColumn("starts", starts).filter(F.size("starts") > 0)
     return hits.select("id", "key", "item", "item_id", F.expr(
-        "array_distinct(flatten(transform(starts, s -> sequence(shift + s, shift + s + length - 1))))").alias("positions"))
+        "array_distinct(flatten(transform(starts, s -> sequence(at + s, at + s + length - 1))))").alias("positions"))
 
 
-def near_hits(docs, near, windows, tests, text="text", doc_id="doc_id"):
-    """(id, key, item, item_id), once each: items of which a window's words all stand within the span around a place of ``near_places``."""
-    slices = windows.join(tests.select("item", "item_id", "item_words"), "item").select(
-        "term1", "term2", (F.col("length") * SPAN).alias("span"), "item", "item_id",
-        F.expr("array_sort(slice(item_words, start + 1, length))").alias("sorted")).distinct()
+def near_hits(around, windows, tests):
+    """(id, key, item, item_id): items of which a window's words all stand within the span around a place of ``near_places``."""
+    slices = windows.join(tests.select("item", "item_id", "item_words"), "item").withColumn("span", F.col("length") * SPAN).select(
+        pair_id().alias("ref"), "span", "item", "item_id", F.expr("array_sort(slice(item_words, start + 1, length))").alias("sorted")).distinct()
     counted = slices.withColumn("needed", F.expr(
         "transform(array_distinct(sorted), w -> struct(w AS word, size(filter(sorted, x -> x = w)) AS n))")).drop("sorted")
-    rows = with_words(docs, near, text, doc_id).select("id", "key", "term1", "term2", "span", "__words", F.explode("near").alias("at"))
-    lo = F.greatest(F.lit(0), F.col("at") - F.col("span") + 1)
-    around = rows.select("id", "key", "term1", "term2", "span", F.slice("__words", lo + 1, F.col("at") + F.col("span") - lo).alias("around"))
     holds = "forall(needed, c -> size(filter({0}, x -> x = c.word)) >= c.n)"
-    met = around.distinct().join(small(counted), ["term1", "term2", "span"]).filter(holds.format("around"))
-    met = met.filter(F.expr("exists(sequence(0, greatest(0, size(around) - span)), s -> " + holds.format("slice(around, s + 1, span)") + ")"))
-    return met.select("id", "key", "item", "item_id").distinct()
+    met = around.filter("kind = 1").join(small(materialize(counted, "near-windows")), "ref").filter(holds.format("words"))
+    met = met.filter(F.expr("exists(sequence(0, greatest(0, size(words) - span)), s -> " + holds.format("slice(words, s + 1, span)") + ")"))
+    return met.select("id", "key", "item", "item_id")
 
 
 def _named(items):
@@ -175,18 +177,28 @@ def contamination(docs, items, text="text", doc_id="doc_id", item_text="text", i
     tests = materialize(item_words(items, item_text, item_id, window), "test-items")
     index, windows = phrase_index(bare, tests, text, doc_id)
     pairs = materialize(probes(windows), "probes")
-    aligned = materialize(alignments(index, pairs), "alignments")
-    hits = materialize(phrase_hits(bare, aligned, tests, text, doc_id), "phrase-hits")
-    spans = materialize(windows.filter(F.col("length") == window).filter("length > 1").select("term1", "term2", (F.col("length") * SPAN).alias("span")).distinct(), "near-pairs")
-    near = materialize(near_places(index, spans), "near-places")
-    met = near_hits(bare, near, windows, tests, text, doc_id).union(hits.select("id", "key", "item", "item_id"))
+    aligned = alignments(index, pairs).join(small(tests.select("item", F.size("item_words").alias("n"))), "item")
+    spans = materialize(windows.filter((F.col("length") == window) & (F.col("length") > 1)).select(
+        "term1", "term2", (F.col("length") * SPAN).alias("span")).distinct(), "near-pairs")
+    near = near_places(index, spans)
+    from_, start = F.greatest(F.lit(0), F.col("shift")), F.greatest(F.lit(0), F.col("at") - F.col("span") + 1)
+    found = materialize(aligned.select(
+        "id", "key", F.lit(0).alias("kind"), F.col("item").alias("ref"), F.col("shift").alias("at"), from_.alias("lo"),
+        F.greatest(F.lit(0), F.col("shift") + F.col("n") - from_).alias("size")).unionByName(near.select(
+            "id", "key", F.lit(1).alias("kind"), F.col("pair").alias("ref"), "at", start.alias("lo"), (F.col("at") + F.col("span") - start).alias("size"))),
+        "places")
+    beside = materialize(neighbourhoods(bare, found, text, doc_id), "neighbourhoods")
+    hits = materialize(phrase_hits(beside, tests), "phrase-hits")
+    met = near_hits(beside, windows, tests).union(hits.select("id", "key", "item", "item_id"))
 
     # words that are hit are counted by document and position, so a document full of them is no single list
     n_hit = hits.select("id", "key", F.explode("positions").alias("pos")).distinct().groupBy("id", "key").agg(F.count(F.lit(1)).alias("n_hit"))
-    out = bare.select(doc_id, F.xxhash64(text).alias("text_key"), F.size(words_of(F.col(text))).cast("long").alias("n_words"))
-    for found in (n_hit, hits.groupBy("id", "key").agg(*_named("items")), met.groupBy("id", "key").agg(*_named("near"))):
-        out = out.join(found, F.col(doc_id).eqNullSafe(F.col("id")) & (F.col("text_key") == F.col("key")), "left").drop("id", "key")
+    parts = [n_hit, hits.groupBy("id", "key").agg(*_named("items")), met.groupBy("id", "key").agg(*_named("near"))]
+    every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    names = ("n_hit", "n_items", "items", "n_near", "near")
+    each = materialize(every.groupBy("id", "key").agg(*[F.max(c).alias(c) for c in names]), "contaminated")
+    read = bare.select(doc_id, F.xxhash64(text).alias("text_key"), F.size(words_of(F.col(text))).cast("long").alias("n_words"))
+    out = read.join(small(each), F.col(doc_id).eqNullSafe(F.col("id")) & (F.col("text_key") == F.col("key")), "left")
     none, nothing = F.lit(0).cast("long"), F.array().cast("array<string>")
-    out = out.select(doc_id, "text_key", "n_words", *[F.coalesce(c, none).alias(c) for c in ("n_hit", "n_items")],
-                     F.coalesce("items", nothing).alias("items"), F.coalesce("n_near", none).alias("n_near"), F.coalesce("near", nothing).alias("near"))
+    out = out.select(doc_id, "text_key", "n_words", *[F.coalesce(c, nothing if c in ("items", "near") else none).alias(c) for c in names])
     return materialize(out, "contamination").withColumn("contaminated", F.col("n_hit") > 0)
