@@ -248,6 +248,53 @@ def _(t):
     return band_search.band_search(search_samples(t), solver="hinge")
 
 
+def _few_sets_sql():
+    """Three feature sets: Newton's steps of every fit and class by Cramer's rule, then the scores."""
+    fits = ", ".join(f"('{scheme}', {fold})" for scheme, fold in models.all_fits())
+    learns = "p.is_train AND (t.scheme = 'holdout' OR (t.scheme = 'fold_s' AND p.fold_s <> t.fold) OR (t.scheme = 'fold_c' AND p.fold_c <> t.fold))"
+    scored = "(t.scheme = 'holdout' AND NOT p.is_train) OR (t.scheme = 'fold_s' AND p.fold_s = t.fold) OR (t.scheme = 'fold_c' AND p.fold_c = t.fold)"
+    det = "(a * (d * f - e * e) - b * (b * f - c * e) + c * (b * e - c * d))"
+    return f"""
+    WITH RECURSIVE {SPLIT}, tr AS (SELECT * FROM split WHERE is_train),
+         {folds_sql('fs', 'tr', "md5(concat('7|', vec_id)), vec_id")}, {folds_sql('fc', 'tr', 'vec_id')},
+         parts AS (SELECT split.*, fs.fold AS fold_s, fc.fold AS fold_c FROM split
+                   LEFT JOIN fs ON fs.vec_id = split.vec_id LEFT JOIN fc ON fc.vec_id = split.vec_id),
+         fits(scheme, fold) AS (VALUES {fits}),
+         sets(bands, n_bands, m1, m2) AS (VALUES ('f1', 1, 1, 0), ('f2', 1, 0, 1), ('f1 f2', 2, 1, 1)),
+         learnt AS (SELECT t.scheme, t.fold, s.bands, p.label, p.f1 * s.m1 AS x1, p.f2 * s.m2 AS x2 FROM parts p, fits t, sets s WHERE {learns}),
+         steps AS (
+             SELECT scheme, fold, bands, label AS k, 0 AS i, 0.0E0 AS w0, 0.0E0 AS w1, 0.0E0 AS w2 FROM learnt GROUP BY ALL
+             UNION ALL
+             SELECT scheme, fold, bands, k, i + 1,
+                    w0 - (g0 * (d * f - e * e) - b * (g1 * f - e * g2) + c * (g1 * e - d * g2)) / {det},
+                    w1 - (a * (g1 * f - e * g2) - g0 * (b * f - c * e) + c * (b * g2 - g1 * c)) / {det},
+                    w2 - (a * (d * g2 - g1 * e) - b * (b * g2 - g1 * c) + g0 * (b * e - c * d)) / {det}
+             FROM (SELECT scheme, fold, bands, k, i, w0, w1, w2, w0 - 2 * sum(y * m) AS g0, w1 - 2 * sum(y * m * x1) AS g1, w2 - 2 * sum(y * m * x2) AS g2,
+                          1 + 2 * sum(h) AS a, 2 * sum(h * x1) AS b, 2 * sum(h * x2) AS c, 1 + 2 * sum(h * x1 * x1) AS d, 2 * sum(h * x1 * x2) AS e,
+                          1 + 2 * sum(h * x2 * x2) AS f
+                   FROM (SELECT *, greatest(0, 1 - y * (w0 + w1 * x1 + w2 * x2)) AS m, CASE WHEN y * (w0 + w1 * x1 + w2 * x2) < 1 THEN 1 ELSE 0 END AS h
+                         FROM (SELECT s.*, l.x1, l.x2, CASE WHEN l.label = s.k THEN 1 ELSE -1 END AS y
+                               FROM steps s JOIN learnt l ON l.scheme = s.scheme AND l.fold = s.fold AND l.bands = s.bands AND s.i < 30) j) v
+                   GROUP BY scheme, fold, bands, k, i, w0, w1, w2) t),
+         guesses AS (
+             SELECT t.scheme, t.fold, s.bands, p.label, arg_max(w.k, w.w0 + w.w1 * p.f1 + w.w2 * p.f2) AS guess
+             FROM parts p, fits t, sets s, steps w
+             WHERE ({scored}) AND w.scheme = t.scheme AND w.fold = t.fold AND w.bands = s.bands AND w.i = 30
+             GROUP BY t.scheme, t.fold, s.bands, p.vec_id, p.label),
+         scores AS (SELECT scheme, fold, bands, avg(CASE WHEN guess = label THEN 1.0E0 ELSE 0.0E0 END) AS score FROM guesses GROUP BY ALL)
+    SELECT 'label' AS target, bands, n_bands, round(avg(score) FILTER (scheme = 'fold_s'), 9) AS scores_stratified_KFold,
+           round(avg(score) FILTER (scheme = 'fold_c'), 9) AS scores_cross_val, round(avg(score) FILTER (scheme = 'holdout'), 9) AS accuracy_score,
+           'hinge' AS solver
+    FROM scores JOIN sets USING (bands) GROUP BY bands, n_bands"""
+
+
+@query("band_search_few", _few_sets_sql())
+def _(t):
+    """Scores of a few feature sets on classes that overlap, by the squared-hinge search."""
+    found = band_search.band_search(gram_samples(t), FEATURES[:2], 10, solver="hinge")
+    return rounded(found, 9, *SCORE_COLUMNS)
+
+
 @query("best_band_sets")
 def _(t):
     return stats.top_band_sets(band_search.band_search(search_samples(t)), SCORE_COLUMNS)
