@@ -319,18 +319,17 @@ def falling_pixels(frame: pd.DataFrame) -> pd.DataFrame:
     values = frame.set_index(["px_row", "px_col"])["value"]
     own = frame[frame["own"]]
     beside = values.reindex(pd.MultiIndex.from_arrays([own["px_row"], own["px_col"] + 1])).to_numpy()
-    return pd.DataFrame({"field_id": frame["field_id"].iloc[:1], "uuid": frame["uuid"].iloc[:1], "n": int((own["value"].to_numpy() > beside).sum())})
+    return pd.DataFrame({"field_id": frame["field_id"].iloc[:1], "n": int((own["value"].to_numpy() > beside).sum())})
 
 
 @query("apply_per_block", """
-    WITH g AS (SELECT field_id, uuid, px_row, px_col, max(B04_10m) AS v FROM fx_pixels GROUP BY ALL)
-    SELECT a.field_id, a.uuid, cast(sum(CASE WHEN a.v > b.v THEN 1 ELSE 0 END) AS bigint) AS n_falling
-    FROM g a LEFT JOIN g b ON b.field_id = a.field_id AND b.uuid = a.uuid AND b.px_row = a.px_row AND b.px_col = a.px_col + 1
-    GROUP BY a.field_id, a.uuid""")
+    WITH g AS (SELECT field_id, px_row, px_col, max(B04_10m) AS v FROM fx_pixels GROUP BY ALL)
+    SELECT a.field_id, cast(sum(CASE WHEN a.v > b.v THEN 1 ELSE 0 END) AS bigint) AS n_falling
+    FROM g a LEFT JOIN g b ON b.field_id = a.field_id AND b.px_row = a.px_row AND b.px_col = a.px_col + 1 GROUP BY a.field_id""")
 def _(t):
-    grid = t.pixels.groupBy("field_id", "uuid", "px_row", "px_col").agg(F.max("B04_10m").alias("value"))
-    blocks = bandstats.apply_per_block(grid, falling_pixels, "field_id string, uuid string, n bigint", block=4, halo=1)
-    return blocks.groupBy("field_id", "uuid").agg(F.sum("n").alias("n_falling"))
+    grid = t.pixels.groupBy("field_id", "px_row", "px_col").agg(F.max("B04_10m").alias("value"))
+    blocks = bandstats.apply_per_block(grid, falling_pixels, "field_id string, n bigint", block=4, halo=1, keys=("field_id",))
+    return blocks.groupBy("field_id").agg(F.sum("n").alias("n_falling"))
 
 
 def row_label(frame: pd.DataFrame) -> pd.DataFrame:
