@@ -225,15 +225,35 @@ def polygons_within(inner, outer):
     outer shape; the outer border, with its holes and notches, runs nowhere through the inner shape; and each inner part
     has a point inside that the outer shape covers, which tells a part in the shape from one that fills a hole or a notch.
     """
-    inner, outer = (F.col(c) if isinstance(c, str) else c for c in (inner, outer))
-    inner_parts, outer_parts = (F.transform(c, edges) for c in (inner, outer))
+    return parts_within(part_edges(inner), inside_points(inner), part_edges(outer))
+
+
+def part_edges(polygons):
+    """A list of edges per polygon."""
+    return F.transform(polygons, edges)
+
+
+def inside_points(polygons):
+    """A point inside each polygon that has an area."""
+    return F.filter(F.transform(polygons, interior_point), lambda p: p.isNotNull())
+
+
+def parts_within(inner_parts, inner_points, outer_parts):
+    """``polygons_within`` of what ``part_edges`` and ``inside_points`` give, which are worked out once a shape, not once a pair."""
     inner_edges, outer_edges = F.flatten(inner_parts), F.flatten(outer_parts)
     border_in = F.forall(split_midpoints(inner_edges, outer_edges), lambda p: covers_point(p["x"], p["y"], outer_parts))
     cut = F.exists(split_midpoints(outer_edges, inner_edges), lambda p: (
         inside_point(p["x"], p["y"], inner_parts) & ~inside_point(p["x"], p["y"], outer_parts)))
-    parts_in = F.forall(F.filter(F.transform(inner, interior_point), lambda p: p.isNotNull()),
-                        lambda p: covers_point(p["x"], p["y"], outer_parts))
-    return border_in & ~cut & parts_in
+    return border_in & ~cut & F.forall(inner_points, lambda p: covers_point(p["x"], p["y"], outer_parts))
+
+
+def is_box(polygons):
+    """True for one rectangle along the axes, without holes: for it a test of boxes says all."""
+    polygons = F.col(polygons) if isinstance(polygons, str) else polygons
+    lines = edges(polygons[0])
+    real = F.filter(lines, lambda e: (e["x1"] != e["x2"]) | (e["y1"] != e["y2"]))
+    along = F.forall(real, lambda e: (e["x1"] == e["x2"]) | (e["y1"] == e["y2"]))
+    return (F.size(polygons) == 1) & (F.size(F.get(polygons, F.lit(0))) == 1) & (F.size(real) == 4) & along
 
 
 def polygon_within(inner_rings, outer_rings):

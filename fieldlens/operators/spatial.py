@@ -11,7 +11,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from fieldlens.functions.geometry import edges, point_in_edges, polygons_within
+from fieldlens.functions.geometry import edges, inside_points, is_box, part_edges, parts_within, point_in_edges
 from fieldlens.functions.projection import project_utm
 
 
@@ -81,17 +81,20 @@ def contains_join(fields, products, cell_size, salts=1, exact=True):
     parts and holes kept apart, or as ``rings`` of one polygon.
     """
     fields = fields.where("xmin IS NOT NULL").withColumns(
-        {"_cx": cell_number("xmin", cell_size), "_cy": cell_number("ymin", cell_size), "_shape": polygons_of(fields)} if exact else
         {"_cx": cell_number("xmin", cell_size), "_cy": cell_number("ymin", cell_size)})
-    keep = ["uuid", "p_xmin", "p_ymin", "p_xmax", "p_ymax"] + (["p_shape"] if exact else [])
-    footprints = (products.withColumn("p_shape", polygons_of(products)) if exact else products).withColumnsRenamed(
-        {"xmin": "p_xmin", "ymin": "p_ymin", "xmax": "p_xmax", "ymax": "p_ymax"}).select(*keep)
+    keep = ["uuid", "p_xmin", "p_ymin", "p_xmax", "p_ymax"] + (["p_parts", "p_is_box"] if exact else [])
+    footprints = products.withColumnsRenamed({"xmin": "p_xmin", "ymin": "p_ymin", "xmax": "p_xmax", "ymax": "p_ymax"})
+    if exact:
+        fields = fields.withColumns({"_parts": part_edges(polygons_of(fields)), "_points": inside_points(polygons_of(fields))})
+        footprints = footprints.withColumns({"p_parts": part_edges(polygons_of(products)), "p_is_box": is_box(polygons_of(products))})
+    footprints = footprints.select(*keep)
     footprints = cover_cells(footprints.where("p_xmin IS NOT NULL"), cell_size, ("p_xmin", "p_ymin", "p_xmax", "p_ymax"))
     many, few, on = _salted(fields, footprints, ["field_id"], salts)
     pairs = many.join(few, on).where(
         "p_xmin <= xmin AND p_ymin <= ymin AND p_xmax >= xmax AND p_ymax >= ymax")
     if exact:
-        pairs = pairs.where(polygons_within("_shape", "p_shape"))
+        # the boxes were compared above
+        pairs = pairs.where(F.col("p_is_box") | parts_within(F.col("_parts"), F.col("_points"), F.col("p_parts")))
     return pairs.select("field_id", "uuid")
 
 
