@@ -132,66 +132,80 @@ def point_in_edges(x, y, edge_list):
     return F.size(F.filter(edge_list, crosses)) % 2 == 1
 
 
+# --- containment, as SQL text: one parse in place of hundreds of calls ------
+# ``e``, ``g``: edges; ``part``: a list of edges; ``p``: a point.
+
 # A point this close to an edge, in shares of its coordinates, lies on it: points worked out on slanted edges are rounded.
-ON_EDGE = 1e-13
+ON_EDGE = "1E-13D"
+_DX, _DY = "(e.x2 - e.x1)", "(e.y2 - e.y1)"
+
+
+def _on_line(x, y):
+    """The point lies on the line through ``e``."""
+    return (f"abs({_DX} * ({y} - e.y1) - {_DY} * ({x} - e.x1)) <= {ON_EDGE} * (abs({x}) + abs({y})) * (abs({_DX}) + abs({_DY}))")
+
+
+def _on_part():
+    slack = f"{ON_EDGE} * (abs(p.x) + abs(p.y))"
+    between = " AND ".join(f"p.{c} BETWEEN least(e.{c}1, e.{c}2) - {slack} AND greatest(e.{c}1, e.{c}2) + {slack}" for c in "xy")
+    return f"exists(part, e -> {_on_line('p.x', 'p.y')} AND {between})"
 
 
-def on_edges(x, y, edge_list):
-    """True where a point lies on one of the edges."""
+_IN_PART = ("size(filter(part, e -> CASE WHEN (e.y1 <= p.y) <> (e.y2 <= p.y) "
+            f"THEN p.x < e.x1 + (p.y - e.y1) * {_DX} / {_DY} ELSE false END)) % 2 = 1")
 
-    def holds(e):
-        dx, dy = e["x2"] - e["x1"], e["y2"] - e["y1"]
-        slack = F.lit(ON_EDGE) * (F.abs(x) + F.abs(y))
-        return (
-            (F.abs(dx * (y - e["y1"]) - dy * (x - e["x1"])) <= slack * (F.abs(dx) + F.abs(dy)))
-            & x.between(F.least(e["x1"], e["x2"]) - slack, F.greatest(e["x1"], e["x2"]) + slack)
-            & y.between(F.least(e["y1"], e["y2"]) - slack, F.greatest(e["y1"], e["y2"]) + slack))
 
-    return F.exists(edge_list, holds)
+def _covered(parts):
+    """The point lies in one of the parts or on its border."""
+    return f"exists({parts}, part -> {_IN_PART} OR {_on_part()})"
 
 
-def _edges_meet(e, g):
-    """True where the boxes of two edges meet."""
-    return (
-        (F.greatest(e["x1"], e["x2"]) >= F.least(g["x1"], g["x2"])) & (F.greatest(g["x1"], g["x2"]) >= F.least(e["x1"], e["x2"]))
-        & (F.greatest(e["y1"], e["y2"]) >= F.least(g["y1"], g["y2"])) & (F.greatest(g["y1"], g["y2"]) >= F.least(e["y1"], e["y2"])))
+def _inside(parts):
+    """The point lies in one of the parts and on no border of it."""
+    return f"exists({parts}, part -> {_IN_PART} AND NOT {_on_part()})"
 
 
-def split_midpoints(edge_list, others):
+def _split_midpoints(edge_list, others):
     """Midpoints of the pieces into which ``others`` cut the edges: where they cross, touch, or where a common stretch ends.
 
     A piece lies wholly inside, outside or on the border of the other shape, so its midpoint stands for it.
     """
+    meet = " AND ".join(f"greatest(e.{c}1, e.{c}2) >= least(g.{c}1, g.{c}2) AND greatest(g.{c}1, g.{c}2) >= least(e.{c}1, e.{c}2)" for c in "xy")
+    turn = f"({_DX} * (g.y2 - g.y1) - {_DY} * (g.x2 - g.x1))"
+    crossing = (f"CASE WHEN try_divide((g.x1 - e.x1) * {_DY} - (g.y1 - e.y1) * {_DX}, {turn}) BETWEEN -1E-9D AND 1 + 1E-9D "
+                f"THEN try_divide((g.x1 - e.x1) * (g.y2 - g.y1) - (g.y1 - e.y1) * (g.x2 - g.x1), {turn}) END")
+    corner = [f"CASE WHEN {_on_line(x, y)} THEN try_divide({_DX} * ({x} - e.x1) + {_DY} * ({y} - e.y1), {_DX} * {_DX} + {_DY} * {_DY}) END"
+              for x, y in (("g.x1", "g.y1"), ("g.x2", "g.y2"))]
+    cuts = (f"array_sort(array_distinct(concat(array(0D, 1D), filter(flatten(transform(filter({others}, g -> {meet}), "
+            f"g -> array({crossing}, {corner[0]}, {corner[1]}))), t -> t IS NOT NULL AND t > 0 AND t < 1))))")
+    pieces = ("filter(zip_with(slice(ts, 1, size(ts) - 1), slice(ts, 2, size(ts) - 1), (a, b) -> struct(b - a AS wide, (a + b) / 2 AS t)), m -> m.wide > 1E-12D)")
+    points = f"transform({pieces}, m -> struct(e.x1 + m.t * {_DX} AS x, e.y1 + m.t * {_DY} AS y))"
+    return (f"flatten(transform(filter({edge_list}, e -> e.x1 <> e.x2 OR e.y1 <> e.y2), "
+            f"e -> element_at(transform(array({cuts}), ts -> {points}), 1)))")
 
-    def places(e):
-        dx, dy = e["x2"] - e["x1"], e["y2"] - e["y1"]
-        length = dx * dx + dy * dy
 
-        def crossing(g):
-            gx, gy, ox, oy = g["x2"] - g["x1"], g["y2"] - g["y1"], g["x1"] - e["x1"], g["y1"] - e["y1"]
-            turn = dx * gy - dy * gx
-            return F.when(F.try_divide(ox * dy - oy * dx, turn).between(-1e-9, 1 + 1e-9), F.try_divide(ox * gy - oy * gx, turn))
+def parts_within(inner_parts, inner_points, outer_parts):
+    """True where every point of the inner polygons belongs to the outer ones, borders included. The names of columns made by
+    ``part_edges`` and ``inside_points``, which are worked out once a shape, not once a pair.
 
-        def corner(px, py):
-            slack = F.lit(ON_EDGE) * (F.abs(px) + F.abs(py)) * (F.abs(dx) + F.abs(dy))
-            near = F.abs(dx * (py - e["y1"]) - dy * (px - e["x1"])) <= slack
-            return F.when(near, F.try_divide(dx * (px - e["x1"]) + dy * (py - e["y1"]), length))
+    Three things must hold: the inner border lies in the outer shape; the outer border, with its holes and notches, runs nowhere
+    through the inner shape; and each inner part has a point inside that the outer shape covers, which tells a part in the
+    shape from one that fills a hole or a notch.
+    """
+    inner, outer = f"flatten({inner_parts})", f"flatten({outer_parts})"
+    border_in = f"forall({_split_midpoints(inner, outer)}, p -> {_covered(outer_parts)})"
+    cut = f"exists({_split_midpoints(outer, inner)}, p -> {_inside(inner_parts)} AND NOT {_inside(outer_parts)})"
+    return F.expr(f"{border_in} AND NOT {cut} AND forall({inner_points}, p -> {_covered(outer_parts)})")
 
-        cuts = F.flatten(F.transform(F.filter(others, lambda g: _edges_meet(e, g)), lambda g: F.array(
-            crossing(g), corner(g["x1"], g["y1"]), corner(g["x2"], g["y2"]))))
-        inner = F.filter(cuts, lambda t: t.isNotNull() & (t > 0) & (t < 1))
-        return F.array_sort(F.array_distinct(F.concat(F.array(F.lit(0.0), F.lit(1.0)), inner)))
 
-    def midpoints(e):
-        at = F.transform(places(e), lambda t: F.struct(t.alias("t"), e.alias("e")))
-        pairs = F.zip_with(F.slice(at, 1, F.size(at) - 1), F.slice(at, 2, F.size(at) - 1), lambda a, b: F.struct(
-            (b["t"] - a["t"]).alias("wide"),
-            (a["e"]["x1"] + (a["t"] + b["t"]) / 2 * (a["e"]["x2"] - a["e"]["x1"])).alias("x"),
-            (a["e"]["y1"] + (a["t"] + b["t"]) / 2 * (a["e"]["y2"] - a["e"]["y1"])).alias("y")))
-        return F.filter(pairs, lambda p: p["wide"] > 1e-12)
+def part_edges(polygons):
+    """A list of edges per polygon."""
+    return F.transform(polygons, edges)
 
-    real = F.filter(edge_list, lambda e: (e["x1"] != e["x2"]) | (e["y1"] != e["y2"]))
-    return F.flatten(F.transform(real, midpoints))
+
+def inside_points(polygons):
+    """A point inside each polygon that has an area."""
+    return F.filter(F.transform(polygons, interior_point), lambda p: p.isNotNull())
 
 
 def interior_point(rings):
@@ -208,45 +222,6 @@ def interior_point(rings):
     return F.array_max(F.filter(stretches, lambda p: p["wide"] > 0))
 
 
-def covers_point(x, y, part_edges):
-    """True where a point lies in one of the parts or on its border. ``part_edges``: a list of edges per part."""
-    return F.exists(part_edges, lambda part: point_in_edges(x, y, part) | on_edges(x, y, part))
-
-
-def inside_point(x, y, part_edges):
-    """True where a point lies in one of the parts and on no border of it."""
-    return F.exists(part_edges, lambda part: point_in_edges(x, y, part) & ~on_edges(x, y, part))
-
-
-def polygons_within(inner, outer):
-    """True where every point of the inner polygons belongs to the outer ones, borders included.
-
-    ``inner``, ``outer``: polygons, each a list of rings, outer ring first. Three things must hold: the inner border lies in the
-    outer shape; the outer border, with its holes and notches, runs nowhere through the inner shape; and each inner part
-    has a point inside that the outer shape covers, which tells a part in the shape from one that fills a hole or a notch.
-    """
-    return parts_within(part_edges(inner), inside_points(inner), part_edges(outer))
-
-
-def part_edges(polygons):
-    """A list of edges per polygon."""
-    return F.transform(polygons, edges)
-
-
-def inside_points(polygons):
-    """A point inside each polygon that has an area."""
-    return F.filter(F.transform(polygons, interior_point), lambda p: p.isNotNull())
-
-
-def parts_within(inner_parts, inner_points, outer_parts):
-    """``polygons_within`` of what ``part_edges`` and ``inside_points`` give, which are worked out once a shape, not once a pair."""
-    inner_edges, outer_edges = F.flatten(inner_parts), F.flatten(outer_parts)
-    border_in = F.forall(split_midpoints(inner_edges, outer_edges), lambda p: covers_point(p["x"], p["y"], outer_parts))
-    cut = F.exists(split_midpoints(outer_edges, inner_edges), lambda p: (
-        inside_point(p["x"], p["y"], inner_parts) & ~inside_point(p["x"], p["y"], outer_parts)))
-    return border_in & ~cut & F.forall(inner_points, lambda p: covers_point(p["x"], p["y"], outer_parts))
-
-
 def is_box(polygons):
     """True for one rectangle along the axes, without holes: for it a test of boxes says all."""
     polygons = F.col(polygons) if isinstance(polygons, str) else polygons
@@ -256,11 +231,6 @@ def is_box(polygons):
     return (F.size(polygons) == 1) & (F.size(F.get(polygons, F.lit(0))) == 1) & (F.size(real) == 4) & along
 
 
-def polygon_within(inner_rings, outer_rings):
-    """The same for single polygons, given as their rings."""
-    return polygons_within(F.array(inner_rings), F.array(outer_rings))
-
-
 def polygons_to_geojson(polygons):
     """GeoJSON geometry text: a Polygon of one polygon, a MultiPolygon of several."""
     polygons = F.col(polygons) if isinstance(polygons, str) else polygons

@@ -94,7 +94,7 @@ def contains_join(fields, products, cell_size, salts=1, exact=True):
         "p_xmin <= xmin AND p_ymin <= ymin AND p_xmax >= xmax AND p_ymax >= ymax")
     if exact:
         # the boxes were compared above
-        pairs = pairs.where(F.col("p_is_box") | parts_within(F.col("_parts"), F.col("_points"), F.col("p_parts")))
+        pairs = pairs.where(F.col("p_is_box") | parts_within("_parts", "_points", "p_parts"))
     return pairs.select("field_id", "uuid")
 
 
