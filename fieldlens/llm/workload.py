@@ -139,7 +139,7 @@ def op7(spark, table):
     return found.select("doc_id", "n_words", "n_hit", "n_items", digest, "contaminated", "n_near", F.array_join("near", ",").alias("near_items"))
 
 
-@query("op7_proximity_matches")
+@query("op7_proximity_matches", f"SELECT doc_id, n_near, near_items, contaminated FROM ({OP7_SQL}) t")
 def op7_near(spark, table):
     """Benchmark items of which every document has all words of a window close together."""
     found = decontaminate.contamination(table("documents"), table("benchmark"), window=10)
