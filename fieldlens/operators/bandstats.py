@@ -4,6 +4,8 @@ All of them are algebraic aggregates: Spark combines them on the map side, so a
 size costs one small partial row per task.
 """
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from fieldlens.constants import ALL_BANDS
@@ -65,36 +67,83 @@ def apply_index(pixels, pairs, **aggregates):
     return pixels.join(pairs, ["field_id", "uuid"], "left_semi").groupBy("field_id", "uuid").agg(*named)
 
 
-def apply_per_crop(pixels, fn, schema, keys=("field_id", "uuid"), value_columns=("value",)):
+def whole_groups(frames, keys):
+    """Frames of a task whose rows are sorted by ``keys``, cut anew so that each holds whole groups, numbered by ``group``."""
+    keys, held = list(keys), []
+
+    def numbered(parts):
+        frame = pd.concat(parts, ignore_index=True) if len(parts) > 1 else parts[0].reset_index(drop=True)
+        first = np.arange(len(frame)) == 0
+        for key in keys:
+            codes = pd.factorize(frame[key])[0]
+            first[1:] |= codes[1:] != codes[:-1]
+        return frame.assign(group=np.cumsum(first) - 1)
+
+    def like(frame, row):
+        same = np.ones(len(frame), dtype=bool)
+        for key in keys:
+            same &= (frame[key].isna() if pd.isna(row[key]) else frame[key] == row[key]).to_numpy(dtype=bool)
+        return same
+
+    for frame in frames:
+        if not len(frame):
+            continue
+        # the last group may go on in the next frame
+        start = int(like(frame, frame.iloc[-1]).argmax())
+        if start:
+            yield numbered([*held, frame.iloc[:start]])
+            held = [frame.iloc[start:]]
+        elif held and not like(frame.iloc[:1], held[-1].iloc[-1])[0]:
+            yield numbered(held)
+            held = [frame]
+        else:
+            held.append(frame)
+    if held:
+        yield numbered(held)
+
+
+def _apply_to_groups(df, fn, schema, keys, together, hidden=()):
+    """``fn`` over the groups of ``keys``: one at a time, or (``together``) over frames of many whole ones."""
+
+    def run(frames):
+        for frame in whole_groups(frames, keys):
+            frame = frame.drop(columns=list(hidden))
+            if together:
+                yield fn(frame)
+            else:
+                groups = (part.drop(columns="group").reset_index(drop=True) for _, part in frame.groupby("group", sort=False))
+                yield pd.concat([fn(group) for group in groups], ignore_index=True)
+
+    # the rows are small, the Python calls are not: keep AQE from merging them into few tasks
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(parts, *keys).sortWithinPartitions(*keys).mapInPandas(run, schema)
+
+
+def apply_per_crop(pixels, fn, schema, keys=("field_id", "uuid"), value_columns=("value",), together=False):
     """User function over one crop: ``fn(pandas frame) -> pandas frame``.
 
     The frame holds each distinct pixel value of the crop once, with its count in
     ``n_pixels``. Counting is done on the map side, so what reaches one task is bounded by the
-    value range of the sensor and not by the size of the crop.
+    value range of the sensor and not by the size of the crop. ``together``: a frame holds many whole crops, numbered by
+    ``group``, for functions that take them all in one call: a call per crop costs more than the work where crops are small.
     """
     counted = pixels.groupBy(*keys, *value_columns).agg(F.count(F.lit(1)).alias("n_pixels"))
-    # the counts are small, the Python calls are not: keep AQE from merging them into few tasks
-    parts = int(pixels.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return counted.repartition(parts, *keys).groupBy(*keys).applyInPandas(fn, schema)
+    return _apply_to_groups(counted, fn, schema, keys, together)
 
 
-def apply_per_block(pixels, fn, schema, block=256, halo=0, keys=("field_id", "uuid"), row="px_row", col="px_col"):
+def apply_per_block(pixels, fn, schema, block=256, halo=0, keys=("field_id", "uuid"), row="px_row", col="px_col", together=False):
     """User function over square blocks of a crop's pixels: ``fn(pandas frame) -> pandas frame``.
 
     A frame holds the pixels of ``block`` x ``block`` rows and columns, and those up to ``halo`` beyond its borders, with ``own`` (false
     for these): what looks at neighbours gives the same for any size of block. Frames are bounded, whatever the crop's size; what
-    blocks return is for the caller to add up.
+    blocks return is for the caller to add up. ``together``: a frame holds many whole blocks, numbered by ``group``.
     """
     if halo > block:
         raise ValueError("the halo must not reach beyond the neighbouring blocks")
     homes = lambda c: F.array_distinct(F.array(*[F.floor((F.col(c) + d * halo) / block) for d in ((-1, 0, 1) if halo else (0,))]))
     spread = pixels.withColumn("_br", F.explode(homes(row))).withColumn("_bc", F.explode(homes(col)))
     own = (F.col("_br") == F.floor(F.col(row) / block)) & (F.col("_bc") == F.floor(F.col(col) / block))
-
-    def run(frame):
-        return fn(frame.drop(columns=["_br", "_bc"]))
-
-    return spread.withColumn("own", own).groupBy(*keys, "_br", "_bc").applyInPandas(run, schema)
+    return _apply_to_groups(spread.withColumn("own", own), fn, schema, (*keys, "_br", "_bc"), together, hidden=("_br", "_bc"))
 
 
 def stack_bands(pixels, bands, pixel_keys=("field_id", "uuid", "px_row", "px_col")):

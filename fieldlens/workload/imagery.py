@@ -1,5 +1,6 @@
 """Clear tests, band means, as-of choice, indices and the per-field series."""
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -298,12 +299,15 @@ def _(t):
 # --- user functions ---------------------------------------------------------
 
 def crop_summary(frame: pd.DataFrame) -> pd.DataFrame:
-    """A user function over one crop: mean and spread of its red band."""
-    n = frame["n_pixels"]
-    mean = (frame["B04_10m"] * n).sum() / n.sum()
+    """A user function over crops: mean and spread of the red band of each."""
+    red = frame["B04_10m"]
+    crops = frame.assign(total=red * frame["n_pixels"], n=frame["n_pixels"].where(red.notna(), 0)).groupby("group", sort=False)
+    sums, spread = crops[["total", "n"]].sum(), crops["B04_10m"].agg(["min", "max"])
+    places = frame.drop_duplicates("group")
     return pd.DataFrame({
-        "field_id": [frame["field_id"].iloc[0]], "uuid": [frame["uuid"].iloc[0]],
-        "mean_red": [round(mean, 6)], "red_range": [int(frame["B04_10m"].max() - frame["B04_10m"].min())]})
+        "field_id": places["field_id"].to_numpy(), "uuid": places["uuid"].to_numpy(),
+        "mean_red": (sums["total"] / sums["n"].where(sums["n"] > 0)).round(6).to_numpy(),
+        "red_range": (spread["max"] - spread["min"]).astype("Int64").array})
 
 
 @query("apply_per_crop", """
@@ -311,15 +315,18 @@ def crop_summary(frame: pd.DataFrame) -> pd.DataFrame:
     FROM fx_pixels GROUP BY field_id, uuid""")
 def _(t):
     return bandstats.apply_per_crop(
-        t.pixels, crop_summary, "field_id string, uuid string, mean_red double, red_range bigint", value_columns=("B04_10m",))
+        t.pixels, crop_summary, "field_id string, uuid string, mean_red double, red_range bigint", value_columns=("B04_10m",), together=True)
 
 
 def falling_pixels(frame: pd.DataFrame) -> pd.DataFrame:
-    """Own pixels of a block that are above their right neighbour."""
-    values = frame.set_index(["px_row", "px_col"])["value"]
-    own = frame[frame["own"]]
-    beside = values.reindex(pd.MultiIndex.from_arrays([own["px_row"], own["px_col"] + 1])).to_numpy()
-    return pd.DataFrame({"field_id": frame["field_id"].iloc[:1], "n": int((own["value"].to_numpy() > beside).sum())})
+    """Own pixels of each block that are above their right neighbour."""
+    place = ["group", "px_row", "px_col"]
+    placed = frame.dropna(subset=place)
+    own = placed[placed["own"].to_numpy(dtype=bool)]
+    beside = own.assign(px_col=own["px_col"] + 1)[[*place, "value"]].merge(placed[[*place, "value"]], on=place, suffixes=("", "_beside"))
+    falling = beside.loc[beside["value"] > beside["value_beside"], "group"]
+    blocks = frame.drop_duplicates("group")
+    return pd.DataFrame({"field_id": blocks["field_id"].to_numpy(), "n": np.bincount(falling, minlength=len(blocks))})
 
 
 @query("apply_per_block", """
@@ -328,7 +335,7 @@ def falling_pixels(frame: pd.DataFrame) -> pd.DataFrame:
     FROM g a LEFT JOIN g b ON b.field_id = a.field_id AND b.px_row = a.px_row AND b.px_col = a.px_col + 1 GROUP BY a.field_id""")
 def _(t):
     grid = t.pixels.groupBy("field_id", "px_row", "px_col").agg(F.max("B04_10m").alias("value"))
-    blocks = bandstats.apply_per_block(grid, falling_pixels, "field_id string, n bigint", block=4, halo=1, keys=("field_id",))
+    blocks = bandstats.apply_per_block(grid, falling_pixels, "field_id string, n bigint", block=4, halo=1, keys=("field_id",), together=True)
     return blocks.groupBy("field_id").agg(F.sum("n").alias("n_falling"))
 
 
