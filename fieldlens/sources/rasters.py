@@ -32,32 +32,47 @@ def scan_pixels(spark, path, bands=None, field_ids=None, uuids=None):
     return pixels
 
 
+# Pixels that are handed on at a time; small tiles are decoded together up to so many.
+PIXELS_AT_ONCE = 100_000
+
+
+def _tiles_together(dtypes, sizes):
+    """(start, end) of runs of tiles with one sample type and about ``PIXELS_AT_ONCE`` pixels; a larger tile stands alone."""
+    start = total = 0
+    for i, size in enumerate(sizes):
+        if i > start and (dtypes[i] != dtypes[start] or total + size > PIXELS_AT_ONCE):
+            yield start, i
+            start, total = i, 0
+        total += size
+    if len(sizes):
+        yield start, len(sizes)
+
+
 def tiles_to_pixels(tiles):
     """Raw tiles (row-major samples) -> one row per pixel with its row, column and centre x, y.
 
     Samples of any numeric type become doubles. Tiles are independent rows, so they spread over the
-    tasks as Spark reads them; they are taken one at a time and handed on in slices of rows.
+    tasks as Spark reads them; small ones are decoded together, large ones handed on in slices.
     """
 
     def decode(batches):
         for batch in batches:
-            for i in range(batch.num_rows):
-                tile = batch.slice(i, 1).to_pylist()[0]
-                values = np.frombuffer(tile["data"], dtype=tile["dtype"]).reshape(tile["height"], tile["width"])
-                step = max(1, 100_000 // max(1, tile["width"]))
-                for top in range(0, tile["height"], step):
-                    part = values[top:top + step]
-                    rows, cols = np.indices(part.shape)
-                    n = part.size
-                    yield pa.RecordBatch.from_pydict({
-                        "uuid": pa.array([tile["uuid"]] * n, pa.string()),
-                        "band": pa.array([tile["band"]] * n, pa.string()),
-                        "px_row": pa.array((rows + top).ravel(), pa.int32()),
-                        "px_col": pa.array(cols.ravel(), pa.int32()),
-                        "value": pa.array(part.ravel().astype("float64")),
-                        "x0": pa.array(np.full(n, tile["x0"])), "y0": pa.array(np.full(n, tile["y0"])),
-                        "res": pa.array(np.full(n, tile["res"])),
-                    })
+            data, dtypes = batch.column("data"), batch.column("dtype").to_pylist()
+            height, width = (np.array(batch.column(c).to_pylist(), dtype="int64") for c in ("height", "width"))
+            for first, last in _tiles_together(dtypes, (height * width).tolist()):
+                parts, sizes, dtype = data.slice(first, last - first).to_pylist(), (height * width)[first:last], np.dtype(dtypes[first])
+                if any(len(part) != size * dtype.itemsize for part, size in zip(parts, sizes)):
+                    raise ValueError("a tile's data does not have height x width samples")
+                values, ends = np.frombuffer(parts[0] if len(parts) == 1 else b"".join(parts), dtype=dtype), np.cumsum(sizes)
+                for lo in range(0, len(values), PIXELS_AT_ONCE):
+                    at = np.arange(lo, min(lo + PIXELS_AT_ONCE, len(values)))
+                    tile = np.searchsorted(ends, at, side="right")
+                    place, across = at - (ends - sizes)[tile], width[first:last][tile]
+                    of = lambda c: batch.column(c).take(pa.array(tile + first))
+                    yield pa.RecordBatch.from_arrays([
+                        of("uuid"), of("band"), pa.array(place // across, pa.int32()), pa.array(place % across, pa.int32()),
+                        pa.array(values[at[0]:at[-1] + 1].astype("float64")), *[of(c).cast(pa.float64()) for c in ("x0", "y0", "res")],
+                    ], names=["uuid", "band", "px_row", "px_col", "value", "x0", "y0", "res"])
 
     pixels = tiles.mapInArrow(
         decode, "uuid string, band string, px_row int, px_col int, value double, x0 double, y0 double, res double")
