@@ -27,6 +27,16 @@ def kml_text(lon="x0", lat="y0"):
         F.lit(' </coordinates></LinearRing></outerBoundaryIs></Polygon></Placemark></Document></kml>'))
 
 
+def write_files(texts, path):
+    """A folder per ``file``, dealt over the tasks by file. Tasks put their folders in place themselves (committer 2): the driver would
+    move them one by one, which takes longer than writing them; nothing reads the path before the job has ended."""
+    texts.write.option("mapreduce.fileoutputcommitter.algorithm.version", "2").partitionBy("file").text(path)
+
+
+def by_file(t, texts):
+    return texts.repartition(int(t.spark.conf.get("spark.sql.shuffle.partitions")), "file")
+
+
 def boundary_report(df):
     boxed = with_bbox(df)
     return rounded(boxed.select("field_id", F.size(F.flatten("rings")).alias("n_points"), "xmin", "ymax"), 9, "xmin", "ymax")
@@ -36,7 +46,7 @@ def boundary_report(df):
 def _(t):
     path = scratch_path(t.spark, "kml")
     files = t.fields.select(F.concat(F.lit("g"), F.col("field_key").cast("string")).alias("file"), kml_text().alias("value"))
-    files.write.partitionBy("file").text(path)
+    write_files(by_file(t, files), path)
     return boundary_report(boundaries.read_boundaries_kml(t.spark, path, id_pattern=r"file=([^/]+)/"))
 
 
@@ -55,8 +65,8 @@ def write_archives(t, path):
             yield pd.DataFrame({"file": frame["file"], "content": contents})
 
     texts = t.fields.select(F.concat(F.lit("g"), F.col("field_key").cast("string")).alias("file"), kml_text().alias("kml"))
-    archives = texts.mapInPandas(zipped, "file string, content binary")
-    archives.select("file", F.col("content").cast("string").alias("value")).write.partitionBy("file").text(path)
+    archives = by_file(t, texts).mapInPandas(zipped, "file string, content binary")
+    write_files(archives.select("file", F.col("content").cast("string").alias("value")), path)
 
 
 @query("read_boundaries_kmz", BOUNDARY_SQL)
