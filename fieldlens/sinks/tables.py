@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from fieldlens.functions.geometry import polygons_to_geojson
 from fieldlens.functions.text import list_to_text
+from fieldlens.operators.bandstats import wide_to_long
 
 
 def to_features(df, rings="rings", polygons="polygons"):
@@ -40,16 +41,30 @@ def write_scores_csv(scores, path, mode="errorifexists"):
     scores.select(*columns).write.mode(mode).partitionBy("target").option("header", "true").csv(path)
 
 
-def write_crops(clipped, path, mode="errorifexists", parts=None):
+def write_crops(clipped, path, mode="errorifexists", parts=None, bands=None, group_bytes=16 << 20):
     """Clipped pixels, a folder per band, clustered by field.
 
     Rows go to tasks by (band, field, product, stretch of rows), so even one very large crop is
-    written by several tasks; the sort gives the row groups narrow field ranges.
+    written by several tasks; the sort gives the row groups narrow field ranges. ``bands``: the pixels are wide, with a column for each of
+    these. A pixel is then dealt out and sorted as one row, and becomes a row per band in the task that writes it, which has a file of
+    each band open at a time, with row groups of ``group_bytes``; long rows are neither shuffled nor sorted.
     """
-    keys = ["band", "field_id", "uuid"]
-    stretch = F.floor(F.col("px_row") / 512)
-    spread = clipped.repartition(*([parts] if parts else []), *keys, stretch)
-    spread.sortWithinPartitions(*keys).write.mode(mode).partitionBy("band").parquet(path)
+    keys, stretch = ["field_id", "uuid"], F.floor(F.col("px_row") / 512)
+    if bands is None:
+        keys = ["band", *keys]
+    spread = clipped.repartition(*([parts] if parts else []), *keys, stretch).sortWithinPartitions(*keys)
+    if bands is None:
+        spread.write.mode(mode).partitionBy("band").parquet(path)
+        return
+    long = wide_to_long(spread, [c for c in clipped.columns if c not in bands], bands)
+    conf, name = clipped.sparkSession.conf, "spark.sql.maxConcurrentOutputFileWriters"
+    before = conf.get(name)
+    # one more than the files: at the limit itself Spark goes over to sorting
+    conf.set(name, str(max(int(before), len(bands) + 1)))
+    try:
+        long.write.mode(mode).option("parquet.block.size", group_bytes).partitionBy("band").parquet(path)
+    finally:
+        conf.set(name, before)
 
 
 # Cells along each side of the key's square.

@@ -166,11 +166,6 @@ def _(t):
     return rounded(back.withColumn("n_bands", F.size("band_list")).drop("band_list"), 6, *SCORE_COLUMNS)
 
 
-def long_crops(t, bands=SUMMARY_BANDS):
-    keys = ("field_id", "uuid", "px_row", "px_col")
-    return bandstats.wide_to_long(t.pixels.select(*keys, *bands), keys, bands)
-
-
 CROP_SQL = " UNION ALL ".join(
     f"SELECT field_id, '{b}' AS band, count({b}) AS n_pixels, sum({b})::bigint AS total FROM fx_pixels GROUP BY field_id"
     for b in ALL_BANDS)
@@ -178,7 +173,7 @@ CROP_SQL = " UNION ALL ".join(
 
 def stored_crops(t, bands=SUMMARY_BANDS):
     path = scratch_path(t.spark, "crops")
-    sinks.write_crops(long_crops(t, bands), path)
+    sinks.write_crops(t.pixels.select("field_id", "uuid", "px_row", "px_col", *bands), path, bands=bands)
     return path
 
 

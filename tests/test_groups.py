@@ -78,3 +78,35 @@ def test_tiles_of_several_types_and_sizes(spark):
     short = tiles.selectExpr("uuid", "band", "x0", "y0", "res", "width + 1 AS width", "height", "dtype", "data")
     with pytest.raises(Exception, match="samples"):
         rasters.tiles_to_pixels(short).count()
+
+
+def test_wide_crops_are_written_as_long_ones(spark, pixels, tmp_path):
+    from fieldlens.sinks import tables as sinks
+
+    wide = pixels.selectExpr("field_id", "uuid", "px_row", "px_col", "value AS B02_10m", "IF(value > 4, NULL, value * 2) AS B03_10m")
+    bands, columns = ("B02_10m", "B03_10m"), ["band", "field_id", "uuid", "px_row", "px_col", "value"]
+    sinks.write_crops(bandstats.wide_to_long(wide, ["field_id", "uuid", "px_row", "px_col"], bands), str(tmp_path / "long"))
+    kept = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    sinks.write_crops(wide, str(tmp_path / "wide"), bands=bands)
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == kept
+    rows = lambda name: sorted(map(str, spark.read.parquet(str(tmp_path / name)).select(*columns).collect()))
+    assert rows("wide") == rows("long") and len(rows("wide")) == 2 * pixels.count()
+    for file in (tmp_path / "wide" / "band=B02_10m").glob("*.parquet"):
+        found = pd.read_parquet(file, columns=["field_id", "uuid"])
+        assert (found.sort_values(["field_id", "uuid"], kind="stable").index == found.index).all()
+
+
+def test_survey_means_shuffle_the_chosen_crops_alone(spark):
+    from fieldlens.plans.survey import band_means_at_survey
+
+    fields = spark.createDataFrame([("G001", "2020-01-10"), ("G002", None), ("G003", "2020-01-10")], "field_id string, day string").selectExpr(
+        "field_id", "cast(day AS timestamp_ntz) AS survey_date")
+    products = spark.createDataFrame([("P1", "2020-01-01"), ("P2", "2020-01-12"), ("P3", "2020-01-11")], "uuid string, day string").selectExpr(
+        "uuid", "cast(day AS timestamp_ntz) AS generationdate")
+    pixels = spark.createDataFrame([("G001", "P1", 4, 10), ("G001", "P2", 4, 30), ("G001", "P2", 4, 50), ("G001", "P3", 8, 70), ("G002", "P1", 4, 5),
+                                    ("G003", "P3", 9, 5)], "field_id string, uuid string, SCL_20m int, B02_10m int")
+    found = band_means_at_survey(fields, products, pixels, ("B02_10m",))
+    rows = {r["field_id"]: (r["nearest_product_uuid"], r["B02_10m"]) for r in found.collect()}
+    assert rows == {"G001": ("P2", 40.0), "G002": (None, None), "G003": (None, None)}
+    # the pixels that reach the means are those of the chosen crops
+    assert "LeftSemi" in found._jdf.queryExecution().executedPlan().toString()
