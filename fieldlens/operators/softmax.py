@@ -3,7 +3,8 @@
 The classes of a fit share one objective: C * sum of -log p(label) + penalty of the weights; biases are free. A pass (see ``newton``) adds up its
 value, gradient and full Hessian at a trial point. The step minimises the quadratic model plus the penalty: a linear
 system for the quadratic penalty, coordinate descent for the absolute one, which leaves weights at exactly zero. A step that
-doesn't lower the objective enough is halved. A fit is done when its step can't gain more than ``newton.TOLERANCE`` of the objective.
+doesn't lower the objective enough is halved. A fit is done when its step, whole or halved, can't gain more than ``newton.TOLERANCE`` of the
+objective.
 """
 
 import numpy as np
@@ -20,18 +21,22 @@ def class_pairs(n):
 
 
 def softmax_sums(weights, live, rows, products, labels):
-    """(value, gradient, Hessian) over some rows: the last by pairs of classes and pairs of columns. ``weights``: (column, class)."""
+    """(value, gradient, Hessian) over some rows: the last by pairs of classes and pairs of columns. ``weights``: (column, class).
+
+    What a class lacks to one is summed from the other classes: where rows are far from the border, 1 - p has no digits left.
+    """
     scores = np.where(live[None], rows @ weights, -np.inf)
-    scores -= scores.max(axis=1, keepdims=True)
-    p = np.exp(scores)
-    total = p.sum(axis=1, keepdims=True)
-    p /= total
-    every = np.arange(len(rows))
-    value = (np.log(total[:, 0]) - scores[every, labels]).sum()
-    hit = np.zeros_like(p)
-    hit[every, labels] = 1.0
+    every, top = np.arange(len(rows)), scores.argmax(axis=1)
+    scores -= scores[every, top][:, None]
+    p, but_one = np.exp(scores), 1.0 - np.eye(len(live))
+    rest = (p @ but_one)[every, top]
+    value = (np.log1p(rest) - scores[every, labels]).sum()
+    p /= 1.0 + rest[:, None]
+    others = p @ but_one
+    off = p.copy()
+    off[every, labels] = -others[every, labels]
     a, b = class_pairs(len(live))
-    return np.array([value]), rows.T @ (p - hit), products.T @ (p[:, a] * ((a == b) - p[:, b]))
+    return np.array([value]), rows.T @ off, products.T @ np.where(a == b, p[:, a] * others[:, a], -p[:, a] * p[:, b])
 
 
 def full_hessian(sums, n_columns, n_classes):
@@ -92,7 +97,9 @@ def next_softmax(state, sums, live, penalty, C, absolute):
     cost = (weigh * np.abs(point)).sum() if absolute else 0.5 * (weigh * point * point).sum()
     value = C * found[0] + cost
     if value > state["value"] - 1e-4 * state["gain"] + 1e-13 * abs(value):
-        return state | {"step": state["step"] / 2, "gain": state["gain"] / 2}
+        # a step whose gain is lost in the rounding of the sums can't be told from none
+        lost = state["gain"] / 2 <= newton.TOLERANCE * abs(state["value"])
+        return state | {"step": state["step"] * (0.0 if lost else 0.5), "gain": state["gain"] / 2, "done": bool(lost)}
     flat = lambda m: m.T.ravel()
     free = np.repeat(live, n_columns)
     w, weigh = flat(point), np.tile(penalty, n_classes)

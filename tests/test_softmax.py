@@ -62,3 +62,21 @@ def test_a_missing_class_is_left_out(spark):
     frame.loc[(frame.fold_s != 1) & (frame.class_no == 2), "is_train"] = False
     fitted = softmax.fit_softmax(newton.narrow_samples(spark.createDataFrame(frame), ["a"], "target"), ["a"], 3)
     assert not fitted.live["x", "fold_s", 1][2] and (fitted.scores("x", "fold_s", 1, np.ones((3, 2))).argmax(axis=2) != 2).all()
+
+
+def test_loss_far_from_the_border_keeps_its_digits():
+    rows, w = np.array([[1.0, 20.0], [1.0, -20.0]]), np.array([[0.0, 0.0], [1.0, -1.0]])
+    value, gradient, pairs = softmax.softmax_sums(w, np.ones(2, bool), rows, newton.pair_products(rows), np.array([0, 1]))
+    tiny = np.exp(-40.0)
+    assert value[0] == pytest.approx(2 * tiny, rel=1e-12)
+    assert gradient[1] == pytest.approx([-40 * tiny, 40 * tiny], rel=1e-12)
+    assert pairs[0] == pytest.approx([2 * tiny, -2 * tiny, 2 * tiny], rel=1e-12)
+
+
+def test_a_step_lost_in_rounding_ends_the_fit():
+    one = np.ones((2, 2))
+    state = {"w": one, "step": one * 1e-3, "value": 1.0, "gain": 1e-12, "done": False}
+    sums = [np.array([10.0]), np.zeros((2, 2)), np.zeros((3, 3))]  # no trial is better
+    for _ in range(20):
+        state = state if state["done"] else softmax.next_softmax(state, sums, np.ones(2, bool), np.zeros(2), 1.0, True)
+    assert state["done"] and (state["w"] + state["step"] == one).all()
