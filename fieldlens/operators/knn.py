@@ -1,91 +1,198 @@
 """Exact nearest-neighbour classification without comparing every pair.
 
-Training rows are split into cells around pivot rows, whose number grows with the rows, and a cell into rings by the
-distance to its pivot. The distances of a row to the pivots give an upper bound for its k-th neighbour (triangle
-inequality), and only rings that reach into that bound are visited. Rings are cut into blocks of bounded size on both
-sides; a task compares one block of test rows with one block of training rows and passes on k rows per test row.
-``compared_share`` tells how much of all pairs that is: little on data with clusters, all of it on data without.
-(After Lu, Shen, Chen, Ooi, "Efficient processing of k nearest neighbor joins using MapReduce", 2012.)
+A tree of cuts, found on a bounded sample of the training rows, parts the space into leaves; a leaf's training rows are cut into
+blocks of bounded size. A row is first compared with a block of its own leaf: its k-th neighbour there bounds the distance of
+the true ones, and only blocks whose leaf's box reaches into that bound are visited. A task compares one block of training rows with
+a bounded number of test rows and passes on k rows per test row. ``compared_share`` tells how much of all pairs that is: little in few
+dimensions or on data with clusters, nearly all of it in many dimensions without.
 """
 
-import math
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from fieldlens.operators.ranks import hash_key
-
-BLOCK_ROWS = 4096
-# rings of a cell, a power of two; pivots at least and at most
-MAX_RINGS = 64
-PIVOTS = (16, 256)
-
-
-def _pivot_distances(features, pivots):
-    """Array column: distance of the row to each pivot."""
-    row = F.array(*[F.col(f) for f in features])
-    places = F.array(*[_literal([float(v) for v in p]) for p in pivots])
-    square = lambda p: F.aggregate(F.zip_with(p, row, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda t, v: t + v)
-    return F.transform(places, lambda p: F.sqrt(square(p)))
-
-
-def _literal(values, kind="double"):
-    return F.array(*[F.lit(v).cast(kind) for v in values])
-
-
-def _layout(train, test, features, id_column, label, k, n_pivots, block_rows, seed):
-    """(training rows, visits, rings): rows with their cell and ring, the rings each test row must visit, and a row per
-    ring with its number of training rows, blocks and salts. What reaches the driver is a few numbers per ring."""
+from fieldlens.session import materialize
+
+BLOCK_ROWS = 2048
+# leaves at most, a power of two; rows of the sample for each
+MAX_LEAVES = 4096
+SAMPLE_PER_LEAF = 16
+# distances that a task holds at once
+PAIRS = 200_000
+
+
+class Tree:
+    """Cuts in heap order: the widest column of a node's sample rows at their median, larger values to the right."""
+
+    def __init__(self, sample, depth):
+        self.depth = depth
+        self.column, self.cut = np.zeros(2 ** depth - 1, dtype=int), np.zeros(2 ** depth - 1)
+        parts = [sample]
+        for node in range(2 ** depth - 1):
+            rows = parts[node]
+            if len(rows):
+                self.column[node] = (rows.max(axis=0) - rows.min(axis=0)).argmax()
+                self.cut[node] = np.median(rows[:, self.column[node]])
+            right = rows[:, self.column[node]] > self.cut[node]
+            parts += [rows[~right], rows[right]]
+            parts[node] = None
+
+    def leaves(self, rows):
+        node, every = np.zeros(len(rows), dtype=int), np.arange(len(rows))
+        for _ in range(self.depth):
+            node = 2 * node + 1 + (rows[every, self.column[node]] > self.cut[node])
+        return node - (2 ** self.depth - 1)
+
+
+class Boxes:
+    """Boxes of the leaves that have training rows, with the numbers of their blocks."""
+
+    def __init__(self, found, n_leaves, block_rows, d):
+        found = sorted(found, key=lambda r: r["_leaf"])
+        number = np.array([r["_leaf"] for r in found])
+        self.n = np.array([r["n"] for r in found])
+        self.blocks = -(-self.n // block_rows)
+        self.start = np.cumsum(self.blocks) - self.blocks
+        self.lo, self.hi = (np.array([[r[f"{side}{i}"] for i in range(d)] for r in found], dtype=float) for side in ("lo", "hi"))
+        # a leaf without training rows is served by the next that has some
+        self.home = np.minimum(np.searchsorted(number, np.arange(n_leaves)), len(number) - 1)
+
+    def unit(self, leaves, hashes):
+        """Block of a leaf for a row: the one its hash falls on."""
+        at = self.home[leaves]
+        return self.start[at] + hashes % self.blocks[at]
+
+    def farthest(self, rows, k):
+        """Square within which each row has k training rows (inf: there are fewer), by the far corners of the boxes."""
+        far = sum(np.maximum(np.abs(rows[:, i, None] - self.lo[None, :, i]), np.abs(rows[:, i, None] - self.hi[None, :, i])) ** 2
+                  for i in range(rows.shape[1]))
+        order = np.argsort(far, axis=1)
+        enough = np.cumsum(self.n[order], axis=1) >= k
+        last = np.take_along_axis(far, order, axis=1)[np.arange(len(rows)), enough.argmax(axis=1)]
+        return np.where(enough.any(axis=1), last, np.inf)
+
+    def reached(self, rows, bound, own):
+        """(row, block) pairs, but those of block ``own``, whose leaf's box is within the square ``bound`` of the row."""
+        gap = np.maximum(0.0, np.maximum(self.lo - rows.max(axis=0), rows.min(axis=0) - self.hi))
+        near = np.flatnonzero((gap ** 2).sum(axis=1) <= bound.max())
+        found = []
+        step = max(1, PAIRS // max(1, len(near)))
+        for at in range(0, len(rows), step):
+            some = rows[at:at + step]
+            total = np.zeros((len(some), len(near)))
+            for i in range(rows.shape[1]):
+                total += np.maximum(0.0, np.maximum(self.lo[near, i] - some[:, i, None], some[:, i, None] - self.hi[near, i])) ** 2
+            row, leaf = np.nonzero(total <= bound[at:at + step, None])
+            row, leaf = row + at, near[leaf]
+            times = self.blocks[leaf]
+            within = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+            row, unit = np.repeat(row, times), np.repeat(self.start[leaf], times) + within
+            found.append((row[unit != own], unit[unit != own]))
+        return tuple(np.concatenate(part) for part in zip(*found))
+
+
+def _closest(left, right, k, bound):
+    """(row, other, square) of the k closest others of each row within the square ``bound``; equal squares in the order of the others."""
+    found = []
+    step = max(1, PAIRS // max(1, len(right)))
+    for at in range(0, len(left) if len(right) else 0, step):
+        some = left[at:at + step]
+        total = np.zeros((len(some), len(right)))
+        for i in range(left.shape[1]):
+            total += (some[:, i, None] - right[None, :, i]) ** 2
+        limit = bound[at:at + step].copy()
+        many = np.flatnonzero((total <= limit[:, None]).sum(axis=1) > k)
+        if len(many):
+            limit[many] = np.partition(total[many], k - 1, axis=1)[:, k - 1]
+        row, other = np.nonzero(total <= limit[:, None])
+        square = total[row, other]
+        order = np.lexsort((other, square, row))
+        row, other, square = row[order], other[order], square[order]
+        place = np.arange(len(row)) - np.searchsorted(row, row)
+        found.append((row[place < k] + at, other[place < k], square[place < k]))
+    if not found:
+        return np.zeros(0, dtype=int), np.zeros(0, dtype=int), np.zeros(0)
+    return tuple(np.concatenate(part) for part in zip(*found))
+
+
+def _salted(rows, train, block_rows):
+    """Both sides by block and salt: a block that many rows visit is compared in several tasks."""
     spark = train.sparkSession
+    load = [(r["_unit"], -(-r["count"] // (4 * block_rows))) for r in rows.groupBy("_unit").count().collect()]
+    salts = F.broadcast(spark.createDataFrame(load, "_unit int, _salts int"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = ["_unit", "_salt"]
+    rows = rows.join(salts, "_unit").withColumn("_salt", F.pmod(F.xxhash64("_rid"), F.col("_salts")).cast("int")).drop("_salts")
+    train = train.join(salts, "_unit").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1))).drop("_salts")
+    # the rows are small, the comparisons are not: keep AQE from merging them into few tasks
+    return rows.repartition(parts, *keys).groupBy(*keys).cogroup(train.repartition(parts, *keys).groupBy(*keys))
+
+
+def _rounds(train, test, features, id_column, label, k, n_pivots, block_rows, seed):
+    """(found, training rows, test rows), the rows with their block: ``found`` (written) has for each test row its closest rows in a block of its own leaf (``_unit`` -1), and
+    a row per other block to visit. What reaches the driver is the sample and a few numbers per leaf and block."""
     as_double = [F.col(f).cast("double").alias(f) for f in features]
-    train = train.select(F.col(id_column).alias("_sid"), F.col(label).alias("_label"), *as_double)
-    test = test.select(F.col(id_column).alias("_rid"), *as_double)
-    n_pivots = n_pivots or max(PIVOTS[0], min(PIVOTS[1], math.isqrt(train.count()) // 16))
-    pivots = train.orderBy(hash_key(seed, "_sid")).select(*features).limit(n_pivots).collect()
-    if not pivots:
+    whole = " AND ".join(f"`{f}` IS NOT NULL AND NOT isnan(`{f}`)" for f in features)
+    train = train.select(F.col(id_column).alias("_sid"), F.col(label).alias("_label"), *as_double).where(whole)
+    test = test.select(F.col(id_column).alias("_rid"), *as_double).where(whole)
+    wanted = max(n_pivots or 1, -(-train.count() // block_rows))
+    depth = min(MAX_LEAVES.bit_length() - 1, (wanted - 1).bit_length())
+    sample = train.orderBy(hash_key(seed, "_sid")).select(*features).limit(SAMPLE_PER_LEAF << depth).toPandas().to_numpy(dtype=float)
+    if not len(sample):
         raise ValueError("no training rows")
-    train = train.withColumn("_d", _pivot_distances(features, pivots))
-    train = train.withColumn("_own", F.array_min("_d")).withColumn(
-        "_cell", (F.array_position("_d", F.col("_own")) - 1).cast("int")).drop("_d")
-
-    # quantiles of the distance in each cell are the edges of its rings; any edges give exact neighbours
-    cells = {r["_cell"]: r for r in train.groupBy("_cell").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.percentile_approx("_own", [i / MAX_RINGS for i in range(1, MAX_RINGS)], 1000).alias("q")).collect()}
-    edges = []
-    for cell in range(len(pivots)):
-        rings = 1
-        while cell in cells and rings < MAX_RINGS and rings * block_rows < cells[cell]["n"]:
-            rings *= 2
-        step = MAX_RINGS // rings
-        edges.append(_literal(sorted(set(cells[cell]["q"][step - 1::step][:rings - 1]))) if rings > 1 else F.array().cast("array<double>"))
-    own_edges = F.get(F.array(*edges), F.col("_cell"))
-    train = train.withColumn("_ring", F.size(F.filter(own_edges, lambda e: e < F.col("_own"))))
-    rings = [(r["_cell"], r["_ring"], r["lo"], r["hi"], r["n"], -(-r["n"] // block_rows)) for r in train.groupBy("_cell", "_ring").agg(
-        F.min("_own").alias("lo"), F.max("_own").alias("hi"), F.count(F.lit(1)).alias("n")).collect()]
-    shape = spark.createDataFrame(rings, "_cell int, _ring int, _lo double, _hi double, _n long, _blocks long")
-
-    closest = Window.partitionBy("_cell").orderBy("_own")
-    near = {}
-    for r in train.select("_cell", "_own").withColumn("_place", F.row_number().over(closest)).where(F.col("_place") <= k).collect():
-        near.setdefault(r["_cell"], []).append(r["_own"])
-    owns = F.array(*[_literal(near[c]) if c in near else F.array().cast("array<double>") for c in range(len(pivots))])
-    test = test.withColumn("_d", _pivot_distances(features, pivots))
-    bounds = F.array_sort(F.flatten(F.zip_with("_d", owns, lambda d, own: F.transform(own, lambda o: d + o))))
-    bound = F.coalesce(F.get(bounds, F.lit(k - 1)), F.lit(float("inf"))) * F.lit(1 + 1e-9) + F.lit(1e-12)
-    around = test.select("_rid", *features, bound.alias("_bound"), F.posexplode("_d").alias("_cell", "_to"))
-    visits = around.join(F.broadcast(shape), "_cell").where(
-        (F.col("_to") - F.col("_hi") <= F.col("_bound")) & (F.col("_lo") - F.col("_to") <= F.col("_bound")))
-    return train.drop("_own"), visits.select("_rid", *features, "_cell", "_ring"), rings
+    tree = Tree(sample, depth)
+
+    @F.pandas_udf("int")
+    def leaf(rows: pd.DataFrame) -> pd.Series:
+        return pd.Series(tree.leaves(rows.to_numpy(dtype=float)))
+
+    extremes = [side(f).alias(f"{name}{i}") for i, f in enumerate(features) for name, side in (("lo", F.min), ("hi", F.max))]
+    placed = train.withColumn("_leaf", leaf(F.struct(*features)))
+    boxes = Boxes(placed.groupBy("_leaf").agg(F.count(F.lit(1)).alias("n"), *extremes).collect(), 1 << depth, block_rows, len(features))
+
+    @F.pandas_udf("int")
+    def unit(rows: pd.DataFrame, hashes: pd.Series) -> pd.Series:
+        return pd.Series(boxes.unit(tree.leaves(rows.to_numpy(dtype=float)), hashes.to_numpy()))
+
+    train = train.withColumn("_unit", unit(F.struct(*features), F.xxhash64("_sid")))
+    test = test.withColumn("_unit", unit(F.struct(*features), F.xxhash64("_rid")))
+    types = {name: frame.schema[name].dataType.simpleString() for frame, name in ((test, "_rid"), (train, "_sid"), (train, "_label"))}
+    schema = ", ".join([f"_rid {types['_rid']}", *[f"`{f}` double" for f in features], "_bound double, _unit int",
+                        f"_sid {types['_sid']}, _label {types['_label']}, _square double"])
+    columns = ["_rid", *features, "_bound", "_unit", "_sid", "_label", "_square"]
+
+    def own_block(key, rows, others):
+        if not len(rows):
+            return pd.DataFrame({c: [] for c in columns})
+        others = others.sort_values("_sid", kind="stable", ignore_index=True)
+        left = rows[features].to_numpy()
+        bound = np.full(len(rows), np.inf)
+        row, other, square = _closest(left, others[features].to_numpy(), k, bound)
+        if len(others) >= k:
+            bound = square.reshape(-1, k)[:, -1]
+        else:
+            step = max(1, PAIRS // len(boxes.n))
+            bound = np.concatenate([boxes.farthest(left[at:at + step], k) for at in range(0, len(left), step)])
+        bound = bound * (1 + 1e-9)
+        to, units = boxes.reached(left, bound, int(key[0]))
+        rows = rows.assign(_bound=bound)[["_rid", *features, "_bound"]]
+        near = rows.take(row).assign(_unit=-1, _sid=others["_sid"].to_numpy()[other], _label=others["_label"].to_numpy()[other], _square=square)
+        # id and label of a visit are not read: any value keeps the columns' types
+        any_id, any_label = (others["_sid"].iloc[0], others["_label"].iloc[0]) if len(others) else (None, None)
+        visits = rows.take(to).assign(_unit=units, _sid=any_id, _label=any_label, _square=0.0)
+        return pd.concat([part for part in (near, visits) if len(part)] or [near], ignore_index=True)
+
+    return materialize(_salted(test, train, block_rows).applyInPandas(own_block, schema), "knn"), train, test
 
 
 def compared_share(train, test, features, id_column="field_id", label="label", k=5, n_pivots=None, block_rows=BLOCK_ROWS, seed=7):
     """Share of all pairs of rows that ``nearest_neighbours`` compares."""
-    _, visits, rings = _layout(train, test, list(features), id_column, label, k, n_pivots, block_rows, seed)
-    sizes = {r[:2]: r[4] for r in rings}
-    met = sum(r["count"] * sizes[r["_cell"], r["_ring"]] for r in visits.groupBy("_cell", "_ring").count().collect())
+    found, train, test = _rounds(train, test, list(features), id_column, label, k, n_pivots, block_rows, seed)
+    sizes = {r["_unit"]: r["count"] for r in train.groupBy("_unit").count().collect()}
+    seen = test.select("_unit").unionByName(found.where("_unit >= 0").select("_unit"))
+    met = sum(r["count"] * sizes.get(r["_unit"], 0) for r in seen.groupBy("_unit").count().collect())
     return met / max(1, sum(sizes.values()) * test.count())
 
 
@@ -93,49 +200,22 @@ def nearest_neighbours(train, test, features, id_column="field_id", label="label
                        block_rows=BLOCK_ROWS, seed=7):
     """(id, neighbour_id, neighbour_label, distance, place) of the k nearest training rows.
 
-    Equal distances are ordered by the neighbour's id.
+    Equal distances are ordered by the neighbour's id. Rows that lack a feature have and are no neighbours. ``n_pivots``: leaves at least.
     """
     features = list(features)
-    train, visits, rings = _layout(train, test, features, id_column, label, k, n_pivots, block_rows, seed)
-    id_type, label_type = train.schema["_sid"].dataType.simpleString(), train.schema["_label"].dataType.simpleString()
-    load = {(r["_cell"], r["_ring"]): r["count"] for r in visits.groupBy("_cell", "_ring").count().collect()}
-    layout = F.broadcast(train.sparkSession.createDataFrame(
-        [(c, ring, blocks, max(1, -(-load.get((c, ring), 0) // block_rows))) for c, ring, _, _, _, blocks in rings],
-        "_cell int, _ring int, _blocks long, _salts long"))
-    visits = visits.join(layout, ["_cell", "_ring"]).withColumns({
-        "_block": F.explode(F.sequence(F.lit(0), (F.col("_blocks") - 1).cast("int"))),
-        "_salt": F.pmod(F.xxhash64("_rid"), F.col("_salts")).cast("int"),
-    }).drop("_blocks", "_salts")
-    train = train.join(layout, ["_cell", "_ring"]).withColumns({
-        "_block": F.pmod(F.xxhash64("_sid"), F.col("_blocks")).cast("int"),
-        "_salt": F.explode(F.sequence(F.lit(0), (F.col("_salts") - 1).cast("int"))),
-    }).drop("_blocks", "_salts")
+    found, train, _ = _rounds(train, test, features, id_column, label, k, n_pivots, block_rows, seed)
+    columns = ["_rid", "_sid", "_label", "_square"]
 
     def compare(rows: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
-        others = others.sort_values("_sid", kind="stable")
-        parts = []
-        right = others[features].to_numpy()
-        sid, labels = others["_sid"].to_numpy(), others["_label"].to_numpy()
-        step = max(1, 2_000_000 // max(1, len(others)))
-        for lo in range(0, len(rows) if len(others) else 0, step):
-            some = rows.iloc[lo:lo + step]
-            left = some[features].to_numpy()
-            total = np.zeros((len(left), len(right)))
-            for i in range(len(features)):
-                total += (left[:, i, None] - right[None, :, i]) ** 2
-            best = np.argsort(total, axis=1, kind="stable")[:, :k]
-            parts.append(pd.DataFrame({
-                "_rid": np.repeat(some["_rid"].to_numpy(), best.shape[1]),
-                "_sid": sid[best.ravel()], "_label": labels[best.ravel()],
-                "_square": np.take_along_axis(total, best, axis=1).ravel(),
-            }))
-        return pd.concat(parts) if parts else pd.DataFrame({"_rid": [], "_sid": [], "_label": [], "_square": []})
-
-    keys = ["_cell", "_ring", "_block", "_salt"]
-    local = visits.groupBy(*keys).cogroup(train.groupBy(*keys)).applyInPandas(
-        compare, f"_rid {id_type}, _sid {id_type}, _label {label_type}, _square double")
+        others = others.sort_values("_sid", kind="stable", ignore_index=True)
+        row, other, square = _closest(rows[features].to_numpy(), others[features].to_numpy(), k, rows["_bound"].to_numpy())
+        return pd.DataFrame({"_rid": rows["_rid"].to_numpy()[row], "_sid": others["_sid"].to_numpy()[other],
+                             "_label": others["_label"].to_numpy()[other], "_square": square})
+
+    near, visits = found.where("_unit < 0").select(*columns), found.where("_unit >= 0").select("_rid", *features, "_bound", "_unit")
+    others = _salted(visits, train, block_rows).applyInPandas(compare, near.schema)
     order = Window.partitionBy("_rid").orderBy("_square", "_sid")
-    return local.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k).select(
+    return near.unionByName(others).withColumn("place", F.row_number().over(order)).where(F.col("place") <= k).select(
         F.col("_rid").alias(id_column), F.col("_sid").alias("neighbour_id"), F.col("_label").alias("neighbour_label"),
         F.sqrt("_square").alias("distance"), "place")
 

@@ -326,3 +326,24 @@ def test_neighbours_of_clusters_compare_few_pairs(spark):
     got = nearest_neighbours(train, test, ["a", "b"], block_rows=64).toPandas().sort_values(["field_id", "place"])
     order = np.argsort(((to[:, None] - at[None]) ** 2).sum(axis=2), axis=1, kind="stable")[:, :5]
     assert (got["neighbour_id"].to_numpy().reshape(-1, 5) == order).all()
+
+
+def test_knn_visits_few_blocks_without_clusters(spark):
+    from fieldlens.operators.knn import compared_share, nearest_neighbours
+
+    rng = np.random.default_rng(5)
+    points = rng.random((4000, 3))
+    frame = pd.DataFrame(points, columns=["a", "b", "c"]).assign(field_id=range(4000), label=0)
+    train, test = spark.createDataFrame(frame[frame.field_id >= 100]), spark.createDataFrame(frame[frame.field_id < 100])
+    assert compared_share(train, test, ["a", "b", "c"], block_rows=64) < 0.15
+    got = nearest_neighbours(train, test, ["a", "b", "c"], block_rows=64).toPandas().sort_values(["field_id", "place"])
+    order = np.argsort(((points[:100, None] - points[None, 100:]) ** 2).sum(axis=2), axis=1, kind="stable")[:, :5] + 100
+    assert (got["neighbour_id"].to_numpy().reshape(-1, 5) == order).all()
+
+
+def test_knn_of_copies_and_few_rows(spark):
+    columns = "field_id int, label int, a double"
+    train = spark.createDataFrame([(i, i % 2, 1.0) for i in range(50)] + [(90, 0, 7.0), (91, 0, None)], columns)
+    test = spark.createDataFrame([(200, None, 1.0), (201, None, 7.0), (202, None, None)], columns)
+    got = knn.nearest_neighbours(train, test, ["a"], n_pivots=8, block_rows=4).toPandas().sort_values(["field_id", "place"])
+    assert got.groupby("field_id")["neighbour_id"].apply(list).to_dict() == {200: [0, 1, 2, 3, 4], 201: [90, 0, 1, 2, 3]}
