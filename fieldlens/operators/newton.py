@@ -9,7 +9,7 @@ Losses: ``squared_hinge`` (the bias is penalised with the weights) and ``logisti
 the penalty is transformed to match, so columns in the thousands beside a bias of one do no harm. A step that doesn't
 lower the objective enough is shortened where the derivative along it, increasing as the objective is convex, is zero:
 one pass finds the octave, one refines it, and the point is interpolated. A problem is done when a Newton step can't gain
-more than ``TOLERANCE`` of its objective.
+more than ``TOLERANCE`` of its objective, or when several in a row haven't.
 """
 
 import pickle
@@ -24,11 +24,15 @@ from fieldlens.session import materialize
 SCHEMES = ("fold_s", "fold_c")
 TOLERANCE = 1e-13
 MAX_PASSES = 300
+# Points in a row that come less than the tolerance below the best, whatever was expected of them: what is left is rounding.
+STALLS = 5
 # Points at which a pass looks along a step.
 LINE_POINTS = 24
 # Sums of so many tasks meet in one; more are added up in two levels.
 MEET = 32
 ROWS_PER_TASK = 20_000
+# Rows and problems that are worked on together.
+SQUARE = 512
 TRIAL, OCTAVE, REFINE, TAKE, DONE = range(5)
 
 
@@ -56,17 +60,46 @@ def line_points(mode, lo, hi):
     return np.where((mode == OCTAVE)[:, None], octaves[None], lo[:, None] + (hi - lo)[:, None] * np.arange(LINE_POINTS)[None] / (LINE_POINTS - 1))
 
 
+def _sums_at(loss, at, rows, products, signed, weights):
+    """Loss, gradient and Hessian of the problems ``at`` over some rows."""
+    if loss == "squared_hinge":
+        gap = signed @ at.T
+        np.subtract(1.0, gap, out=gap)
+        np.maximum(gap, 0.0, out=gap)
+        weighed = weights[:, None] * gap
+        return np.concatenate([np.einsum("ij,ij->j", weighed, gap)[:, None], -2.0 * weighed.T @ signed,
+                               2.0 * (gap > 0).astype(float).T @ (weights[:, None] * products)], axis=1)
+    value, first, second = (weights[:, None] * x for x in _losses(loss, signed @ at.T))
+    return np.concatenate([value.sum(axis=0)[:, None], first.T @ signed, second.T @ products], axis=1)
+
+
+def _slopes_along(loss, base, along, points, weights):
+    """Derivative of the loss along each problem's step at each of its points."""
+    found, weighed = np.zeros(points.shape), weights[:, None] * along
+    for j in range(points.shape[1]):
+        margins = base + points[:, j] * along
+        if loss == "squared_hinge":
+            np.subtract(1.0, margins, out=margins)
+            np.maximum(margins, 0.0, out=margins)
+            found[:, j] = -2.0 * np.einsum("ij,ij->j", margins, weighed)
+        else:
+            found[:, j] = (_losses(loss, margins)[1] * weighed).sum(axis=0)
+    return found
+
+
 def partial_sums(trial, loss, rows, products, signs, weights):
-    """Sums over some rows at a key's trial points: loss, gradient and Hessian of ``at``, derivatives along ``step`` of the others."""
-    margins = signs[:, None] * (rows @ trial["at"].T)
-    value, first, second = (weights[:, None] * x for x in _losses(loss, margins))
-    sums = np.concatenate([value.sum(axis=0)[:, None], (first * signs[:, None]).T @ rows, second.T @ products], axis=1)
+    """Sums over some rows at a key's trial points: loss, gradient and Hessian of ``at``, derivatives along ``step`` of the others.
+    Rows and problems are taken in squares that stay in the cache."""
     points = line_points(trial["mode"], trial["lo"], trial["hi"])
-    slopes = np.zeros(points.shape)
-    if len(points):
-        base, along = signs[:, None] * (rows @ trial["base"].T), signs[:, None] * (rows @ trial["step"].T)
-        for j in range(points.shape[1]):
-            slopes[:, j] = (weights[:, None] * _losses(loss, base + points[:, j] * along)[1] * along).sum(axis=0)
+    sums, slopes = np.zeros((len(trial["at"]), 1 + rows.shape[1] + products.shape[1])), np.zeros(points.shape)
+    signed = signs[:, None] * rows
+    for lo in range(0, len(rows), SQUARE):
+        some = slice(lo, lo + SQUARE)
+        for a in range(0, len(sums), SQUARE):
+            sums[a:a + SQUARE] += _sums_at(loss, trial["at"][a:a + SQUARE], rows[some], products[some], signed[some], weights[some])
+        for a in range(0, len(points), SQUARE):
+            base, along = (signed[some] @ trial[k][a:a + SQUARE].T for k in ("base", "step"))
+            slopes[a:a + SQUARE] += _slopes_along(loss, base, along, points[a:a + SQUARE], weights[some])
     return sums, slopes
 
 
@@ -76,7 +109,7 @@ def first_state(masks):
     n, d = masks.shape
     zero = np.zeros(n)
     return {"masks": masks, "w": np.zeros((n, d)), "step": np.zeros((n, d)), "value": zero + np.inf, "drop": zero.copy(),
-            "lo": zero.copy(), "hi": zero + 1.0, "mode": np.full(n, TAKE)}
+            "lo": zero.copy(), "hi": zero + 1.0, "mode": np.full(n, TAKE), "best": zero + np.inf, "stalls": zero.astype(int)}
 
 
 def trial_of(state):
@@ -131,9 +164,14 @@ def next_state(state, sums, slopes, penalty, C):
         if len(taken):
             newton = -np.linalg.solve(hessian[good], gradient[good][:, :, None])[:, :, 0]
             gain = -(gradient[good] * newton).sum(axis=1)
+            stalled = state["best"][taken] - value[good] <= TOLERANCE * np.abs(value[good])
+            state["best"][taken] = np.minimum(state["best"][taken], value[good])
+            state["stalls"][taken] = np.where(stalled, state["stalls"][taken] + 1, 0)
             state["w"][taken], state["value"][taken] = point[good], value[good]
             state["step"][taken], state["drop"][taken] = newton, gain
-            mode[taken] = np.where(gain <= TOLERANCE * np.maximum(value[good], 1e-300), DONE, TRIAL)
+            still = state["stalls"][taken] >= STALLS
+            mode[taken] = np.where(still | (gain <= TOLERANCE * np.maximum(value[good], 1e-300)), DONE, TRIAL)
+            state["step"][taken[still]] = 0.0
             # so short a step needs no trial
             done = taken[mode[taken] == DONE]
             state["w"][done] += state["step"][done]
@@ -289,9 +327,15 @@ def _add_up(key, frame):
     return pd.DataFrame({"key": [frame["key"].iloc[0]], "payload": [pickle.dumps(_added(frame["payload"]))]})
 
 
-def run_passes(samples, problem, states, columns, keys, scales, largest, max_passes=MAX_PASSES):
+def rows_in_task(each):
+    """Rows of a group that one task may hold. Where a key has ``each`` = thousands of problems their sums outweigh the rows: every part of
+    the rows would send MBs for each key and pass, so more rows, of a bounded number, go to the problems once."""
+    return ROWS_PER_TASK * max(1, min(10, each // 400))
+
+
+def run_passes(samples, problem, states, columns, keys, scales, largest, max_passes=MAX_PASSES, each=1):
     """Last state of each key, by its number. ``keys``: (group, scheme, fold, ...); ``states``: the first state of each; ``largest``: training
-    rows of the largest group. What comes to the driver, and goes out again, is states and trials: their size depends on the problems alone.
+    rows of the largest group; ``each``: problems of a key. What comes to the driver, and goes out again, is states and trials: their size depends on the problems alone.
     """
     spark = samples.sparkSession
     start = [pickle.dumps(state) for state in states]
@@ -299,7 +343,7 @@ def run_passes(samples, problem, states, columns, keys, scales, largest, max_pas
     def gathered(table):
         return {r["key"]: pickle.loads(r["state"]) for r in table.select("key", "state").toLocalIterator()}
 
-    if largest <= ROWS_PER_TASK:
+    if largest <= rows_in_task(each):
         # every group fits into a task: the passes need no jobs
         named = spark.createDataFrame([(i, k[0]) for i, k in enumerate(keys)], "key int, group string")
         solve = _solved_in_task(problem, start, columns, keys, scales, max_passes)
@@ -368,7 +412,7 @@ def fit_linear(samples, columns, n_classes, loss="squared_hinge", C=1.0, masks=N
     problem = Problem(sums, lambda number, state, found: next_state(state, *found, penalties[number], C),
                       lambda state: None if (state["mode"] == DONE).all() else trial_of(state))
     largest = max((int(counts["holdout", 0].sum()) for counts, _ in found.values()), default=0)
-    states = run_passes(samples, problem, [first_state(masks) for _ in keys], columns, keys, scales, largest, max_passes)
+    states = run_passes(samples, problem, [first_state(masks) for _ in keys], columns, keys, scales, largest, max_passes, len(masks))
     weights = {k: np.zeros((*masks.shape, n_classes)) for k in live}
     for number, state in states.items():
         group, scheme, fold, c = keys[number]

@@ -124,3 +124,29 @@ def test_a_class_without_rows_is_never_chosen(spark):
     fitted = newton.fit_linear(newton.narrow_samples(spark.createDataFrame(frame), ["a"], "target"), ["a"], 3)
     assert not fitted.live["x", "fold_s", 2][1]
     assert (fitted.scores("x", "fold_s", 2, np.ones((4, 2))).argmax(axis=2) != 1).all()
+
+
+def test_problems_whose_minimum_is_rounding_end():
+    """A penalty of nearly nothing on rows a plane tells apart: the objective falls to the rounding of its sums."""
+    rng = np.random.default_rng(3)
+    x = rng.integers(100, 9000, size=(3000, 6)).astype(float)
+    x[:, 5] = x[:, :5].sum(axis=1) + rng.integers(0, 2, 3000)
+    scale = np.concatenate([[1.0], np.sqrt((x * x).mean(axis=0))])
+    rows = np.concatenate([np.ones((3000, 1)), x], axis=1) / scale
+    signs = np.where(x[:, 5] - x[:, :5].sum(axis=1) > 0.5, 1.0, -1.0)
+    w, passes = solve("squared_hinge", rows, signs, np.ones((1, 7)), 1e-9 / scale ** 2, 1.0, np.ones(3000))
+    assert passes < 100 and ((rows @ w[0] > 0) == (signs > 0)).all()
+
+
+def test_stalled_points_end_a_problem():
+    state = newton.first_state(np.ones((1, 1)))
+    sums = np.array([[1.0, 1e-3, 1.0]])  # each point promises a gain and brings none
+    for _ in range(20):
+        state = newton.next_state(state, sums, np.zeros((1, 1)), np.zeros(1), 1.0) if state["mode"][0] in (newton.TRIAL, newton.TAKE) else state
+        state["mode"] = np.where(state["mode"] == newton.OCTAVE, newton.TAKE, state["mode"])
+    assert state["mode"][0] == newton.DONE and state["step"][0, 0] == 0
+
+
+def test_many_problems_keep_more_rows_in_a_task():
+    assert newton.rows_in_task(1) == newton.rows_in_task(300) == newton.ROWS_PER_TASK
+    assert newton.rows_in_task(4095) == 10 * newton.ROWS_PER_TASK
