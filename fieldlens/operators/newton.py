@@ -333,7 +333,7 @@ def rows_in_task(each):
     return ROWS_PER_TASK * max(1, min(10, each // 400))
 
 
-def run_passes(samples, problem, states, columns, keys, scales, largest, max_passes=MAX_PASSES, each=1):
+def run_passes(samples, problem, states, columns, keys, scales, largest, max_passes=MAX_PASSES, *, each=1):
     """Last state of each key, by its number. ``keys``: (group, scheme, fold, ...); ``states``: the first state of each; ``largest``: training
     rows of the largest group; ``each``: problems of a key. What comes to the driver, and goes out again, is states and trials: their size depends on the problems alone.
     """
@@ -412,7 +412,7 @@ def fit_linear(samples, columns, n_classes, loss="squared_hinge", C=1.0, masks=N
     problem = Problem(sums, lambda number, state, found: next_state(state, *found, penalties[number], C),
                       lambda state: None if (state["mode"] == DONE).all() else trial_of(state))
     largest = max((int(counts["holdout", 0].sum()) for counts, _ in found.values()), default=0)
-    states = run_passes(samples, problem, [first_state(masks) for _ in keys], columns, keys, scales, largest, max_passes, len(masks))
+    states = run_passes(samples, problem, [first_state(masks) for _ in keys], columns, keys, scales, largest, max_passes, each=len(masks))
     weights = {k: np.zeros((*masks.shape, n_classes)) for k in live}
     for number, state in states.items():
         group, scheme, fold, c = keys[number]
