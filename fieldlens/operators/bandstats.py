@@ -4,6 +4,8 @@ All of them are algebraic aggregates: Spark combines them on the map side, so a
 size costs one small partial row per task.
 """
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
@@ -30,11 +32,31 @@ def band_mean(pixels, fill="mask", keys=("field_id", "uuid")):
     return pixels.groupBy(*keys, "band").agg(F.avg(value).alias("band_mean"))
 
 
-def band_mean_wide(pixels, bands=ALL_BANDS, fill="mask", keys=("field_id", "uuid"), extra=()):
-    """Wide pixels -> one row per crop with a mean per band: one pass, one shuffle, no pivot."""
+# Bands whose sums a task holds for all its crops at a time; with more bands the crops are taken in turns.
+BANDS_PER_PASS = 7
+
+
+def in_passes(pixels, keys, passes, aggregate):
+    """``aggregate`` of the crops in so many passes, each over all pixels of its share of the crops.
+
+    Where the pixels of a crop lie far apart, a task meets nearly as many crops as pixels, and the sums of all of them are wider than
+    its input; a share of them is held in memory where all would spill. Pixels of a crop still combine before the shuffle.
+    """
+    if passes < 2 or not keys:
+        return aggregate(pixels)
+    share = F.pmod(F.xxhash64(*keys), F.lit(passes))
+    return reduce(lambda a, b: a.unionByName(b), [aggregate(pixels.where(share == i)) for i in range(passes)])
+
+
+def band_mean_wide(pixels, bands=ALL_BANDS, fill="mask", keys=("field_id", "uuid"), extra=(), passes=None):
+    """Wide pixels -> one row per crop with a mean per band, no pivot: every crop is shuffled once.
+
+    ``passes``: see ``in_passes``; by the number of bands where not given.
+    """
     inside = "inside" in pixels.columns
     means = [F.avg(_filled(b, fill) if inside else F.col(b)).alias(b) for b in bands]
-    return pixels.groupBy(*keys).agg(*extra, *means)
+    passes = -(-len(bands) // BANDS_PER_PASS) if passes is None else passes
+    return in_passes(pixels, keys, passes, lambda part: part.groupBy(*keys).agg(*extra, *means))
 
 
 def band_mean_of_wide(pixels, bands=ALL_BANDS, fill="mask", keys=("field_id", "uuid")):

@@ -34,7 +34,7 @@ def band_means_at_survey(fields, products, pixels, bands=ALL_BANDS, fill="mask",
     chosen = materialize(asof_nearest(fields, dated), "chosen")
     wanted = chosen.where(F.col("uuid").isNotNull()).select("field_id", "uuid").distinct()
     wanted = F.broadcast(wanted) if wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else wanted
-    means = band_mean_wide(pixels.join(wanted, ["field_id", "uuid"], "left_semi"), bands, fill)
+    means = band_mean_wide(pixels.join(wanted, ["field_id", "uuid"], "left_semi"), bands, fill, passes=1)
     chosen = chosen.join(means, ["field_id", "uuid"], "left").select(*chosen.columns, *bands)
     chosen = chosen.withColumnsRenamed({"uuid": "nearest_product_uuid", "generationdate": "nearest_product_generationdate"})
     if {"B08_10m", "B04_10m"} <= set(bands):

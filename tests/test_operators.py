@@ -347,3 +347,22 @@ def test_knn_of_copies_and_few_rows(spark):
     test = spark.createDataFrame([(200, None, 1.0), (201, None, 7.0), (202, None, None)], columns)
     got = knn.nearest_neighbours(train, test, ["a"], n_pivots=8, block_rows=4).toPandas().sort_values(["field_id", "place"])
     assert got.groupby("field_id")["neighbour_id"].apply(list).to_dict() == {200: [0, 1, 2, 3, 4], 201: [90, 0, 1, 2, 3]}
+
+
+def test_band_means_of_many_bands_are_formed_in_passes(spark, monkeypatch):
+    rows = [(None if i % 7 == 0 else f"f{i % 5}", None if i % 4 == 0 else f"p{i % 3}", None if i % 6 == 0 else i * i % 97, i % 11, i % 2 == 0)
+            for i in range(200)]
+    pixels = spark.createDataFrame(rows, "field_id string, uuid string, a int, b int, inside boolean")
+    listed = lambda frame: sorted(((*r,) for r in frame.collect()), key=str)
+    whole = {}
+    for r in rows:
+        whole.setdefault(r[:2], []).append(r[2:])
+    mean = lambda values: sum(values) / len(values) if values else None
+    wanted = sorted(((*k, mean([a for a, _, i in v if i and a is not None]), mean([b for _, b, i in v if i])) for k, v in whole.items()), key=str)
+    monkeypatch.setattr(bandstats, "BANDS_PER_PASS", 1)
+    means = bandstats.band_mean_wide(pixels, ("a", "b"))
+    # a task holds the sums of one share of the crops at a time
+    assert means._jdf.queryExecution().optimizedPlan().toString().count("Aggregate [") == 2
+    assert listed(means) == wanted
+    assert len(listed(bandstats.band_mean_of_wide(pixels, ("a", "b")))) == 2 * len(wanted)
+    assert listed(bandstats.band_mean_wide(pixels, ("a", "b"), passes=1)) == wanted
