@@ -21,6 +21,10 @@ MAX_LEAVES = 4096
 SAMPLE_PER_LEAF = 16
 # distances that a task holds at once
 PAIRS = 200_000
+# Views (see ``knn_predict_views``): rows of a block, of a leaf within it, and the closest rows among which each view finds its own first.
+VIEW_BLOCK_ROWS = 16_384
+VIEW_LEAF_ROWS = 64
+VIEW_POOL = 24
 
 
 class Tree:
@@ -64,12 +68,13 @@ class Boxes:
         at = self.home[leaves]
         return self.start[at] + hashes % self.blocks[at]
 
-    def farthest(self, rows, k):
-        """Square within which each row has k training rows (inf: there are fewer), by the far corners of the boxes."""
+    def farthest(self, rows, k, n=None):
+        """Square within which each row has k training rows (inf: there are fewer), by the far corners of the boxes. ``n``: rows of each leaf that count."""
+        n = self.n if n is None else n
         far = sum(np.maximum(np.abs(rows[:, i, None] - self.lo[None, :, i]), np.abs(rows[:, i, None] - self.hi[None, :, i])) ** 2
                   for i in range(rows.shape[1]))
         order = np.argsort(far, axis=1)
-        enough = np.cumsum(self.n[order], axis=1) >= k
+        enough = np.cumsum(n[order], axis=1) >= k
         last = np.take_along_axis(far, order, axis=1)[np.arange(len(rows)), enough.argmax(axis=1)]
         return np.where(enough.any(axis=1), last, np.inf)
 
@@ -130,13 +135,13 @@ def _salted(rows, train, block_rows):
     return rows.repartition(parts, *keys).groupBy(*keys).cogroup(train.repartition(parts, *keys).groupBy(*keys))
 
 
-def _rounds(train, test, features, id_column, label, k, n_pivots, block_rows, seed):
-    """(found, training rows, test rows), the rows with their block: ``found`` (written) has for each test row its closest rows in a block of its own leaf (``_unit`` -1), and
-    a row per other block to visit. What reaches the driver is the sample and a few numbers per leaf and block."""
+def _placed(train, test, features, id_column, label, n_pivots, block_rows, seed, of_train=(), of_test=()):
+    """(training rows, test rows, boxes), the rows with their block (and training rows with their leaf). What reaches the driver is the sample and a
+    few numbers per leaf."""
     as_double = [F.col(f).cast("double").alias(f) for f in features]
     whole = " AND ".join(f"`{f}` IS NOT NULL AND NOT isnan(`{f}`)" for f in features)
-    train = train.select(F.col(id_column).alias("_sid"), F.col(label).alias("_label"), *as_double).where(whole)
-    test = test.select(F.col(id_column).alias("_rid"), *as_double).where(whole)
+    train = train.select(F.col(id_column).alias("_sid"), F.col(label).alias("_label"), *as_double, *of_train).where(whole)
+    test = test.select(F.col(id_column).alias("_rid"), *as_double, *of_test).where(whole)
     wanted = max(n_pivots or 1, -(-train.count() // block_rows))
     depth = min(MAX_LEAVES.bit_length() - 1, (wanted - 1).bit_length())
     sample = train.orderBy(hash_key(seed, "_sid")).select(*features).limit(SAMPLE_PER_LEAF << depth).toPandas().to_numpy(dtype=float)
@@ -156,8 +161,16 @@ def _rounds(train, test, features, id_column, label, k, n_pivots, block_rows, se
     def unit(rows: pd.DataFrame, hashes: pd.Series) -> pd.Series:
         return pd.Series(boxes.unit(tree.leaves(rows.to_numpy(dtype=float)), hashes.to_numpy()))
 
-    train = train.withColumn("_unit", unit(F.struct(*features), F.xxhash64("_sid")))
+    train = placed.withColumn("_unit", unit(F.struct(*features), F.xxhash64("_sid")))
     test = test.withColumn("_unit", unit(F.struct(*features), F.xxhash64("_rid")))
+    return train, test, boxes
+
+
+def _rounds(train, test, features, id_column, label, k, n_pivots, block_rows, seed):
+    """(found, training rows, test rows), the rows with their block: ``found`` (written) has for each test row its closest rows in a block of its own leaf (``_unit`` -1), and
+    a row per other block to visit. What reaches the driver is the sample and a few numbers per leaf and block."""
+    train, test, boxes = _placed(train, test, features, id_column, label, n_pivots, block_rows, seed)
+    train = train.drop("_leaf")
     types = {name: frame.schema[name].dataType.simpleString() for frame, name in ((test, "_rid"), (train, "_sid"), (train, "_label"))}
     schema = ", ".join([f"_rid {types['_rid']}", *[f"`{f}` double" for f in features], "_bound double, _unit int",
                         f"_sid {types['_sid']}, _label {types['_label']}, _square double"])
@@ -226,3 +239,181 @@ def knn_predict(train, test, features, id_column="field_id", label="label", k=5,
     votes = near.groupBy(id_column, "neighbour_label").agg(F.count(F.lit(1)).alias("_votes"))
     return votes.groupBy(id_column).agg(
         F.min_by("neighbour_label", F.struct(-F.col("_votes"), F.col("neighbour_label"))).alias("prediction"))
+
+
+# --- several questions about the same rows -----------------------------------
+
+class Block:
+    """Training rows of a block, cut into small leaves with their boxes."""
+
+    def __init__(self, rows):
+        self.tree = Tree(rows, max(0, (len(rows) // VIEW_LEAF_ROWS).bit_length() - 1))
+        leaf = self.tree.leaves(rows)
+        order = np.argsort(leaf, kind="stable")
+        number, start = np.unique(leaf[order], return_index=True)
+        self.members = np.split(order, start[1:])
+        self.lo, self.hi = (np.array([side(rows[m], axis=0) for m in self.members]) for side in (np.min, np.max))
+        self.home = np.minimum(np.searchsorted(number, np.arange(2 ** self.tree.depth)), len(number) - 1)
+
+    def groups(self, rows):
+        """(leaf, numbers of rows in or next to it), few at a time."""
+        home = self.home[self.tree.leaves(rows)]
+        order = np.argsort(home, kind="stable")
+        for some in np.split(order, np.flatnonzero(np.diff(home[order])) + 1):
+            for at in range(0, len(some), 2 * VIEW_LEAF_ROWS):
+                yield home[some[0]], some[at:at + 2 * VIEW_LEAF_ROWS]
+
+    def reached(self, rows, bound):
+        """Rows of the leaves that come within the square ``bound`` of the rows' box, in order."""
+        gap = np.maximum(0.0, np.maximum(self.lo - rows.max(axis=0), rows.min(axis=0) - self.hi))
+        near = np.flatnonzero((gap ** 2).sum(axis=1) <= bound * (1 + 1e-9))
+        return np.sort(np.concatenate([self.members[i] for i in near])) if len(near) else np.zeros(0, dtype=int)
+
+
+def _squares(left, right):
+    total, gap = np.zeros((len(left), len(right))), np.empty((len(left), len(right)))
+    for i in range(left.shape[1]):
+        np.subtract(left[:, i, None], right[None, :, i], out=gap)
+        np.multiply(gap, gap, out=gap)
+        total += gap
+    return total
+
+
+def _counts(part, fold):
+    """Whether training rows count for rows: their fold is known and not the row's own."""
+    return True if fold is None else (fold != part) & ~np.isnan(fold)
+
+
+def _first(row, k):
+    """Marks the first k entries of each row; the rows are in order."""
+    return np.arange(len(row)) - np.searchsorted(row, row) < k
+
+
+def closest_by_view(left, parts, right, folds, k, bound=None):
+    """(row, view, other, square) of the k closest others of each row in each view, equal squares in the order of the others.
+
+    ``parts``: (row, view), NaN where a row does not ask; ``folds``: for each view None or the folds of the others; ``bound``: (row, view) squares beyond
+    which nothing is wanted. Distances are found once for all views.
+    """
+    found = [(np.zeros(0, dtype=int),) * 3 + (np.zeros(0),)]
+    block = Block(right) if len(right) else None
+    for leaf, group in block.groups(left) if block and len(left) else ():
+        asked = ~np.isnan(parts[group])
+        if bound is None:
+            limit = np.full(asked.shape, np.inf)
+            seeds = block.members[leaf]
+            if len(seeds) >= k:
+                total = _squares(left[group], right[seeds])
+                for v, fold in enumerate(folds):
+                    valid = _counts(parts[group, v][:, None], None if fold is None else fold[seeds][None])
+                    limit[:, v] = np.partition(np.where(valid, total, np.inf), k - 1, axis=1)[:, k - 1]
+        else:
+            limit = bound[group]
+        limit = np.where(asked, limit, -1.0)
+        near = block.reached(left[group], limit.max())
+        step = max(1, PAIRS // max(1, len(near)))
+        for at in range(0, len(group) if len(near) else 0, step):
+            some, most = group[at:at + step], limit[at:at + step]
+            total, top = _squares(left[some], right[near]), most.max(axis=1)
+            pool = top
+            if len(near) > VIEW_POOL + k:
+                pool = np.minimum(top, np.partition(total, VIEW_POOL + k - 1, axis=1)[:, VIEW_POOL + k - 1])
+            row, other = np.nonzero(total <= pool[:, None])
+            square = total[row, other]
+            order = np.lexsort((other, square, row))
+            row, other, square = row[order], other[order], square[order]
+            for v, fold in enumerate(folds):
+                part, fold = parts[some, v], None if fold is None else fold[near]
+                mine = (square <= most[row, v]) & _counts(part[row], None if fold is None else fold[other])
+                enough = (np.bincount(row[mine], minlength=len(some)) >= k) | (pool >= most[:, v])
+                mine &= enough[row]
+                keep = np.flatnonzero(mine)[_first(row[mine], k)]
+                found.append((some[row[keep]], np.full(len(keep), v), near[other[keep]], square[keep]))
+                # too few of the closest count for these rows: all are looked at
+                few = np.flatnonzero(~enough)
+                if len(few):
+                    masked = np.where(_counts(part[few][:, None], None if fold is None else fold[None]), total[few], np.inf)
+                    to = np.minimum(most[few, v], np.partition(masked, min(k, len(near)) - 1, axis=1)[:, min(k, len(near)) - 1])
+                    r, o = np.nonzero((masked <= to[:, None]) & np.isfinite(masked))
+                    order = np.lexsort((o, masked[r, o], r))
+                    r, o = r[order], o[order]
+                    keep = _first(r, k)
+                    r, o = r[keep], o[keep]
+                    found.append((some[few[r]], np.full(len(r), v), near[o], masked[r, o]))
+    return tuple(np.concatenate(part) for part in zip(*found))
+
+
+def knn_predict_views(train, test, features, id_column, label, views, k=5, block_rows=VIEW_BLOCK_ROWS, seed=7):
+    """(id, view, part, prediction): ``knn_predict`` for several sets of training rows at once, with one search.
+
+    ``views``: pairs of a column of the test rows, their part of the view (a whole number, NULL: the row isn't asked for), and None or a column of
+    the training rows: those whose value there is NULL or the test row's part do not count. Rows of a part of a view are a test set by themselves.
+    """
+    features = list(features)
+    asked, fold_columns = [f"_p{v}" for v in range(len(views))], [f"_f{v}" for v in range(len(views))]
+    bounds = [f"_b{v}" for v in range(len(views))]
+    train, test, boxes = _placed(
+        train, test.where(F.coalesce(*[F.col(part) for part, _ in views]).isNotNull()), features, id_column, label, None, block_rows, seed,
+        [(F.lit(None) if fold is None else F.col(fold)).cast("double").alias(f) for (_, fold), f in zip(views, fold_columns)],
+        [F.col(part).cast("double").alias(p) for (part, _), p in zip(views, asked)])
+    sizes = train.groupBy("_leaf", *fold_columns).agg(F.count(F.lit(1)).alias("n")).toPandas()  # a row per leaf and combination of folds
+    train = train.drop("_leaf")
+    leaves = np.unique(sizes["_leaf"])
+    types = {name: frame.schema[name].dataType.simpleString() for frame, name in ((test, "_rid"), (train, "_sid"), (train, "_label"))}
+    near_schema = f"_rid {types['_rid']}, _view int, _part int, _sid {types['_sid']}, _label {types['_label']}, _square double"
+    near_columns = ["_rid", "_view", "_part", "_sid", "_label", "_square"]
+    visit_columns = [*features, *asked, *bounds, "_unit"]
+    schema = ", ".join([near_schema, *[f"`{c}` double" for c in visit_columns[:-1]], "_unit int"])
+
+    def counting(v, part):
+        """Rows of each leaf that count for a part of a view."""
+        mine = sizes if views[v][1] is None else sizes[sizes[fold_columns[v]].notna() & (sizes[fold_columns[v]] != part)]
+        return mine.groupby("_leaf")["n"].sum().reindex(leaves, fill_value=0).to_numpy()
+
+    def in_order(others):
+        others = others.sort_values("_sid", kind="stable", ignore_index=True)
+        return others, [None if fold is None else others[f].to_numpy(dtype=float) for (_, fold), f in zip(views, fold_columns)]
+
+    def pairs(rows, others, parts, row, view, other, square):
+        return pd.DataFrame({"_rid": rows["_rid"].to_numpy()[row], "_view": view.astype("int32"), "_part": parts[row, view].astype("int32"),
+                             "_sid": others["_sid"].to_numpy()[other], "_label": others["_label"].to_numpy()[other], "_square": square})
+
+    def own_block(key, rows, others):
+        if not len(rows):
+            return pd.DataFrame({c: [] for c in [*near_columns, *visit_columns]})
+        others, folds = in_order(others)
+        left, parts = rows[features].to_numpy(), rows[asked].to_numpy(dtype=float)
+        row, view, other, square = closest_by_view(left, parts, others[features].to_numpy(), folds, k)
+        bound, number = np.zeros(parts.shape), np.zeros(parts.shape, dtype=int)
+        np.maximum.at(bound, (row, view), square)
+        np.add.at(number, (row, view), 1)
+        for v in range(len(views)):
+            open_ = (number[:, v] < k) & ~np.isnan(parts[:, v])
+            for part in np.unique(parts[open_, v]):
+                mine, n = np.flatnonzero(open_ & (parts[:, v] == part)), counting(v, part)
+                step = max(1, PAIRS // len(boxes.n))
+                for at in range(0, len(mine), step):
+                    bound[mine[at:at + step], v] = boxes.farthest(left[mine[at:at + step]], k, n)
+        bound = np.where(np.isnan(parts), -1.0, bound * (1 + 1e-9))
+        to, units = boxes.reached(left, bound.max(axis=1), int(key[0]))
+        near = pairs(rows, others, parts, row, view, other, square).assign(**{c: np.nan for c in visit_columns[:-1]}, _unit=-1)
+        # id and label of a visit are not read: any value keeps the columns' types
+        any_id, any_label = (others["_sid"].iloc[0], others["_label"].iloc[0]) if len(others) else (None, None)
+        visits = rows[["_rid", *features, *asked]].assign(**{b: bound[:, v] for v, b in enumerate(bounds)}).take(to).assign(
+            _unit=units, _view=-1, _part=-1, _sid=any_id, _label=any_label, _square=0.0)
+        return pd.concat([part for part in (near, visits) if len(part)] or [near], ignore_index=True)[[*near_columns, *visit_columns]]
+
+    def compare(rows: pd.DataFrame, others: pd.DataFrame) -> pd.DataFrame:
+        others, folds = in_order(others)
+        parts = rows[asked].to_numpy(dtype=float)
+        found = closest_by_view(rows[features].to_numpy(), parts, others[features].to_numpy(), folds, k, rows[bounds].to_numpy())
+        return pairs(rows, others, parts, *found)
+
+    found = materialize(_salted(test, train, block_rows).applyInPandas(own_block, schema), "knn")
+    near, visits = found.where("_unit < 0").select(*near_columns), found.where("_unit >= 0").select("_rid", *visit_columns)
+    others = _salted(visits, train, block_rows).applyInPandas(compare, near_schema)
+    mine = ["_view", "_part", "_rid"]
+    place = F.row_number().over(Window.partitionBy(*mine).orderBy("_square", "_sid"))
+    votes = near.unionByName(others).withColumn("_place", place).where(F.col("_place") <= k).groupBy(*mine, "_label").agg(F.count(F.lit(1)).alias("_votes"))
+    return votes.groupBy(*mine).agg(F.min_by("_label", F.struct(-F.col("_votes"), F.col("_label"))).alias("prediction")).select(
+        F.col("_rid").alias(id_column), F.col("_view").alias("view"), F.col("_part").alias("part"), "prediction")

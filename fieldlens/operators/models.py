@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from fieldlens.operators import newton, softmax, svm
-from fieldlens.operators.knn import knn_predict
+from fieldlens.operators.knn import knn_predict_views
 from fieldlens.operators.resample import balanced_weights, contiguous_folds, stratified_folds, train_test_split
 from fieldlens.session import materialize
 
@@ -97,11 +97,8 @@ def all_fits():
     return [("holdout", 0)] + [(s, i) for s in ("fold_s", "fold_c") for i in range(FOLDS)]
 
 
-def _predictor(name, train, features, id_column):
+def _predictor(name, train):
     """Function from rows to their predictions, fitted on ``train``."""
-    if name == "KNeighbors":
-        return lambda scored: scored.select(id_column, LABEL).join(
-            knn_predict(train, scored, features, id_column, LABEL), id_column)
     return FITTED[name]().fit(train).transform
 
 
@@ -152,20 +149,39 @@ def _all_at_once(df, name, features, fits):
     return scored_counts(rows, features, df.sparkSession.sparkContext.broadcast(predict), fits)
 
 
+def _neighbour_counts(df, features, id_column, fits):
+    """Counts of the nearest neighbours: all fits learn from the training rows but for a fold, so one search serves them."""
+    schemes = [None] * any(scheme == "holdout" for scheme, _ in fits) + [s for s in newton.SCHEMES if any(scheme == s for scheme, _ in fits)]
+    part = [F.col("is_train").cast("int") if s is None else F.when(F.col("is_train") & F.col(s).isin([f for scheme, f in fits if scheme == s]), F.col(s))
+            for s in schemes]
+    rows = df.select(id_column, LABEL, *features, "is_train", *newton.SCHEMES, *[p.alias(f"_part{v}") for v, p in enumerate(part)])
+    found = knn_predict_views(rows.where("is_train"), rows, features, id_column, LABEL, [(f"_part{v}", s) for v, s in enumerate(schemes)])
+    asked = reduce(lambda a, b: a.unionByName(b), [
+        rows.where(f"_part{v} IS NOT NULL").select(id_column, LABEL, F.lit(v).alias("view"), F.col(f"_part{v}").alias("part")) for v in range(len(schemes))])
+    view, part = F.col("view"), F.col("part")
+    scheme = F.element_at(F.array(*[F.lit(s or "") for s in schemes]), view + 1)
+    whole = scheme == ""
+    return asked.join(found, [id_column, "view", "part"]).groupBy(
+        F.when(whole & (part == 0), "holdout").when(whole, "train").otherwise(scheme).alias("scheme"), F.when(whole, 0).otherwise(part).alias("fold"),
+        F.col(LABEL).cast("double").alias(LABEL), F.col("prediction").cast("double").alias("prediction")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def confusion_counts(df, name, features, id_column, fits=None, parallelism=8):
     """(model, scheme, fold, class_no, prediction, n) for the fits of one model, written to the shared folder.
 
-    Scheme ``train`` scores the hold-out fit on the rows it was trained on. The fits of linear and kernel classifiers are found
-    together; those of the others are independent jobs that run side by side.
+    Scheme ``train`` scores the hold-out fit on the rows it was trained on. The fits of linear and kernel classifiers and of the nearest neighbours are
+    found together; those of trees are independent jobs that run side by side.
     """
     fits = fits or all_fits()
-    if name not in FITTED and name != "KNeighbors":
+    if name == "KNeighbors":
+        return materialize(_neighbour_counts(df, features, id_column, fits).withColumn("model", F.lit(name)), "confusion")
+    if name not in FITTED:
         return materialize(_all_at_once(df, name, features, fits).withColumn("model", F.lit(name)), "confusion")
 
     def run(fit):
         scheme, fold = fit
         chosen, scored = fit_plan(scheme, fold)
-        predict = _predictor(name, df.where(chosen), features, id_column)
+        predict = _predictor(name, df.where(chosen))
         parts = [(scheme, scored)] + ([("train", chosen)] if scheme == "holdout" else [])
         return [predict(df.where(rows)).groupBy(F.col(LABEL).cast("double").alias(LABEL), F.col("prediction").cast("double").alias("prediction")).agg(
             F.count(F.lit(1)).alias("n")).select(F.lit(part).alias("scheme"), F.lit(fold).alias("fold"), LABEL, "prediction", "n")

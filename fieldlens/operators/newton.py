@@ -24,6 +24,8 @@ from fieldlens.session import materialize
 SCHEMES = ("fold_s", "fold_c")
 TOLERANCE = 1e-13
 MAX_PASSES = 300
+# Passes over the sample at most.
+START_PASSES = 100
 # Points in a row that come less than the tolerance below the best, whatever was expected of them: what is left is rounding.
 STALLS = 5
 # Points at which a pass looks along a step.
@@ -31,8 +33,10 @@ LINE_POINTS = 24
 # Sums of so many tasks meet in one; more are added up in two levels.
 MEET = 32
 ROWS_PER_TASK = 20_000
-# Rows and problems that are worked on together.
+# Rows and problems that are worked on together: so many of each, or more rows of fewer problems.
 SQUARE = 512
+# Training rows of the sample whose solution the passes over all rows start from.
+START_ROWS = 5_000
 TRIAL, OCTAVE, REFINE, TAKE, DONE = range(5)
 
 
@@ -89,12 +93,13 @@ def _slopes_along(loss, base, along, points, weights):
 
 def partial_sums(trial, loss, rows, products, signs, weights):
     """Sums over some rows at a key's trial points: loss, gradient and Hessian of ``at``, derivatives along ``step`` of the others.
-    Rows and problems are taken in squares that stay in the cache."""
+    Rows and problems are taken in squares, of few problems in longer stretches of rows, that stay in the cache."""
     points = line_points(trial["mode"], trial["lo"], trial["hi"])
     sums, slopes = np.zeros((len(trial["at"]), 1 + rows.shape[1] + products.shape[1])), np.zeros(points.shape)
     signed = signs[:, None] * rows
-    for lo in range(0, len(rows), SQUARE):
-        some = slice(lo, lo + SQUARE)
+    stretch = SQUARE * max(1, SQUARE // max(1, len(sums), len(points)) // 16)
+    for lo in range(0, len(rows), stretch):
+        some = slice(lo, lo + stretch)
         for a in range(0, len(sums), SQUARE):
             sums[a:a + SQUARE] += _sums_at(loss, trial["at"][a:a + SQUARE], rows[some], products[some], signed[some], weights[some])
         for a in range(0, len(points), SQUARE):
@@ -243,6 +248,7 @@ def narrow_samples(samples, columns, group):
 
 
 def _dealt(samples):
+    samples = samples.where("is_train")
     rows = samples.count()
     parts = max(1, -(-rows // ROWS_PER_TASK))
     dealt = samples.withColumn("__part", F.floor(F.rand(7) * parts).cast("int"))
@@ -303,6 +309,26 @@ def _passed(problem, trials, columns, keys, scales):
     return run
 
 
+def _started_in_task(problem, start, columns, keys, scales, share, live):
+    """Function from a ``share`` of the rows of a key's group to the key's weights there, its sums weighed up to those of all rows. A sample
+    that lacks a class of the fit tells too little: such a key starts where it would have."""
+
+    def solve(key, frame):
+        number = int(key[0])
+        part, state = Part(frame, columns, scales[keys[number][0]]), pickle.loads(start[number])
+        w = state["w"]
+        if set(part.labels[part.of(*keys[number][1:3])]) >= set(np.flatnonzero(live[keys[number][:3]])):
+            for _ in range(START_PASSES):
+                trial = problem.trial(state)
+                if trial is None:
+                    break
+                state = problem.advance(number, state, [x / share for x in problem.sums(number, trial, part)])
+            w = state["w"] if np.isfinite(state["w"]).all() else w
+        return pd.DataFrame({"key": [number], "w": [pickle.dumps(w)]})
+
+    return solve
+
+
 def _solved_in_task(problem, start, columns, keys, scales, max_passes):
     """Function from all rows of a key's group to its last state: the same passes, without a job for each."""
 
@@ -333,9 +359,10 @@ def rows_in_task(each):
     return ROWS_PER_TASK * max(1, min(10, each // 400))
 
 
-def run_passes(samples, problem, states, columns, keys, scales, largest, max_passes=MAX_PASSES, *, each=1):
+def run_passes(samples, problem, states, columns, keys, scales, largest, max_passes=MAX_PASSES, *, each=1, live=None):
     """Last state of each key, by its number. ``keys``: (group, scheme, fold, ...); ``states``: the first state of each; ``largest``: training
     rows of the largest group; ``each``: problems of a key. What comes to the driver, and goes out again, is states and trials: their size depends on the problems alone.
+    With ``live`` (the classes of each group and fit) the passes over all rows start from the weights (``w``) of a sample, where few are left to do.
     """
     spark = samples.sparkSession
     start = [pickle.dumps(state) for state in states]
@@ -351,6 +378,13 @@ def run_passes(samples, problem, states, columns, keys, scales, largest, max_pas
             solve, "key int, state binary")
         return gathered(materialize(solved, "fit-state"))
     dealt = _dealt(samples)
+    if live is not None and largest > START_ROWS:
+        share = START_ROWS / largest
+        named = spark.createDataFrame([(i, k[0]) for i, k in enumerate(keys)], "key int, group string")
+        solve = _started_in_task(problem, start, columns, keys, scales, share, live)
+        some = dealt.sample(share, 7).join(named, "group").repartition(max(len(keys), 1), "key").groupBy("key").applyInPandas(solve, "key int, w binary")
+        for r in materialize(some, "fit-start").toLocalIterator():
+            start[r["key"]] = pickle.dumps(states[r["key"]] | {"w": pickle.loads(r["w"])})
     tasks = dealt.rdd.getNumPartitions()
     schema = "key int, state binary, trial binary"
 
@@ -412,7 +446,8 @@ def fit_linear(samples, columns, n_classes, loss="squared_hinge", C=1.0, masks=N
     problem = Problem(sums, lambda number, state, found: next_state(state, *found, penalties[number], C),
                       lambda state: None if (state["mode"] == DONE).all() else trial_of(state))
     largest = max((int(counts["holdout", 0].sum()) for counts, _ in found.values()), default=0)
-    states = run_passes(samples, problem, [first_state(masks) for _ in keys], columns, keys, scales, largest, max_passes, each=len(masks))
+    states = run_passes(samples, problem, [first_state(masks) for _ in keys], columns, keys, scales, largest, max_passes, each=len(masks),
+                        live=live if len(masks) == 1 else None)
     weights = {k: np.zeros((*masks.shape, n_classes)) for k in live}
     for number, state in states.items():
         group, scheme, fold, c = keys[number]

@@ -141,7 +141,7 @@ def fit_softmax(samples, columns, n_classes, C=1.0, absolute=False, folds=5):
     zero = np.zeros((len(columns) + 1, n_classes))
     first = {"w": zero, "step": zero, "value": np.inf, "gain": 0.0, "done": False}
     largest = max((int(counts["holdout", 0].sum()) for counts, _ in found.values()), default=0)
-    states = newton.run_passes(samples, problem, [first for _ in keys], columns, keys, scales, largest)
+    states = newton.run_passes(samples, problem, [first for _ in keys], columns, keys, scales, largest, live=live)
     weights = {k: np.zeros((1, *zero.shape)) for k in live}
     for number, state in states.items():
         weights[keys[number]][0] = state["w"] / scales[keys[number][0]][:, None]

@@ -1,7 +1,7 @@
 """Support vector classifiers with a kernel, solved exactly in the dual.
 
 One problem is a pair of classes in one fit. Its training rows are dealt to parts; each part is solved by itself and keeps its
-support vectors, parts are merged two by two and solved again, until one is left. Then every training row is held
+support vectors, parts are merged two by two (all of them, where few vectors are left) and solved again, until one is left. Then every training row is held
 against the result: rows that break its conditions join the set, which is solved again, until no row does. A solution of a subset that
 no other row contradicts is the solution of all rows, so what the parts leave out changes nothing.
 
@@ -36,21 +36,22 @@ def kernel_block(a, b, gamma):
 
 
 class KernelRows:
-    """Rows of the kernel matrix: all of them if they fit, else those asked for last, in blocks of one."""
+    """Rows of the kernel matrix, each made when it is first asked for: most are never needed. Too many are not held."""
 
     def __init__(self, rows, gamma):
         self.rows, self.gamma = rows, gamma
-        self.diagonal = (rows * rows).sum(axis=1) if gamma is None else np.ones(len(rows))
-        self.whole = kernel_block(rows, rows, gamma) if len(rows) ** 2 <= KERNEL_CELLS else None
+        self.squares = (rows * rows).sum(axis=1)
+        self.diagonal = self.squares if gamma is None else np.ones(len(rows))
         self.held = {}
 
     def __getitem__(self, i):
-        if self.whole is not None:
-            return self.whole[i]
         if i not in self.held:
             if len(self.held) * len(self.rows) > KERNEL_CELLS:
                 self.held.pop(next(iter(self.held)))
-            self.held[i] = kernel_block(self.rows[i:i + 1], self.rows, self.gamma)[0]
+            made = self.rows @ self.rows[i]
+            if self.gamma is not None:
+                made = np.exp(-self.gamma * np.maximum(self.squares[i] + self.squares - 2 * made, 0.0))
+            self.held[i] = made
         return self.held[i]
 
 
@@ -133,6 +134,12 @@ def kernel_widths(samples, columns, folds):
     return found
 
 
+def dealt_to(numbers, parts):
+    """Part of each row, of a power of two."""
+    hashed = (numbers.to_numpy().astype("uint64") * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(20)
+    return (hashed % np.uint64(parts)).astype("int64")
+
+
 def fit_kernel(samples, columns, n_classes, C=1.0, kernel="rbf", folds=5, part_rows=PART_ROWS, max_set=MAX_SET):
     """``KernelFits`` of all fits of the rows of one group (``newton.narrow_samples``). ``kernel``: ``rbf``, its width from the
     variance of the training rows' entries, or ``linear``."""
@@ -158,8 +165,7 @@ def fit_kernel(samples, columns, n_classes, C=1.0, kernel="rbf", folds=5, part_r
                 mine = members[s, f] & ((label == a) | (label == b))
                 if mine.any():
                     out = frame.loc[mine, ["row", *columns]].assign(problem=number, alpha=0.0, bias=0.0, sign=np.where(label[mine] == a, 1.0, -1.0))
-                    hashed = (out["row"].to_numpy().astype("uint64") * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(20)
-                    yield out.assign(part=(hashed % np.uint64(parts[number])).astype("int64"))[order]
+                    yield out.assign(part=dealt_to(out["row"], parts[number]))[order]
 
     def solve(frame):
         number = int(frame["problem"].iloc[0])
@@ -175,9 +181,31 @@ def fit_kernel(samples, columns, n_classes, C=1.0, kernel="rbf", folds=5, part_r
     def solved(table):
         return materialize(table.groupBy("problem", "part").applyInPandas(solve, schema), "support-vectors")
 
-    state = solved(rows.mapInPandas(spread, schema))
-    for _ in range(max(parts, default=1).bit_length() - 1):
-        state = solved(state.withColumn("part", F.floor(F.col("part") / 2)))
+    most_parts = max(parts, default=1)
+
+    @F.pandas_udf("long")
+    def chunk(numbers: pd.Series) -> pd.Series:
+        return pd.Series(dealt_to(numbers, most_parts))
+
+    def solve_chunk(frame):
+        """The parts of all problems in the rows of a chunk. A problem of fewer parts has several chunks in one: its rows are handed on, to meet
+        when parts are first merged."""
+        made = [solve(rows) if parts[number] == most_parts else rows.assign(part=2 * rows["part"])
+                for rows in spread([frame]) for number in [int(rows["problem"].iloc[0])]]
+        return pd.concat(made, ignore_index=True) if made else pd.DataFrame({c: [] for c in order})
+
+    if most_parts >= spark.sparkContext.defaultParallelism:
+        # rows are sent once, not once for each problem; they are small, the work isn't: AQE must not merge them into few tasks
+        dealt = rows.where("is_train").withColumn("chunk", chunk("row"))
+        dealt = dealt.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "chunk")
+        state = materialize(dealt.groupBy("chunk").applyInPandas(solve_chunk, schema), "support-vectors")
+    else:
+        state = solved(rows.mapInPandas(spread, schema))
+    left = most_parts
+    while left > 1:
+        most = state.groupBy("problem").count().agg(F.max("count")).first()[0]
+        left = 1 if most <= part_rows else left // 2
+        state = solved(state.withColumn("part", F.lit(0).cast("long") if left == 1 else F.floor(F.col("part") / 2)))
     for _ in range(MAX_ROUNDS):
         size = state.count()
         if size > max_set * max(len(problems), 1):
