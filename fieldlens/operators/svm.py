@@ -179,7 +179,9 @@ def fit_kernel(samples, columns, n_classes, C=1.0, kernel="rbf", folds=5, part_r
         return kept[order]
 
     def solved(table):
-        return materialize(table.groupBy("problem", "part").applyInPandas(solve, schema), "support-vectors")
+        # what is left is small, solving it isn't: AQE must not merge the parts into few tasks
+        dealt = table.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "problem", "part")
+        return materialize(dealt.groupBy("problem", "part").applyInPandas(solve, schema), "support-vectors")
 
     most_parts = max(parts, default=1)
 
@@ -190,11 +192,24 @@ def fit_kernel(samples, columns, n_classes, C=1.0, kernel="rbf", folds=5, part_r
     def solve_chunk(frame):
         """The parts of all problems in the rows of a chunk. A problem of fewer parts has several chunks in one: its rows are handed on, to meet
         when parts are first merged."""
-        made = [solve(rows) if parts[number] == most_parts else rows.assign(part=2 * rows["part"])
-                for rows in spread([frame]) for number in [int(rows["problem"].iloc[0])]]
-        return pd.concat(made, ignore_index=True) if made else pd.DataFrame({c: [] for c in order})
-
-    if most_parts >= spark.sparkContext.defaultParallelism:
+        frame = frame.sort_values("row", ignore_index=True)
+        every, label, part = frame[columns].to_numpy(dtype=float), frame["class_no"].to_numpy(), int(frame["chunk"].iloc[0])
+        members, made = {fit: newton.in_training(frame, *fit) for fit in live}, []
+        for number, (s, f, a, b) in enumerate(problems):
+            mine = np.flatnonzero(members[s, f] & ((label == a) | (label == b)))
+            signs = np.where(label[mine] == a, 1.0, -1.0)
+            alpha, bias, at = np.zeros(len(mine)), 0.0, 2 * (part % parts[number])
+            if parts[number] == most_parts:
+                if len(mine) > max_set:
+                    raise ValueError(f"{len(mine)} support vectors meet in one problem; the limit is {max_set}")
+                alpha, bias = solve_dual(every[mine], signs, C, widths[s, f])
+                kept = np.flatnonzero(alpha > 0) if (alpha > 0).any() else np.arange(min(1, len(mine)))
+                mine, signs, alpha, at = mine[kept], signs[kept], alpha[kept], part
+            made.append((np.full(len(mine), number), np.full(len(mine), at), mine, signs, alpha, np.full(len(mine), bias)))
+        number, at, mine, signs, alpha, bias = (np.concatenate(c) for c in zip(*made))
+        return frame.loc[mine, ["row", *columns]].assign(problem=number, part=at, sign=signs, alpha=alpha, bias=bias)[order]
+
+    if problems and most_parts >= spark.sparkContext.defaultParallelism:
         # rows are sent once, not once for each problem; they are small, the work isn't: AQE must not merge them into few tasks
         dealt = rows.where("is_train").withColumn("chunk", chunk("row"))
         dealt = dealt.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "chunk")
